@@ -323,3 +323,88 @@ RAW_SQL = {
 }
 
 ALERT_CSV_SQL = f"SELECT {cols(ALERT_CSV_COLUMNS)} FROM scored WHERE is_fraud_detected"
+
+
+# ------------------------------------------------------- quality and clean
+
+STRING_RAW = ["account_type", "country", "currency", "category", "channel", "timestamp",
+              "status", "merchant_id", "card_last4"]
+
+TRIMMED_CTE = "trimmed AS (SELECT " + ", ".join(
+    f"trim({q(c)}) AS {q(c)}" if c in STRING_RAW else q(c) for c in RAW_COLUMNS
+) + " FROM dirty)"
+
+INCOMPLETE = ('(transaction_id IS NULL OR customer_id IS NULL OR amount IS NULL '
+              'OR isnan(amount) OR "timestamp" IS NULL OR status IS NULL)')
+
+
+def null_like(c: str) -> str:
+    if c == "amount":
+        return f"({q(c)} IS NULL OR isnan({q(c)}))"
+    if c in STRING_RAW:
+        return f"({q(c)} IS NULL OR {q(c)} = '')"
+    return f"{q(c)} IS NULL"
+
+
+def dedup_cte(src: str) -> str:
+    rest = [c for c in RAW_COLUMNS if c not in ("transaction_id", "timestamp")]
+    order = ", ".join([f"CAST({INCOMPLETE} AS INTEGER)", '"timestamp" NULLS FIRST']
+                      + [f"{q(c)} NULLS FIRST" for c in rest])
+    return (f"deduped AS (SELECT {cols(RAW_COLUMNS)} FROM (SELECT *, ROW_NUMBER() OVER "
+            f"(PARTITION BY transaction_id ORDER BY {order}) AS rn FROM {src}) WHERE rn = 1)")
+
+
+def over_trimmed(select: str, *ctes: str) -> str:
+    extra = "".join(",\n" + c for c in ctes)
+    return "WITH " + DIRTY_CTE + ",\n" + TRIMMED_CTE + extra + "\n" + select
+
+
+def quality_sql(domains) -> dict[str, str]:
+    nulls = " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", {count_if(null_like(c))} AS null_count FROM dirty"
+        for c in RAW_COLUMNS)
+    invalid = " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", "
+        f"{count_if('NOT (' + q(c) + ' IN (' + ', '.join(lit(v) for v in vals) + '))')} "
+        f"AS invalid_count FROM dirty"
+        for c, vals in domains.as_dict().items())
+    numeric = " UNION ALL ".join([
+        f"SELECT 'negative_amounts' AS issue, {count_if('amount < 0')} AS \"count\" FROM dirty",
+        f"SELECT 'zero_amounts' AS issue, {count_if('amount = 0')} AS \"count\" FROM dirty",
+        f"SELECT 'invalid_customer_ids' AS issue, {count_if('customer_id < 0')} AS \"count\" FROM dirty",
+    ])
+    distinct = ("(COUNT(DISTINCT transaction_id) + MAX(CASE WHEN transaction_id IS NULL "
+                "THEN 1 ELSE 0 END))")
+    report = " UNION ALL ".join(
+        ["SELECT 'total' AS \"check\", '*' AS \"column\", COUNT(*) AS n FROM dirty",
+         f"SELECT 'duplicates', 'transaction_id', COUNT(*) - {distinct} FROM dirty"]
+        + [f"SELECT 'nulls', \"column\", null_count FROM ({nulls}) WHERE null_count > 0"]
+        + [f"SELECT 'invalid', \"column\", invalid_count FROM ({invalid}) WHERE invalid_count > 0"]
+        + [f"SELECT 'numeric', issue, \"count\" FROM ({numeric}) WHERE \"count\" > 0"])
+    return {
+        "quality_schema": ENRICHED + "\nSELECT column_name AS \"column\", 'extra' AS issue "
+        "FROM (DESCRIBE SELECT * FROM enriched) WHERE column_name NOT IN ("
+        + ", ".join(lit(c) for c in RAW_COLUMNS) + ")",
+        "quality_null_counts": over_dirty(f"SELECT * FROM ({nulls}) WHERE null_count > 0"),
+        "quality_duplicates": over_dirty(
+            f"SELECT COUNT(*) AS total_rows, {distinct} AS distinct_keys, "
+            f"COUNT(*) - {distinct} AS duplicates FROM dirty"),
+        "quality_invalid_categorical": over_dirty(
+            f"SELECT * FROM ({invalid}) WHERE invalid_count > 0"),
+        "quality_numeric_issues": over_dirty(f"SELECT * FROM ({numeric}) WHERE \"count\" > 0"),
+        "quality_report": over_dirty(report),
+        "clean_trim": over_trimmed("SELECT * FROM trimmed"),
+        "clean_dedup": over_dirty("SELECT * FROM deduped").replace(
+            "\nSELECT * FROM deduped", ",\n" + dedup_cte("dirty") + "\nSELECT * FROM deduped"),
+        "clean_drop_nulls": over_dirty(
+            "SELECT * FROM dirty WHERE transaction_id IS NOT NULL AND customer_id IS NOT NULL "
+            "AND amount IS NOT NULL AND NOT isnan(amount) AND \"timestamp\" IS NOT NULL "
+            "AND status IS NOT NULL"),
+        "clean_transactions": over_trimmed(
+            f"SELECT * FROM deduped WHERE NOT {INCOMPLETE}", dedup_cte("trimmed")),
+        "ingest_summary": over_trimmed(
+            "SELECT SUM(c) AS original_records, "
+            "COUNT(CASE WHEN inc = 0 AND transaction_id IS NOT NULL THEN 1 END) AS validated_records, "
+            "SUM(c) - COUNT(*) AS duplicates_removed FROM (SELECT transaction_id, COUNT(*) AS c, "
+            f"MIN(CAST({INCOMPLETE} AS INTEGER)) AS inc FROM trimmed GROUP BY transaction_id)"),
+    }

@@ -103,3 +103,38 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+
+# V1-V11 (on the dirty variant of the mapping)
+from ..operators import clean as C  # noqa: E402
+from ..operators import quality as V  # noqa: E402
+from ..schema import RAW_SCHEMA  # noqa: E402
+from ..sources.testdata import dirty_transactions, testdata_domains  # noqa: E402
+
+
+def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return dirty_transactions(spark, sf_dir)
+
+
+def _on_dirty(fn) -> Query:
+    return lambda spark, sf_dir: fn(dirty(spark, sf_dir))
+
+
+QUERIES.update({
+    "quality_schema": lambda s, d: V.validate_schema(processed(s, d), RAW_SCHEMA)
+    .select("column", "issue"),
+    "quality_null_counts": _on_dirty(V.check_nulls),
+    "quality_duplicates": _on_dirty(V.check_duplicates),
+    "quality_invalid_categorical": _on_dirty(
+        lambda df: V.validate_categorical_values(df, testdata_domains())),
+    "quality_numeric_issues": _on_dirty(V.validate_numeric_ranges),
+    "quality_report": _on_dirty(
+        lambda df: V.generate_validation_report(df, RAW_SCHEMA, testdata_domains())),
+    "clean_trim": _on_dirty(C.trim_strings),
+    "clean_dedup": _on_dirty(C.deduplicate),
+    "clean_drop_nulls": _on_dirty(C.drop_incomplete),
+    "clean_transactions": _on_dirty(C.clean_data),
+    "ingest_summary": _on_dirty(C.ingest_summary),
+})
+ORACLE.update(O.quality_sql(testdata_domains()))
