@@ -6,8 +6,8 @@ object instead of reading module globals.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -133,15 +133,4 @@ def scratch_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location below the shared scratch folder."""
-    base = scratch_dir(spark)
-    return f"{base}/ledgerlens/{name}-{os.getpid()}-{next(_counter)}"
-
-
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
-
-
-_counter = _count()
+    return f"{scratch_dir(spark)}/ledgerlens/{name}-{uuid.uuid4().hex[:12]}"

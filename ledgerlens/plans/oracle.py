@@ -408,3 +408,142 @@ def quality_sql(domains) -> dict[str, str]:
             "SUM(c) - COUNT(*) AS duplicates_removed FROM (SELECT transaction_id, COUNT(*) AS c, "
             f"MIN(CAST({INCOMPLETE} AS INTEGER)) AS inc FROM trimmed GROUP BY transaction_id)"),
     }
+
+
+# ------------------------------------------------------------ io, catalog
+
+ENRICHED_NO_TS = [c for c in PROCESSED_COLUMNS if c != "timestamp_dt"]
+
+IO_SQL = {
+    "io_csv_scan": over_raw(f"SELECT {cols(RAW_COLUMNS)} FROM raw"),
+    "io_parquet_roundtrip": over_raw(f"SELECT {cols(RAW_COLUMNS)} FROM raw"),
+    "io_partitioned_roundtrip": over_enriched(f"SELECT {cols(ENRICHED_NO_TS)} FROM enriched"),
+    "io_partition_prune": over_enriched(
+        "SELECT year, month, day, COUNT(*) AS n FROM enriched GROUP BY year, month, day"),
+    "io_alerts_csv": over_scored(ALERT_CSV_SQL),
+    "io_write_verify": over_enriched(
+        "SELECT COUNT(*) AS written_rows, COUNT(*) AS read_rows FROM enriched"),
+    "io_json_roundtrip": over_enriched(ANALYSES_SQL["by_country"]),
+    "catalog_transactions": over_enriched(f"SELECT {cols(ENRICHED_NO_TS)} FROM enriched"),
+    "catalog_alerts": over_scored(
+        "SELECT " + cols(["transaction_id", "customer_id", "account_type", "country", "amount",
+                          "currency", "category", "channel", "timestamp", "status",
+                          "alert_priority", "risk_score", "fraud_reasons", "fraud_rule_status",
+                          "fraud_rule_high_declined", "fraud_rule_night", "fraud_rule_velocity",
+                          "is_fraud_detected"])
+        + " FROM scored WHERE is_fraud_detected"),
+    "catalog_counts": over_scored(
+        "SELECT 'transactions_processed' AS table_name, COUNT(*) AS total FROM scored "
+        "UNION ALL SELECT 'fraud_alerts', COUNT(*) FROM scored WHERE is_fraud_detected"),
+    "preview": over_enriched(
+        f"SELECT {cols(ENRICHED_NO_TS)} FROM enriched ORDER BY transaction_id LIMIT 5"),
+}
+
+
+# ---------------------------------------------------------------- reports
+
+def fmt_int(x: str) -> str:
+    return f"format('{{:,}}', {x})"
+
+
+def fmt_dec(x: str) -> str:
+    return f"format('{{:,.2f}}', {x})"
+
+
+def report_ctes() -> str:
+    from ..operators import report as R
+    status_rows = " UNION ALL ".join(
+        f"SELECT {i} AS position, {lit(s)} AS status, {lit(label)} AS label, "
+        f"{ {'APPROVED': 'approved', 'DECLINED': 'declined', 'FRAUD': 'fraud', 'PENDING': 'pending'}[s] } "
+        f"AS cnt, total_transactions FROM summary"
+        for i, (s, label) in enumerate(R.STATUS_LABELS, start=1))
+    return f""",
+summary AS (
+  SELECT COUNT(*) AS total_transactions, COUNT(DISTINCT customer_id) AS unique_customers,
+    {money_total()} AS total_amount, {money_avg()} AS avg_amount,
+    {APPROVED} AS approved, {DECLINED} AS declined,
+    {count_if("status = 'FRAUD'")} AS fraud, {count_if("status = 'PENDING'")} AS pending,
+    {pct(APPROVED, 'COUNT(*)')} AS approval_rate,
+    {count_if('is_fraud_detected')} AS total_alerts,
+    {pct(count_if('is_fraud_detected'), 'COUNT(*)')} AS detection_rate,
+    strftime(MIN(timestamp_dt), '%Y-%m-%d') AS period_start,
+    strftime(MAX(timestamp_dt), '%Y-%m-%d') AS period_end
+  FROM scored
+),
+status_dist AS (
+  SELECT position, status, label, cnt AS "count", {pct('cnt', 'total_transactions')} AS percentage
+  FROM ({status_rows})
+),
+by_country AS ({ANALYSES_SQL['by_country'].replace(' ORDER BY total_amount DESC NULLS LAST, country', '')}),
+by_category AS ({ANALYSES_SQL['by_category'].replace(' ORDER BY total_transactions DESC, category', '')}),
+by_time_slot AS ({ANALYSES_SQL['by_time_slot']})"""
+
+
+def report_sql() -> dict[str, str]:
+    from ..operators import report as R
+    base = SCORED + report_ctes() + "\n"
+
+    def fixed(section: int, lines: list[tuple[int, str]]) -> str:
+        name = R.SECTIONS[section - 1]
+        return " UNION ALL ".join(
+            f"SELECT {section} AS section_no, '{name}' AS section, {i} AS line_no, {expr} AS line "
+            f"FROM summary" for i, expr in lines)
+
+    def table(section: int, heading: str, header, src: str, order: str, line: str) -> str:
+        name = R.SECTIONS[section - 1]
+        head = fixed(section, [(0, lit(heading)), (1, lit(header[0])), (2, lit(header[1]))])
+        return (head + f" UNION ALL SELECT {section}, '{name}', "
+                f"CAST(ROW_NUMBER() OVER (ORDER BY {order}) + 2 AS INTEGER), {line} FROM {src}")
+
+    slot_rank = "CASE " + " ".join(
+        f"WHEN time_slot = {lit(s)} THEN {i}" for i, s in enumerate(L.SLOT_ORDER, start=1)) + " END"
+    parts = [
+        fixed(1, [
+            (0, lit(R.TITLE)),
+            (1, f"{lit(R.PERIOD)} || period_start || ' a ' || period_end"),
+            (2, lit(R.H_SUMMARY)),
+            (3, f"{lit(R.M_TOTAL)} || {fmt_int('total_transactions')}"),
+            (4, f"{lit(R.M_CUSTOMERS)} || {fmt_int('unique_customers')}"),
+            (5, f"{lit(R.M_AMOUNT)} || {fmt_dec('total_amount')}"),
+            (6, f"{lit(R.M_AVG)} || {fmt_dec('avg_amount')}"),
+        ]),
+        fixed(2, [(0, lit(R.H_STATUS)), (1, lit(R.T_STATUS[0])), (2, lit(R.T_STATUS[1]))]),
+        f"SELECT 2, 'estados', CAST(position + 2 AS INTEGER), '| ' || label || ' | ' || "
+        f"{fmt_int('\"count\"')} || ' | ' || {fmt_dec('percentage')} || '% |' FROM status_dist",
+        fixed(3, [
+            (0, lit(R.H_ALERTS)),
+            (1, f"{lit(R.M_ALERTS)} || {fmt_int('total_alerts')}"),
+            (2, f"{lit(R.M_DETECTION)} || {fmt_dec('detection_rate')} || '%'"),
+        ]),
+        table(4, R.H_COUNTRY, R.T_COUNTRY,
+              "(SELECT * FROM by_country ORDER BY total_amount DESC NULLS LAST, country LIMIT 10)",
+              "total_amount DESC NULLS LAST, country",
+              f"'| ' || country || ' | ' || {fmt_int('total_transactions')} || ' | ' || "
+              f"{fmt_dec('total_amount')} || ' | ' || {fmt_dec('avg_amount')} || ' | ' || "
+              f"{fmt_dec('approval_rate')} || '% |'"),
+        table(5, R.H_CATEGORY, R.T_CATEGORY, "by_category",
+              "total_transactions DESC, category",
+              f"'| ' || category || ' | ' || {fmt_int('total_transactions')} || ' | ' || "
+              f"{fmt_dec('total_amount')} || ' | ' || {fmt_dec('percentage')} || '% |'"),
+        table(6, R.H_TIME, R.T_TIME, "by_time_slot", f"{slot_rank} NULLS LAST, time_slot",
+              f"'| ' || time_slot || ' | ' || {fmt_int('total_transactions')} || ' | ' || "
+              f"{fmt_dec('total_amount')} || ' | ' || {fmt_int('declined_count')} || ' |'"),
+        fixed(7, [
+            (0, lit(R.H_CONCLUSIONS)),
+            (1, f"{lit(R.C_PROCESSED[0])} || {fmt_int('total_transactions')} || {lit(R.C_PROCESSED[1])}"),
+            (2, f"{lit(R.C_APPROVAL)} || {fmt_dec('approval_rate')} || '%'"),
+            (3, f"{lit(R.C_ALERTS[0])} || {fmt_int('total_alerts')} || {lit(R.C_ALERTS[1])}"),
+        ]),
+    ]
+    lines = " UNION ALL ".join(f"({p})" for p in parts)
+    return {
+        "report_summary": base + "SELECT * FROM summary",
+        "report_status": base + "SELECT * FROM status_dist",
+        "report_country": base + "SELECT * FROM by_country ORDER BY total_amount DESC NULLS LAST, "
+                                 "country LIMIT 10",
+        "report_category": base + "SELECT category, total_transactions, total_amount, percentage "
+                                  "FROM by_category",
+        "report_time": base + "SELECT time_slot, total_transactions, total_amount, declined_count "
+                              "FROM by_time_slot",
+        "report_lines": base + lines,
+    }

@@ -1,7 +1,9 @@
 """Named queries over the driver's tables, with their SQL oracles.
 
-Each query is ``(spark, sf_dir) -> DataFrame``. Sources are the full tables;
-nothing is sampled or capped except where a top-k is the feature.
+Each query is ``(spark, sf_dir) -> DataFrame`` over the full tables; nothing
+is sampled or capped except where a top-k is the feature. Queries of the
+sinks and the catalog write below ``spark.checkpoint.dir`` and return what
+they read back.
 """
 
 from __future__ import annotations
@@ -11,35 +13,68 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_SETTINGS, configure
+from ..config import DEFAULT_SETTINGS, configure, scratch_path
 from ..operators import analytics as A
+from ..operators import clean as C
 from ..operators import features as T
-from ..operators import rules as R
-from ..sources.testdata import transactions
+from ..operators import quality as V
+from ..operators import report as R
+from ..operators import rules as RU
+from ..schema import PARTITION_COLUMNS, PROCESSED_COLUMNS, RAW_SCHEMA
+from ..sources import catalog as K
+from ..sources import files as IO
+from ..sources.testdata import dirty_transactions, testdata_domains, transactions
 from . import oracle as O
+from .workflow import run_all
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+S = DEFAULT_SETTINGS
+NO_TS = [c for c in PROCESSED_COLUMNS if c != "timestamp_dt"]
+
+
+# ------------------------------------------------------------------ inputs
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     return transactions(spark, sf_dir)
 
 
+def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return dirty_transactions(spark, sf_dir)
+
+
 def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.enrich(raw(spark, sf_dir), DEFAULT_SETTINGS)
+    return T.enrich(raw(spark, sf_dir), S)
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.detect_fraud_patterns(processed(spark, sf_dir), DEFAULT_SETTINGS.thresholds)
+    return RU.detect_fraud_patterns(processed(spark, sf_dir), S.thresholds)
+
 
+_written: dict[tuple[str, str], str] = {}
 
-def _on_processed(fn) -> Query:
-    return lambda spark, sf_dir: fn(processed(spark, sf_dir))
+
+def written_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The processed table written once per session and input as a
+    partitioned Parquet table; later queries read it back (lineage cut)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    path = _written.get(key)
+    if path is None:
+        path = scratch_path(spark, "processed")
+        IO.write_partitioned(processed(spark, sf_dir), path)
+        _written[key] = path
+    configure(spark)
+    return IO.read_parquet(spark, path)
+
+
+def written_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return RU.detect_fraud_patterns(written_processed(spark, sf_dir), S.thresholds)
 
 
-def _on_scored(fn) -> Query:
-    return lambda spark, sf_dir: fn(scored(spark, sf_dir))
+def _on(source, fn) -> Query:
+    return lambda spark, sf_dir: fn(source(spark, sf_dir))
 
 
 def _select(source, *columns) -> Query:
@@ -54,12 +89,12 @@ def _count_by(source, *keys, name="n") -> Query:
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
-# A1-A10
+# ------------------------------------------------------------ A1-A10
 for _name, _fn in A.ANALYSES.items():
-    QUERIES[_name] = _on_processed(_fn)
+    QUERIES[_name] = _on(processed, _fn)
     ORACLE[_name] = O.over_enriched(O.ANALYSES_SQL[_name])
 
-# T1-T14
+# ------------------------------------------------------------ T1-T14
 QUERIES.update({
     "feat_temporal": lambda s, d: processed(s, d).select(
         "transaction_id", "year", "month", "day", "hour", "day_of_week",
@@ -80,61 +115,176 @@ QUERIES.update({
 for _name, _sql in O.FEATURE_SQL.items():
     ORACLE[_name] = O.over_enriched(_sql)
 
-# F1-F13
+# ------------------------------------------------------------ F1-F13
 QUERIES.update({
-    "fraud_rules": _select(scored, "transaction_id", *R.RULE_COLUMNS),
+    "fraud_rules": _select(scored, "transaction_id", *RU.RULE_COLUMNS),
     "fraud_flag": _select(scored, "transaction_id", "risk_score", "is_fraud_detected"),
     "fraud_priority": _select(scored, "transaction_id", "risk_score", "alert_priority"),
     "fraud_reasons": _select(scored, "transaction_id", "fraud_reasons"),
-    "fraud_alerts": lambda s, d: R.fraud_alerts(scored(s, d)).select(*O.ALERT_OUTPUT_COLUMNS),
-    "fraud_totals": _on_scored(R.fraud_totals),
-    "fraud_by_priority": _on_scored(R.fraud_by_priority),
-    "fraud_by_country": _on_scored(R.fraud_by_country),
-    "fraud_rule_hits": _on_scored(R.fraud_rule_hits),
-    "fraud_top_risk": _on_scored(R.fraud_top_risk),
+    "fraud_alerts": lambda s, d: RU.fraud_alerts(scored(s, d)).select(*O.ALERT_OUTPUT_COLUMNS),
+    "fraud_totals": _on(scored, RU.fraud_totals),
+    "fraud_by_priority": _on(scored, RU.fraud_by_priority),
+    "fraud_by_country": _on(scored, RU.fraud_by_country),
+    "fraud_rule_hits": _on(scored, RU.fraud_rule_hits),
+    "fraud_top_risk": _on(scored, RU.fraud_top_risk),
 })
 for _name, _sql in O.RULES_SQL.items():
     ORACLE[_name] = O.over_scored(_sql)
 
+# ------------------------------------------------------------ V1-V11 (dirty variant)
+QUERIES.update({
+    "quality_schema": lambda s, d: V.validate_schema(processed(s, d), RAW_SCHEMA)
+    .select("column", "issue"),
+    "quality_null_counts": _on(dirty, V.check_nulls),
+    "quality_duplicates": _on(dirty, V.check_duplicates),
+    "quality_invalid_categorical": _on(
+        dirty, lambda df: V.validate_categorical_values(df, testdata_domains())),
+    "quality_numeric_issues": _on(dirty, V.validate_numeric_ranges),
+    "quality_report": _on(
+        dirty, lambda df: V.generate_validation_report(df, RAW_SCHEMA, testdata_domains())),
+    "clean_trim": _on(dirty, C.trim_strings),
+    "clean_dedup": _on(dirty, C.deduplicate),
+    "clean_drop_nulls": _on(dirty, C.drop_incomplete),
+    "clean_transactions": _on(dirty, C.clean_data),
+    "ingest_summary": _on(dirty, C.ingest_summary),
+})
+ORACLE.update(O.quality_sql(testdata_domains()))
+
 
-def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+# ------------------------------------------------------------ S1-S21
 
+def io_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "raw-csv")
+    IO.write_csv(raw(spark, sf_dir), path)
+    return IO.read_csv(spark, path, RAW_SCHEMA)
 
-def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
 
+def io_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "validated")
+    IO.write_parquet(C.clean_data(raw(spark, sf_dir)), path)
+    return IO.read_parquet(spark, path)
 
-# V1-V11 (on the dirty variant of the mapping)
-from ..operators import clean as C  # noqa: E402
-from ..operators import quality as V  # noqa: E402
-from ..schema import RAW_SCHEMA  # noqa: E402
-from ..sources.testdata import dirty_transactions, testdata_domains  # noqa: E402
 
+def io_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "processed")
+    IO.write_partitioned(processed(spark, sf_dir), path)
+    return IO.read_parquet(spark, path).select(*NO_TS)
 
-def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
-    return dirty_transactions(spark, sf_dir)
+
+def io_partition_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partition discovery: rows per (year, month, day) directory, read from
+    the directory layout (partition columns come back as INT)."""
+    t = written_processed(spark, sf_dir)
+    return t.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
+
+
+def io_alerts_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "alerts-csv")
+    IO.write_alerts_csv(RU.fraud_alerts(written_scored(spark, sf_dir)), path, S.csv_files)
+    return IO.read_csv(spark, path, IO.alert_csv_schema())
+
+
+def io_write_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "processed-verified")
+    return IO.write_verified(processed(spark, sf_dir), path, PARTITION_COLUMNS)
+
+
+def io_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = written_processed(spark, sf_dir)
+    results = {name: fn(t) for name, fn in A.ANALYSES.items()}
+    base = scratch_path(spark, "analytics")
+    IO.write_results_json(results, base)
+    return IO.read_results_json(spark, base, "by_country", results["by_country"].schema)
 
 
-def _on_dirty(fn) -> Query:
-    return lambda spark, sf_dir: fn(dirty(spark, sf_dir))
+def _tables(spark: SparkSession, sf_dir: str) -> None:
+    t = written_processed(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    K.create_transactions_table(spark, _written[key])
+    alerts_path = scratch_path(spark, "alerts")
+    verify = IO.write_verified(
+        RU.fraud_alerts(RU.detect_fraud_patterns(t, S.thresholds)), alerts_path).first()
+    K.create_alerts_table(spark, alerts_path if verify["read_rows"] > 0 else None)
+
+
+def catalog_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _tables(spark, sf_dir)
+    return spark.table(K.TRANSACTIONS_TABLE).select(*NO_TS)
+
+
+def catalog_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _tables(spark, sf_dir)
+    return spark.table(K.ALERTS_TABLE)
+
+
+def catalog_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _tables(spark, sf_dir)
+    return K.count_tables(spark, [K.TRANSACTIONS_TABLE, K.ALERTS_TABLE])
+
+
+def catalog_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _tables(spark, sf_dir)
+    return K.list_tables(spark).filter(
+        F.col("tableName").isin(K.TRANSACTIONS_TABLE, K.ALERTS_TABLE))
+
+
+def catalog_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _tables(spark, sf_dir)
+    return K.describe(spark, K.TRANSACTIONS_TABLE)
 
 
 QUERIES.update({
-    "quality_schema": lambda s, d: V.validate_schema(processed(s, d), RAW_SCHEMA)
-    .select("column", "issue"),
-    "quality_null_counts": _on_dirty(V.check_nulls),
-    "quality_duplicates": _on_dirty(V.check_duplicates),
-    "quality_invalid_categorical": _on_dirty(
-        lambda df: V.validate_categorical_values(df, testdata_domains())),
-    "quality_numeric_issues": _on_dirty(V.validate_numeric_ranges),
-    "quality_report": _on_dirty(
-        lambda df: V.generate_validation_report(df, RAW_SCHEMA, testdata_domains())),
-    "clean_trim": _on_dirty(C.trim_strings),
-    "clean_dedup": _on_dirty(C.deduplicate),
-    "clean_drop_nulls": _on_dirty(C.drop_incomplete),
-    "clean_transactions": _on_dirty(C.clean_data),
-    "ingest_summary": _on_dirty(C.ingest_summary),
+    "io_csv_scan": io_csv_scan,
+    "io_parquet_roundtrip": io_parquet_roundtrip,
+    "io_partitioned_roundtrip": io_partitioned_roundtrip,
+    "io_partition_prune": io_partition_prune,
+    "io_alerts_csv": io_alerts_csv,
+    "io_write_verify": io_write_verify,
+    "io_json_roundtrip": io_json_roundtrip,
+    "catalog_transactions": catalog_transactions,
+    "catalog_alerts": catalog_alerts,
+    "catalog_counts": catalog_counts,
+    "catalog_list": catalog_list,          # rows-only
+    "catalog_describe": catalog_describe,  # rows-only
+    "preview": lambda s, d: IO.preview(written_processed(s, d)).select(*NO_TS),
 })
-ORACLE.update(O.quality_sql(testdata_domains()))
+ORACLE.update(O.IO_SQL)
+
+
+# ------------------------------------------------------------ R1-R9, P1
+
+def _summary(spark, sf_dir):
+    return R.executive_summary(written_scored(spark, sf_dir), S.thresholds)
+
+
+def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = written_processed(spark, sf_dir)
+    return R.report_lines(_summary(spark, sf_dir), A.by_country(t), A.by_category(t),
+                          A.by_time_slot(t))
+
+
+def stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run all six stages over the full input; one row per stage."""
+    res = run_all(spark, raw(spark, sf_dir), S)
+    return res.to_df(spark).select("stage", "status", "rows")
+
+
+QUERIES.update({
+    "report_summary": _summary,
+    "report_status": lambda s, d: R.status_distribution(_summary(s, d)),
+    "report_country": lambda s, d: R.report_country(A.by_country(written_processed(s, d))),
+    "report_category": lambda s, d: R.report_category(A.by_category(written_processed(s, d))),
+    "report_time": lambda s, d: R.report_time(A.by_time_slot(written_processed(s, d))),
+    "report_lines": report_lines,
+    "report_summary_json": lambda s, d: R.summary_json(_summary(s, d)),  # rows-only
+    "stage_metrics": stage_metrics,                                      # rows-only
+})
+ORACLE.update(O.report_sql())
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLE)
