@@ -95,7 +95,7 @@ def reports(spark: SparkSession, base: str, s: Settings, res: RunResult) -> int:
     processed = spark.table(K.TRANSACTIONS_TABLE)
     summary = R.executive_summary(RU.detect_fraud_patterns(processed, s.thresholds))
     path = f"{base}/reports"
-    IO.write_summary_json(summary, f"{path}/summary")
+    R.write_summary_json(summary, f"{path}/summary")
     summary = spark.read.json(f"{path}/summary")
     flat = summary.select(
         "periodo_analizado", "metricas_generales.*", "distribucion_estados.*",
