@@ -107,6 +107,33 @@ def validate_numeric_ranges(df: DataFrame) -> DataFrame:
     return _long(wide, NUMERIC_ISSUES, "issue", "count").filter(F.col("count") > 0)
 
 
+def validation_metrics(df: DataFrame, domains: Domains) -> list[Column]:
+    """Every check except duplicates as one list of aggregate columns named
+    ``check__column``. None of them is a distinct aggregate, so they can also
+    be collected as an ``Observation`` while the data is written."""
+    aggs = [F.count(F.lit(1)).alias("total__*")]
+    aggs += [c.alias(f"nulls__{n}") for c, n in zip(null_count_columns(df), df.columns)]
+    aggs += [c.alias(f"invalid__{n}") for c, n in
+             zip(invalid_columns(domains), domains.as_dict())]
+    aggs += [c.alias(f"numeric__{n}") for c, n in zip(numeric_issue_columns(), NUMERIC_ISSUES)]
+    return aggs
+
+
+REPORT_SCHEMA = "check string, column string, n long"
+
+
+def report_rows(metrics: dict, missing: list[str] = ()) -> list[tuple[str, str, int]]:
+    """Long rows from named metric values: totals and duplicates always,
+    other checks only where positive, one row per missing column."""
+    rows = []
+    for name, n in metrics.items():
+        check, column = name.split("__", 1)
+        if n > 0 or check in ("total", "duplicates"):
+            rows.append((check, column, int(n)))
+    rows += [("schema_missing", c, 1) for c in missing]
+    return rows
+
+
 def generate_validation_report(df: DataFrame, expected: StructType, domains: Domains,
                                key: str = "transaction_id") -> DataFrame:
     """V6: every check in one aggregation, as (check, column, n) rows.
@@ -116,22 +143,16 @@ def generate_validation_report(df: DataFrame, expected: StructType, domains: Dom
     ``duplicates``/``key`` always.
     """
     cols = df.columns
-    aggs = [F.count(F.lit(1)).alias("total__*")]
-    aggs += [c.alias(f"nulls__{n}") for c, n in zip(null_count_columns(df), cols)]
     k = F.col(key)
+    aggs = validation_metrics(df, domains)
     aggs.append((F.count(F.lit(1)) - _distinct_with_null(k)).alias(f"duplicates__{key}"))
-    aggs += [c.alias(f"invalid__{n}") for c, n in
-             zip(invalid_columns(domains), domains.as_dict())]
-    aggs += [c.alias(f"numeric__{n}") for c, n in zip(numeric_issue_columns(), NUMERIC_ISSUES)]
     wide = df.agg(*aggs)
-    names = wide.columns
-    long = _long(wide, names, "_k", "n")
+    long = _long(wide, wide.columns, "_k", "n")
     parts = F.split(F.col("_k"), "__")
     out = long.select(parts[0].alias("check"), parts[1].alias("column"), "n").filter(
         (F.col("n") > 0) | F.col("check").isin("total", "duplicates"))
     missing = [f.name for f in expected.fields if f.name not in cols]
     if missing:
         spark: SparkSession = df.sparkSession
-        out = out.unionByName(spark.createDataFrame(
-            [("schema_missing", c, 1) for c in missing], "check string, column string, n long"))
+        out = out.unionByName(spark.createDataFrame(report_rows({}, missing), REPORT_SCHEMA))
     return out

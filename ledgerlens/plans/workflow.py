@@ -12,7 +12,8 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import DEFAULT_SETTINGS, Settings, configure, scratch_path
 from ..operators import analytics as A
@@ -43,11 +44,20 @@ class RunResult:
 
 
 def ingest(spark: SparkSession, raw: DataFrame, base: str, s: Settings, res: RunResult) -> int:
-    report = V.generate_validation_report(raw, RAW_SCHEMA, s.domains)
-    # one row per column and check: bounded by the schema, not the data
-    res.values["validation"] = [tuple(r) for r in report.collect()]
+    """Validate and clean in one pass over the raw input: the checks are
+    observed on the raw rows, the distinct keys on the dedup output, while
+    the cleaned rows are written."""
+    checks, keys = Observation("checks"), Observation("keys")
+    observed = raw.observe(checks, *V.validation_metrics(raw, s.domains))
+    deduped = C.deduplicate(C.trim_strings(observed)).observe(
+        keys, F.count(F.lit(1)).alias("keys"))
     path = f"{base}/validated"
-    verify = IO.write_verified(C.clean_data(raw), path).first()
+    verify = IO.write_verified(C.drop_incomplete(deduped), path).first()
+    metrics = dict(checks.get)
+    metrics["duplicates__transaction_id"] = metrics["total__*"] - keys.get["keys"]
+    missing = [f.name for f in RAW_SCHEMA.fields if f.name not in raw.columns]
+    # one row per column and check: bounded by the schema, not the data
+    res.values["validation"] = V.report_rows(metrics, missing)
     res.paths["validated"] = path
     return verify["read_rows"]
 
@@ -115,7 +125,6 @@ def reports(spark: SparkSession, base: str, s: Settings, res: RunResult) -> int:
 
 def _summary_from_json(flat: DataFrame) -> DataFrame:
     """Column names of ``executive_summary`` from the saved JSON summary."""
-    from pyspark.sql import functions as F
     rename = {key: src for group in R.JSON_GROUPS.values() for key, src in group}
     period = F.split(F.col("periodo_analizado"), " a ")
     return flat.select(

@@ -92,3 +92,18 @@ def test_corrupt_record_column(spark, tmp_path):
     df = IO.read_csv(spark, str(p), corrupt_column="_corrupt")
     r = df.first()
     assert r["amount"] is None and r["_corrupt"] is not None
+
+
+def test_observed_validation_equals_report(spark):
+    """The one-pass ingest reports the same checks as the standalone report."""
+    from ledgerlens.operators import quality as V
+    from ledgerlens.schema import RAW_SCHEMA
+    from ledgerlens.sources.testdata import testdata_domains
+    from ledgerlens.config import Settings
+    dirty = registry.dirty(spark, SF001)
+    res = run_all(spark, dirty, Settings(domains=testdata_domains()))
+    assert res.metrics[0][1] == "ok", res.values.get("error")
+    want = sorted(tuple(r) for r in V.generate_validation_report(
+        dirty, RAW_SCHEMA, testdata_domains()).collect())
+    assert sorted(res.values["validation"]) == want
+    assert res.metrics[0][2] == registry.queries()["clean_transactions"](spark, SF001).count()
