@@ -126,8 +126,10 @@ def scratch_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
         sc.setCheckpointDir(d)
-        spark.conf.set("spark.checkpoint.dir", d)
-        d = sc.getCheckpointDir() or d
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - some sessions refuse core confs at runtime
+            pass
     return d.rstrip("/")
 
 
