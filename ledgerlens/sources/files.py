@@ -6,6 +6,8 @@ through one task unless the caller asks for a file count.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -90,11 +92,19 @@ def write_verified(df: DataFrame, path: str, partition_by: list[str] | None = No
         F.lit(written).cast("bigint").alias("written_rows"), "read_rows")
 
 
-def write_results_json(results: dict[str, DataFrame], base: str) -> None:
-    """One JSON directory per result, written by the executors."""
-    for name, df in results.items():
+def write_results_json(results: dict[str, DataFrame], base: str, parallel: int = 4) -> None:
+    """One JSON directory per result, written by the executors.
+
+    The results are independent jobs; up to ``parallel`` are submitted at
+    once so that small jobs fill the slots left idle by each other's tails.
+    """
+    def write(item):
+        name, df = item
         df.write.mode("overwrite").json(f"{base}/{name}")
 
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        list(pool.map(write, results.items()))
+
 
 def read_results_json(spark: SparkSession, base: str, name: str,
                       schema: StructType) -> DataFrame | None:
