@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,13 +60,17 @@ _written: dict[tuple[str, str], str] = {}
 def written_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The processed table written once per session and input as a
     partitioned Parquet table; later queries read it back (lineage cut)."""
+    configure(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
     path = _written.get(key)
-    if path is None:
-        path = scratch_path(spark, "processed")
-        IO.write_partitioned(processed(spark, sf_dir), path)
-        _written[key] = path
-    configure(spark)
+    if path is not None:
+        try:
+            return IO.read_parquet(spark, path)
+        except AnalysisException:  # the folder was removed: write it again
+            pass
+    path = scratch_path(spark, "processed")
+    IO.write_partitioned(processed(spark, sf_dir), path)
+    _written[key] = path
     return IO.read_parquet(spark, path)
 
 
@@ -199,8 +204,7 @@ def io_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _tables(spark: SparkSession, sf_dir: str) -> None:
     t = written_processed(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir)
-    K.create_transactions_table(spark, _written[key])
+    K.create_transactions_table(spark, _written[(spark.sparkContext.applicationId, sf_dir)])
     alerts_path = scratch_path(spark, "alerts")
     verify = IO.write_verified(
         RU.fraud_alerts(RU.detect_fraud_patterns(t, S.thresholds)), alerts_path).first()
