@@ -232,7 +232,9 @@ def summary_json(summary: DataFrame) -> DataFrame:
         for name, fields in JSON_GROUPS.items()
     ]
     period = F.concat(F.col("period_start"), F.lit(" a "), F.col("period_end"))
-    return summary.select(period.alias("periodo_analizado"), *groups)
+    generated = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
+    return summary.select(generated.alias("fecha_generacion"),
+                          period.alias("periodo_analizado"), *groups)
 
 
 def write_report(lines: DataFrame, path: str) -> None:

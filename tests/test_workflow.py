@@ -107,3 +107,27 @@ def test_observed_validation_equals_report(spark):
         dirty, RAW_SCHEMA, testdata_domains()).collect())
     assert sorted(res.values["validation"]) == want
     assert res.metrics[0][2] == registry.queries()["clean_transactions"](spark, SF001).count()
+
+
+def test_msck_repair_recovers_partitions(spark):
+    from ledgerlens.sources import catalog as K
+    path = scratch_path(spark, "msck")
+    IO.write_partitioned(registry.processed(spark, SF001), path)
+    spark.sql("DROP TABLE IF EXISTS msck_probe")
+    spark.sql(K.transactions_ddl(path, "msck_probe"))
+    assert spark.table("msck_probe").count() == 0
+    spark.sql("MSCK REPAIR TABLE msck_probe")
+    assert spark.table("msck_probe").count() == 1000
+    assert K.table_exists(spark, "msck_probe")
+    desc = {r["col_name"] for r in K.describe(spark, "msck_probe").collect()}
+    assert {"risk_score", "year", "month", "day"} <= desc
+    spark.sql("DROP TABLE msck_probe")
+
+
+def test_summary_json_groups(spark):
+    s = R.executive_summary(registry.scored(spark, SF001))
+    j = R.summary_json(s).first().asDict(recursive=True)
+    assert j["alertas_fraude"]["total_alertas"] == 57
+    assert j["metricas_generales"]["total_transacciones"] == 1000
+    assert set(j) == {"fecha_generacion", "periodo_analizado", "metricas_generales",
+                      "distribucion_estados", "alertas_fraude"}
