@@ -76,6 +76,7 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "rows": rows,
+        "rows_per_sec": round(rows["stage_ingest"] / total, 1) if total else None,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": int(cpus),
     }

@@ -101,17 +101,26 @@ DEFAULT_SETTINGS = Settings()
 SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # coalesce to the advisory partition size instead of keeping many tiny ones
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "snappy",
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the session settings the operators rely on (UTC, AQE)."""
+def configure(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
+    """Apply the session settings the operators rely on (UTC, AQE).
+
+    ``shuffle_partitions`` sets the initial shuffle width for the target
+    scale (about input bytes / 256 MB, e.g. ~400k for 100 TB); AQE then
+    coalesces small ones. Left unset, the session's value is kept.
+    """
     for k, v in SESSION_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    if shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return spark
 
 
