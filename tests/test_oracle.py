@@ -1,6 +1,5 @@
 """Every registered query against its DuckDB oracle (sf0.001)."""
 
-import pytest
 
 from conftest import SF001
 from oracle_compare import compare

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from ledgerlens.config import scratch_path
 from ledgerlens.operators import rules as RU
 from ledgerlens.plans import registry
-from ledgerlens.sources import files as IO
 from ledgerlens.streaming.alerts import read_stream, run_to_parquet, stream_alerts
 
 from conftest import SF001
