@@ -36,24 +36,28 @@ def incomplete(df: DataFrame, fields: list[str] = CRITICAL_FIELDS) -> Column:
 
 
 def deduplicate(df: DataFrame, key: str = "transaction_id",
-                order: list[str] | None = None) -> DataFrame:
+                order: list[str] | None = None, sums: list[str] = ()) -> DataFrame:
     """V8: one row per key; the survivor is the row with all critical fields
     present first, then the earliest ``timestamp``, then the smallest values
     of the remaining columns in schema order (NULLs first).
 
     Implemented as ``min(struct(rank..., row...))`` per key: a partial
-    aggregate, so hot keys are combined before the shuffle.
+    aggregate, so hot keys are combined before the shuffle. Columns named in
+    ``sums`` are not part of the row; they are summed over the copies of each
+    key and returned next to the survivor.
     """
     order = order or ["timestamp"]
-    rest = [c for c in df.columns if c != key and c not in order]
+    row = [c for c in df.columns if c not in sums]
+    rest = [c for c in row if c != key and c not in order]
     ranked = F.struct(
         incomplete(df).cast("int").alias("_incomplete"),
         *[F.col(c) for c in order], *[F.col(c) for c in rest],
     )
-    best = df.groupBy(key).agg(F.min(ranked).alias("_best"))
+    best = df.groupBy(key).agg(F.min(ranked).alias("_best"),
+                               *[F.sum(c).alias(c) for c in sums])
     return best.select(*[
-        F.col(key) if c == key else F.col(f"_best.{c}").alias(c) for c in df.columns
-    ])
+        F.col(key) if c == key else F.col(f"_best.{c}").alias(c) for c in row
+    ], *sums)
 
 
 def drop_incomplete(df: DataFrame, fields: list[str] = CRITICAL_FIELDS) -> DataFrame:

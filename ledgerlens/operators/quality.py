@@ -107,16 +107,29 @@ def validate_numeric_ranges(df: DataFrame) -> DataFrame:
     return _long(wide, NUMERIC_ISSUES, "issue", "count").filter(F.col("count") > 0)
 
 
+def validation_conditions(df: DataFrame, domains: Domains) -> dict[str, Column]:
+    """Every check except duplicates as a per-row boolean, named
+    ``check__column`` (NULL counts as false)."""
+    conds = {"total__*": F.lit(True)}
+    conds.update({f"nulls__{c}": _null_like(df, c) for c in df.columns})
+    conds.update({f"invalid__{c}": ~F.col(c).isin(list(v))
+                  for c, v in domains.as_dict().items()})
+    conds.update({
+        "numeric__negative_amounts": F.col("amount") < 0,
+        "numeric__zero_amounts": F.col("amount") == 0,
+        "numeric__invalid_customer_ids": F.col("customer_id") < 0,
+    })
+    return conds
+
+
 def validation_metrics(df: DataFrame, domains: Domains) -> list[Column]:
-    """Every check except duplicates as one list of aggregate columns named
-    ``check__column``. None of them is a distinct aggregate, so they can also
-    be collected as an ``Observation`` while the data is written."""
-    aggs = [F.count(F.lit(1)).alias("total__*")]
-    aggs += [c.alias(f"nulls__{n}") for c, n in zip(null_count_columns(df), df.columns)]
-    aggs += [c.alias(f"invalid__{n}") for c, n in
-             zip(invalid_columns(domains), domains.as_dict())]
-    aggs += [c.alias(f"numeric__{n}") for c, n in zip(numeric_issue_columns(), NUMERIC_ISSUES)]
-    return aggs
+    """The checks as aggregate columns (one aggregation for all of them)."""
+    return [X.count_if(c).alias(n) for n, c in validation_conditions(df, domains).items()]
+
+
+def validation_flags(df: DataFrame, domains: Domains) -> dict[str, Column]:
+    """The checks as 0/1 per row, to be summed by a later aggregation."""
+    return {n: X.flag(c).cast("long") for n, c in validation_conditions(df, domains).items()}
 
 
 REPORT_SCHEMA = "check string, column string, n long"
