@@ -86,6 +86,33 @@ def executive_summary(scored: DataFrame, t: Thresholds = Thresholds()) -> DataFr
     )
 
 
+def executive_summary_from_cube(cube: DataFrame) -> DataFrame:
+    """R1 read off the analysis cube (its ``all`` and ``customer`` sets)
+    instead of another scan of the table; equal to ``executive_summary``."""
+    rows = cube.filter(F.col("grouping_set").isin("all", "customer"))
+    one = lambda m: F.max(F.when(F.col("grouping_set") == "all", F.col(m)))
+    counts = ("n", "approved", "declined", "fraud", "pending", "alerts")
+    wide = rows.agg(
+        *[F.coalesce(one(m), F.lit(0)).alias(m) for m in counts],
+        *[one(m).alias(m) for m in ("amount_sum", "amount_n", "ts_min", "ts_max")],
+        X.count_if((F.col("grouping_set") == "customer") & F.col("customer_id").isNotNull())
+        .alias("unique_customers"),
+    )
+    amount = F.col("amount_sum").cast("double")
+    return wide.select(
+        F.col("n").alias("total_transactions"),
+        "unique_customers",
+        X.round2(amount).alias("total_amount"),
+        X.round2(amount / F.col("amount_n").cast("double")).alias("avg_amount"),
+        "approved", "declined", "fraud", "pending",
+        X.pct(F.col("approved"), F.col("n")).alias("approval_rate"),
+        F.col("alerts").alias("total_alerts"),
+        X.pct(F.col("alerts"), F.col("n")).alias("detection_rate"),
+        F.date_format("ts_min", "yyyy-MM-dd").alias("period_start"),
+        F.date_format("ts_max", "yyyy-MM-dd").alias("period_end"),
+    )
+
+
 _STATUS_COLS = {L.STATUS_APPROVED: "approved", L.STATUS_DECLINED: "declined",
                 L.STATUS_FRAUD: "fraud", L.STATUS_PENDING: "pending"}
 

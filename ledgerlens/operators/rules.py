@@ -7,7 +7,7 @@ figure).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Thresholds
@@ -20,16 +20,28 @@ RULE_COLUMNS = [
 ]
 
 
-def detect_fraud_patterns(df: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
-    """Four rules, the alert flag, its priority and readable reasons."""
-    status, amount, score = F.col("status"), F.col("amount"), F.col("risk_score")
-    df = df.withColumns({
+def rule_conditions(t: Thresholds = Thresholds()) -> dict[str, Column]:
+    """F1-F4 over the processed columns, by rule column name."""
+    status, amount = F.col("status"), F.col("amount")
+    return {
         "fraud_rule_status": X.flag(status == L.STATUS_FRAUD),
         "fraud_rule_high_declined": X.flag(
             (status == L.STATUS_DECLINED) & (amount > t.high_amount)),
         "fraud_rule_night": F.col("is_suspicious_night"),
         "fraud_rule_velocity": F.col("is_suspicious_velocity"),
-    })
+    }
+
+
+def alert_condition(t: Thresholds = Thresholds()) -> Column:
+    """F5 over the processed columns: any rule fired or a high risk score."""
+    r1, r2, r3, r4 = rule_conditions(t).values()
+    return X.flag(r1 | r2 | r3 | r4 | (F.col("risk_score") >= t.alert_score))
+
+
+def detect_fraud_patterns(df: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
+    """Four rules, the alert flag, its priority and readable reasons."""
+    score = F.col("risk_score")
+    df = df.withColumns(rule_conditions(t))
     r1, r2, r3, r4 = (F.col(c) for c in RULE_COLUMNS)
     high_score = score >= t.alert_score
     return df.withColumns({

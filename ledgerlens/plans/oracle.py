@@ -272,6 +272,41 @@ FROM enriched WHERE status = 'DECLINED' AND amount > 1000
 ORDER BY amount DESC, transaction_id LIMIT 20""",
 }
 
+# The analysis cube as one plain GROUP BY per grouping set, straight from
+# the transactions (the Spark side reads the customer sets off a profile).
+CUBE_DIMS = ["country", "currency", "category", "time_slot", "hour", "is_weekend",
+             "channel", "customer_id", "account_type"]
+CUBE_TABLE_SETS = {"all": [], "country": ["country"], "currency": ["currency"],
+                   "category": ["category"], "time_slot": ["time_slot"], "hour": ["hour"],
+                   "weekend": ["is_weekend"], "channel": ["channel"]}
+CUBE_CUSTOMER_SETS = {"customer": ["customer_id"],
+                      "customer_account": ["customer_id", "account_type"],
+                      "country_customer": ["country", "customer_id"],
+                      "weekend_customer": ["is_weekend", "customer_id"]}
+
+
+def _cube_part(name: str, keys: list[str], full: bool) -> str:
+    dims = ", ".join(q(d) if d in keys else f"NULL AS {q(d)}" for d in CUBE_DIMS)
+    amount_sum = "CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE)"
+    measures = [("n", "COUNT(*)"), ("amount_sum", amount_sum), ("amount_n", "COUNT(amount)"),
+                ("amount_min", "MIN(amount)"), ("amount_max", "MAX(amount)"),
+                ("approved", APPROVED), ("declined", DECLINED),
+                ("fraud", count_if("status = 'FRAUD'")),
+                ("pending", count_if("status = 'PENDING'")),
+                ("high_risk", count_if("risk_score >= 7")),
+                ("alerts", count_if("is_fraud_detected")),
+                ("ts_min", "strftime(MIN(timestamp_dt), '%Y-%m-%d %H:%M:%S')"),
+                ("ts_max", "strftime(MAX(timestamp_dt), '%Y-%m-%d %H:%M:%S')")]
+    profile = {"n", "amount_sum", "amount_n", "declined"}
+    ms = ", ".join(f"{e if full or m in profile else 'NULL'} AS {q(m)}" for m, e in measures)
+    group = f" GROUP BY {', '.join(q(k) for k in keys)}" if keys else ""
+    return f"SELECT '{name}' AS grouping_set, {dims}, {ms} FROM scored{group}"
+
+
+CUBE_SQL = "\nUNION ALL ".join(
+    [_cube_part(n, k, True) for n, k in CUBE_TABLE_SETS.items()]
+    + [_cube_part(n, k, False) for n, k in CUBE_CUSTOMER_SETS.items()])
+
 ALERT_OUTPUT_COLUMNS = [c for c in PROCESSED_COLUMNS if c != "timestamp_dt"] + [
     "fraud_rule_status", "fraud_rule_high_declined", "fraud_rule_night",
     "fraud_rule_velocity", "is_fraud_detected", "alert_priority", "fraud_reasons",
@@ -299,6 +334,7 @@ ORDER BY risk_score DESC, amount DESC NULLS LAST, transaction_id LIMIT 10""",
     "fraud_flag": "SELECT transaction_id, risk_score, is_fraud_detected FROM scored",
     "fraud_priority": "SELECT transaction_id, risk_score, alert_priority FROM scored",
     "fraud_reasons": "SELECT transaction_id, fraud_reasons FROM scored",
+    "analysis_cube": CUBE_SQL,
 }
 
 FEATURE_SQL = {

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
-from pyspark.errors import AnalysisException
+from pyspark.util import inheritable_thread_target
 
 from ..schema import ALERT_CSV_COLUMNS, PARTITION_COLUMNS, RAW_SCHEMA
 
@@ -97,7 +98,14 @@ def write_results_json(results: dict[str, DataFrame], base: str, parallel: int =
 
     The results are independent jobs; up to ``parallel`` are submitted at
     once so that small jobs fill the slots left idle by each other's tails.
+    The writer threads inherit the caller's job group and description, so
+    the jobs can be cancelled and accounted together.
     """
+    if not results:
+        return
+    spark = next(iter(results.values())).sparkSession
+
+    @inheritable_thread_target(spark)
     def write(item):
         name, df = item
         df.write.mode("overwrite").json(f"{base}/{name}")
