@@ -224,7 +224,8 @@ def _tables(spark: SparkSession, sf_dir: str) -> None:
     K.create_transactions_table(spark, _written[(spark.sparkContext.applicationId, sf_dir)])
     alerts_path = scratch_path(spark, "alerts")
     verify = IO.write_verified(
-        RU.fraud_alerts(RU.detect_fraud_patterns(t, S.thresholds)), alerts_path).first()
+        RU.fraud_alerts(RU.detect_fraud_patterns(t, S.thresholds)), alerts_path,
+        rebalance=True).first()
     K.create_alerts_table(spark, alerts_path if verify["read_rows"] > 0 else None)
 
 

@@ -82,12 +82,14 @@ def fraud(spark: SparkSession, base: str, s: Settings, res: RunResult) -> int:
     processed = IO.read_parquet(spark, res.paths["processed"])
     scored = RU.detect_fraud_patterns(processed, s.thresholds)
     path = f"{base}/fraud_alerts.parquet"
-    verify = IO.write_verified(RU.fraud_alerts(scored), path).first()
+    # a selective filter over every scan task: rebalanced into sized files
+    verify = IO.write_verified(RU.fraud_alerts(scored), path, rebalance=True).first()
     n = verify["read_rows"]
     if n > 0:
         res.paths["alerts"] = path
         alerts = IO.read_parquet(spark, path)
-        IO.write_alerts_csv(alerts, f"{base}/fraud_alerts.csv", s.csv_files)
+        # read back from the sized alert files: no second rebalance
+        IO.write_alerts_csv(alerts, f"{base}/fraud_alerts.csv", s.csv_files, rebalance=False)
         res.paths["alerts_csv"] = f"{base}/fraud_alerts.csv"
     return n
 

@@ -35,14 +35,35 @@ def read_csv(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA,
     return reader.schema(schema).csv(path)
 
 
-def write_csv(df: DataFrame, path: str, files: int | None = None) -> None:
-    out = df.coalesce(files) if files else df
+def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
+    """Output partitions of about the advisory size, clustered by ``columns``.
+
+    The ``REBALANCE`` hint is a shuffle whose partitions AQE coalesces when
+    small and splits when skewed, so a sink writes files of a useful size
+    whatever the layout of its input: a filter over many scan tasks does not
+    leave one small file per task, and a value holding a large share of the
+    rows is still written by many tasks.
+    """
+    return df.hint("rebalance", *columns)
+
+
+def write_csv(df: DataFrame, path: str, files: int | None = None,
+              rebalance: bool = True) -> None:
+    """CSV with a header; ``files`` fixes the file count, else the rows are
+    rebalanced into files of about the advisory size (``rebalance=False``
+    keeps the input's tasks, e.g. when reading an already sized table)."""
+    if files:
+        out = df.coalesce(files)
+    else:
+        out = rebalanced(df) if rebalance else df
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_parquet(df: DataFrame, path: str) -> None:
-    """Parquet, overwrite, Snappy."""
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+def write_parquet(df: DataFrame, path: str, rebalance: bool = False) -> None:
+    """Parquet, overwrite, Snappy. ``rebalance`` for inputs whose task
+    layout does not match the output size (e.g. a selective filter)."""
+    out = rebalanced(df) if rebalance else df
+    out.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -51,25 +72,31 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str,
-                      partition_by: list[str] = PARTITION_COLUMNS) -> None:
+                      partition_by: list[str] = PARTITION_COLUMNS,
+                      rebalance: bool = True) -> None:
     """One directory per (year, month, day).
 
-    No repartition by the partition columns: that would send a whole day to
-    one task. Each task sorts its rows by the partition columns locally and
-    writes one file per day it holds; ``maxRecordsPerFile`` caps file size.
+    The rows are rebalanced by the partition columns first: rows arriving
+    from a per-customer shuffle hold every day in every task, which would
+    write one small file per (task, day). After the rebalance a task holds
+    one or a few days, a large day is split over several tasks (AQE skew
+    split), and ``maxRecordsPerFile`` caps the file size. ``rebalance=False``
+    for inputs already laid out by day.
     """
-    (df.write.mode("overwrite").option("compression", "snappy")
+    out = rebalanced(df, *partition_by) if rebalance else df
+    (out.write.mode("overwrite").option("compression", "snappy")
      .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
      .partitionBy(*partition_by).parquet(path))
 
 
-def write_alerts_csv(alerts: DataFrame, path: str, files: int | None = None) -> None:
+def write_alerts_csv(alerts: DataFrame, path: str, files: int | None = None,
+                     rebalance: bool = True) -> None:
     """The 12 review columns of the alerts, with a header.
 
-    ``files=1`` gives the reference's single file; the default writes one
-    file per task so the export scales with the alert count.
+    ``files=1`` gives the reference's single file; the default writes files
+    of about the advisory size, so the export scales with the alert count.
     """
-    write_csv(alerts.select(*ALERT_CSV_COLUMNS), path, files)
+    write_csv(alerts.select(*ALERT_CSV_COLUMNS), path, files, rebalance)
 
 
 def alert_csv_schema() -> StructType:
@@ -78,13 +105,24 @@ def alert_csv_schema() -> StructType:
     return StructType([fields[c] for c in ALERT_CSV_COLUMNS])
 
 
-def write_verified(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+def write_verified(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                   rebalance: bool | None = None) -> DataFrame:
     """Write, then compare the rows observed while writing with a read-back
-    count. Returns one row (written_rows, read_rows)."""
+    count. Returns one row (written_rows, read_rows).
+
+    ``rebalance`` defaults to True for partitioned and False for plain
+    writes. The rows are counted above the rebalance exchange, in the
+    writing (result) stage, whose observations are applied once per
+    partition even when earlier stages are recomputed.
+    """
+    if rebalance is None:
+        rebalance = bool(partition_by)
+    if rebalance:
+        df = rebalanced(df, *(partition_by or []))
     obs = Observation("written")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if partition_by:
-        write_partitioned(observed, path, partition_by)
+        write_partitioned(observed, path, partition_by, rebalance=False)
     else:
         write_parquet(observed, path)
     written = obs.get["rows"]

@@ -96,3 +96,41 @@ def test_summary_is_one_aggregation(spark, tables):
     _, processed = tables
     p = plan(R.executive_summary(RU.detect_fraud_patterns(processed)))
     assert scans(p) == 1
+
+
+def test_partitioned_write_rebalances_by_day(spark, tables):
+    """Rows of every day in every task (as after the per-customer shuffle)
+    would write one file per (task, day); rebalancing by the partition
+    columns writes about one file per day."""
+    import glob
+    validated, _ = tables
+    enriched = T.enrich(validated)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")  # keep every shuffle partition a task
+    try:
+        counts = {}
+        for rebalance in (False, True):
+            path = scratch_path(spark, f"plan-layout-{rebalance}")
+            IO.write_partitioned(enriched, path, rebalance=rebalance)
+            files = glob.glob(f"{path}/year=*/month=*/day=*/*.parquet")
+            days = glob.glob(f"{path}/year=*/month=*/day=*")
+            counts[rebalance] = (len(files), len(days))
+            assert spark.read.parquet(path).count() == enriched.count()
+    finally:
+        spark.conf.set(key, old)
+    files, days = counts[True]
+    assert files == days
+    assert counts[False][0] > 2 * days
+
+
+def test_verified_write_counts_in_the_write_stage(tables):
+    """The observation sits above the rebalance exchange (result stage)."""
+    validated, _ = tables
+    df = IO.rebalanced(T.enrich(validated), "year", "month", "day")
+    from pyspark.sql import Observation
+    p = plan(df.observe(Observation("o"), F.count(F.lit(1)).alias("n")), "simple")
+    lines = p.splitlines()
+    metrics = next(i for i, line in enumerate(lines) if "CollectMetrics" in line)
+    rebalance = next(i for i, line in enumerate(lines) if "REBALANCE_PARTITIONS_BY_COL" in line)
+    assert metrics < rebalance
