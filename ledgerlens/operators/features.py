@@ -68,47 +68,88 @@ def _hot_customers(df: DataFrame, skew: SkewConfig) -> DataFrame:
     )
 
 
-def add_velocity_features(df: DataFrame, t: Thresholds = Thresholds(),
-                          skew: SkewConfig = SkewConfig()) -> DataFrame:
-    """Gap to the previous transaction of the customer, count, label.
-
-    Order within a customer is (timestamp_dt, transaction_id), NULL
-    timestamps first. Hot customers are split into equal-width time slices;
-    the first row of a slice takes its previous timestamp from the last
-    timestamp of the previous non-empty slice (a small aggregate joined back),
-    so the result equals one window over the whole customer.
+def _window_slices(df: DataFrame, skew: SkewConfig) -> tuple[DataFrame, DataFrame]:
+    """Window partition keys for every row, and the slice-edge table.
+
+    Rows of ordinary customers stay in slice 0. A hot customer is cut into
+    equal-width time slices. A tie group (rows of one customer with one
+    timestamp) larger than ``rows_per_split`` cannot be cut by time; its
+    rows after the first all follow a row with the same timestamp, so their
+    gap is known (0, or NULL for a NULL timestamp) and they are spread over
+    ``ceil(rows / rows_per_split)`` partitions of their own (``_spread``).
+    The first row stays in its time slice, so the lag chain is unchanged.
+
+    Returns (rows with ``_n``, ``_slice``, ``_tie``, ``_spread``; edges
+    ``customer_id, _slice, _edge``: the last timestamp before each slice).
     """
-    ts = F.col("timestamp_dt")
+    ts, tid = F.col("timestamp_dt"), F.col("transaction_id")
+    r = skew.rows_per_split
     hot = _hot_customers(df, skew)
     # size bound: <= rows / rows_per_split rows (see SkewConfig)
-    sliced = df.join(F.broadcast(hot), "customer_id", "left").withColumn(
+    timed = df.join(F.broadcast(hot), "customer_id", "left").withColumn(
         "_slice",
         F.when(F.col("_n").isNull(), F.lit(0).cast("bigint"))
         .when(ts.isNull(), F.lit(-1).cast("bigint"))
         .otherwise(F.expr("(unix_micros(timestamp_dt) - _t0) div _width")),
     )
-    w = Window.partitionBy("customer_id", "_slice").orderBy(
-        ts.asc_nulls_first(), F.col("transaction_id").asc_nulls_first())
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    windowed = sliced.withColumns({
-        "_prev": F.lag(ts).over(w),
-        "_cnt": F.count(F.lit(1)).over(whole),
-    })
-    edges = (
-        sliced.filter(F.col("_n").isNotNull())
-        .groupBy("customer_id", "_slice").agg(F.max(ts).alias("_last"))
+    # one aggregation over the hot customers' rows: the last time of each
+    # slice (grouping id 1) and the size of each tie group (grouping id 2)
+    stats = (
+        timed.filter(F.col("_n").isNotNull())
+        .groupingSets([["customer_id", "_slice"], ["customer_id", "timestamp_dt"]],
+                      "customer_id", "_slice", "timestamp_dt")
+        .agg(F.grouping_id().alias("_g"), F.max(ts).alias("_last"),
+             F.count(F.lit(1)).alias("_c"), F.min(tid).alias("_first"),
+             F.count_if(tid.isNull()).alias("_null_ids"))
     )
-    edges = edges.select(
+    edges = stats.filter(F.col("_g") == 1).select(
         "customer_id", "_slice",
         F.lag("_last").over(Window.partitionBy("customer_id").orderBy("_slice"))
         .alias("_edge"),
     )
+    # tie groups above rows_per_split: <= rows / rows_per_split rows
+    ties = stats.filter((F.col("_g") == 2) & (F.col("_c") > r)).select(
+        F.col("customer_id").alias("_tc"), F.col("timestamp_dt").alias("_tt"),
+        "_first", "_null_ids", F.ceil(F.col("_c") / F.lit(r)).alias("_k"))
+    j = timed.join(F.broadcast(ties), (F.col("customer_id") == F.col("_tc"))
+                   & ts.eqNullSafe(F.col("_tt")), "left")
+    # every row of a large tie group but its first (NULL ids sort first)
+    spread = X.flag(F.col("_k").isNotNull() & tid.isNotNull()
+                    & ((F.col("_null_ids") > 0) | (tid != F.col("_first"))))
+    rows = j.withColumn("_spread", spread).withColumns({
+        "_slice": F.when(F.col("_spread"), -2 - F.pmod(F.xxhash64(tid), F.col("_k")))
+        .otherwise(F.col("_slice")),
+        "_tie": F.when(F.col("_spread"), ts),
+    }).drop("_tc", "_tt", "_first", "_null_ids", "_k")
+    return rows, edges
+
+
+def add_velocity_features(df: DataFrame, t: Thresholds = Thresholds(),
+                          skew: SkewConfig = SkewConfig()) -> DataFrame:
+    """Gap to the previous transaction of the customer, count, label.
+
+    Order within a customer is (timestamp_dt, transaction_id), NULL
+    timestamps first. Hot customers are split into equal-width time slices
+    and their large tie groups spread (``_window_slices``); the first row of
+    a slice takes its previous timestamp from the last timestamp of the
+    previous non-empty slice (a small aggregate joined back), so the result
+    equals one window over the whole customer.
+    """
+    ts = F.col("timestamp_dt")
+    rows, edges = _window_slices(df, skew)
+    w = Window.partitionBy("customer_id", "_slice", "_tie").orderBy(
+        ts.asc_nulls_first(), F.col("transaction_id").asc_nulls_first())
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    windowed = rows.withColumns({
+        "_prev": F.lag(ts).over(w),
+        "_cnt": F.count(F.lit(1)).over(whole),
+    })
     # edges: one row per hot slice, <= 3 * rows / rows_per_split rows
     j = windowed.join(F.broadcast(edges), ["customer_id", "_slice"], "left")
     prev = F.coalesce(F.col("_prev"), F.col("_edge"))
-    gap = F.when(
-        prev.isNotNull(),
-        (F.unix_timestamp(ts) - F.unix_timestamp(prev)) / 60.0,
+    gap = (
+        F.when(F.col("_spread"), F.when(ts.isNotNull(), F.lit(0.0)))
+        .when(prev.isNotNull(), (F.unix_timestamp(ts) - F.unix_timestamp(prev)) / 60.0)
     )
     out = j.withColumns({
         "minutes_since_last_transaction": gap,
@@ -117,7 +158,8 @@ def add_velocity_features(df: DataFrame, t: Thresholds = Thresholds(),
     out = out.withColumn(
         "transaction_velocity",
         X.velocity_label("minutes_since_last_transaction", t))
-    return out.drop("_n", "_t0", "_width", "_slice", "_prev", "_cnt", "_edge")
+    return out.drop("_n", "_t0", "_width", "_slice", "_tie", "_spread", "_prev", "_cnt",
+                    "_edge")
 
 
 def add_risk_indicators(df: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:

@@ -64,14 +64,29 @@ def test_enrichment_has_one_wide_shuffle(tables):
     validated, _ = tables
     p = plan(T.enrich(validated))
     exchanges = [line for line in p.splitlines() if line.startswith("Arguments: hashpartitioning")]
-    wide = [e for e in exchanges if "_slice" in e and "customer_id" in e]
-    # one exchange of the full rows by (customer, slice); the others are
-    # partial aggregates of two columns
-    assert len(wide) == 2  # window input + slice-edge aggregate (2 columns)
-    assert p.count("Window (") + p.count("Window\n") >= 1
+    # the full rows move once, by (customer, slice, tie group)
+    assert len([e for e in exchanges if "_tie" in e]) == 1
+    # every other exchange carries aggregated rows: per customer (hot
+    # customers, slice edges) or grouping sets over the hot rows
+    for e in exchanges:
+        if "_tie" not in e:
+            assert "spark_grouping_id" in e or re.match(
+                r"Arguments: hashpartitioning\(customer_id#\d+L, \d+\)", e), e
     assert "BroadcastExchange" in p
 
 
+def test_enrichment_without_hot_customers_runs_one_window(spark, tables):
+    """With no hot customer the broadcast side is empty and AQE drops the
+    skew branches at run time: one scan, one exchange, one window."""
+    validated, _ = tables
+    df = T.enrich(validated)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0].split("\n\n")[0]
+    assert final.count("Scan parquet") == 1
+    assert final.count("Exchange (") == 1
+    assert "Window" in final and "BroadcastHashJoin" not in final
+
+
 def test_top_customers_is_top_k(tables):
     _, processed = tables
     assert "TakeOrderedAndProject" in plan(A.top_customers(processed))

@@ -32,8 +32,9 @@ def split_velocity(df, rows_per_split):
 
 
 def same(a, b):
-    ka = sorted(tuple(r) for r in a.collect())
-    kb = sorted(tuple(r) for r in b.collect())
+    """Equal multisets of rows (sorted by repr: rows may hold NULL ids)."""
+    ka = sorted((tuple(r) for r in a.collect()), key=repr)
+    kb = sorted((tuple(r) for r in b.collect()), key=repr)
     return ka == kb
 
 
@@ -71,3 +72,33 @@ def test_identical_timestamps_in_hot_customer(spark):
     df = spark.createDataFrame(rows, "transaction_id long, customer_id long, timestamp string")
     df = T.extract_temporal_features(df)
     assert same(split_velocity(df, 5), plain_velocity(df))
+
+
+def partition_sizes(df, rows_per_split):
+    rows, _ = T._window_slices(df, SkewConfig(rows_per_split=rows_per_split))
+    return [r[-1] for r in rows.groupBy("customer_id", "_slice", "_tie").count().collect()]
+
+
+def test_large_tie_group_is_spread(spark):
+    """400 rows of one customer at one second: the time split cannot cut
+    them, the tie spreading does, and the result is still exact."""
+    rows = [(i, 1, "2025-10-06 10:00:00") for i in range(400)]
+    rows += [(1000 + i, 1, f"2025-10-06 {9 + i % 3:02d}:{i:02d}:00") for i in range(30)]
+    rows += [(2000 + i, 2, f"2025-10-06 10:{i:02d}:00") for i in range(10)]
+    df = T.extract_temporal_features(spark.createDataFrame(
+        rows, "transaction_id long, customer_id long, timestamp string"))
+    assert same(split_velocity(df, 50), plain_velocity(df))
+    sizes = partition_sizes(df, 50)
+    assert max(sizes) <= 100, sorted(sizes)
+    assert sum(sizes) == len(rows)
+
+
+def test_tie_group_with_null_ids(spark):
+    """NULL ids sort first inside a tie group: they keep the first place."""
+    rows = [(None if i < 2 else i, 1, "2025-10-06 10:00:00") for i in range(60)]
+    rows += [(100 + i, 1, f"2025-10-06 09:{i:02d}:00") for i in range(5)]
+    rows += [(200, 1, None)]
+    df = T.extract_temporal_features(spark.createDataFrame(
+        rows, "transaction_id long, customer_id long, timestamp string"))
+    assert same(split_velocity(df, 10), plain_velocity(df))
+    assert max(partition_sizes(df, 10)) < 60
