@@ -149,21 +149,34 @@ def report_rows(metrics: dict, missing: list[str] = ()) -> list[tuple[str, str,
 
 def generate_validation_report(df: DataFrame, expected: StructType, domains: Domains,
                                key: str = "transaction_id") -> DataFrame:
-    """V6: every check in one aggregation, as (check, column, n) rows.
+    """V6: every check as (check, column, n) rows.
 
     ``total``/``*`` always; ``schema_missing`` per missing column;
     ``nulls``, ``invalid``, ``numeric`` only where the count is positive;
     ``duplicates``/``key`` always.
+
+    Two aggregations: the per-row checks are one global aggregate (a partial
+    per task, no shuffle of rows), and the distinct keys a key-only
+    aggregate. A distinct count inside the checks aggregate would group by
+    the key first and carry every check counter through that shuffle, for
+    each key. ``duplicates = rows - distinct keys`` is summed from one row of
+    each part (NULL counts as one key, as ``groupBy`` groups it).
     """
     cols = df.columns
-    k = F.col(key)
-    aggs = validation_metrics(df, domains)
-    aggs.append((F.count(F.lit(1)) - _distinct_with_null(k)).alias(f"duplicates__{key}"))
-    wide = df.agg(*aggs)
+    wide = df.agg(*validation_metrics(df, domains))
+    # the rows half of the duplicate count, unpivoted with the checks
+    wide = wide.withColumn(f"duplicates__{key}", F.col("`total__*`"))
     long = _long(wide, wide.columns, "_k", "n")
     parts = F.split(F.col("_k"), "__")
-    out = long.select(parts[0].alias("check"), parts[1].alias("column"), "n").filter(
-        (F.col("n") > 0) | F.col("check").isin("total", "duplicates"))
+    checks = long.select(parts[0].alias("check"), parts[1].alias("column"), "n")
+    keys = df.select(key).distinct().agg(F.count(F.lit(1)).alias("_keys")).select(
+        F.lit("duplicates").alias("check"), F.lit(key).alias("column"),
+        (-F.col("_keys")).alias("n"))
+    out = (
+        checks.unionByName(keys)
+        .groupBy("check", "column").agg(F.sum("n").cast("long").alias("n"))
+        .filter((F.col("n") > 0) | F.col("check").isin("total", "duplicates"))
+    )
     missing = [f.name for f in expected.fields if f.name not in cols]
     if missing:
         spark: SparkSession = df.sparkSession

@@ -149,3 +149,17 @@ def test_verified_write_counts_in_the_write_stage(tables):
     metrics = next(i for i, line in enumerate(lines) if "CollectMetrics" in line)
     rebalance = next(i for i, line in enumerate(lines) if "REBALANCE_PARTITIONS_BY_COL" in line)
     assert metrics < rebalance
+
+
+def test_validation_report_shuffles_only_keys(tables):
+    """The distinct-key count shuffles the key alone; the check counters
+    meet in one partial aggregate per task."""
+    from ledgerlens.config import REFERENCE_DOMAINS
+    from ledgerlens.operators import quality as V
+    from ledgerlens.schema import RAW_SCHEMA
+    validated, _ = tables
+    p = plan(V.generate_validation_report(validated, RAW_SCHEMA, REFERENCE_DOMAINS))
+    blocks = re.findall(r"\(\d+\) Exchange\nInput \[(\d+)\]: .*\nArguments: (\w+)", p)
+    by_key = [int(n) for n, kind in blocks if kind == "hashpartitioning"]
+    assert blocks and all(n <= 3 for n in by_key), blocks
+    assert scans(p) == 2
