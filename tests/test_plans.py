@@ -105,12 +105,20 @@ def test_category_share_scans_once(tables):
     assert scans(p) == 1
 
 
-def test_summary_is_one_aggregation(spark, tables):
+def test_summary_shuffles_only_customer_keys(spark, tables):
+    """The figures are one partial aggregate per task; the distinct
+    customers shuffle the customer key alone (no partial buffers per
+    customer)."""
     from ledgerlens.operators import report as R
     from ledgerlens.operators import rules as RU
     _, processed = tables
-    p = plan(R.executive_summary(RU.detect_fraud_patterns(processed)))
-    assert scans(p) == 1
+    for df in (R.executive_summary(RU.detect_fraud_patterns(processed)),
+               A.summary_stats(processed), A.by_country(processed)):
+        p = plan(df)
+        assert scans(p) == 2
+        blocks = re.findall(r"\(\d+\) Exchange\nInput \[(\d+)\]: \[(.*)\]\nArguments: (\w+)", p)
+        keyed = [cols for n, cols, kind in blocks if "customer_id" in cols]
+        assert keyed and all(len(c.split(", ")) <= 2 for c in keyed), keyed
 
 
 def test_partitioned_write_rebalances_by_day(spark, tables):
