@@ -132,6 +132,29 @@ def main() -> None:
         rows[f"e2e_{name}"] = df.count()
         times[f"e2e_{name}"] = round(time.time() - t, 3)
 
+    # skew: a third of all rows re-keyed onto one customer, then the same
+    # third also onto one timestamp; the largest window partition must stay
+    # near rows_per_split (the hot customer is cut by time, the tie spread)
+    from pyspark.sql import functions as F
+    from ledgerlens.config import SkewConfig
+    from ledgerlens.operators import features as T
+    validated = spark.read.parquet(res.paths["validated"])
+    third = F.col("transaction_id") % 3 == 0
+    hot = validated.withColumn(
+        "customer_id", F.when(third, F.lit(-1).cast("bigint")).otherwise(F.col("customer_id")))
+    tied = hot.withColumn(
+        "timestamp", F.when(third, F.lit("2024-01-15 12:00:00")).otherwise(F.col("timestamp")))
+    skew = SkewConfig(rows_per_split=max(1000, rows["stage_ingest"] // 50))
+    for name, df in (("skew_hot_customer", hot), ("skew_hot_tie", tied)):
+        sc.setJobGroup(name, name)
+        feats = T.extract_temporal_features(df)
+        t = time.time()
+        T.add_velocity_features(feats, skew=skew).write.format("noop").mode("overwrite").save()
+        times[name] = round(time.time() - t, 3)
+        parts = T._window_slices(feats, skew)[0].groupBy("customer_id", "_slice", "_tie").count()
+        rows[f"{name}_max_window_partition"] = parts.agg(F.max("count")).first()[0]
+        rows[f"{name}_rows_per_split"] = skew.rows_per_split
+
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "six_stage_run_seconds",
