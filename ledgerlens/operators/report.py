@@ -62,6 +62,36 @@ JSON_GROUPS = {
 
 SECTIONS = ("resumen", "estados", "alertas", "pais", "categoria", "temporal", "conclusiones")
 
+# Plain-text report layout (display text).
+TXT_RULE = "=" * 80
+TXT_TITLE = "REPORTE DE ANÁLISIS BANCARIO"
+TXT_GENERATED = "Fecha de generación: "
+TXT_PERIOD = "Período analizado: "
+TXT_SUMMARY = "RESUMEN EJECUTIVO"
+TXT_METRICS = "MÉTRICAS GENERALES:"
+TXT_TOTAL = "  - Total transacciones procesadas: "
+TXT_CUSTOMERS = "  - Clientes únicos: "
+TXT_AMOUNT = "  - Monto total procesado: "
+TXT_AVG = "  - Monto promedio: "
+TXT_STATUS = "DISTRIBUCIÓN DE ESTADOS:"
+TXT_APPROVED = "  - Aprobadas: "
+TXT_DECLINED = "  - Rechazadas: "
+TXT_FRAUD = "  - Fraude: "
+TXT_PENDING = "  - Pendientes: "
+TXT_ALERTS = "ALERTAS DE FRAUDE:"
+TXT_ALERT_TOTAL = "  - Total alertas detectadas: "
+TXT_DETECTION = "  - Tasa de detección: "
+TXT_DONE = "PIPELINE EJECUTADO EXITOSAMENTE"
+TXT_STAGES = "Fases completadas:"
+STAGE_LABELS = (
+    ("ingest", "Ingesta y validación"),
+    ("transform", "Transformación y enriquecimiento"),
+    ("fraud", "Detección de anomalías"),
+    ("tables", "Creación de tablas"),
+    ("analyses", "Queries analíticas"),
+    ("reports", "Generación de reportes"),
+)
+
 
 def executive_summary(scored: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """Every headline figure in one pass over the rows plus a key-only
@@ -255,6 +285,56 @@ def report_lines(summary: DataFrame, by_country: DataFrame | None = None,
     return out
 
 
+def text_report_lines(summary: DataFrame, generated_at: str | Column | None = None,
+                      stages: list[str] | None = None) -> DataFrame:
+    """The plain-text summary as ordered lines ``(line_no, line)``,
+    formatted by Spark from the one-row summary. The generation time and the
+    completed stages are inputs (left out when None), so the same summary
+    always gives the same lines."""
+    s = F.col
+    rule, blank = F.lit(TXT_RULE), F.lit("")
+    lines: list[Column] = [rule, F.lit(TXT_TITLE), rule, blank]
+    if generated_at is not None:
+        lines.append(F.concat(F.lit(TXT_GENERATED), X.col(generated_at)
+                              if not isinstance(generated_at, str) else F.lit(generated_at)))
+    lines += [
+        F.concat(F.lit(TXT_PERIOD), s("period_start"), F.lit(" a "), s("period_end")),
+        blank, rule, F.lit(TXT_SUMMARY), rule, blank,
+        F.lit(TXT_METRICS),
+        F.concat(F.lit(TXT_TOTAL), _int("total_transactions")),
+        F.concat(F.lit(TXT_CUSTOMERS), _int("unique_customers")),
+        F.concat(F.lit(TXT_AMOUNT), _dec("total_amount")),
+        F.concat(F.lit(TXT_AVG), F.format_string("%.2f", s("avg_amount"))),
+        blank,
+        F.lit(TXT_STATUS),
+        F.concat(F.lit(TXT_APPROVED), _int("approved"), F.lit(" ("),
+                 s("approval_rate").cast("string"), F.lit("%)")),
+        F.concat(F.lit(TXT_DECLINED), _int("declined")),
+        F.concat(F.lit(TXT_FRAUD), _int("fraud")),
+        F.concat(F.lit(TXT_PENDING), _int("pending")),
+        blank,
+        F.lit(TXT_ALERTS),
+        F.concat(F.lit(TXT_ALERT_TOTAL), s("total_alerts").cast("string")),
+        F.concat(F.lit(TXT_DETECTION), s("detection_rate").cast("string"), F.lit("%")),
+        blank,
+    ]
+    if stages is not None:
+        labels = dict(STAGE_LABELS)
+        lines += [rule, F.lit(TXT_DONE), rule, blank, F.lit(TXT_STAGES)]
+        lines += [F.lit(f"  ✅ Fase {i}: {labels.get(name, name)}")
+                  for i, name in enumerate(stages, start=1)]
+        lines += [blank]
+    lines.append(rule)
+    rows = [F.struct(F.lit(i).alias("line_no"), line.alias("line"))
+            for i, line in enumerate(lines)]
+    return summary.select(F.explode(F.array(*rows)).alias("r")).select("r.line_no", "r.line")
+
+
+def write_text_report(lines: DataFrame, path: str) -> None:
+    """The plain-text report as one file (a few dozen lines: one task)."""
+    lines.orderBy("line_no").select("line").coalesce(1).write.mode("overwrite").text(path)
+
+
 def summary_json(summary: DataFrame) -> DataFrame:
     """The summary as three nested groups plus the period."""
     groups = [

@@ -572,7 +572,30 @@ def report_sql() -> dict[str, str]:
         ]),
     ]
     lines = " UNION ALL ".join(f"({p})" for p in parts)
+    rule, blank = lit(R.TXT_RULE), "''"
+    text_items = [
+        rule, lit(R.TXT_TITLE), rule, blank,
+        f"{lit(R.TXT_PERIOD)} || period_start || ' a ' || period_end",
+        blank, rule, lit(R.TXT_SUMMARY), rule, blank, lit(R.TXT_METRICS),
+        f"{lit(R.TXT_TOTAL)} || {fmt_int('total_transactions')}",
+        f"{lit(R.TXT_CUSTOMERS)} || {fmt_int('unique_customers')}",
+        f"{lit(R.TXT_AMOUNT)} || {fmt_dec('total_amount')}",
+        f"{lit(R.TXT_AVG)} || printf('%.2f', avg_amount)",
+        blank, lit(R.TXT_STATUS),
+        f"{lit(R.TXT_APPROVED)} || {fmt_int('approved')} || ' (' || "
+        f"CAST(approval_rate AS VARCHAR) || '%)'",
+        f"{lit(R.TXT_DECLINED)} || {fmt_int('declined')}",
+        f"{lit(R.TXT_FRAUD)} || {fmt_int('fraud')}",
+        f"{lit(R.TXT_PENDING)} || {fmt_int('pending')}",
+        blank, lit(R.TXT_ALERTS),
+        f"{lit(R.TXT_ALERT_TOTAL)} || CAST(total_alerts AS VARCHAR)",
+        f"{lit(R.TXT_DETECTION)} || CAST(detection_rate AS VARCHAR) || '%'",
+        blank, rule,
+    ]
+    text = " UNION ALL ".join(f"SELECT {i} AS line_no, {e} AS line FROM summary"
+                              for i, e in enumerate(text_items))
     return {
+        "report_text": base + text,
         "report_summary": base + "SELECT * FROM summary",
         "report_status": base + "SELECT * FROM status_dist",
         "report_country": base + "SELECT * FROM by_country ORDER BY total_amount DESC NULLS LAST, "

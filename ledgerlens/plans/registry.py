@@ -298,6 +298,7 @@ QUERIES.update({
     "report_category": lambda s, d: R.report_category(A.by_category(written_processed(s, d))),
     "report_time": lambda s, d: R.report_time(A.by_time_slot(written_processed(s, d))),
     "report_lines": report_lines,
+    "report_text": lambda s, d: R.text_report_lines(_summary(s, d)),
     "report_summary_json": lambda s, d: R.summary_json(_summary(s, d)),  # rows-only
     "stage_metrics": stage_metrics,                                      # rows-only
 })

@@ -129,8 +129,8 @@ def reports(spark: SparkSession, base: str, s: Settings, res: RunResult) -> int:
     R.write_summary_json(summary, f"{path}/summary")
     summary = spark.read.json(f"{path}/summary")
     flat = summary.select(
-        "periodo_analizado", "metricas_generales.*", "distribucion_estados.*",
-        "alertas_fraude.*")
+        "fecha_generacion", "periodo_analizado", "metricas_generales.*",
+        "distribucion_estados.*", "alertas_fraude.*")
     saved = {}
     if "analytics" in res.paths:
         for name in ("by_country", "by_category", "by_time_slot"):
@@ -140,6 +140,10 @@ def reports(spark: SparkSession, base: str, s: Settings, res: RunResult) -> int:
     lines = R.report_lines(_summary_from_json(flat), saved.get("by_country"),
                            saved.get("by_category"), saved.get("by_time_slot"))
     R.write_report(lines, f"{path}/report_md")
+    done = [m[0] for m in res.metrics if m[1] == "ok"] + ["reports"]
+    R.write_text_report(
+        R.text_report_lines(_summary_from_json(flat), F.col("fecha_generacion"), done),
+        f"{path}/report_txt")
     res.paths["reports"] = path
     return spark.read.text(f"{path}/report_md").count()
 
@@ -149,6 +153,7 @@ def _summary_from_json(flat: DataFrame) -> DataFrame:
     rename = {key: src for group in R.JSON_GROUPS.values() for key, src in group}
     period = F.split(F.col("periodo_analizado"), " a ")
     return flat.select(
+        "fecha_generacion",
         *[F.col(k).alias(v) for k, v in rename.items()],
         period[0].alias("period_start"), period[1].alias("period_end"),
     )

@@ -26,6 +26,11 @@ def test_run_all_stages_ok(spark):
     assert any("57 alertas" in r["value"] for r in report)
     csv = IO.read_csv(spark, res.paths["alerts_csv"], IO.alert_csv_schema())
     assert csv.count() == 57
+    text = [r["value"] for r in spark.read.text(f"{res.paths['reports']}/report_txt").collect()]
+    assert text[0] == "=" * 80 and text[-1] == "=" * 80
+    assert any(line.startswith(R.TXT_GENERATED) for line in text)
+    assert R.TXT_ALERT_TOTAL + "57" in text
+    assert sum(line.startswith("  ✅ Fase ") for line in text) == len(STAGES)
 
 
 def test_anchors_sf0001(spark):
