@@ -473,6 +473,24 @@ IO_SQL = {
         "UNION ALL SELECT 'fraud_alerts', COUNT(*) FROM scored WHERE is_fraud_detected"),
     "preview": over_enriched(
         f"SELECT {cols(ENRICHED_NO_TS)} FROM enriched ORDER BY transaction_id LIMIT 5"),
+    # the alerts table exists only when there are alerts
+    "catalog_list": over_scored(
+        "SELECT 'default' AS namespace, 'transactions_processed' AS \"tableName\", "
+        "false AS \"isTemporary\" UNION ALL SELECT 'default', 'fraud_alerts', false "
+        "WHERE EXISTS (SELECT 1 FROM scored WHERE is_fraud_detected)"),
+    # DESCRIBE: the computed column types in Spark's names, then the
+    # partition section
+    "catalog_describe": over_enriched(
+        "SELECT column_name AS col_name, CASE column_type WHEN 'BIGINT' THEN 'bigint' "
+        "WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' "
+        "WHEN 'TIMESTAMP' THEN 'timestamp' WHEN 'INTEGER' THEN 'int' "
+        "WHEN 'BOOLEAN' THEN 'boolean' ELSE lower(column_type) END AS data_type, "
+        "CAST(NULL AS VARCHAR) AS \"comment\" "
+        f"FROM (DESCRIBE SELECT {cols(PROCESSED_COLUMNS)} FROM enriched) "
+        "UNION ALL SELECT '# Partition Information', '', '' "
+        "UNION ALL SELECT '# col_name', 'data_type', 'comment' "
+        "UNION ALL SELECT 'year', 'int', NULL UNION ALL SELECT 'month', 'int', NULL "
+        "UNION ALL SELECT 'day', 'int', NULL"),
 }
 
 
