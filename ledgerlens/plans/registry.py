@@ -303,6 +303,7 @@ QUERIES.update({
     "stage_metrics": stage_metrics,                                      # rows-only
 })
 ORACLE.update(O.report_sql())
+ORACLE["stage_metrics"] = O.STAGE_SQL
 
 
 def queries() -> dict[str, Query]:

@@ -20,5 +20,5 @@ def test_entry_smoke(spark):
 def test_every_query_has_oracle_or_is_rows_only():
     from __spark_entry__ import oracle_sql, queries
     rows_only = set(queries()) - set(oracle_sql())
-    assert rows_only == {"report_summary_json", "stage_metrics"}
+    assert rows_only == {"report_summary_json"}
     assert set(oracle_sql()) <= set(queries())
