@@ -1,9 +1,10 @@
 """Enrichment (T1-T14): calendar, amount band, per-customer velocity, risk.
 
 Every step is ``DataFrame -> DataFrame`` and built from Spark expressions.
-The only shuffle of the enrichment is the per-customer window of
-``add_velocity_features``; customers with very many rows are cut into time
-slices first, so that one hot customer never becomes one task.
+The only shuffle of full rows in the enrichment is the per-customer window
+of ``add_velocity_features``; customers with very many rows are cut into
+time slices and their large tie groups spread first, so that one hot
+customer (or one hot customer-second) never becomes one task.
 """
 
 from __future__ import annotations

@@ -1,8 +1,8 @@
 """Data-quality checks (V1-V6).
 
 Every check is one aggregation producing long-format rows, and the full
-report fuses all of them into a single pass (the reference ran one job per
-column and check).
+report fuses the per-row checks into a single aggregation plus a key-only
+distinct count (the reference ran one job per column and check).
 """
 
 from __future__ import annotations

@@ -1,9 +1,11 @@
 """Summary and report operators.
 
-The executive summary is one aggregation over the scored table; the report
-document is a DataFrame of lines ``(section_no, section, line_no, line)``
-built from the small aggregated results with Spark's own formatting
-functions, then written as text by ``write_report``.
+The executive summary is one aggregation over the scored table plus a
+key-only distinct-customer count (or is read off the analysis cube); the
+Markdown report is a DataFrame of lines ``(section_no, section, line_no,
+line)`` and the plain-text report one of ``(line_no, line)``, both built from
+the small aggregated results with Spark's own formatting functions and
+written as text.
 """
 
 from __future__ import annotations
