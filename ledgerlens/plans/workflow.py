@@ -127,7 +127,8 @@ def reports(spark: SparkSession, base: str, s: Settings, res: RunResult) -> int:
         summary = R.executive_summary(RU.detect_fraud_patterns(processed, s.thresholds))
     path = f"{base}/reports"
     R.write_summary_json(summary, f"{path}/summary")
-    summary = spark.read.json(f"{path}/summary")
+    # read back with the schema it was written with (no inference pass)
+    summary = spark.read.schema(R.summary_json(summary).schema).json(f"{path}/summary")
     flat = summary.select(
         "fecha_generacion", "periodo_analizado", "metricas_generales.*",
         "distribucion_estados.*", "alertas_fraude.*")
