@@ -98,19 +98,28 @@ DEFAULT_SETTINGS = Settings()
 
 # SQL-level settings applied to a session (P2). Shuffle partition count is
 # deliberately left to the cluster and AQE's coalescing.
+# Always enforced: results and the plans the operators rely on depend on them.
 SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.parquet.compression.codec": "snappy",
+}
+# Sizing defaults: applied only where the session (or the cluster) has no
+# value of its own.
+SIZING_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # coalesce to the advisory partition size instead of keeping many tiny ones
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # post-shuffle partitions (and so rebalanced output files, which come out
+    # two to four times smaller than their shuffle bytes) of a useful size
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.parquet.compression.codec": "snappy",
 }
 
 
 def configure(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
-    """Apply the session settings the operators rely on (UTC, AQE).
+    """Apply the session settings the operators rely on (UTC, AQE, Snappy)
+    and the sizing defaults the session does not set itself.
 
     ``shuffle_partitions`` sets the initial shuffle width for the target
     scale (about input bytes / 256 MB, e.g. ~400k for 100 TB); AQE then
@@ -119,6 +128,9 @@ def configure(spark: SparkSession, shuffle_partitions: int | None = None) -> Spa
     for k, v in SESSION_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    for k, v in SIZING_DEFAULTS.items():
+        if spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
     if shuffle_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return spark

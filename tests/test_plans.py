@@ -171,3 +171,19 @@ def test_validation_report_shuffles_only_keys(tables):
     by_key = [int(n) for n, kind in blocks if kind == "hashpartitioning"]
     assert blocks and all(n <= 3 for n in by_key), blocks
     assert scans(p) == 2
+
+
+def test_configure_keeps_the_sessions_sizing(spark):
+    """Semantics are enforced (UTC); sizing set by the session is kept."""
+    from ledgerlens.config import configure
+    key, zone = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.session.timeZone"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "256m")
+    spark.conf.set(zone, "America/New_York")
+    try:
+        configure(spark)
+        assert spark.conf.get(key) == "256m"
+        assert spark.conf.get(zone) == "UTC"
+    finally:
+        spark.conf.set(key, old)
+        configure(spark)
