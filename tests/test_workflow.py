@@ -136,3 +136,12 @@ def test_summary_json_groups(spark):
     assert j["metricas_generales"]["total_transacciones"] == 1000
     assert set(j) == {"fecha_generacion", "periodo_analizado", "metricas_generales",
                       "distribucion_estados", "alertas_fraude"}
+
+
+def test_run_stops_at_the_first_failing_stage(spark):
+    """A failing stage ends the run; later stages are not started."""
+    res = run_all(spark, registry.raw(spark, SF001).drop("amount"))
+    assert [(m[0], m[1]) for m in res.metrics] == [("ingest", "failed")]
+    assert not res.ok()
+    assert res.values["error"].startswith("ingest: ")
+    assert "processed" not in res.paths
