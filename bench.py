@@ -171,7 +171,10 @@ def main() -> None:
         "cpus": int(cpus),
     }
     spark.stop()
-    out["plan"] = plan_stats(log_dir, STAGE_PROPERTY)
+    try:
+        out["plan"] = plan_stats(log_dir, STAGE_PROPERTY)
+    except (OSError, ValueError, KeyError) as e:  # the figures are optional
+        out["plan"] = {"error": f"{type(e).__name__}: {e}"}
     print(json.dumps(out))
 
 
