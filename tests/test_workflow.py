@@ -145,3 +145,16 @@ def test_run_stops_at_the_first_failing_stage(spark):
     assert not res.ok()
     assert res.values["error"].startswith("ingest: ")
     assert "processed" not in res.paths
+
+
+def test_command_runs_the_stages_on_a_csv(spark, capsys):
+    """``python -m ledgerlens INPUT``: the six stages over a raw CSV folder."""
+    from ledgerlens.__main__ import main
+    src = scratch_path(spark, "cli-raw")
+    IO.write_csv(registry.raw(spark, SF001), src)
+    out = scratch_path(spark, "cli-out")
+    assert main([src, "--out", out, "--csv-files", "1"]) == 0
+    printed = capsys.readouterr().out
+    assert printed.count(" ok ") == len(STAGES)
+    assert spark.read.parquet(f"{out}/fraud_alerts.parquet").count() == 57
+    assert len(spark.read.csv(f"{out}/fraud_alerts.csv").inputFiles()) == 1
