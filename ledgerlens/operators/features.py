@@ -87,7 +87,10 @@ def _window_slices(df: DataFrame, skew: SkewConfig) -> tuple[DataFrame, DataFram
     r = skew.rows_per_split
     hot = _hot_customers(df, skew)
     # size bound: <= rows / rows_per_split rows (see SkewConfig)
-    timed = df.join(F.broadcast(hot), "customer_id", "left").withColumn(
+    # NULL-safe joins: a NULL customer is one group of the window, too
+    hot = hot.withColumnRenamed("customer_id", "_hc")
+    timed = df.join(F.broadcast(hot), F.col("customer_id").eqNullSafe(F.col("_hc")),
+                    "left").drop("_hc").withColumn(
         "_slice",
         F.when(F.col("_n").isNull(), F.lit(0).cast("bigint"))
         .when(ts.isNull(), F.lit(-1).cast("bigint"))
@@ -112,7 +115,7 @@ def _window_slices(df: DataFrame, skew: SkewConfig) -> tuple[DataFrame, DataFram
     ties = stats.filter((F.col("_g") == 2) & (F.col("_c") > r)).select(
         F.col("customer_id").alias("_tc"), F.col("timestamp_dt").alias("_tt"),
         "_first", "_null_ids", F.ceil(F.col("_c") / F.lit(r)).alias("_k"))
-    j = timed.join(F.broadcast(ties), (F.col("customer_id") == F.col("_tc"))
+    j = timed.join(F.broadcast(ties), F.col("customer_id").eqNullSafe(F.col("_tc"))
                    & ts.eqNullSafe(F.col("_tt")), "left")
     # every row of a large tie group but its first (NULL ids sort first)
     spread = X.flag(F.col("_k").isNotNull() & tid.isNotNull()
@@ -146,7 +149,10 @@ def add_velocity_features(df: DataFrame, t: Thresholds = Thresholds(),
         "_cnt": F.count(F.lit(1)).over(whole),
     })
     # edges: one row per hot slice, <= 3 * rows / rows_per_split rows
-    j = windowed.join(F.broadcast(edges), ["customer_id", "_slice"], "left")
+    edges = edges.select(F.col("customer_id").alias("_ec"), F.col("_slice").alias("_es"),
+                         "_edge")
+    j = windowed.join(F.broadcast(edges), F.col("customer_id").eqNullSafe(F.col("_ec"))
+                      & (F.col("_slice") == F.col("_es")), "left").drop("_ec", "_es")
     prev = F.coalesce(F.col("_prev"), F.col("_edge"))
     gap = (
         F.when(F.col("_spread"), F.when(ts.isNotNull(), F.lit(0.0)))

@@ -102,3 +102,13 @@ def test_tie_group_with_null_ids(spark):
         rows, "transaction_id long, customer_id long, timestamp string"))
     assert same(split_velocity(df, 10), plain_velocity(df))
     assert max(partition_sizes(df, 10)) < 60
+
+
+def test_hot_null_customer_is_split(spark):
+    """A NULL customer is one window group; as a hot group it is split too."""
+    rows = [(i, None, f"2025-10-06 {i % 24:02d}:{i % 60:02d}:{i % 7:02d}") for i in range(300)]
+    rows += [(1000 + i, 5, f"2025-10-06 10:{i:02d}:00") for i in range(20)]
+    df = T.extract_temporal_features(spark.createDataFrame(
+        rows, "transaction_id long, customer_id long, timestamp string"))
+    assert same(split_velocity(df, 40), plain_velocity(df))
+    assert max(partition_sizes(df, 40)) < 300
