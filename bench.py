@@ -148,14 +148,20 @@ def main() -> None:
         "customer_id", F.when(third, F.lit(-1).cast("bigint")).otherwise(F.col("customer_id")))
     tied = hot.withColumn(
         "timestamp", F.when(third, F.lit("2024-01-15 12:00:00")).otherwise(F.col("timestamp")))
+    # the hot third squeezed into one day of distinct seconds (a burst)
+    burst = hot.withColumn("timestamp", F.when(third, F.date_format(
+        F.timestamp_seconds(F.lit(1705276800) + F.col("transaction_id") % 86400),
+        "yyyy-MM-dd HH:mm:ss")).otherwise(F.col("timestamp")))
     skew = SkewConfig(rows_per_split=max(1000, rows["stage_ingest"] // 50))
-    for name, df in (("skew_hot_customer", hot), ("skew_hot_tie", tied)):
+    for name, df in (("skew_hot_customer", hot), ("skew_hot_tie", tied),
+                     ("skew_hot_burst", burst)):
         sc.setJobGroup(name, name)
         feats = T.extract_temporal_features(df)
         t = time.time()
         T.add_velocity_features(feats, skew=skew).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t, 3)
-        parts = T._window_slices(feats, skew)[0].groupBy("customer_id", "_slice", "_tie").count()
+        parts = T._window_slices(feats, skew)[0].groupBy(
+            "customer_id", "_slice", "_sub", "_tie").count()
         rows[f"{name}_max_window_partition"] = parts.agg(F.max("count")).first()[0]
         rows[f"{name}_rows_per_split"] = skew.rows_per_split
 

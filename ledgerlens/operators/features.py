@@ -69,19 +69,27 @@ def _hot_customers(df: DataFrame, skew: SkewConfig) -> DataFrame:
     )
 
 
+# Sub-slices per rows_per_split when an overfull slice is cut again.
+SUB_SLICE_OVERSAMPLING = 4
+
+
 def _window_slices(df: DataFrame, skew: SkewConfig) -> tuple[DataFrame, DataFrame]:
     """Window partition keys for every row, and the slice-edge table.
 
     Rows of ordinary customers stay in slice 0. A hot customer is cut into
-    equal-width time slices. A tie group (rows of one customer with one
-    timestamp) larger than ``rows_per_split`` cannot be cut by time; its
-    rows after the first all follow a row with the same timestamp, so their
-    gap is known (0, or NULL for a NULL timestamp) and they are spread over
+    equal-width time slices. A slice holding more than twice
+    ``rows_per_split`` rows (a burst) is cut again into
+    ``4 * ceil(rows / rows_per_split)`` equal-width sub-slices (``_sub``).
+    A tie group (rows of one customer with one timestamp) larger than
+    ``rows_per_split`` cannot be cut by time; its rows after the first all
+    follow a row with the same timestamp, so their gap is known (0, or NULL
+    for a NULL timestamp) and they are spread over
     ``ceil(rows / rows_per_split)`` partitions of their own (``_spread``).
-    The first row stays in its time slice, so the lag chain is unchanged.
+    The first row stays in its slice, so the lag chain is unchanged.
 
-    Returns (rows with ``_n``, ``_slice``, ``_tie``, ``_spread``; edges
-    ``customer_id, _slice, _edge``: the last timestamp before each slice).
+    Returns (rows with ``_n``, ``_slice``, ``_sub``, ``_tie``, ``_spread``;
+    edges ``customer_id, _slice, _sub, _edge``: the last timestamp before
+    each (sub-)slice).
     """
     ts, tid = F.col("timestamp_dt"), F.col("transaction_id")
     r = skew.rows_per_split
@@ -96,8 +104,8 @@ def _window_slices(df: DataFrame, skew: SkewConfig) -> tuple[DataFrame, DataFram
         .when(ts.isNull(), F.lit(-1).cast("bigint"))
         .otherwise(F.expr("(unix_micros(timestamp_dt) - _t0) div _width")),
     )
-    # one aggregation over the hot customers' rows: the last time of each
-    # slice (grouping id 1) and the size of each tie group (grouping id 2)
+    # one aggregation over the hot customers' rows: rows and last time of
+    # each slice (grouping id 1) and the size of each tie group (grouping id 2)
     stats = (
         timed.filter(F.col("_n").isNotNull())
         .groupingSets([["customer_id", "_slice"], ["customer_id", "timestamp_dt"]],
@@ -106,9 +114,29 @@ def _window_slices(df: DataFrame, skew: SkewConfig) -> tuple[DataFrame, DataFram
              F.count(F.lit(1)).alias("_c"), F.min(tid).alias("_first"),
              F.count_if(tid.isNull()).alias("_null_ids"))
     )
-    edges = stats.filter(F.col("_g") == 1).select(
-        "customer_id", "_slice",
-        F.lag("_last").over(Window.partitionBy("customer_id").orderBy("_slice"))
+    slices = stats.filter(F.col("_g") == 1)
+    # overfull slices: <= rows / (2 * rows_per_split) rows
+    over = slices.filter((F.col("_c") > 2 * r) & (F.col("_slice") >= 0)).select(
+        F.col("customer_id").alias("_oc"), F.col("_slice").alias("_os"),
+        (F.ceil(F.col("_c") / F.lit(r)) * SUB_SLICE_OVERSAMPLING).alias("_m"))
+    timed = timed.join(
+        F.broadcast(over), F.col("customer_id").eqNullSafe(F.col("_oc"))
+        & (F.col("_slice") == F.col("_os")), "left",
+    ).withColumn(
+        "_sub",
+        F.coalesce(F.expr(
+            "(unix_micros(timestamp_dt) - _t0 - _slice * _width) div (_width div _m + 1)"),
+            F.lit(0).cast("bigint")),
+    ).drop("_oc", "_os")
+    # the last time of each (sub-)slice: from the slice statistics, and for
+    # overfull slices from their own rows (no rows read when there is none)
+    sub_last = timed.filter(F.col("_m").isNotNull()).groupBy(
+        "customer_id", "_slice", "_sub").agg(F.max(ts).alias("_last"))
+    whole_last = slices.filter((F.col("_c") <= 2 * r) | (F.col("_slice") < 0)).select(
+        "customer_id", "_slice", F.lit(0).cast("bigint").alias("_sub"), "_last")
+    edges = whole_last.unionByName(sub_last).select(
+        "customer_id", "_slice", "_sub",
+        F.lag("_last").over(Window.partitionBy("customer_id").orderBy("_slice", "_sub"))
         .alias("_edge"),
     )
     # tie groups above rows_per_split: <= rows / rows_per_split rows
@@ -123,8 +151,9 @@ def _window_slices(df: DataFrame, skew: SkewConfig) -> tuple[DataFrame, DataFram
     rows = j.withColumn("_spread", spread).withColumns({
         "_slice": F.when(F.col("_spread"), -2 - F.pmod(F.xxhash64(tid), F.col("_k")))
         .otherwise(F.col("_slice")),
+        "_sub": F.when(F.col("_spread"), F.lit(0).cast("bigint")).otherwise(F.col("_sub")),
         "_tie": F.when(F.col("_spread"), ts),
-    }).drop("_tc", "_tt", "_first", "_null_ids", "_k")
+    }).drop("_tc", "_tt", "_first", "_null_ids", "_k", "_m")
     return rows, edges
 
 
@@ -141,7 +170,7 @@ def add_velocity_features(df: DataFrame, t: Thresholds = Thresholds(),
     """
     ts = F.col("timestamp_dt")
     rows, edges = _window_slices(df, skew)
-    w = Window.partitionBy("customer_id", "_slice", "_tie").orderBy(
+    w = Window.partitionBy("customer_id", "_slice", "_sub", "_tie").orderBy(
         ts.asc_nulls_first(), F.col("transaction_id").asc_nulls_first())
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     windowed = rows.withColumns({
@@ -150,9 +179,10 @@ def add_velocity_features(df: DataFrame, t: Thresholds = Thresholds(),
     })
     # edges: one row per hot slice, <= 3 * rows / rows_per_split rows
     edges = edges.select(F.col("customer_id").alias("_ec"), F.col("_slice").alias("_es"),
-                         "_edge")
+                         F.col("_sub").alias("_eu"), "_edge")
     j = windowed.join(F.broadcast(edges), F.col("customer_id").eqNullSafe(F.col("_ec"))
-                      & (F.col("_slice") == F.col("_es")), "left").drop("_ec", "_es")
+                      & (F.col("_slice") == F.col("_es")) & (F.col("_sub") == F.col("_eu")),
+                      "left").drop("_ec", "_es", "_eu")
     prev = F.coalesce(F.col("_prev"), F.col("_edge"))
     gap = (
         F.when(F.col("_spread"), F.when(ts.isNotNull(), F.lit(0.0)))
@@ -165,8 +195,8 @@ def add_velocity_features(df: DataFrame, t: Thresholds = Thresholds(),
     out = out.withColumn(
         "transaction_velocity",
         X.velocity_label("minutes_since_last_transaction", t))
-    return out.drop("_n", "_t0", "_width", "_slice", "_tie", "_spread", "_prev", "_cnt",
-                    "_edge")
+    return out.drop("_n", "_t0", "_width", "_slice", "_sub", "_tie", "_spread", "_prev",
+                    "_cnt", "_edge")
 
 
 def add_risk_indicators(df: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:

@@ -76,7 +76,8 @@ def test_identical_timestamps_in_hot_customer(spark):
 
 def partition_sizes(df, rows_per_split):
     rows, _ = T._window_slices(df, SkewConfig(rows_per_split=rows_per_split))
-    return [r[-1] for r in rows.groupBy("customer_id", "_slice", "_tie").count().collect()]
+    return [r[-1] for r in rows.groupBy("customer_id", "_slice", "_sub", "_tie").count()
+            .collect()]
 
 
 def test_large_tie_group_is_spread(spark):
@@ -112,3 +113,17 @@ def test_hot_null_customer_is_split(spark):
         rows, "transaction_id long, customer_id long, timestamp string"))
     assert same(split_velocity(df, 40), plain_velocity(df))
     assert max(partition_sizes(df, 40)) < 300
+
+
+def test_burst_inside_one_slice_is_cut_again(spark):
+    """2,000 rows over ten days and a burst of 3,000 distinct seconds in one
+    hour: the burst's slice is cut again, the result stays exact."""
+    rows = [(i, 7, f"2025-10-{1 + i % 10:02d} {i % 24:02d}:{(i * 7) % 60:02d}:{i % 60:02d}")
+            for i in range(2000)]
+    rows += [(10000 + i, 7, f"2025-10-05 13:{i // 60:02d}:{i % 60:02d}") for i in range(3000)]
+    df = T.extract_temporal_features(spark.createDataFrame(
+        rows, "transaction_id long, customer_id long, timestamp string"))
+    assert same(split_velocity(df, 200), plain_velocity(df))
+    sizes = partition_sizes(df, 200)
+    assert sum(sizes) == len(rows)
+    assert max(sizes) <= 600, sorted(sizes)[-5:]
