@@ -77,9 +77,11 @@ class SkewConfig:
 
     ``rows_per_split``: a customer with more rows than this is cut into
     equal-width time slices of about this many rows each, so that the
-    per-customer window never lands in a single task. The hot-customer table
-    has at most ``total_rows / rows_per_split`` rows, which is the size bound
-    that makes broadcasting it safe.
+    per-customer window never lands in a single task; a slice holding more
+    than twice as many (a burst) is cut again, and a tie group (one customer,
+    one timestamp) above it is spread. The hot-customer and tie tables have
+    at most ``total_rows / rows_per_split`` rows and the overfull-slice table
+    at most half as many: the size bounds that make broadcasting them safe.
     """
 
     rows_per_split: int = 2_000_000
