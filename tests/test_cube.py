@@ -91,3 +91,20 @@ def test_top_customers_first_level_is_hash(processed):
     # aggregate) meets only the aggregated per-(customer, type) rows
     assert ops[-5:] == ["HashAggregate", "Exchange", "HashAggregate", "Project", "Scan parquet"]
     assert re.search(r"\(3\) HashAggregate\n.*\nKeys \[2\]: \[customer_id#\d+L, account_type", p)
+
+
+def test_unique_customers_equal_count_distinct(spark):
+    """The key-only distinct aggregate equals countDistinct, NULL groups and
+    NULL customers included, grouped and global, also on an empty input."""
+    data = [("ES", 1, 10.0), ("ES", 1, 5.0), ("ES", None, 1.0), (None, 2, 2.0),
+            (None, None, 3.0), ("FR", 3, None), ("DE", None, 4.0)]
+    df = spark.createDataFrame(data, "country string, customer_id long, amount double")
+    aggs = {"n": F.count(F.lit(1)), "total": F.sum("amount")}
+    for frame in (df, df.limit(0)):
+        for keys in (["country"], []):
+            got = A.with_unique_customers(frame, keys, aggs,
+                                          keys + ["n", "total", "unique_customers"])
+            want = frame.groupBy(*keys).agg(
+                F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total"),
+                F.countDistinct("customer_id").alias("unique_customers"))
+            assert rows(got) == rows(want), (keys, frame.count())
