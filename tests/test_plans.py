@@ -184,3 +184,17 @@ def test_configure_keeps_the_sessions_sizing(spark):
     finally:
         spark.conf.set(key, old)
         configure(spark)
+
+
+def test_csv_export_writes_sized_files(spark, tables):
+    """A filter over many tasks: rebalanced, the (small) export is one file;
+    kept as is, it is one file per task."""
+    validated, _ = tables
+    many = validated.repartition(8).filter(F.col("amount") > 100)
+    counts = {}
+    for rebalance in (True, False):
+        path = scratch_path(spark, f"plan-csv-{rebalance}")
+        IO.write_csv(many, path, rebalance=rebalance)
+        counts[rebalance] = len(spark.read.csv(path).inputFiles())
+    assert counts[True] == 1
+    assert counts[False] == 8
