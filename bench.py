@@ -2,9 +2,12 @@
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Prints one JSON line. ``value`` is the wall time of the six stages
-(ingest .. reports) in one session, the figure the reference recorded for its
-pipeline; ``queries`` holds per-stage and per-query seconds; ``plan`` holds,
-per step, the Spark jobs, stages, tasks, bytes read and shuffle bytes written,
+(ingest .. reports), first run in the session, the figure the reference
+recorded for its pipeline; ``queries`` holds per-stage seconds (cold and
+warm), per-query seconds and three skew steps; ``rows`` holds row counts,
+the processed table's files and day directories, and the largest window
+partition of each skew step next to ``rows_per_split``; ``plan`` holds, per
+step, the Spark jobs, stages, tasks, bytes read and shuffle bytes written,
 read from the session's event log (written to a fresh scratch folder).
 """
 
