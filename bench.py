@@ -83,6 +83,9 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", str(int(cpus) * 2))
+        # one idle machine: use every core for small shuffles (the library's
+        # cluster default coalesces to the advisory size instead)
+        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "true")
         .config("spark.eventLog.enabled", "true")
         .config("spark.eventLog.dir", log_dir)
         .config("spark.eventLog.compress", "false")
