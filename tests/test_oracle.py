@@ -22,3 +22,17 @@ def test_every_query_has_oracle_or_is_rows_only():
     rows_only = set(queries()) - set(oracle_sql())
     assert rows_only == {"report_summary_json"}
     assert set(oracle_sql()) <= set(queries())
+
+
+def test_queries_match_with_ansi_off(spark):
+    """The expressions do not depend on ANSI mode (Spark 3 sessions run
+    without it): parsing, integer division, casts, dedup and rates."""
+    key = "spark.sql.ansi.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        bad = compare(spark, SF001, ["feat_temporal", "fraud_alerts", "by_country",
+                                     "quality_report", "clean_transactions", "summary_stats"])
+    finally:
+        spark.conf.set(key, old)
+    assert bad == []
