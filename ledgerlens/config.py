@@ -82,6 +82,9 @@ class SkewConfig:
     one timestamp) above it is spread. The hot-customer and tie tables have
     at most ``total_rows / rows_per_split`` rows and the overfull-slice table
     at most half as many: the size bounds that make broadcasting them safe.
+    Sizing rule: keep ``rows_per_split >= total_rows / 1_000_000`` so each of
+    these tables stays below a million narrow rows (the 2 M default covers
+    2e12 rows, several times 100 TB of transactions).
     """
 
     rows_per_split: int = 2_000_000
