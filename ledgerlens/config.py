@@ -88,6 +88,9 @@ class SkewConfig:
     """
 
     rows_per_split: int = 2_000_000
+    # rows a table of the split may have to be broadcast (checked before
+    # every broadcast; beyond it the joins are left to AQE)
+    max_broadcast_rows: int = 1_000_000
 
 
 @dataclass(frozen=True)

@@ -93,11 +93,32 @@ def _window_slices(df: DataFrame, skew: SkewConfig) -> tuple[DataFrame, DataFram
     """
     ts, tid = F.col("timestamp_dt"), F.col("transaction_id")
     r = skew.rows_per_split
-    hot = _hot_customers(df, skew)
-    # size bound: <= rows / rows_per_split rows (see SkewConfig)
+    # The size check before any broadcast: the hot customers are computed
+    # first (one aggregate of two columns, kept in executor memory for the
+    # plan below) and counted. Their number and total rows bound every table
+    # broadcast below (ties and overfull slices: at most total /
+    # rows_per_split; edges: a few per slice and sub-slice).
+    hot = _hot_customers(df, skew).cache()
+    n_hot, hot_rows = hot.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    if n_hot == 0:
+        hot.unpersist()
+        # no hot customer: one window partition per customer
+        return df.withColumns({
+            "_n": F.lit(None).cast("bigint"), "_t0": F.lit(None).cast("bigint"),
+            "_width": F.lit(None).cast("bigint"), "_slice": F.lit(0).cast("bigint"),
+            "_sub": F.lit(0).cast("bigint"),
+            "_tie": F.lit(None).cast(df.schema["timestamp_dt"].dataType),
+            "_spread": F.lit(False)}), None
+    bounded = ((SUB_SLICE_OVERSAMPLING + 3) * (hot_rows // r + n_hot)
+               <= skew.max_broadcast_rows)
+
+    def small(side: DataFrame) -> DataFrame:
+        """Broadcast only a side whose size was checked above."""
+        return F.broadcast(side) if bounded else side
+
     # NULL-safe joins: a NULL customer is one group of the window, too
     hot = hot.withColumnRenamed("customer_id", "_hc")
-    timed = df.join(F.broadcast(hot), F.col("customer_id").eqNullSafe(F.col("_hc")),
+    timed = df.join(small(hot), F.col("customer_id").eqNullSafe(F.col("_hc")),
                     "left").drop("_hc").withColumn(
         "_slice",
         F.when(F.col("_n").isNull(), F.lit(0).cast("bigint"))
@@ -120,7 +141,7 @@ def _window_slices(df: DataFrame, skew: SkewConfig) -> tuple[DataFrame, DataFram
         F.col("customer_id").alias("_oc"), F.col("_slice").alias("_os"),
         (F.ceil(F.col("_c") / F.lit(r)) * SUB_SLICE_OVERSAMPLING).alias("_m"))
     timed = timed.join(
-        F.broadcast(over), F.col("customer_id").eqNullSafe(F.col("_oc"))
+        small(over), F.col("customer_id").eqNullSafe(F.col("_oc"))
         & (F.col("_slice") == F.col("_os")), "left",
     ).withColumn(
         "_sub",
@@ -143,7 +164,7 @@ def _window_slices(df: DataFrame, skew: SkewConfig) -> tuple[DataFrame, DataFram
     ties = stats.filter((F.col("_g") == 2) & (F.col("_c") > r)).select(
         F.col("customer_id").alias("_tc"), F.col("timestamp_dt").alias("_tt"),
         "_first", "_null_ids", F.ceil(F.col("_c") / F.lit(r)).alias("_k"))
-    j = timed.join(F.broadcast(ties), F.col("customer_id").eqNullSafe(F.col("_tc"))
+    j = timed.join(small(ties), F.col("customer_id").eqNullSafe(F.col("_tc"))
                    & ts.eqNullSafe(F.col("_tt")), "left")
     # every row of a large tie group but its first (NULL ids sort first)
     spread = X.flag(F.col("_k").isNotNull() & tid.isNotNull()
@@ -154,7 +175,7 @@ def _window_slices(df: DataFrame, skew: SkewConfig) -> tuple[DataFrame, DataFram
         "_sub": F.when(F.col("_spread"), F.lit(0).cast("bigint")).otherwise(F.col("_sub")),
         "_tie": F.when(F.col("_spread"), ts),
     }).drop("_tc", "_tt", "_first", "_null_ids", "_k", "_m")
-    return rows, edges
+    return rows, (F.broadcast(edges) if bounded else edges)
 
 
 def add_velocity_features(df: DataFrame, t: Thresholds = Thresholds(),
@@ -169,6 +190,7 @@ def add_velocity_features(df: DataFrame, t: Thresholds = Thresholds(),
     equals one window over the whole customer.
     """
     ts = F.col("timestamp_dt")
+    ts_type = df.schema["timestamp_dt"].dataType
     rows, edges = _window_slices(df, skew)
     w = Window.partitionBy("customer_id", "_slice", "_sub", "_tie").orderBy(
         ts.asc_nulls_first(), F.col("transaction_id").asc_nulls_first())
@@ -177,12 +199,15 @@ def add_velocity_features(df: DataFrame, t: Thresholds = Thresholds(),
         "_prev": F.lag(ts).over(w),
         "_cnt": F.count(F.lit(1)).over(whole),
     })
-    # edges: one row per hot slice, <= 3 * rows / rows_per_split rows
-    edges = edges.select(F.col("customer_id").alias("_ec"), F.col("_slice").alias("_es"),
-                         F.col("_sub").alias("_eu"), "_edge")
-    j = windowed.join(F.broadcast(edges), F.col("customer_id").eqNullSafe(F.col("_ec"))
-                      & (F.col("_slice") == F.col("_es")) & (F.col("_sub") == F.col("_eu")),
-                      "left").drop("_ec", "_es", "_eu")
+    if edges is None:  # no hot customer: no slice edges
+        j = windowed.withColumn("_edge", F.lit(None).cast(ts_type))
+    else:
+        # edges: a few rows per hot slice; broadcast when its size was checked
+        edges = edges.select(F.col("customer_id").alias("_ec"), F.col("_slice").alias("_es"),
+                             F.col("_sub").alias("_eu"), "_edge")
+        j = windowed.join(edges, F.col("customer_id").eqNullSafe(F.col("_ec"))
+                          & (F.col("_slice") == F.col("_es")) & (F.col("_sub") == F.col("_eu")),
+                          "left").drop("_ec", "_es", "_eu")
     prev = F.coalesce(F.col("_prev"), F.col("_edge"))
     gap = (
         F.when(F.col("_spread"), F.when(ts.isNotNull(), F.lit(0.0)))

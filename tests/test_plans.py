@@ -61,8 +61,12 @@ def test_partition_pruning(tables):
 
 
 def test_enrichment_has_one_wide_shuffle(tables):
+    """With hot customers (a small split size): the full rows move once;
+    the skew tables are broadcast after their size check."""
+    from ledgerlens.config import SkewConfig
     validated, _ = tables
-    p = plan(T.enrich(validated))
+    feats = T.extract_temporal_features(validated)
+    p = plan(T.add_velocity_features(feats, skew=SkewConfig(rows_per_split=20)))
     widths = [int(n) for n in re.findall(r"\(\d+\) Exchange\nInput \[(\d+)\]", p)]
     # the full rows (12 raw columns and more) move once, by (customer,
     # slice, sub-slice, tie group); every other exchange carries aggregated
@@ -72,6 +76,27 @@ def test_enrichment_has_one_wide_shuffle(tables):
     assert "BroadcastExchange" in p
 
 
+def test_split_broadcasts_only_after_the_size_check(spark, tables):
+    """Beyond ``max_broadcast_rows`` the skew tables are joined without a
+    broadcast hint (AQE sizes them); the result is the same."""
+    from ledgerlens.config import SkewConfig
+    from test_skew import plain_velocity, same
+    validated, _ = tables
+    feats = T.extract_temporal_features(validated)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")  # no automatic broadcast either: the other way
+    try:
+        tight = SkewConfig(rows_per_split=20, max_broadcast_rows=10)
+        out = T.add_velocity_features(feats, skew=tight)
+        p = plan(out)
+        assert "BroadcastExchange" not in p and "BroadcastHashJoin" not in p
+        assert same(out.select("transaction_id", "minutes_since_last_transaction",
+                               "customer_transaction_count"), plain_velocity(feats))
+    finally:
+        spark.conf.set(key, old)
+
+
 def test_enrichment_without_hot_customers_runs_one_window(spark, tables):
     """With no hot customer the broadcast side is empty and AQE drops the
     skew branches at run time: one scan, one exchange, one window."""
