@@ -98,9 +98,9 @@ def _window_slices(df: DataFrame, skew: SkewConfig) -> tuple[DataFrame, DataFram
     # plan below) and counted. Their number and total rows bound every table
     # broadcast below (ties and overfull slices: at most total /
     # rows_per_split; edges: a few per slice and sub-slice).
-    # (the cached table is small by the check; it stays cached while the
-    # returned plan may run, is evicted under memory pressure and is
-    # recomputed from its lineage when lost with an executor)
+    # (cached as memory-and-disk: small within the limit, spilled beyond it;
+    # it stays cached while the returned plan may run and is recomputed
+    # from its lineage when lost with an executor)
     hot = _hot_customers(df, skew).cache()
     n_hot, hot_rows = hot.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
     if n_hot == 0:
