@@ -223,3 +223,22 @@ def test_csv_export_writes_sized_files(spark, tables):
         counts[rebalance] = len(spark.read.csv(path).inputFiles())
     assert counts[True] == 1
     assert counts[False] == 8
+
+
+def test_checked_skew_tables_are_broadcast_by_hint(spark, tables):
+    """Within the limit, the tie and edge joins are broadcast by their hints
+    (automatic broadcasting off, so only a hint can broadcast)."""
+    from ledgerlens.config import SkewConfig
+    validated, _ = tables
+    feats = T.extract_temporal_features(validated)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        p = plan(T.add_velocity_features(feats, skew=SkewConfig(rows_per_split=20)), "simple")
+    finally:
+        spark.conf.set(key, old)
+    joins = [line for line in p.splitlines() if "Join" in line]
+    edge_join = next(line for line in joins if "_ec#" in line)
+    tie_join = next(line for line in joins if "_tc#" in line)
+    assert "BroadcastHashJoin" in edge_join and "BroadcastHashJoin" in tie_join
