@@ -147,21 +147,31 @@ def configure(spark: SparkSession, shuffle_partitions: int | None = None) -> Spa
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: ``spark.checkpoint.dir``.
 
-    On a cluster this names shared storage and is used as given. Only when it
-    is unset (local runs, tests) a private folder is created and set.
+    On a cluster this must name shared storage and is used as given; without
+    it the call raises, since a folder of the driver's own machine would leave
+    tables incomplete. Only a local master (tests, single machine) gets a
+    private folder when none is set.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError(
+                f"set spark.checkpoint.dir to a folder shared by driver and executors (master {sc.master})")
         d = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
         sc.setCheckpointDir(d)
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # noqa: BLE001 - some sessions refuse core confs at runtime
-            pass
     return d.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location below the shared scratch folder."""
     return f"{scratch_dir(spark)}/ledgerlens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_scratch(spark: SparkSession, path: str) -> bool:
+    """Delete one scratch table made by :func:`scratch_path`; refuses others."""
+    if not path.startswith(f"{scratch_dir(spark)}/ledgerlens/"):
+        raise ValueError(f"not below the scratch folder: {path}")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
