@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, sql
+from . import byte_bpe, exact_dedup, source_mixing, sql, token_counts
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,8 +18,23 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(docs).drop("candidate")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return source_mixing.mix_counts(docs).drop("copies")
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return byte_bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_exact_dedup,)}
+    return {f.__name__: f for f in (op1_exact_dedup, op3_mixing, op4_token_counts, op7_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -15,3 +15,42 @@ g AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256
 FROM g
 """
+
+ORACLE["op3_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         (CAST(concat('0x', substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13)) AS BIGINT) + 0.5::DOUBLE)
+           / 4503599627370496.0::DOUBLE AS u
+  FROM documents),
+a AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+b AS (SELECT source, source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM a),
+w AS (
+  SELECT source, source_size, source_size * 2.0::DOUBLE AS cap,
+         CASE place % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight,
+         CAST(sum(source_size) OVER () AS BIGINT) * 1.5::DOUBLE AS total
+  FROM b),
+l AS (
+  SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST
+                                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST
+                                ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS own
+  FROM w),
+m AS (SELECT *, max(CASE WHEN own <= cap / weight THEN own END) OVER () AS level FROM l),
+t AS (SELECT source, source_size, least(cap, coalesce(level * weight, cap)) AS target FROM m),
+e AS (
+  SELECT source, source_size, target, floor(CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END) AS whole,
+         CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS each_
+  FROM t),
+r AS (
+  SELECT d.doc_id, d.size, e.source, e.source_size, e.target, e.whole, each_ - whole AS p,
+         (each_ - whole) * e.source_size AS need,
+         CASE WHEN each_ - whole > 0 THEN (u / (1 - u)) / ((each_ - whole) / (1 - (each_ - whole))) END AS q
+  FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source),
+s AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q, doc_id, size
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM r)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (whole + CASE WHEN p > 0 AND upto - size / 2.0 <= need THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM s
+"""
