@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +17,28 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once an application:
+    a zip that the driver serves (skipped where it runs from a zip itself)."""
+    app, package = spark.sparkContext.applicationId, Path(__file__).parent.parent
+    if app in _shipped or not package.is_dir():
+        return
+    _shipped.add(app)
+    path = Path(tempfile.mkdtemp(prefix="ledgerlens-py-"), "ledgerlens_py.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(path))
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings of the operators: few rows per Arrow batch, so that a
-    batch of very long documents stays small."""
+    """Ship the package, set the session up: few rows per Arrow batch, so that
+    a batch of very long documents stays small."""
     configure(spark)
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
     return spark
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, source_mixing, sql, token_counts
+from . import (
+    byte_bpe, exact_dedup, fingerprints, language_id, pii, preferences, source_mixing, sql, token_counts, toxicity)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(docs).drop("candidate")
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fingerprints.compare_with_next(docs)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return source_mixing.mix_counts(docs).drop("copies")
@@ -28,13 +34,35 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return byte_bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op8_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen, rejected = preferences.swapped_answers(table(spark, sf_dir, "conversations"))
+    return preferences.preference_pairs(chosen, rejected)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
+
+
+QUERIES = (op1_exact_dedup, op2_fingerprints, op3_mixing, op4_token_counts, op5_pii, op6_language_id,
+           op7_byte_bpe, op8_preferences, op9_toxicity)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_exact_dedup, op3_mixing, op4_token_counts, op7_byte_bpe)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -54,3 +54,35 @@ SELECT doc_id, size, source_size, target,
        CAST(size * (whole + CASE WHEN p > 0 AND upto - size / 2.0 <= need THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM s
 """
+
+ORACLE["op8_preferences"] = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+a AS (SELECT conv_id, max(turn) AS last_turn FROM c WHERE role = 'assistant' GROUP BY conv_id),
+b AS (SELECT c.conv_id, a.last_turn, max(c.text) AS answer
+      FROM c JOIN a ON c.conv_id = a.conv_id AND c.turn = a.last_turn WHERE c.role = 'assistant'
+      GROUP BY c.conv_id, a.last_turn),
+n AS (SELECT conv_id, last_turn, coalesce(lag(answer) OVER (ORDER BY conv_id),
+             first_value(answer) OVER (ORDER BY conv_id DESC)) AS other FROM b),
+s AS (
+  SELECT c.conv_id, turn, role, text, 'chosen' AS side FROM c JOIN n ON c.conv_id = n.conv_id
+  UNION ALL
+  SELECT c.conv_id, turn, role,
+         CASE WHEN role = 'assistant' AND turn = last_turn THEN other ELSE text END, 'rejected'
+  FROM c JOIN n ON c.conv_id = n.conv_id),
+e AS (
+  SELECT conv_id, turn FROM s GROUP BY conv_id, turn, role, text
+  HAVING sum(CASE WHEN side = 'chosen' THEN 1 ELSE 0 END) <> sum(CASE WHEN side = 'rejected' THEN 1 ELSE 0 END)),
+f AS (SELECT conv_id, min(turn) AS first_turn FROM e GROUP BY conv_id),
+p AS (
+  SELECT s.conv_id AS pair_id, s.turn, s.role, s.side,
+         CASE WHEN first_turn IS NULL OR s.turn < first_turn THEN 'prompt' ELSE side END AS part,
+         '<|im_start|>' || replace(replace(role, '<|im_start|>', '<| im_start|>'), '<|im_end|>', '<| im_end|>')
+           || chr(10) AS head,
+         replace(replace(text, '<|im_start|>', '<| im_start|>'), '<|im_end|>', '<| im_end|>') || '<|im_end|>' AS body
+  FROM s LEFT JOIN f ON s.conv_id = f.conv_id)
+SELECT pair_id, part, turn, role, head || body || chr(10) AS rendered,
+       CASE WHEN part <> 'prompt' AND role = 'assistant' THEN length(head) ELSE 0 END AS train_from,
+       CASE WHEN part <> 'prompt' AND role = 'assistant' THEN length(head) + length(body) ELSE 0 END AS train_to
+FROM p WHERE part <> 'prompt' OR side = 'chosen'
+"""
