@@ -118,8 +118,12 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), F.col("_h").alias("text_sha256"), F.lit(False).alias("candidate"))
     maybe = probed.filter("_maybe").select("doc_id", "_h", "_n", "_row")
-    joined = maybe.join(_groups(maybe), "_h").select(
-        "doc_id", "keep_id", "group_size", (F.col("_row") == F.col("_keep_row")).alias("kept"),
+    # written, so that the join reads two plain shuffles and AQE can split a hot group
+    groups = stored(_groups(maybe).filter("group_size > 1"), "op1-groups")
+    joined = maybe.join(groups, "_h", "left").select(
+        "doc_id", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).alias("group_size"),
+        F.coalesce(F.col("_row") == F.col("_keep_row"), F.lit(True)).alias("kept"),
         F.col("_h").alias("text_sha256"), F.lit(True).alias("candidate"))
     return straight.unionByName(joined)
 
@@ -130,8 +134,8 @@ def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     possible copy are not shuffled; of the others only the kept row of each
     group is carried on."""
     probed, seen, ranges, blocks = _candidates(docs, id_column, text_column, max_filter_bits)
-    keep = _groups(probed.filter("_maybe")).select(
-        "_h", F.col("keep_id").alias("_id"), F.col("_keep_n").alias("_n"))
+    keep = stored(_groups(probed.filter("_maybe")).select(
+        "_h", F.col("keep_id").alias("_id"), F.col("_keep_n").alias("_n")), "op1-keep")
     text = text_of(text_column)
     whole = _keyed(docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
