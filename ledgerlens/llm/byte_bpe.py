@@ -304,3 +304,17 @@ def digests(docs: DataFrame, rank_file: str, id_column: str = "doc_id", text_col
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row."""
     return docs.select(F.col(id_column).alias("doc_id"),
                        _digest_udf(rank_file)(text_of(text_column)).alias("d")).select("doc_id", "d.*")
+
+
+def training_rows(docs: DataFrame, rank_file: str, id_column: str = "doc_id", text_column: str = "text",
+                  source_column: str = "source") -> DataFrame:
+    """``doc_id, source, n_tokens, token_ids, ids_sha256, decoded_sha256`` of
+    every row."""
+    @F.pandas_udf(f"token_ids array<int>, {DIGEST}")
+    def encode(texts: pd.Series) -> pd.DataFrame:
+        c = codec(rank_file)
+        rows = [(np.frombuffer(ids, "<u4").astype(np.int32), len(ids) // 4, hashlib.sha256(ids).hexdigest(),
+                 hashlib.sha256(c.decode(ids)).hexdigest()) for ids, _ in c.encode(list(texts))]
+        return pd.DataFrame(rows, columns=["token_ids", "n_tokens", "ids_sha256", "decoded_sha256"])
+    return docs.select(F.col(id_column).alias("doc_id"), F.col(source_column).alias("source"),
+                       encode(text_of(text_column)).alias("d")).select("doc_id", "source", "d.*")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    byte_bpe, exact_dedup, fingerprints, language_id, pii, preferences, source_mixing, sql, token_counts, toxicity)
+    byte_bpe, exact_dedup, fingerprints, language_id, ngram_join, pii, preferences, source_mixing, sql, token_counts, toxicity)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,8 +57,18 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = (op1_exact_dedup, op2_fingerprints, op3_mixing, op4_token_counts, op5_pii, op6_language_id,
-           op7_byte_bpe, op8_preferences, op9_toxicity)
+           op7_byte_bpe, op8_preferences, op9_toxicity, op10_ngram_join, pipeline)
 
 
 def queries() -> dict[str, Query]:
