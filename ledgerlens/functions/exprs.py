@@ -1,19 +1,25 @@
 """Column-expression builders shared by the operators.
 
 All of these are built-in Spark expressions, so they stay inside whole-stage
-codegen. Money is summed as DECIMAL(18,2) (exact, order-independent) and
-rounded half away from zero on a DOUBLE, the same formula the SQL oracle uses.
+codegen. Money is summed exactly (DECIMAL, whatever the order of rows) and
+rounded half up like SQL's ``ROUND``; amounts that no DECIMAL holds (1e15 and
+above, Infinity, NaN) are summed as DOUBLE next to it, so they neither abort an
+analysis nor drop out of it.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import Thresholds
 from . import labels as L
 
-MONEY = "decimal(18,2)"
+# amounts below EXACT_LIMIT, to ten decimals; their sums fit DECIMAL(38,10)
+EXACT = "decimal(25,10)"
+EXACT_LIMIT = 1e15
 
 
 def col(c: str | Column) -> Column:
@@ -21,18 +27,30 @@ def col(c: str | Column) -> Column:
 
 
 def round2(c: str | Column) -> Column:
-    """Round a DOUBLE to 2 decimals, halves away from zero."""
-    x = col(c)
-    return (
-        F.when(x < 0, -F.floor(-x * 100.0 + 0.5))
-        .otherwise(F.floor(x * 100.0 + 0.5))
-        / 100.0
-    )
+    """``ROUND(c, 2)``, halves away from zero on the number as written: 1.005
+    gives 1.01; Infinity and NaN stay."""
+    return F.round(col(c), 2)
+
+
+def exact_part(c: str | Column) -> Column:
+    """The amount as DECIMAL; NULL where it does not fit."""
+    return F.when(F.abs(col(c)) < EXACT_LIMIT, col(c).cast(EXACT))
+
+
+def rest_part(c: str | Column) -> Column:
+    """The amount as it is where ``exact_part`` has none."""
+    return F.when(F.abs(col(c)) >= EXACT_LIMIT, col(c).cast("double"))
+
+
+def joined(exact: Column, rest: Column) -> Column:
+    """The sum of both parts as DOUBLE; NULL when both are."""
+    return F.when(rest.isNull(), exact.cast("double")).otherwise(
+        F.coalesce(exact.cast("double"), F.lit(0.0)) + rest)
 
 
 def money_sum(c: str | Column) -> Column:
-    """Exact sum of a money column, as DOUBLE."""
-    return F.sum(col(c).cast(MONEY)).cast("double")
+    """Sum of a money column, as DOUBLE."""
+    return joined(F.sum(exact_part(c)), F.sum(rest_part(c)))
 
 
 def money_total(c: str | Column) -> Column:
@@ -40,15 +58,15 @@ def money_total(c: str | Column) -> Column:
 
 
 def money_avg(c: str | Column) -> Column:
-    """AVG over non-null values, from the exact sum."""
+    """AVG over non-null values, from the sum."""
     return round2(money_sum(c) / F.count(col(c)).cast("double"))
 
 
 def pct(part: Column, whole: Column) -> Column:
-    """``part * 100 / whole`` rounded to 2 decimals; NULL when whole is 0."""
-    return round2(
-        part.cast("double") * 100.0 / F.when(whole != 0, whole).cast("double")
-    )
+    """``ROUND(part * 100.0 / whole, 2)`` in DECIMAL; NULL when whole is 0."""
+    count = "decimal(20,0)"
+    share = part.cast(count) * F.lit(Decimal("100.0")) / F.when(whole != 0, whole.cast(count))
+    return F.round(share, 2).cast("double")
 
 
 def count_if(cond: Column) -> Column:

@@ -2,8 +2,8 @@
 
 Each analysis function is one aggregation (partial + final hash aggregate,
 so a hot group is pre-combined map-side) or one filtered top-k. Money
-columns are exact DECIMAL sums rounded half away from zero; rates are DOUBLE
-percentages.
+columns are exact DECIMAL sums rounded half up (see ``functions.exprs`` for
+amounts that no DECIMAL holds); rates are DECIMAL percentages shown as DOUBLE.
 
 When all ten are wanted (the workflow), A1-A9 are read off one *analysis
 cube* instead of nine scans of the table:
@@ -145,9 +145,7 @@ def _top_customers(per_customer: DataFrame, n: int) -> DataFrame:
     return (
         per_customer.select(
             "customer_id", F.col("n").alias("total_transactions"),
-            X.round2(F.col("amount_sum").cast("double")).alias("total_spent"),
-            X.round2(F.col("amount_sum").cast("double") / F.col("amount_n").cast("double"))
-            .alias("avg_transaction"),
+            _total().alias("total_spent"), _avg().alias("avg_transaction"),
             "account_type", F.col("declined").alias("declined_count"),
         )
         .orderBy(F.col("total_spent").desc_nulls_last(), F.col("customer_id").asc_nulls_last())
@@ -261,18 +259,19 @@ PROFILE_SETS: dict[str, tuple[str, ...]] = {
     "country_customer": ("country", "customer_id"),
     "weekend_customer": ("is_weekend", "customer_id"),
 }
-PROFILE_MEASURES = ("n", "amount_sum", "amount_n", "declined")
-MEASURES = ("n", "amount_sum", "amount_n", "amount_min", "amount_max", "approved",
+PROFILE_MEASURES = ("n", "amount_sum", "amount_rest", "amount_n", "declined")
+MEASURES = ("n", "amount_sum", "amount_rest", "amount_n", "amount_min", "amount_max", "approved",
             "declined", "fraud", "pending", "high_risk", "alerts", "ts_min", "ts_max")
-# exact money sums of any number of rows
-SUM_TYPE = "decimal(38,2)"
+# exact money sums of any number of rows; what no DECIMAL holds is in amount_rest
+SUM_TYPE = "decimal(38,10)"
 
 
 def _profile_sums() -> list[Column]:
     amount = F.col("amount")
     return [
         _n().alias("n"),
-        F.sum(amount.cast(X.MONEY)).cast(SUM_TYPE).alias("amount_sum"),
+        F.sum(X.exact_part(amount)).cast(SUM_TYPE).alias("amount_sum"),
+        F.sum(X.rest_part(amount)).alias("amount_rest"),
         F.count(amount).alias("amount_n"),
         _declined().alias("declined"),
     ]
@@ -282,7 +281,8 @@ def _table_measures(t: Thresholds) -> list[Column]:
     status, amount = F.col("status"), F.col("amount")
     return [
         _n().alias("n"),
-        F.sum(amount.cast(X.MONEY)).cast(SUM_TYPE).alias("amount_sum"),
+        F.sum(X.exact_part(amount)).cast(SUM_TYPE).alias("amount_sum"),
+        F.sum(X.rest_part(amount)).alias("amount_rest"),
         F.count(amount).alias("amount_n"),
         F.min(amount).alias("amount_min"),
         F.max(amount).alias("amount_max"),
@@ -338,8 +338,8 @@ def analysis_cube(df: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """
     schema = {f.name: f.dataType for f in df.schema.fields}
     table = _grouping_sets(df, TABLE_SETS, _table_measures(t))
-    sums = [F.sum(c).cast(SUM_TYPE if c == "amount_sum" else "bigint").alias(c)
-            for c in PROFILE_MEASURES]
+    kinds = {"amount_sum": SUM_TYPE, "amount_rest": "double"}
+    sums = [F.sum(c).cast(kinds.get(c, "bigint")).alias(c) for c in PROFILE_MEASURES]
     customers = _grouping_sets(customer_profile(df), PROFILE_SETS, sums)
 
     def aligned(part: DataFrame) -> DataFrame:
@@ -373,11 +373,11 @@ def _customers_in(pairs: str) -> Column:
 
 
 def _total() -> Column:
-    return X.round2(F.col("amount_sum").cast("double"))
+    return X.round2(X.joined(F.col("amount_sum"), F.col("amount_rest")))
 
 
 def _avg() -> Column:
-    return X.round2(F.col("amount_sum").cast("double") / F.col("amount_n").cast("double"))
+    return X.round2(X.joined(F.col("amount_sum"), F.col("amount_rest")) / F.col("amount_n").cast("double"))
 
 
 def _rate(c: str) -> Column:
@@ -392,7 +392,7 @@ def _money(rows: DataFrame, key: str) -> DataFrame:
 def _with_customers(cube: DataFrame, key: str, name: str, pairs: str) -> DataFrame:
     """Measures of set ``name`` per ``key`` and its distinct customers."""
     return cube.filter(F.col("grouping_set").isin(name, pairs)).groupBy(key).agg(
-        *[_of(name, m).alias(m) for m in ("n", "amount_sum", "amount_n", "approved")],
+        *[_of(name, m).alias(m) for m in ("n", "amount_sum", "amount_rest", "amount_n", "approved")],
         _customers_in(pairs).alias("unique_customers"),
     )
 
@@ -403,7 +403,7 @@ def summary_from_cube(cube: DataFrame) -> DataFrame:
     counts = ("n", "approved", "declined")
     wide = rows.agg(
         *[F.coalesce(_of("all", m), F.lit(0)).alias(m) for m in counts],
-        *[_of("all", m).alias(m) for m in ("amount_sum", "amount_n", "amount_min",
+        *[_of("all", m).alias(m) for m in ("amount_sum", "amount_rest", "amount_n", "amount_min",
                                             "amount_max")],
         _customers_in("customer").alias("unique_customers"),
     )

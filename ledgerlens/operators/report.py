@@ -129,11 +129,11 @@ def executive_summary_from_cube(cube: DataFrame) -> DataFrame:
     counts = ("n", "approved", "declined", "fraud", "pending", "alerts")
     wide = rows.agg(
         *[F.coalesce(one(m), F.lit(0)).alias(m) for m in counts],
-        *[one(m).alias(m) for m in ("amount_sum", "amount_n", "ts_min", "ts_max")],
+        *[one(m).alias(m) for m in ("amount_sum", "amount_rest", "amount_n", "ts_min", "ts_max")],
         X.count_if((F.col("grouping_set") == "customer") & F.col("customer_id").isNotNull())
         .alias("unique_customers"),
     )
-    amount = F.col("amount_sum").cast("double")
+    amount = X.joined(F.col("amount_sum"), F.col("amount_rest"))
     return wide.select(
         F.col("n").alias("total_transactions"),
         "unique_customers",

@@ -3,9 +3,8 @@
 These strings are the correctness oracle: the driver runs them on the same
 Parquet tables and compares results with the Spark queries. They repeat the
 semantics of the operators in plain SQL: the test-data mapping, the
-enrichment window, the rules and the aggregations, with the same rounding
-(exact DECIMAL sums, DOUBLE division, halves away from zero) and the same
-tie-breakers.
+enrichment window, the rules and the aggregations. Rounding is ROUND on
+DECIMAL (halves away from zero); rates are counted in whole numbers.
 """
 
 from __future__ import annotations
@@ -23,12 +22,12 @@ def lit(s: str) -> str:
 
 
 def round2(x: str) -> str:
-    return (f"((CASE WHEN ({x}) < 0 THEN -CAST(floor(-({x}) * CAST(100 AS DOUBLE) + 0.5) AS BIGINT) "
-            f"ELSE CAST(floor(({x}) * CAST(100 AS DOUBLE) + 0.5) AS BIGINT) END) / CAST(100 AS DOUBLE))")
+    """ROUND to cents, halves away from zero, on the number as written."""
+    return f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE)"
 
 
 def money_sum(c: str = "amount") -> str:
-    return f"CAST(SUM(CAST({c} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({c} AS DECIMAL(25,10))) AS DOUBLE)"
 
 
 def money_total(c: str = "amount") -> str:
@@ -40,7 +39,9 @@ def money_avg(c: str = "amount") -> str:
 
 
 def pct(part: str, whole: str) -> str:
-    return round2(f"CAST({part} AS DOUBLE) * CAST(100 AS DOUBLE) / CAST(NULLIF({whole}, 0) AS DOUBLE)")
+    """Hundredths of a percent by whole numbers, halves up."""
+    n, d = f"CAST({part} AS HUGEINT)", f"CAST(NULLIF({whole}, 0) AS HUGEINT)"
+    return f"(CAST(({n} * 20000 + {d}) // ({d} * 2) AS DOUBLE) / CAST(100 AS DOUBLE))"
 
 
 def count_if(cond: str) -> str:
@@ -287,8 +288,9 @@ CUBE_CUSTOMER_SETS = {"customer": ["customer_id"],
 
 def _cube_part(name: str, keys: list[str], full: bool) -> str:
     dims = ", ".join(q(d) if d in keys else f"NULL AS {q(d)}" for d in CUBE_DIMS)
-    amount_sum = "CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE)"
-    measures = [("n", "COUNT(*)"), ("amount_sum", amount_sum), ("amount_n", "COUNT(amount)"),
+    amount_sum = "CAST(SUM(CAST(amount AS DECIMAL(25,10))) AS DOUBLE)"
+    measures = [("n", "COUNT(*)"), ("amount_sum", amount_sum),
+                ("amount_rest", "CAST(NULL AS DOUBLE)"), ("amount_n", "COUNT(amount)"),
                 ("amount_min", "MIN(amount)"), ("amount_max", "MAX(amount)"),
                 ("approved", APPROVED), ("declined", DECLINED),
                 ("fraud", count_if("status = 'FRAUD'")),
