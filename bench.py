@@ -167,7 +167,7 @@ def main() -> None:
         T.add_velocity_features(feats, skew=skew).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t, 3)
         parts = T._window_slices(feats, skew)[0].groupBy(
-            "customer_id", "_slice", "_sub", "_tie").count()
+            "customer_id", "_slice", "_tie").count()
         rows[f"{name}_max_window_partition"] = parts.agg(F.max("count")).first()[0]
         rows[f"{name}_rows_per_split"] = skew.rows_per_split
 

@@ -75,22 +75,17 @@ REFERENCE_DOMAINS = Domains(
 class SkewConfig:
     """How hot keys are split.
 
-    ``rows_per_split``: a customer with more rows than this is cut into
-    equal-width time slices of about this many rows each, so that the
-    per-customer window never lands in a single task; a slice holding more
-    than twice as many (a burst) is cut again, and a tie group (one customer,
-    one timestamp) above it is spread. The hot-customer and tie tables have
-    at most ``total_rows / rows_per_split`` rows and the overfull-slice table
-    at most half as many: the size bounds that make broadcasting them safe.
-    Sizing rule: keep ``rows_per_split >= total_rows / 1_000_000`` so each of
-    these tables stays below a million narrow rows (the 2 M default covers
-    2e12 rows, several times 100 TB of transactions).
+    ``rows_per_split``: a customer with more rows than this is cut into time
+    slices of about this many rows each, so that the per-customer window never
+    lands in a single task; a larger tie group (one customer, one timestamp) is
+    spread. The tables of hot customers, cut points, ties and slice edges have
+    at most a few times ``total_rows / rows_per_split`` rows: the size bound
+    that makes broadcasting them safe. Sizing rule: keep ``rows_per_split >=
+    total_rows / 500_000``, which bounds each at about a million narrow rows
+    (the 2 M default covers 1e12 rows).
     """
 
     rows_per_split: int = 2_000_000
-    # rows a table of the split may have to be broadcast (checked before
-    # every broadcast; beyond it the joins are left to AQE)
-    max_broadcast_rows: int = 1_000_000
 
 
 @dataclass(frozen=True)

@@ -9,7 +9,9 @@ customer (or one hot customer-second) never becomes one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import json
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_SETTINGS, Settings, SkewConfig, Thresholds
@@ -47,89 +49,80 @@ def create_amount_categories(df: DataFrame, t: Thresholds = Thresholds()) -> Dat
     return df.withColumn("amount_category", X.amount_category("amount", t))
 
 
-def _hot_customers(df: DataFrame, skew: SkewConfig) -> DataFrame:
-    """Customers with more than ``rows_per_split`` rows, with their slice width.
-
-    A partial (map-side) aggregate; the result has at most
-    ``rows / rows_per_split`` rows, which bounds the broadcast below.
-    """
-    micros = F.unix_micros(F.col("timestamp_dt"))
-    r = skew.rows_per_split
-    stats = (
-        df.groupBy("customer_id")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(micros).alias("_t0"),
-             F.max(micros).alias("_t1"))
-        .filter(F.col("_n") > r)
-    )
-    slices = F.ceil(F.col("_n") / F.lit(r))
-    width = F.expr("_t1 - _t0") / slices
-    return stats.select(
-        "customer_id", "_n", "_t0",
-        (F.floor(width) + 1).alias("_width"),
-    )
+# Quantiles of time kept per hot customer: the most slices it is cut into.
+SPLIT_POINTS = 4095
 
 
-# Sub-slices per rows_per_split when an overfull slice is cut again.
-SUB_SLICE_OVERSAMPLING = 4
+def _hot_customers(df: DataFrame, skew: SkewConfig) -> DataFrame:
+    """``(customer_id, _n)`` of customers with more than ``rows_per_split``
+    rows: a partial (map-side) aggregate with at most
+    ``rows / rows_per_split`` rows, which bounds the broadcasts below."""
+    return df.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_n")).filter(
+        F.col("_n") > skew.rows_per_split)
+
+
+def _cut_points(df: DataFrame, skew: SkewConfig) -> DataFrame:
+    """``(_hc, _n, _points)`` of the hot customers: the times that cut each
+    into ``ceil(rows / rows_per_split)`` slices of equal depth, from a partial
+    quantile aggregate over the hot customers' rows. All points together are
+    at most ``2 * rows / rows_per_split``."""
+    hot = _hot_customers(df, skew).withColumnRenamed("customer_id", "_hc")
+    rows = df.select("customer_id", F.unix_micros("timestamp_dt").alias("_t")).join(
+        F.broadcast(hot), F.col("customer_id").eqNullSafe(F.col("_hc")))
+    # one literal (folded), not an expression per share
+    shares = F.from_json(F.lit(json.dumps([k / (SPLIT_POINTS + 1) for k in range(1, SPLIT_POINTS + 1)])), "array<double>")
+    every = rows.groupBy("_hc", "_n").agg(
+        F.percentile_approx("_t", shares, 10 * SPLIT_POINTS).alias("_q"))
+    slices = F.least(F.ceil(F.col("_n") / F.lit(skew.rows_per_split)), F.lit(SPLIT_POINTS + 1))
+    return every.withColumn("_s", slices).select(
+        "_hc", "_n", F.coalesce(F.array_distinct(F.expr(
+            f"transform(sequence(1L, _s - 1), j -> _q[cast(j * {SPLIT_POINTS + 1} div _s as int) - 1])")),
+            F.array().cast("array<bigint>")).alias("_points"))
+
+
+def _slice_of(micros: Column, points: Column) -> Column:
+    """How many points lie before the time, found in two steps of about a
+    square root of their number."""
+    step = F.ceil(F.sqrt(F.size(points))).cast("int")
+    before = lambda xs: F.size(F.filter(xs, lambda p: p < micros))
+    heads = F.transform(F.sequence(F.lit(1), F.floor(F.size(points) / step).cast("int")),
+                        lambda k: F.element_at(points, (k * step).cast("int")))
+    chunk = before(heads) * step
+    found = chunk + before(F.slice(points, chunk + 1, step))
+    return F.when(F.size(points) == 0, F.lit(0)).otherwise(found).cast("bigint")
 
 
 def _window_slices(df: DataFrame, skew: SkewConfig) -> tuple[DataFrame, DataFrame]:
-    """Window partition keys for every row, and the slice-edge table.
+    """Window partition keys for every row, and the slice-edge table. One
+    lazy plan for any input: building it starts no job, and without a hot
+    customer AQE drops the branches over the empty tables at run time.
 
     Rows of ordinary customers stay in slice 0. A hot customer is cut into
-    equal-width time slices. A slice holding more than twice
-    ``rows_per_split`` rows (a burst) is cut again into
-    ``4 * ceil(rows / rows_per_split)`` equal-width sub-slices (``_sub``).
-    A tie group (rows of one customer with one timestamp) larger than
-    ``rows_per_split`` cannot be cut by time; its rows after the first all
-    follow a row with the same timestamp, so their gap is known (0, or NULL
-    for a NULL timestamp) and they are spread over
+    slices of equal depth (``_cut_points``), so a burst gets as many slices as
+    its rows need. A tie group (rows of one customer with one timestamp)
+    larger than ``rows_per_split`` cannot be cut by time; its rows after the
+    first all follow a row with the same timestamp, so their gap is known (0,
+    or NULL for a NULL timestamp) and they are spread over
     ``ceil(rows / rows_per_split)`` partitions of their own (``_spread``).
-    The first row stays in its slice, so the lag chain is unchanged.
+    The first row stays in its slice, so the lag chain is unchanged. (Rows
+    without a transaction id stay there too; the clean step drops them.)
 
-    Returns (rows with ``_n``, ``_slice``, ``_sub``, ``_tie``, ``_spread``;
-    edges ``customer_id, _slice, _sub, _edge``: the last timestamp before
-    each (sub-)slice).
+    Returns (rows with ``_n``, ``_slice``, ``_tie``, ``_spread``; edges
+    ``customer_id, _slice, _edge``: the last timestamp before each slice).
+    Every broadcast table has at most a few times ``rows / rows_per_split``
+    rows. The joins are NULL-safe: a NULL customer is one group, too.
     """
     ts, tid = F.col("timestamp_dt"), F.col("transaction_id")
     r = skew.rows_per_split
-    # The size check before any broadcast: the hot customers are computed
-    # first (one aggregate of two columns, kept in executor memory for the
-    # plan below) and counted. Their number and total rows bound every table
-    # broadcast below (ties and overfull slices: at most total /
-    # rows_per_split; edges: a few per slice and sub-slice).
-    # (cached as memory-and-disk: small within the limit, spilled beyond it;
-    # it stays cached while the returned plan may run and is recomputed
-    # from its lineage when lost with an executor)
-    hot = _hot_customers(df, skew).cache()
-    n_hot, hot_rows = hot.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
-    if n_hot == 0:
-        hot.unpersist()
-        # no hot customer: one window partition per customer
-        return df.withColumns({
-            "_n": F.lit(None).cast("bigint"), "_t0": F.lit(None).cast("bigint"),
-            "_width": F.lit(None).cast("bigint"), "_slice": F.lit(0).cast("bigint"),
-            "_sub": F.lit(0).cast("bigint"),
-            "_tie": F.lit(None).cast(df.schema["timestamp_dt"].dataType),
-            "_spread": F.lit(False)}), None
-    bounded = ((SUB_SLICE_OVERSAMPLING + 3) * (hot_rows // r + n_hot)
-               <= skew.max_broadcast_rows)
-
-    def small(side: DataFrame) -> DataFrame:
-        """Broadcast only a side whose size was checked above."""
-        return F.broadcast(side) if bounded else side
-
-    # NULL-safe joins: a NULL customer is one group of the window, too
-    hot = hot.withColumnRenamed("customer_id", "_hc")
-    timed = df.join(small(hot), F.col("customer_id").eqNullSafe(F.col("_hc")),
-                    "left").drop("_hc").withColumn(
+    timed = df.join(F.broadcast(_cut_points(df, skew)),
+                    F.col("customer_id").eqNullSafe(F.col("_hc")), "left").drop("_hc").withColumn(
         "_slice",
         F.when(F.col("_n").isNull(), F.lit(0).cast("bigint"))
         .when(ts.isNull(), F.lit(-1).cast("bigint"))
-        .otherwise(F.expr("(unix_micros(timestamp_dt) - _t0) div _width")),
-    )
-    # one aggregation over the hot customers' rows: rows and last time of
-    # each slice (grouping id 1) and the size of each tie group (grouping id 2)
+        .otherwise(_slice_of(F.unix_micros(ts), F.col("_points"))),
+    ).drop("_points")
+    # one aggregation over the hot customers' rows: the last time of each
+    # slice (grouping id 1) and the size of each tie group (grouping id 2)
     stats = (
         timed.filter(F.col("_n").isNotNull())
         .groupingSets([["customer_id", "_slice"], ["customer_id", "timestamp_dt"]],
@@ -138,36 +131,14 @@ def _window_slices(df: DataFrame, skew: SkewConfig) -> tuple[DataFrame, DataFram
              F.count(F.lit(1)).alias("_c"), F.min(tid).alias("_first"),
              F.count_if(tid.isNull()).alias("_null_ids"))
     )
-    slices = stats.filter(F.col("_g") == 1)
-    # overfull slices: <= rows / (2 * rows_per_split) rows
-    over = slices.filter((F.col("_c") > 2 * r) & (F.col("_slice") >= 0)).select(
-        F.col("customer_id").alias("_oc"), F.col("_slice").alias("_os"),
-        (F.ceil(F.col("_c") / F.lit(r)) * SUB_SLICE_OVERSAMPLING).alias("_m"))
-    timed = timed.join(
-        small(over), F.col("customer_id").eqNullSafe(F.col("_oc"))
-        & (F.col("_slice") == F.col("_os")), "left",
-    ).withColumn(
-        "_sub",
-        F.coalesce(F.expr(
-            "(unix_micros(timestamp_dt) - _t0 - _slice * _width) div (_width div _m + 1)"),
-            F.lit(0).cast("bigint")),
-    ).drop("_oc", "_os")
-    # the last time of each (sub-)slice: from the slice statistics, and for
-    # overfull slices from their own rows (no rows read when there is none)
-    sub_last = timed.filter(F.col("_m").isNotNull()).groupBy(
-        "customer_id", "_slice", "_sub").agg(F.max(ts).alias("_last"))
-    whole_last = slices.filter((F.col("_c") <= 2 * r) | (F.col("_slice") < 0)).select(
-        "customer_id", "_slice", F.lit(0).cast("bigint").alias("_sub"), "_last")
-    edges = whole_last.unionByName(sub_last).select(
-        "customer_id", "_slice", "_sub",
-        F.lag("_last").over(Window.partitionBy("customer_id").orderBy("_slice", "_sub"))
-        .alias("_edge"),
+    edges = stats.filter(F.col("_g") == 1).select(
+        "customer_id", "_slice",
+        F.lag("_last").over(Window.partitionBy("customer_id").orderBy("_slice")).alias("_edge"),
     )
-    # tie groups above rows_per_split: <= rows / rows_per_split rows
     ties = stats.filter((F.col("_g") == 2) & (F.col("_c") > r)).select(
         F.col("customer_id").alias("_tc"), F.col("timestamp_dt").alias("_tt"),
         "_first", "_null_ids", F.ceil(F.col("_c") / F.lit(r)).alias("_k"))
-    j = timed.join(small(ties), F.col("customer_id").eqNullSafe(F.col("_tc"))
+    j = timed.join(F.broadcast(ties), F.col("customer_id").eqNullSafe(F.col("_tc"))
                    & ts.eqNullSafe(F.col("_tt")), "left")
     # every row of a large tie group but its first (NULL ids sort first)
     spread = X.flag(F.col("_k").isNotNull() & tid.isNotNull()
@@ -175,10 +146,9 @@ def _window_slices(df: DataFrame, skew: SkewConfig) -> tuple[DataFrame, DataFram
     rows = j.withColumn("_spread", spread).withColumns({
         "_slice": F.when(F.col("_spread"), -2 - F.pmod(F.xxhash64(tid), F.col("_k")))
         .otherwise(F.col("_slice")),
-        "_sub": F.when(F.col("_spread"), F.lit(0).cast("bigint")).otherwise(F.col("_sub")),
         "_tie": F.when(F.col("_spread"), ts),
-    }).drop("_tc", "_tt", "_first", "_null_ids", "_k", "_m")
-    return rows, (F.broadcast(edges) if bounded else edges)
+    }).drop("_tc", "_tt", "_first", "_null_ids", "_k")
+    return rows, edges
 
 
 def add_velocity_features(df: DataFrame, t: Thresholds = Thresholds(),
@@ -186,31 +156,24 @@ def add_velocity_features(df: DataFrame, t: Thresholds = Thresholds(),
     """Gap to the previous transaction of the customer, count, label.
 
     Order within a customer is (timestamp_dt, transaction_id), NULL
-    timestamps first. Hot customers are split into equal-width time slices
+    timestamps first. Hot customers are split into time slices of equal depth
     and their large tie groups spread (``_window_slices``); the first row of
     a slice takes its previous timestamp from the last timestamp of the
-    previous non-empty slice (a small aggregate joined back), so the result
-    equals one window over the whole customer.
+    slice before (a small aggregate joined back), so the result equals one
+    window over the whole customer.
     """
     ts = F.col("timestamp_dt")
-    ts_type = df.schema["timestamp_dt"].dataType
     rows, edges = _window_slices(df, skew)
-    w = Window.partitionBy("customer_id", "_slice", "_sub", "_tie").orderBy(
+    w = Window.partitionBy("customer_id", "_slice", "_tie").orderBy(
         ts.asc_nulls_first(), F.col("transaction_id").asc_nulls_first())
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     windowed = rows.withColumns({
         "_prev": F.lag(ts).over(w),
         "_cnt": F.count(F.lit(1)).over(whole),
     })
-    if edges is None:  # no hot customer: no slice edges
-        j = windowed.withColumn("_edge", F.lit(None).cast(ts_type))
-    else:
-        # edges: a few rows per hot slice; broadcast when its size was checked
-        edges = edges.select(F.col("customer_id").alias("_ec"), F.col("_slice").alias("_es"),
-                             F.col("_sub").alias("_eu"), "_edge")
-        j = windowed.join(edges, F.col("customer_id").eqNullSafe(F.col("_ec"))
-                          & (F.col("_slice") == F.col("_es")) & (F.col("_sub") == F.col("_eu")),
-                          "left").drop("_ec", "_es", "_eu")
+    edges = edges.select(F.col("customer_id").alias("_ec"), F.col("_slice").alias("_es"), "_edge")
+    j = windowed.join(F.broadcast(edges), F.col("customer_id").eqNullSafe(F.col("_ec"))
+                      & (F.col("_slice") == F.col("_es")), "left").drop("_ec", "_es")
     prev = F.coalesce(F.col("_prev"), F.col("_edge"))
     gap = (
         F.when(F.col("_spread"), F.when(ts.isNotNull(), F.lit(0.0)))
@@ -223,8 +186,7 @@ def add_velocity_features(df: DataFrame, t: Thresholds = Thresholds(),
     out = out.withColumn(
         "transaction_velocity",
         X.velocity_label("minutes_since_last_transaction", t))
-    return out.drop("_n", "_t0", "_width", "_slice", "_sub", "_tie", "_spread", "_prev",
-                    "_cnt", "_edge")
+    return out.drop("_n", "_slice", "_tie", "_spread", "_prev", "_cnt", "_edge")
 
 
 def add_risk_indicators(df: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:

@@ -61,40 +61,48 @@ def test_partition_pruning(tables):
 
 
 def test_enrichment_has_one_wide_shuffle(tables):
-    """With hot customers (a small split size): the full rows move once;
-    the skew tables are broadcast after their size check."""
+    """With hot customers (a small split size): the full rows move once; the
+    skew tables are broadcast, their size bounded by ``rows_per_split``."""
     from ledgerlens.config import SkewConfig
     validated, _ = tables
     feats = T.extract_temporal_features(validated)
     p = plan(T.add_velocity_features(feats, skew=SkewConfig(rows_per_split=20)))
     widths = [int(n) for n in re.findall(r"\(\d+\) Exchange\nInput \[(\d+)\]", p)]
     # the full rows (12 raw columns and more) move once, by (customer,
-    # slice, sub-slice, tie group); every other exchange carries aggregated
+    # slice, tie group); every other exchange carries aggregated
     # or broadcast rows of a few columns
     assert len([w for w in widths if w >= 12]) == 1, widths
     assert all(w <= 8 for w in widths if w < 12), widths
     assert "BroadcastExchange" in p
 
 
-def test_split_broadcasts_only_after_the_size_check(spark, tables):
-    """Beyond ``max_broadcast_rows`` the skew tables are joined without a
-    broadcast hint (AQE sizes them); the result is the same."""
-    from ledgerlens.config import SkewConfig
-    from test_skew import plain_velocity, same
+def test_building_a_query_starts_no_job(spark, tables):
+    """Operators are lazy: the enrichment and what is built on it run no job
+    before an action, whatever the skew."""
+    from ledgerlens.config import Settings, SkewConfig
     validated, _ = tables
-    feats = T.extract_temporal_features(validated)
-    key = "spark.sql.autoBroadcastJoinThreshold"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "-1")  # no automatic broadcast either: the other way
+    tracker, group = spark.sparkContext.statusTracker(), "lazy-build"
+    spark.sparkContext.setJobGroup(group, "building")
     try:
-        tight = SkewConfig(rows_per_split=20, max_broadcast_rows=10)
-        out = T.add_velocity_features(feats, skew=tight)
-        p = plan(out)
-        assert "BroadcastExchange" not in p and "BroadcastHashJoin" not in p
-        assert same(out.select("transaction_id", "minutes_since_last_transaction",
-                               "customer_transaction_count"), plain_velocity(feats))
+        for r in (20, 2_000_000):
+            df = T.enrich(validated, Settings(skew=SkewConfig(rows_per_split=r)))
+            A.by_time_slot(df), A.analysis_cube(df)
+            assert len(tracker.getJobIdsForGroup(group)) == 0
     finally:
-        spark.conf.set(key, old)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_one_plan_whatever_the_size(tables):
+    """The same operators for any number of hot customers."""
+    from ledgerlens.config import SkewConfig
+    validated, _ = tables
+    feats = T.extract_temporal_features(validated)
+    shapes = {re.sub(r"[^A-Za-z+:\n ]|plan_id.*", "", re.sub(r"\[.*|\(.*", "", line))
+              for r in (20, 100, 2_000_000)
+              for line in ["|".join(re.findall(r"[A-Z][A-Za-z]+(?:Exec|Join|Exchange|Aggregate|Window|Expand|Sort|Scan)?", x.split("(")[0].split("[")[0])[0]
+                                    for x in plan(T.add_velocity_features(feats, skew=SkewConfig(rows_per_split=r)), "simple").splitlines()
+                                    if re.search("[A-Z]", x.split("(")[0].split("[")[0]))]}
+    assert len(shapes) == 1
 
 
 def test_enrichment_without_hot_customers_runs_one_window(spark, tables):
@@ -225,8 +233,8 @@ def test_csv_export_writes_sized_files(spark, tables):
     assert counts[False] == 8
 
 
-def test_checked_skew_tables_are_broadcast_by_hint(spark, tables):
-    """Within the limit, the tie and edge joins are broadcast by their hints
+def test_skew_tables_are_broadcast_by_hint(spark, tables):
+    """The tie and edge joins are broadcast by their hints
     (automatic broadcasting off, so only a hint can broadcast)."""
     from ledgerlens.config import SkewConfig
     validated, _ = tables
