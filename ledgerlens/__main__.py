@@ -23,6 +23,13 @@ from .plans.workflow import run_all
 from .sources import files as IO
 
 
+# what the run found, one small JSON result each
+FINDINGS = {
+    "ingest": ("ingest_summary",),
+    "fraud_summary": ("fraud_totals", "fraud_by_priority", "fraud_by_country", "fraud_rule_hits", "fraud_top_risk"),
+}
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="ledgerlens", description=__doc__.splitlines()[0])
     parser.add_argument("input", help="raw transactions folder or file")
@@ -48,6 +55,12 @@ def main(argv: list[str] | None = None) -> int:
     for stage, status, rows, seconds in res.metrics:
         print(f"{stage:10s} {status:7s} rows={rows if rows is not None else '-':>10} "
               f"{seconds:8.2f}s")
+    for check, column, n in res.values.get("validation", []):
+        print(f"validation {check} {column}: {n}")
+    for folder, names in FINDINGS.items():
+        for name in names if folder in res.paths else ():
+            for line in spark.read.text(f"{res.paths[folder]}/{name}").toLocalIterator():
+                print(f"{name} {line['value']}")      # a few rows each
     print(json.dumps({"ok": res.ok(), "paths": res.paths,
                       "error": res.values.get("error")}))
     return 0 if res.ok() else 1

@@ -30,7 +30,6 @@ STATUS_APPROVED = "APPROVED"
 STATUS_DECLINED = "DECLINED"
 STATUS_PENDING = "PENDING"
 STATUS_FRAUD = "FRAUD"
-STATUS_ORDER = (STATUS_APPROVED, STATUS_DECLINED, STATUS_FRAUD, STATUS_PENDING)
 
 # alert priorities
 PRIORITY_CRITICAL = "CRÍTICA"

@@ -109,16 +109,19 @@ def validate_numeric_ranges(df: DataFrame) -> DataFrame:
 
 def validation_conditions(df: DataFrame, domains: Domains) -> dict[str, Column]:
     """Every check except duplicates as a per-row boolean, named
-    ``check__column`` (NULL counts as false)."""
+    ``check__column`` (NULL counts as false); checks of absent columns are
+    left out."""
+    have = set(df.columns)
     conds = {"total__*": F.lit(True)}
     conds.update({f"nulls__{c}": _null_like(df, c) for c in df.columns})
     conds.update({f"invalid__{c}": ~F.col(c).isin(list(v))
-                  for c, v in domains.as_dict().items()})
-    conds.update({
-        "numeric__negative_amounts": F.col("amount") < 0,
-        "numeric__zero_amounts": F.col("amount") == 0,
-        "numeric__invalid_customer_ids": F.col("customer_id") < 0,
-    })
+                  for c, v in domains.as_dict().items() if c in have})
+    numeric = {
+        "amount": {"numeric__negative_amounts": F.col("amount") < 0, "numeric__zero_amounts": F.col("amount") == 0},
+        "customer_id": {"numeric__invalid_customer_ids": F.col("customer_id") < 0},
+    }
+    for c, own in numeric.items():
+        conds.update(own if c in have else {})
     return conds
 
 
@@ -127,11 +130,6 @@ def validation_metrics(df: DataFrame, domains: Domains) -> list[Column]:
     return [X.count_if(c).alias(n) for n, c in validation_conditions(df, domains).items()]
 
 
-def validation_flags(df: DataFrame, domains: Domains) -> dict[str, Column]:
-    """The checks as 0/1 per row, to be summed by a later aggregation."""
-    return {n: X.flag(c).cast("long") for n, c in validation_conditions(df, domains).items()}
-
-
 REPORT_SCHEMA = "check string, column string, n long"
 
 
@@ -153,7 +151,8 @@ def generate_validation_report(df: DataFrame, expected: StructType, domains: Dom
 
     ``total``/``*`` always; ``schema_missing`` per missing column;
     ``nulls``, ``invalid``, ``numeric`` only where the count is positive;
-    ``duplicates``/``key`` always.
+    ``duplicates``/``key`` always. A check whose column is missing is left
+    out, so each missing column is reported instead of failing the report.
 
     Two aggregations: the per-row checks are one global aggregate (a partial
     per task, no shuffle of rows), and the distinct keys a key-only
@@ -165,16 +164,17 @@ def generate_validation_report(df: DataFrame, expected: StructType, domains: Dom
     cols = df.columns
     wide = df.agg(*validation_metrics(df, domains))
     # the rows half of the duplicate count, unpivoted with the checks
-    wide = wide.withColumn(f"duplicates__{key}", F.col("`total__*`"))
+    if key in cols:
+        wide = wide.withColumn(f"duplicates__{key}", F.col("`total__*`"))
     long = _long(wide, wide.columns, "_k", "n")
     parts = F.split(F.col("_k"), "__")
     checks = long.select(parts[0].alias("check"), parts[1].alias("column"), "n")
-    keys = df.select(key).distinct().agg(F.count(F.lit(1)).alias("_keys")).select(
-        F.lit("duplicates").alias("check"), F.lit(key).alias("column"),
-        (-F.col("_keys")).alias("n"))
+    if key in cols:
+        keys = df.select(key).distinct().agg(F.count(F.lit(1)).alias("_keys"))
+        checks = checks.unionByName(keys.select(
+            F.lit("duplicates").alias("check"), F.lit(key).alias("column"), (-F.col("_keys")).alias("n")))
     out = (
-        checks.unionByName(keys)
-        .groupBy("check", "column").agg(F.sum("n").cast("long").alias("n"))
+        checks.groupBy("check", "column").agg(F.sum("n").cast("long").alias("n"))
         .filter((F.col("n") > 0) | F.col("check").isin("total", "duplicates"))
     )
     missing = [f.name for f in expected.fields if f.name not in cols]

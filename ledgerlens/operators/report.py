@@ -20,12 +20,13 @@ from .analytics import with_unique_customers
 
 # Report headings, labels and JSON keys (display text).
 TITLE = "# REPORTE DE ANÁLISIS BANCARIO"
+GENERATED = "Fecha de generación: "
 PERIOD = "Período analizado: "
 H_SUMMARY = "## RESUMEN EJECUTIVO"
 M_TOTAL = "- Total de transacciones procesadas: "
 M_CUSTOMERS = "- Clientes únicos: "
-M_AMOUNT = "- Monto total procesado: "
-M_AVG = "- Monto promedio por transacción: "
+M_AMOUNT = "- Monto total procesado: €"
+M_AVG = "- Monto promedio por transacción: €"
 H_STATUS = "## Distribución de Estados"
 T_STATUS = ("| Estado | Cantidad | Porcentaje |", "|--------|----------|------------|")
 STATUS_LABELS = (
@@ -192,23 +193,24 @@ def _dec(c: str | Column) -> Column:
     return F.format_number(X.col(c), 2)
 
 
-def _fixed(section: int, lines: list[tuple[int, Column]], src: DataFrame) -> DataFrame:
-    """Lines that each take values from the one-row ``src``."""
-    rows = [F.struct(F.lit(i).alias("line_no"), line.alias("line")) for i, line in lines]
-    return src.select(F.explode(F.array(*rows)).alias("r")).select(
-        F.lit(section).alias("section_no"), F.lit(SECTIONS[section - 1]).alias("section"),
-        "r.line_no", "r.line")
+def _plain(c: str | Column) -> Column:
+    """A number without thousands separators, as it is written."""
+    return X.col(c).cast("string")
+
+
+def _cents(c: str | Column) -> Column:
+    return F.format_string("%.2f", X.col(c))
 
 
-def _table(section: int, heading: str, header: tuple[str, str], rows: DataFrame,
+def _table(section: int, header: tuple[str, str], rows: DataFrame,
            order: list[Column], line: Column, spark) -> DataFrame:
-    """Heading, table header and one line per row of a small result.
+    """Table header and one line per row of a small result.
 
     The row number is a window over the already-aggregated rows (one per
     country / category / slot), not over the transactions.
     """
     head = spark.createDataFrame(
-        [(section, SECTIONS[section - 1], i, s) for i, s in enumerate((heading,) + header)],
+        [(section, SECTIONS[section - 1], i, s) for i, s in enumerate(header, start=1)],
         "section_no int, section string, line_no int, line string")
     body = rows.select(
         F.lit(section).alias("section_no"), F.lit(SECTIONS[section - 1]).alias("section"),
@@ -218,72 +220,67 @@ def _table(section: int, heading: str, header: tuple[str, str], rows: DataFrame,
     return head.unionByName(body)
 
 
+def _cells(*cells: Column) -> Column:
+    parts = [F.lit("| ")]
+    for c in cells:
+        parts += [c, F.lit(" | ")]
+    return F.concat(*parts[:-1], F.lit(" |"))
+
+
 def report_lines(summary: DataFrame, by_country: DataFrame | None = None,
                  by_category: DataFrame | None = None,
-                 by_time_slot: DataFrame | None = None) -> DataFrame:
-    """R6/R7 (+R9): the report as ordered lines. Sections whose analysis is
-    absent (None) are left out, as when no saved results exist."""
+                 by_time_slot: DataFrame | None = None,
+                 generated_at: Column | None = None) -> DataFrame:
+    """R6/R7 (+R9): the report as ordered lines. A section whose analysis is
+    absent (None) keeps its heading and has no table. All lines of the summary
+    come from one pass over its one row; the generation time is an input."""
     spark = summary.sparkSession
-    s = summary
-    parts = [
-        _fixed(1, [
-            (0, F.lit(TITLE)),
-            (1, F.concat(F.lit(PERIOD), F.col("period_start"), F.lit(" a "), F.col("period_end"))),
-            (2, F.lit(H_SUMMARY)),
-            (3, F.concat(F.lit(M_TOTAL), _int("total_transactions"))),
-            (4, F.concat(F.lit(M_CUSTOMERS), _int("unique_customers"))),
-            (5, F.concat(F.lit(M_AMOUNT), _dec("total_amount"))),
-            (6, F.concat(F.lit(M_AVG), _dec("avg_amount"))),
-        ], s),
+    money, rate = (lambda c: F.concat(F.lit("€"), _dec(c))), (lambda c: F.concat(_plain(c), F.lit("%")))
+    first = [
+        F.lit(TITLE),
+        *([] if generated_at is None else [F.concat(F.lit(GENERATED), generated_at)]),
+        F.concat(F.lit(PERIOD), F.col("period_start"), F.lit(" a "), F.col("period_end")),
+        F.lit(H_SUMMARY),
+        F.concat(F.lit(M_TOTAL), _int("total_transactions")),
+        F.concat(F.lit(M_CUSTOMERS), _int("unique_customers")),
+        F.concat(F.lit(M_AMOUNT), _dec("total_amount")),
+        F.concat(F.lit(M_AVG), _cents("avg_amount")),
     ]
-    dist = status_distribution(s)
-    parts.append(_fixed(2, [(0, F.lit(H_STATUS)), (1, F.lit(T_STATUS[0])),
-                            (2, F.lit(T_STATUS[1]))], s))
-    parts.append(dist.select(
-        F.lit(2).alias("section_no"), F.lit(SECTIONS[1]).alias("section"),
-        (F.col("position") + 2).cast("int").alias("line_no"),
-        F.concat(F.lit("| "), F.col("label"), F.lit(" | "), _int("count"), F.lit(" | "),
-                 _dec("percentage"), F.lit("% |")).alias("line"),
-    ))
-    parts.append(_fixed(3, [
-        (0, F.lit(H_ALERTS)),
-        (1, F.concat(F.lit(M_ALERTS), _int("total_alerts"))),
-        (2, F.concat(F.lit(M_DETECTION), _dec("detection_rate"), F.lit("%"))),
-    ], s))
+    total = F.col("total_transactions")
+    shares = [_cells(F.lit(label), _int(_STATUS_COLS[st]), rate(X.pct(F.col(_STATUS_COLS[st]), total)))
+              for st, label in STATUS_LABELS]
+    sections = {
+        1: first,
+        2: [F.lit(H_STATUS), *map(F.lit, T_STATUS), *shares],
+        3: [F.lit(H_ALERTS), F.concat(F.lit(M_ALERTS), _plain("total_alerts")),
+            F.concat(F.lit(M_DETECTION), rate("detection_rate"))],
+        4: [F.lit(H_COUNTRY)], 5: [F.lit(H_CATEGORY)], 6: [F.lit(H_TIME)],
+        7: [F.lit(H_CONCLUSIONS),
+            F.concat(F.lit(C_PROCESSED[0]), _int("total_transactions"), F.lit(C_PROCESSED[1])),
+            F.concat(F.lit(C_APPROVAL), rate("approval_rate")),
+            F.concat(F.lit(C_ALERTS[0]), _plain("total_alerts"), F.lit(C_ALERTS[1]))],
+    }
+    rows = [F.struct(F.lit(n).alias("section_no"), F.lit(SECTIONS[n - 1]).alias("section"),
+                     F.lit(i).alias("line_no"), line.alias("line"))
+            for n, lines in sections.items() for i, line in enumerate(lines)]
+    out = summary.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
     if by_country is not None:
-        top = report_country(by_country)
-        parts.append(_table(4, H_COUNTRY, T_COUNTRY, top,
-                            [F.col("total_amount").desc_nulls_last(), F.col("country")],
-                            F.concat(F.lit("| "), F.col("country"), F.lit(" | "),
-                                     _int("total_transactions"), F.lit(" | "),
-                                     _dec("total_amount"), F.lit(" | "), _dec("avg_amount"),
-                                     F.lit(" | "), _dec("approval_rate"), F.lit("% |")),
-                            spark))
+        out = out.unionByName(_table(
+            4, T_COUNTRY, report_country(by_country),
+            [F.col("total_amount").desc_nulls_last(), F.col("country")],
+            _cells(F.col("country"), _int("total_transactions"), money("total_amount"),
+                   F.concat(F.lit("€"), _cents("avg_amount")), rate("approval_rate")), spark))
     if by_category is not None:
-        parts.append(_table(5, H_CATEGORY, T_CATEGORY, report_category(by_category),
-                            [F.col("total_transactions").desc(), F.col("category")],
-                            F.concat(F.lit("| "), F.col("category"), F.lit(" | "),
-                                     _int("total_transactions"), F.lit(" | "),
-                                     _dec("total_amount"), F.lit(" | "),
-                                     _dec("percentage"), F.lit("% |")),
-                            spark))
+        out = out.unionByName(_table(
+            5, T_CATEGORY, report_category(by_category),
+            [F.col("total_transactions").desc(), F.col("category")],
+            _cells(F.col("category"), _int("total_transactions"), money("total_amount"), rate("percentage")), spark))
     if by_time_slot is not None:
-        parts.append(_table(6, H_TIME, T_TIME, report_time(by_time_slot),
-                            [X.slot_rank("time_slot").asc_nulls_last(), F.col("time_slot")],
-                            F.concat(F.lit("| "), F.col("time_slot"), F.lit(" | "),
-                                     _int("total_transactions"), F.lit(" | "),
-                                     _dec("total_amount"), F.lit(" | "),
-                                     _int("declined_count"), F.lit(" |")),
-                            spark))
-    parts.append(_fixed(7, [
-        (0, F.lit(H_CONCLUSIONS)),
-        (1, F.concat(F.lit(C_PROCESSED[0]), _int("total_transactions"), F.lit(C_PROCESSED[1]))),
-        (2, F.concat(F.lit(C_APPROVAL), _dec("approval_rate"), F.lit("%"))),
-        (3, F.concat(F.lit(C_ALERTS[0]), _int("total_alerts"), F.lit(C_ALERTS[1]))),
-    ], s))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(_table(
+            6, T_TIME, report_time(by_time_slot),
+            [X.slot_rank("time_slot").asc_nulls_last(), F.col("time_slot")],
+            _cells(F.col("time_slot"), _int("total_transactions"), money("total_amount"),
+                   _plain("declined_count")), spark))
     return out
 
 
@@ -337,14 +334,15 @@ def write_text_report(lines: DataFrame, path: str) -> None:
     lines.orderBy("line_no").select("line").coalesce(1).write.mode("overwrite").text(path)
 
 
-def summary_json(summary: DataFrame) -> DataFrame:
-    """The summary as three nested groups plus the period."""
+def summary_json(summary: DataFrame, generated_at: Column | None = None) -> DataFrame:
+    """The summary as three nested groups plus the period and the
+    generation time (now, unless given)."""
     groups = [
         F.struct(*[F.col(src).alias(key) for key, src in fields]).alias(name)
         for name, fields in JSON_GROUPS.items()
     ]
     period = F.concat(F.col("period_start"), F.lit(" a "), F.col("period_end"))
-    generated = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
+    generated = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss") if generated_at is None else generated_at
     return summary.select(generated.alias("fecha_generacion"),
                           period.alias("periodo_analizado"), *groups)
 
@@ -356,5 +354,5 @@ def write_report(lines: DataFrame, path: str) -> None:
      .write.mode("overwrite").text(path))
 
 
-def write_summary_json(summary: DataFrame, path: str) -> None:
-    summary_json(summary).coalesce(1).write.mode("overwrite").json(path)
+def write_summary_json(summary: DataFrame, path: str, generated_at: Column | None = None) -> None:
+    summary_json(summary, generated_at).coalesce(1).write.mode("overwrite").json(path)

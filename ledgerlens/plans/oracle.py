@@ -9,8 +9,54 @@ DECIMAL (halves away from zero); rates are counted in whole numbers.
 
 from __future__ import annotations
 
-from ..functions import labels as L
-from ..schema import ALERT_CSV_COLUMNS, PROCESSED_COLUMNS, RAW_COLUMNS
+from types import SimpleNamespace
+
+# Expected labels, headings and columns, written out here on their own so that
+# a wrong one in the operators does not pass.
+L = SimpleNamespace(
+    AMOUNT_HIGH='Alto',
+    AMOUNT_LOW='Bajo',
+    AMOUNT_MEDIUM='Medio',
+    AMOUNT_VERY_HIGH='Muy Alto',
+    PERIOD_WEEKDAY='Entre Semana',
+    PERIOD_WEEKEND='Fin de Semana',
+    PRIORITY_CRITICAL='CRÍTICA',
+    PRIORITY_HIGH='ALTA',
+    PRIORITY_LOW='BAJA',
+    PRIORITY_MEDIUM='MEDIA',
+    REASON_HIGH_DECLINED='Monto alto rechazado',
+    REASON_NIGHT='Transacción nocturna sospechosa',
+    REASON_SEPARATOR=' | ',
+    REASON_STATUS='Estado FRAUD',
+    REASON_VELOCITY='Velocidad sospechosa',
+    SLOT_AFTERNOON='Tarde',
+    SLOT_EVENING='Noche',
+    SLOT_MORNING='Mañana',
+    SLOT_NIGHT='Madrugada',
+    VELOCITY_FAST='Rápida',
+    VELOCITY_FIRST='Primera Transacción',
+    VELOCITY_NORMAL='Normal',
+    VELOCITY_SLOW='Lenta',
+    VELOCITY_VERY_FAST='Muy Rápida',
+)
+STATUSES = (("APPROVED", "Aprobadas", "approved"), ("DECLINED", "Rechazadas", "declined"),
+            ("FRAUD", "Fraude", "fraud"), ("PENDING", "Pendientes", "pending"))
+SECTIONS = ("resumen", "estados", "alertas", "pais", "categoria", "temporal", "conclusiones")
+RAW_COLUMNS = [
+    'transaction_id', 'customer_id', 'account_type', 'country', 'amount', 'currency',
+    'category', 'channel', 'timestamp', 'status', 'merchant_id', 'card_last4',
+]
+PROCESSED_COLUMNS = [
+    'transaction_id', 'customer_id', 'account_type', 'country', 'amount', 'currency',
+    'category', 'channel', 'timestamp', 'status', 'merchant_id', 'card_last4',
+    'timestamp_dt', 'hour', 'day_of_week', 'time_slot', 'is_weekend', 'amount_category',
+    'minutes_since_last_transaction', 'customer_transaction_count', 'transaction_velocity', 'is_suspicious_night', 'is_suspicious_velocity', 'risk_score',
+    'year', 'month', 'day',
+]
+ALERT_CSV_COLUMNS = [
+    'transaction_id', 'customer_id', 'account_type', 'country', 'amount', 'currency',
+    'category', 'timestamp', 'status', 'alert_priority', 'risk_score', 'fraud_reasons',
+]
 
 
 def q(name: str) -> str:
@@ -356,10 +402,6 @@ FROM enriched""",
     "enriched_transactions": f"SELECT {cols(c for c in PROCESSED_COLUMNS if c != 'timestamp_dt')} FROM enriched",
 }
 
-RAW_SQL = {
-    "raw_transactions": f"SELECT {cols(RAW_COLUMNS)} FROM raw",
-}
-
 ALERT_CSV_SQL = f"SELECT {cols(ALERT_CSV_COLUMNS)} FROM scored WHERE is_fraud_detected"
 
 
@@ -461,7 +503,10 @@ IO_SQL = {
     "io_alerts_csv": over_scored(ALERT_CSV_SQL),
     "io_write_verify": over_enriched(
         "SELECT COUNT(*) AS written_rows, COUNT(*) AS read_rows FROM enriched"),
-    "io_json_roundtrip": over_enriched(ANALYSES_SQL["by_country"]),
+    "io_json_roundtrip": over_enriched(" UNION ALL ".join(
+        f"SELECT '{n}' AS result, COUNT(*) AS \"rows\", CAST(SUM("
+        f"{'transaction_id' if n == 'high_value_declined' else 'total_transactions'}) AS BIGINT) AS total "
+        f"FROM ({sql})" for n, sql in ANALYSES_SQL.items())),
     "catalog_transactions": over_enriched(f"SELECT {cols(ENRICHED_NO_TS)} FROM enriched"),
     "catalog_alerts": over_scored(
         "SELECT " + cols(["transaction_id", "customer_id", "account_type", "country", "amount",
@@ -503,18 +548,19 @@ def _groups(c: str) -> str:
     return f"(SELECT COUNT(*) FROM (SELECT DISTINCT {q(c)} FROM enriched))"
 
 
-# Rows per stage of the six-stage run: validated (the test mapping has no
-# duplicate or incomplete row), processed, alerts, table rows, ten analyses,
-# and the report lines: 30 fixed lines, up to 10 countries, the categories
-# and the time slots.
-STAGE_SQL = over_scored(
-    "SELECT 'ingest' AS stage, 'ok' AS status, "
-    "(SELECT COUNT(DISTINCT transaction_id) FROM raw) AS \"rows\" "
+CLEANED_CTE = TRIMMED_CTE + ",\n" + dedup_cte("trimmed") + f""",
+cleaned AS (SELECT * FROM deduped WHERE NOT {INCOMPLETE})"""
+# Rows per stage of the six-stage run over the dirty variant: validated,
+# processed, alerts, table rows, ten analyses, and the report lines: 31 fixed
+# lines (with the date), up to 10 countries, the categories and the time slots.
+STAGE_SQL = (
+    "WITH " + DIRTY_CTE + ",\n" + CLEANED_CTE + ",\n" + enriched_cte("cleaned") + ",\n" + SCORED_CTE + "\n"
+    "SELECT 'ingest' AS stage, 'ok' AS status, (SELECT COUNT(*) FROM cleaned) AS \"rows\" "
     "UNION ALL SELECT 'transform', 'ok', (SELECT COUNT(*) FROM enriched) "
     "UNION ALL SELECT 'fraud', 'ok', (SELECT COUNT(*) FROM scored WHERE is_fraud_detected) "
     "UNION ALL SELECT 'tables', 'ok', (SELECT COUNT(*) FROM enriched) "
     "UNION ALL SELECT 'analyses', 'ok', CAST(10 AS BIGINT) "
-    f"UNION ALL SELECT 'reports', 'ok', 30 + LEAST(10, {_groups('country')}) "
+    f"UNION ALL SELECT 'reports', 'ok', 31 + LEAST(10, {_groups('country')}) "
     f"+ {_groups('category')} + {_groups('time_slot')}")
 
 
@@ -529,12 +575,10 @@ def fmt_dec(x: str) -> str:
 
 
 def report_ctes() -> str:
-    from ..operators import report as R
     status_rows = " UNION ALL ".join(
-        f"SELECT {i} AS position, {lit(s)} AS status, {lit(label)} AS label, "
-        f"{ {'APPROVED': 'approved', 'DECLINED': 'declined', 'FRAUD': 'fraud', 'PENDING': 'pending'}[s] } "
-        f"AS cnt, total_transactions FROM summary"
-        for i, (s, label) in enumerate(R.STATUS_LABELS, start=1))
+        f"SELECT {i} AS position, {lit(s)} AS status, {lit(label)} AS label, {s_col} AS cnt, "
+        f"total_transactions FROM summary"
+        for i, (s, label, s_col) in enumerate(STATUSES, start=1))
     return f""",
 summary AS (
   SELECT COUNT(*) AS total_transactions, COUNT(DISTINCT customer_id) AS unique_customers,
@@ -558,80 +602,87 @@ by_time_slot AS ({ANALYSES_SQL['by_time_slot']})"""
 
 
 def report_sql() -> dict[str, str]:
-    from ..operators import report as R
     base = SCORED + report_ctes() + "\n"
 
-    def fixed(section: int, lines: list[tuple[int, str]]) -> str:
-        name = R.SECTIONS[section - 1]
+    def fixed(section: int, lines: list[str]) -> str:
+        name = SECTIONS[section - 1]
         return " UNION ALL ".join(
             f"SELECT {section} AS section_no, '{name}' AS section, {i} AS line_no, {expr} AS line "
-            f"FROM summary" for i, expr in lines)
+            f"FROM summary" for i, expr in enumerate(lines))
 
     def table(section: int, heading: str, header, src: str, order: str, line: str) -> str:
-        name = R.SECTIONS[section - 1]
-        head = fixed(section, [(0, lit(heading)), (1, lit(header[0])), (2, lit(header[1]))])
+        name = SECTIONS[section - 1]
+        head = fixed(section, [lit(heading), lit(header[0]), lit(header[1])])
         return (head + f" UNION ALL SELECT {section}, '{name}', "
                 f"CAST(ROW_NUMBER() OVER (ORDER BY {order}) + 2 AS INTEGER), {line} FROM {src}")
 
-    slot_rank = "CASE " + " ".join(
-        f"WHEN time_slot = {lit(s)} THEN {i}" for i, s in enumerate(L.SLOT_ORDER, start=1)) + " END"
+    def cells(*parts: str) -> str:
+        return "'| ' || " + " || ' | ' || ".join(parts) + " || ' |'"
+
+    money, cents, rate, plain = (
+        lambda c: f"'€' || {fmt_dec(c)}", lambda c: f"printf('%.2f', {c})",
+        lambda c: f"CAST({c} AS VARCHAR) || '%'", lambda c: f"CAST({c} AS VARCHAR)")
+    slot_rank = ("CASE time_slot WHEN 'Madrugada' THEN 1 WHEN 'Mañana' THEN 2 WHEN 'Tarde' THEN 3 "
+                 "WHEN 'Noche' THEN 4 END")
     parts = [
         fixed(1, [
-            (0, lit(R.TITLE)),
-            (1, f"{lit(R.PERIOD)} || period_start || ' a ' || period_end"),
-            (2, lit(R.H_SUMMARY)),
-            (3, f"{lit(R.M_TOTAL)} || {fmt_int('total_transactions')}"),
-            (4, f"{lit(R.M_CUSTOMERS)} || {fmt_int('unique_customers')}"),
-            (5, f"{lit(R.M_AMOUNT)} || {fmt_dec('total_amount')}"),
-            (6, f"{lit(R.M_AVG)} || {fmt_dec('avg_amount')}"),
-        ]),
-        fixed(2, [(0, lit(R.H_STATUS)), (1, lit(R.T_STATUS[0])), (2, lit(R.T_STATUS[1]))]),
-        f"SELECT 2, 'estados', CAST(position + 2 AS INTEGER), '| ' || label || ' | ' || "
-        f"{fmt_int('\"count\"')} || ' | ' || {fmt_dec('percentage')} || '% |' FROM status_dist",
-        fixed(3, [
-            (0, lit(R.H_ALERTS)),
-            (1, f"{lit(R.M_ALERTS)} || {fmt_int('total_alerts')}"),
-            (2, f"{lit(R.M_DETECTION)} || {fmt_dec('detection_rate')} || '%'"),
+            lit("# REPORTE DE ANÁLISIS BANCARIO"),
+            "'Período analizado: ' || period_start || ' a ' || period_end",
+            lit("## RESUMEN EJECUTIVO"),
+            f"'- Total de transacciones procesadas: ' || {fmt_int('total_transactions')}",
+            f"'- Clientes únicos: ' || {fmt_int('unique_customers')}",
+            f"'- Monto total procesado: ' || {money('total_amount')}",
+            f"'- Monto promedio por transacción: €' || {cents('avg_amount')}",
         ]),
-        table(4, R.H_COUNTRY, R.T_COUNTRY,
+        fixed(2, [lit("## Distribución de Estados"), lit("| Estado | Cantidad | Porcentaje |"),
+                  lit("|--------|----------|------------|")]),
+        "SELECT 2, 'estados', CAST(position + 2 AS INTEGER), "
+        + cells("label", fmt_int('"count"'), rate("percentage")) + " FROM status_dist",
+        fixed(3, [lit("## Alertas de Fraude"), f"'- Total de alertas detectadas: ' || {plain('total_alerts')}",
+                  f"'- Tasa de detección: ' || {rate('detection_rate')}"]),
+        table(4, "## ANÁLISIS POR PAÍS",
+              ("| País | Transacciones | Monto Total | Monto Promedio | Tasa Aprobación |",
+               "|------|---------------|-------------|----------------|------------------|"),
               "(SELECT * FROM by_country ORDER BY total_amount DESC NULLS LAST, country LIMIT 10)",
               "total_amount DESC NULLS LAST, country",
-              f"'| ' || country || ' | ' || {fmt_int('total_transactions')} || ' | ' || "
-              f"{fmt_dec('total_amount')} || ' | ' || {fmt_dec('avg_amount')} || ' | ' || "
-              f"{fmt_dec('approval_rate')} || '% |'"),
-        table(5, R.H_CATEGORY, R.T_CATEGORY, "by_category",
-              "total_transactions DESC, category",
-              f"'| ' || category || ' | ' || {fmt_int('total_transactions')} || ' | ' || "
-              f"{fmt_dec('total_amount')} || ' | ' || {fmt_dec('percentage')} || '% |'"),
-        table(6, R.H_TIME, R.T_TIME, "by_time_slot", f"{slot_rank} NULLS LAST, time_slot",
-              f"'| ' || time_slot || ' | ' || {fmt_int('total_transactions')} || ' | ' || "
-              f"{fmt_dec('total_amount')} || ' | ' || {fmt_int('declined_count')} || ' |'"),
+              cells("country", fmt_int("total_transactions"), money("total_amount"),
+                    "'€' || " + cents("avg_amount"), rate("approval_rate"))),
+        table(5, "## ANÁLISIS POR CATEGORÍA",
+              ("| Categoría | Transacciones | Monto Total | Porcentaje |",
+               "|-----------|---------------|-------------|------------|"),
+              "by_category", "total_transactions DESC, category",
+              cells("category", fmt_int("total_transactions"), money("total_amount"), rate("percentage"))),
+        table(6, "## ANÁLISIS TEMPORAL",
+              ("| Franja Horaria | Transacciones | Monto Total | Rechazadas |",
+               "|----------------|---------------|-------------|------------|"),
+              "by_time_slot", f"{slot_rank} NULLS LAST, time_slot",
+              cells("time_slot", fmt_int("total_transactions"), money("total_amount"), plain("declined_count"))),
         fixed(7, [
-            (0, lit(R.H_CONCLUSIONS)),
-            (1, f"{lit(R.C_PROCESSED[0])} || {fmt_int('total_transactions')} || {lit(R.C_PROCESSED[1])}"),
-            (2, f"{lit(R.C_APPROVAL)} || {fmt_dec('approval_rate')} || '%'"),
-            (3, f"{lit(R.C_ALERTS[0])} || {fmt_int('total_alerts')} || {lit(R.C_ALERTS[1])}"),
+            lit("## CONCLUSIONES"),
+            f"'1. Se procesaron ' || {fmt_int('total_transactions')} || ' transacciones'",
+            f"'2. Tasa de aprobación: ' || {rate('approval_rate')}",
+            f"'3. Se detectaron ' || {plain('total_alerts')} || ' alertas de posible fraude'",
         ]),
     ]
     lines = " UNION ALL ".join(f"({p})" for p in parts)
-    rule, blank = lit(R.TXT_RULE), "''"
+    rule, blank = lit("=" * 80), "''"
     text_items = [
-        rule, lit(R.TXT_TITLE), rule, blank,
-        f"{lit(R.TXT_PERIOD)} || period_start || ' a ' || period_end",
-        blank, rule, lit(R.TXT_SUMMARY), rule, blank, lit(R.TXT_METRICS),
-        f"{lit(R.TXT_TOTAL)} || {fmt_int('total_transactions')}",
-        f"{lit(R.TXT_CUSTOMERS)} || {fmt_int('unique_customers')}",
-        f"{lit(R.TXT_AMOUNT)} || {fmt_dec('total_amount')}",
-        f"{lit(R.TXT_AVG)} || printf('%.2f', avg_amount)",
-        blank, lit(R.TXT_STATUS),
-        f"{lit(R.TXT_APPROVED)} || {fmt_int('approved')} || ' (' || "
+        rule, lit('REPORTE DE ANÁLISIS BANCARIO'), rule, blank,
+        f"{lit('Período analizado: ')} || period_start || ' a ' || period_end",
+        blank, rule, lit('RESUMEN EJECUTIVO'), rule, blank, lit('MÉTRICAS GENERALES:'),
+        f"{lit('  - Total transacciones procesadas: ')} || {fmt_int('total_transactions')}",
+        f"{lit('  - Clientes únicos: ')} || {fmt_int('unique_customers')}",
+        f"{lit('  - Monto total procesado: ')} || {fmt_dec('total_amount')}",
+        f"{lit('  - Monto promedio: ')} || printf('%.2f', avg_amount)",
+        blank, lit('DISTRIBUCIÓN DE ESTADOS:'),
+        f"{lit('  - Aprobadas: ')} || {fmt_int('approved')} || ' (' || "
         f"CAST(approval_rate AS VARCHAR) || '%)'",
-        f"{lit(R.TXT_DECLINED)} || {fmt_int('declined')}",
-        f"{lit(R.TXT_FRAUD)} || {fmt_int('fraud')}",
-        f"{lit(R.TXT_PENDING)} || {fmt_int('pending')}",
-        blank, lit(R.TXT_ALERTS),
-        f"{lit(R.TXT_ALERT_TOTAL)} || CAST(total_alerts AS VARCHAR)",
-        f"{lit(R.TXT_DETECTION)} || CAST(detection_rate AS VARCHAR) || '%'",
+        f"{lit('  - Rechazadas: ')} || {fmt_int('declined')}",
+        f"{lit('  - Fraude: ')} || {fmt_int('fraud')}",
+        f"{lit('  - Pendientes: ')} || {fmt_int('pending')}",
+        blank, lit('ALERTAS DE FRAUDE:'),
+        f"{lit('  - Total alertas detectadas: ')} || CAST(total_alerts AS VARCHAR)",
+        f"{lit('  - Tasa de detección: ')} || CAST(detection_rate AS VARCHAR) || '%'",
         blank, rule,
     ]
     text = " UNION ALL ".join(f"SELECT {i} AS line_no, {e} AS line FROM summary"
@@ -639,6 +690,12 @@ def report_sql() -> dict[str, str]:
     return {
         "report_text": base + text,
         "report_summary": base + "SELECT * FROM summary",
+        "report_summary_json": base + """SELECT '2025-01-01 00:00:00' AS fecha_generacion,
+  period_start || ' a ' || period_end AS periodo_analizado,
+  total_transactions AS total_transacciones, unique_customers AS clientes_unicos,
+  total_amount AS monto_total, avg_amount AS monto_promedio, approved AS aprobadas,
+  declined AS rechazadas, fraud AS fraude, pending AS pendientes, approval_rate AS tasa_aprobacion,
+  total_alerts AS total_alertas, detection_rate AS tasa_deteccion FROM summary""",
         "report_status": base + "SELECT * FROM status_dist",
         "report_country": base + "SELECT * FROM by_country ORDER BY total_amount DESC NULLS LAST, "
                                  "country LIMIT 10",

@@ -9,6 +9,8 @@ they read back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -50,28 +52,49 @@ def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.enrich(raw(spark, sf_dir), S)
 
 
+def timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calendar and amount band only: all that most analyses read."""
+    return T.create_amount_categories(T.extract_temporal_features(raw(spark, sf_dir)))
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RU.detect_fraud_patterns(processed(spark, sf_dir), S.thresholds)
 
 
-_written: dict[tuple[str, str], str] = {}
+_written: dict[tuple, str] = {}
+
+
+def _key(spark: SparkSession, sf_dir: str) -> tuple:
+    """The session and the state of the input: its files, sizes and times."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    state = []
+    for name in ("events", "customer", "nation", "region"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        state += [(str(f.getPath()), f.getLen(), f.getModificationTime())
+                  for f in path.getFileSystem(conf).listStatus(path)]
+    return (spark.sparkContext.applicationId, sf_dir, *sorted(state))
 
 
 def written_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The processed table written once per session and input as a
-    partitioned Parquet table; later queries read it back (lineage cut)."""
+    """The processed table written once per session and state of the input as
+    a partitioned Parquet table; later queries read it back (lineage cut)."""
+    return IO.read_parquet(spark, written_path(spark, sf_dir))
+
+
+def written_path(spark: SparkSession, sf_dir: str) -> str:
     configure(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = _key(spark, sf_dir)
     path = _written.get(key)
     if path is not None:
         try:
-            return IO.read_parquet(spark, path)
+            IO.read_parquet(spark, path)
+            return path
         except AnalysisException:  # the folder was removed: write it again
             pass
     path = scratch_path(spark, "processed")
     IO.write_partitioned(processed(spark, sf_dir), path)
     _written[key] = path
-    return IO.read_parquet(spark, path)
+    return path
 
 
 def written_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,17 +119,18 @@ ORACLE: dict[str, str] = {}
 
 # ------------------------------------------------------------ A1-A10
 for _name, _fn in A.ANALYSES.items():
-    QUERIES[_name] = _on(processed, _fn)
+    needs_score = _name in ("fraud_rate_by_hour", "high_value_declined")
+    QUERIES[_name] = _on(processed if needs_score else timed, _fn)
     ORACLE[_name] = O.over_enriched(O.ANALYSES_SQL[_name])
 
 # ------------------------------------------------------------ T1-T14
 QUERIES.update({
-    "feat_temporal": lambda s, d: processed(s, d).select(
+    "feat_temporal": lambda s, d: timed(s, d).select(
         "transaction_id", "year", "month", "day", "hour", "day_of_week",
         F.unix_timestamp("timestamp_dt").alias("epoch_seconds")),
-    "feat_time_slot": _select(processed, "transaction_id", "hour", "time_slot"),
-    "feat_weekend": _select(processed, "transaction_id", "day_of_week", "is_weekend"),
-    "feat_amount_category": _select(processed, "transaction_id", "amount", "amount_category"),
+    "feat_time_slot": _select(timed, "transaction_id", "hour", "time_slot"),
+    "feat_weekend": _select(timed, "transaction_id", "day_of_week", "is_weekend"),
+    "feat_amount_category": _select(timed, "transaction_id", "amount", "amount_category"),
     "feat_prev_gap": _select(processed, "transaction_id", "customer_id",
                              "minutes_since_last_transaction"),
     "feat_customer_count": _count_by(processed, "customer_id", "customer_transaction_count",
@@ -210,18 +234,25 @@ def io_write_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def io_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ten results written as JSON and read back: rows and the sum of a
+    whole-number column of each."""
     t = written_processed(spark, sf_dir)
     cube_path = scratch_path(spark, "analysis-cube")
     IO.write_parquet(A.analysis_cube(t, S.thresholds), cube_path)
     results = A.analyses_from_cube(IO.read_parquet(spark, cube_path), t)
     base = scratch_path(spark, "analytics")
     IO.write_results_json(results, base)
-    return IO.read_results_json(spark, base, "by_country", results["by_country"].schema)
+    back = []
+    for name, df in results.items():
+        column = "transaction_id" if name == "high_value_declined" else "total_transactions"
+        back.append(IO.read_results_json(spark, base, name, df.schema).agg(
+            F.lit(name).alias("result"), F.count(F.lit(1)).alias("rows"), F.sum(column).alias("total")))
+    return reduce(DataFrame.unionByName, back)
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> None:
     t = written_processed(spark, sf_dir)
-    K.create_transactions_table(spark, _written[(spark.sparkContext.applicationId, sf_dir)])
+    K.create_transactions_table(spark, written_path(spark, sf_dir))
     alerts_path = scratch_path(spark, "alerts")
     verify = IO.write_verified(
         RU.fraud_alerts(RU.detect_fraud_patterns(t, S.thresholds)), alerts_path,
@@ -285,10 +316,27 @@ def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                           A.by_time_slot(t))
 
 
+def report_summary_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary written as JSON and read back, its groups as columns."""
+    summary, path = _summary(spark, sf_dir), scratch_path(spark, "summary-json")
+    R.write_summary_json(summary, path, F.lit("2025-01-01 00:00:00"))
+    back = spark.read.schema(R.summary_json(summary).schema).json(path)
+    return back.select("fecha_generacion", "periodo_analizado", *[f"{g}.*" for g in R.JSON_GROUPS])
+
+
+def _run(spark: SparkSession, sf_dir: str):
+    """All six stages over the dirty variant, with its own domains."""
+    return run_all(spark, dirty(spark, sf_dir), replace(S, domains=testdata_domains()))
+
+
 def stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run all six stages over the full input; one row per stage."""
-    res = run_all(spark, raw(spark, sf_dir), S)
-    return res.to_df(spark).select("stage", "status", "rows")
+    """One row per stage of the run."""
+    return _run(spark, sf_dir).to_df(spark).select("stage", "status", "rows")
+
+
+def stage_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The validation report that the run wrote."""
+    return spark.read.schema(V.REPORT_SCHEMA).json(f"{_run(spark, sf_dir).paths['ingest']}/validation_report")
 
 
 QUERIES.update({
@@ -299,11 +347,13 @@ QUERIES.update({
     "report_time": lambda s, d: R.report_time(A.by_time_slot(written_processed(s, d))),
     "report_lines": report_lines,
     "report_text": lambda s, d: R.text_report_lines(_summary(s, d)),
-    "report_summary_json": lambda s, d: R.summary_json(_summary(s, d)),  # rows-only
-    "stage_metrics": stage_metrics,                                      # rows-only
+    "report_summary_json": report_summary_json,
+    "stage_metrics": stage_metrics,
+    "stage_validation": stage_validation,
 })
 ORACLE.update(O.report_sql())
 ORACLE["stage_metrics"] = O.STAGE_SQL
+ORACLE["stage_validation"] = ORACLE["quality_report"]
 
 
 def queries() -> dict[str, Query]:

@@ -46,6 +46,16 @@ class RunResult:
             self.metrics, "stage string, status string, rows long, seconds double")
 
 
+def _rows(verify: DataFrame, expected: int | None = None) -> int:
+    """The rows read back; raises when they differ from those written (or
+    from those expected)."""
+    got = verify.first()
+    for want in (got["written_rows"], expected):
+        if want is not None and got["read_rows"] != want:
+            raise RuntimeError(f"{got['read_rows']} rows read back, {want} expected")
+    return got["read_rows"]
+
+
 def ingest(spark: SparkSession, raw: DataFrame, base: str, s: Settings, res: RunResult) -> int:
     """Validate, then clean and write.
 
@@ -61,21 +71,31 @@ def ingest(spark: SparkSession, raw: DataFrame, base: str, s: Settings, res: Run
     keys = Observation("keys")
     deduped = C.deduplicate(C.trim_strings(raw)).observe(keys, F.count(F.lit(1)).alias("keys"))
     path = f"{base}/validated"
-    verify = IO.write_verified(C.drop_incomplete(deduped), path).first()
+    n = _rows(IO.write_verified(C.drop_incomplete(deduped), path))
     metrics["duplicates__transaction_id"] = metrics["total__*"] - keys.get["keys"]
     missing = [f.name for f in RAW_SCHEMA.fields if f.name not in raw.columns]
     # one row per column and check: bounded by the schema, not the data
     res.values["validation"] = V.report_rows(metrics, missing)
+    res.values["validated_rows"] = n
     res.paths["validated"] = path
-    return verify["read_rows"]
+    found = {
+        "validation_report": spark.createDataFrame(res.values["validation"], V.REPORT_SCHEMA).coalesce(1),
+        "ingest_summary": spark.createDataFrame(
+            [(metrics["total__*"], n, metrics["duplicates__transaction_id"])],
+            "original_records long, validated_records long, duplicates_removed long").coalesce(1),
+    }
+    IO.write_results_json(found, f"{base}/ingest")
+    res.paths["ingest"] = f"{base}/ingest"
+    return n
 
 
 def transform(spark: SparkSession, base: str, s: Settings, res: RunResult) -> int:
     validated = IO.read_parquet(spark, res.paths["validated"])
     path = f"{base}/processed"
-    verify = IO.write_verified(T.enrich(validated, s), path, PARTITION_COLUMNS).first()
+    n = _rows(IO.write_verified(T.enrich(validated, s), path, PARTITION_COLUMNS),
+              res.values["validated_rows"])
     res.paths["processed"] = path
-    return verify["read_rows"]
+    return n
 
 
 def fraud(spark: SparkSession, base: str, s: Settings, res: RunResult) -> int:
@@ -83,8 +103,14 @@ def fraud(spark: SparkSession, base: str, s: Settings, res: RunResult) -> int:
     scored = RU.detect_fraud_patterns(processed, s.thresholds)
     path = f"{base}/fraud_alerts.parquet"
     # a selective filter over every scan task: rebalanced into sized files
-    verify = IO.write_verified(RU.fraud_alerts(scored), path, rebalance=True).first()
-    n = verify["read_rows"]
+    n = _rows(IO.write_verified(RU.fraud_alerts(scored), path, rebalance=True))
+    summaries = {
+        "fraud_totals": RU.fraud_totals(scored), "fraud_by_priority": RU.fraud_by_priority(scored),
+        "fraud_by_country": RU.fraud_by_country(scored), "fraud_rule_hits": RU.fraud_rule_hits(scored),
+        "fraud_top_risk": RU.fraud_top_risk(scored),
+    }
+    IO.write_results_json(summaries, f"{base}/fraud_summary")
+    res.paths["fraud_summary"] = f"{base}/fraud_summary"
     if n > 0:
         res.paths["alerts"] = path
         alerts = IO.read_parquet(spark, path)
@@ -108,7 +134,8 @@ def analyses(spark: SparkSession, base: str, s: Settings, res: RunResult) -> int
     a pushed-down top-k over the table."""
     table = spark.table(K.TRANSACTIONS_TABLE)
     cube_path = f"{base}/analysis_cube"
-    IO.write_parquet(A.analysis_cube(table, s.thresholds), cube_path)
+    # a folder per grouping set: each result reads its own rows only
+    A.analysis_cube(table, s.thresholds).write.mode("overwrite").partitionBy("grouping_set").parquet(cube_path)
     res.paths["analysis_cube"] = cube_path
     cube = IO.read_parquet(spark, cube_path)
     results = A.analyses_from_cube(cube, table)
@@ -139,7 +166,8 @@ def reports(spark: SparkSession, base: str, s: Settings, res: RunResult) -> int:
                 spark, res.paths["analytics"], name,
                 A.ANALYSES[name](processed).schema)
     lines = R.report_lines(_summary_from_json(flat), saved.get("by_country"),
-                           saved.get("by_category"), saved.get("by_time_slot"))
+                           saved.get("by_category"), saved.get("by_time_slot"),
+                           F.lit(flat.first()["fecha_generacion"]))     # one row
     R.write_report(lines, f"{path}/report_md")
     done = [m[0] for m in res.metrics if m[1] == "ok"] + ["reports"]
     R.write_text_report(

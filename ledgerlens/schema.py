@@ -62,7 +62,6 @@ RULE_FIELDS = [
     StructField("fraud_reasons", StringType(), True),
 ]
 
-ALERT_COLUMNS = PROCESSED_COLUMNS + [f.name for f in RULE_FIELDS]
 
 # Columns of the alerts external table, in its DDL order (18 of 34).
 ALERT_TABLE_COLUMNS = [

@@ -25,25 +25,45 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+# marks the tables this library made; others of the same name are left alone
+OWNED = "ledgerlens.created"
+
+
 def transactions_ddl(location: str, name: str = TRANSACTIONS_TABLE) -> str:
     cols = column_ddl(PROCESSED_SCHEMA)
     parts = ", ".join(PARTITION_COLUMNS)
     return (f"CREATE TABLE {name} ({cols}) USING PARQUET "
-            f"PARTITIONED BY ({parts}) LOCATION '{location}'")
+            f"PARTITIONED BY ({parts}) LOCATION '{location}' TBLPROPERTIES ('{OWNED}' = 'true')")
 
 
 def alerts_ddl(location: str, name: str = ALERTS_TABLE) -> str:
     fields = {f.name: f for f in list(PROCESSED_SCHEMA.fields) + RULE_FIELDS}
     schema = StructType([fields[c] for c in ALERT_TABLE_COLUMNS])
-    return f"CREATE TABLE {name} ({column_ddl(schema)}) USING PARQUET LOCATION '{location}'"
+    return (f"CREATE TABLE {name} ({column_ddl(schema)}) USING PARQUET LOCATION '{location}' "
+            f"TBLPROPERTIES ('{OWNED}' = 'true')")
+
+
+def drop_own(spark: SparkSession, name: str) -> None:
+    """Drop an external table of an earlier run (its files stay). A table,
+    managed or not, or a view of this name that the library did not make is
+    never touched: the call raises."""
+    if not spark.catalog.tableExists(name):
+        return
+    marks = {}
+    if spark.catalog.getTable(name).tableType == "EXTERNAL":
+        marks = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    if marks.get(OWNED) != "true":
+        raise ValueError(f"{name} exists and was not made by this library; choose another name or schema")
+    spark.sql(f"DROP TABLE {name}")
 
 
 def create_transactions_table(spark: SparkSession, location: str,
                               name: str = TRANSACTIONS_TABLE) -> str:
     """S11 + S13: external partitioned table over written Parquet, then
-    partition recovery. Returns the DDL that was run."""
+    partition recovery. Returns the DDL that was run. ``name`` may carry a
+    schema (``db.table``)."""
     ddl = transactions_ddl(location, name)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    drop_own(spark, name)
     spark.sql(ddl)
     spark.sql(f"MSCK REPAIR TABLE {name}")
     return ddl
@@ -51,12 +71,12 @@ def create_transactions_table(spark: SparkSession, location: str,
 
 def create_alerts_table(spark: SparkSession, location: str | None,
                         name: str = ALERTS_TABLE) -> str | None:
-    """Alerts table with the 18 DDL columns; skipped (None) when no
-    alerts were written."""
+    """Alerts table with the 18 DDL columns; without alerts (None) there
+    is no table, and one of an earlier run goes."""
+    drop_own(spark, name)
     if location is None:
         return None
     ddl = alerts_ddl(location, name)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(ddl)
     return ddl
 

@@ -5,10 +5,10 @@ per-customer gap (T6-T8) becomes keyed state: for each customer the last
 timestamp and the number of rows seen so far. Within a micro-batch a
 customer's rows are ordered by (timestamp, transaction_id), as in batch; the
 first row continues from the stored state. ``customer_transaction_count`` is
-the running count (the stream has no final total). A row older than the
-customer's stored timestamp is compared with that timestamp anyway (arrival
-order across micro-batches); feed files in time order for batch-equal
-results.
+the running count (the stream has no final total). The state keeps the
+customer's latest timestamp: a row that arrives after a later one has no gap
+(NULL) and leaves the state as it is, as do rows without a timestamp; feed
+files in time order for batch-equal results.
 
 A customer's rows of one micro-batch are held together in one task, so the
 micro-batch size (``maxFilesPerTrigger``) bounds the memory per key.
@@ -50,14 +50,20 @@ def _gap_state(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator
     micros = pdf["_micros"].astype("Float64")
     prev = micros.shift(1)
     if len(prev):
-        prev.iloc[0] = np.nan if last is None else float(last)
+        prev.iloc[0] = np.nan
+        if last is not None:
+            # rows up to the stored time (late, or without a time) do not hide it
+            behind = prev.isna() | (prev < float(last))
+            prev = prev.mask(behind, float(last))
     secs_now = (micros // 1_000_000)
     secs_prev = (prev // 1_000_000)
     gap = ((secs_now - secs_prev) / 60.0).astype("float64")
-    pdf["minutes_since_last_transaction"] = gap.where(prev.notna() & micros.notna())
+    # a row that arrives after a later one has no gap: what it followed is gone
+    pdf["minutes_since_last_transaction"] = gap.where(prev.notna() & micros.notna() & (gap >= 0))
     pdf["customer_transaction_count"] = np.arange(seen + 1, seen + 1 + len(pdf), dtype="int64")
-    tail = pdf["_micros"].iloc[-1] if len(pdf) else last
-    state.update((None if pd.isna(tail) else int(tail), int(seen + len(pdf))))
+    # late rows and rows without a time never set the state back
+    known = [int(m) for m in pdf["_micros"].dropna()] + ([] if last is None else [int(last)])
+    state.update((max(known) if known else None, int(seen + len(pdf))))
     yield pdf.drop(columns=["_micros"])
 
 

@@ -21,7 +21,7 @@ def test_entry_smoke(spark):
 def test_every_query_has_oracle_or_is_rows_only():
     from ledgerlens.plans.registry import oracle_sql, queries
     rows_only = set(queries()) - set(oracle_sql())
-    assert rows_only == {"report_summary_json"}
+    assert rows_only == set()
     assert set(oracle_sql()) <= set(queries())
 
 

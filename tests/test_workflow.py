@@ -74,7 +74,7 @@ def test_missing_saved_results_is_none(spark):
 def test_report_without_saved_results(spark):
     s = R.executive_summary(registry.scored(spark, SF001))
     sections = {r["section"] for r in R.report_lines(s).collect()}
-    assert sections == {"resumen", "estados", "alertas", "conclusiones"}
+    assert sections == {"resumen", "estados", "alertas", "pais", "categoria", "temporal", "conclusiones"}
 
 
 def test_status_always_four_rows(spark):
