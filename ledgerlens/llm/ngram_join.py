@@ -1,7 +1,8 @@
 """N-gram Jaccard join with a count-vector R-tree.
 
 Every document is its set of distinct 5-word shingles, hashed. The hashes fall
-into ``GROUPS`` groups; the counts per group are the document's point. Two sets
+into groups (more of them for larger sets); the counts per group are the
+document's point. Two sets
 overlap at most in the sum, over the groups, of the smaller count, so points
 are packed into an R-tree whose boxes bound the overlap of everything below
 them: ``sum(min(upper_a, upper_b))`` must reach ``t / (1 + t) * (|a| + |b|)``.
@@ -9,8 +10,7 @@ Pairs that survive are verified on the exact sets.
 
 To run on many machines the points are dealt to trees by shingle: similar sets
 share one among their first ``n / 5 + 1`` shingles in any fixed order of all
-shingles. The order puts shingles that many documents share last (counted over
-all documents), so a passage that many documents quote brings none of them
+shingles. The order puts shingles that many documents share last, so a passage that many documents quote brings none of them
 together by itself.
 
 1. Equal sets are one vertex (``members`` keeps who has which set).
@@ -19,7 +19,8 @@ together by itself.
 3. Only shingles whose vertices still lie in different components are looked at
    again: their points are packed into R-trees, pairs across components that
    survive the bound are verified and merge components. Pairs inside a
-   component need no check. Very large groups are cut into blocks, and every
+   component need no check, and shingles that the same vertices share ask once.
+   Very large groups are cut into blocks, and every
    pair of blocks is a tree of its own, so no pair is left out.
 
 The result is exact up to collisions of 64-bit shingle hashes.
@@ -47,25 +48,43 @@ from .components import components
 from .shingles import shingle_sets
 
 WIDTH, SIMILARITY = 5, 80
-GROUPS = 128
+MIN_GROUPS, MAX_GROUPS = 32, 1 << 14
 LEAF = 32                        # points in a leaf of the tree
-HEAVY = 64                       # documents from which a shingle goes last in the order
-MAX_HEAVY = 1_000_000            # so many go last at most (8 MB): the bar rises with the corpus
+HEAVY, TWICE = 32, 2             # documents from which a shingle goes last in the order
+MAX_HEAVY = 1_000_000            # so many go last at most (8 MB)
+BITMAP_BITS = 27                 # bitmap of shared shingles: 16 MB at any size
 BLOCK = 4096                     # points in a tree; larger groups are cut into blocks
 MAX_BROADCAST_KEYS = 300_000
 
 
 # ------------------------------------------------------------------ points
 
+def _groups_of(n: int) -> int:
+    """Groups of a set of ``n`` hashes: half the power of two at or below it,
+    so a count is two to four on average at any size."""
+    return min(MAX_GROUPS, max(MIN_GROUPS, (1 << n.bit_length()) // 4))
+
+
 def _point(hashes: np.ndarray) -> bytes:
-    """Counts per group, in the smallest integers that hold them."""
-    counts = np.bincount((hashes & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
+    """Counts per group, in the smallest integers that hold them; the first
+    byte tells their width."""
+    groups = _groups_of(len(hashes))
+    counts = np.bincount((hashes & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
     most = int(counts.max(initial=0))
-    return counts.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4").tobytes()
+    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
 
+def _counts(blob: bytes, groups: int | None = None) -> np.ndarray:
+    """The counts, folded to fewer groups (places modulo ``groups``)."""
+    counts = np.frombuffer(blob, f"<u{blob[0]}", offset=1).astype(np.int32)
+    return counts if groups in (None, len(counts)) else counts.reshape(-1, groups).sum(axis=0)
 
-def _points(blobs) -> np.ndarray:
-    return np.array([np.frombuffer(b, f"<u{len(b) // GROUPS}") for b in blobs], np.int32).reshape(len(blobs), GROUPS)
+
+def _overlap(a: bytes, b: bytes) -> int:
+    """The most that two sets can share."""
+    groups = min((len(a) - 1) // a[0], (len(b) - 1) // b[0])
+    return int(np.minimum(_counts(a, groups), _counts(b, groups)).sum())
 
 
 def _reach(low_a, high_a, low_b, high_b, overlap, t: int):
@@ -87,6 +106,14 @@ class RTree:
         self.high = np.maximum.reduceat(self.sizes, self.cuts)
         self.upper = np.maximum.reduceat(self.points, self.cuts, axis=0)
 
+    def folded(self, groups: int) -> RTree:
+        """The same points with fewer groups."""
+        points = np.empty((len(self.sizes), groups), np.int32)
+        points[self.order] = self.points.reshape(len(self.sizes), -1, groups).sum(axis=1)
+        sizes = np.empty_like(self.sizes)
+        sizes[self.order] = self.sizes
+        return RTree(sizes, points)
+
     def pairs(self, other: RTree, t: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Places (in the order given) of pairs that may be similar, leaf by
         leaf; of a tree with itself each pair once."""
@@ -126,18 +153,20 @@ def _members(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", keyed("text").alias("s")).select("doc_id", "s.*")
 
 
-def _heavy(docs: DataFrame, total: int, t: int) -> np.ndarray:
-    """Sorted hashes of the shingles that go last: those in the first places of
-    many documents, counted over all of them."""
-    bar = max(HEAVY, -(-total // MAX_HEAVY))
-
+def _heavy(docs: DataFrame, t: int) -> np.ndarray:
+    """Sorted hashes of the shingles that go last: those that many documents
+    have among their first ones. Every document is counted; a task tells only
+    what it saw ``TWICE`` or more, so the bar rises with the number of tasks,
+    that is with the corpus (only the order depends on it, never a result)."""
     def firsts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = [np.zeros(0, np.uint64)]
         for batch in batches:
-            found = [h[:_first(len(h), t)] for h in shingle_sets(list(batch["text"]), WIDTH)]
-            token, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_counts=True)
-            yield pd.DataFrame({"token": token.view(np.int64), "n": n})
+            found += [h[:_first(len(h), t)].copy() for h in shingle_sets(list(batch["text"]), WIDTH)]
+        token, n = np.unique(np.concatenate(found), return_counts=True)
+        yield pd.DataFrame({"token": token[n >= TWICE].view(np.int64), "n": n[n >= TWICE]})
     counted = docs.select("text").mapInPandas(firsts, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    rows = counted.filter(F.col("n") >= bar).select("token").toPandas()    # at most MAX_HEAVY numbers
+    most = counted.filter(F.col("n") >= HEAVY).orderBy(F.desc("n"), "token").limit(MAX_HEAVY)
+    rows = most.select("token").toPandas()                 # at most MAX_HEAVY numbers
     return np.sort(rows["token"].to_numpy(np.int64).view(np.uint64))
 
 
@@ -166,14 +195,20 @@ def _vertices(docs: DataFrame, heavy: np.ndarray, t: int) -> DataFrame:
 
 
 def _exact_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """``v, hashes`` of the needed vertices ``(key, v)``, from the texts."""
+    """``v, hashes`` of the needed vertices ``(key, rep, v)``, from the texts
+    of the documents that stand for them."""
     @F.pandas_udf("key binary, hashes binary")
     def keyed(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([(_key(h), h.tobytes()) for h in shingle_sets(list(texts), WIDTH)], columns=["key", "hashes"])
     needed = stored(needed, "op10-needed")
-    small = needed.count() <= MAX_BROADCAST_KEYS           # 24 bytes each
-    sets = docs.select(keyed("text").alias("s")).select("s.*").join(F.broadcast(needed) if small else needed, "key")
-    return stored(sets.groupBy("v").agg(F.first("hashes").alias("hashes")), "op10-sets")
+    small = needed.count() <= MAX_BROADCAST_KEYS           # 32 bytes each
+    if small:      # texts of other documents are not hashed again
+        docs = docs.join(F.broadcast(needed.select(F.col("rep").alias("_rep")).distinct()),
+                         F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi")
+    sets = docs.select("doc_id", keyed("text").alias("s")).select("doc_id", "s.*").alias("d").join(
+        (F.broadcast(needed) if small else needed).alias("w"),
+        (F.col("d.key") == F.col("w.key")) & F.col("d.doc_id").eqNullSafe(F.col("w.rep")))
+    return stored(sets.select("v", "hashes"), "op10-sets")
 
 
 # ------------------------------------------------------------------ pairs
@@ -181,7 +216,7 @@ def _exact_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
 def _verified(docs: DataFrame, vertices: DataFrame, pairs: DataFrame, t: int) -> DataFrame:
     """The pairs ``(a, b)`` that are similar."""
     ends = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).distinct()
-    sets = _exact_sets(docs, vertices.select("key", "v").join(ends, "v").select("key", "v"))
+    sets = _exact_sets(docs, vertices.select("key", "rep", "v").join(ends, "v").select("key", "rep", "v"))
 
     @F.pandas_udf("boolean")
     def similar(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -193,7 +228,7 @@ def _verified(docs: DataFrame, vertices: DataFrame, pairs: DataFrame, t: int) ->
         return pd.Series(out, dtype=bool)
     one = pairs.join(sets.select(F.col("v").alias("a"), F.col("hashes").alias("x")), "a")
     two = one.join(sets.select(F.col("v").alias("b"), F.col("hashes").alias("y")), "b")
-    return stored(two.filter(similar("x", "y")).select("a", "b"), "op10-links")
+    return stored(two.filter(similar("x", "y")).select("a", "b").distinct(), "op10-links")
 
 
 def _bounded(vertices: DataFrame, pairs: DataFrame, t: int) -> DataFrame:
@@ -203,7 +238,7 @@ def _bounded(vertices: DataFrame, pairs: DataFrame, t: int) -> DataFrame:
         if not len(na):
             return pd.Series([], dtype=bool)
         x, y = na.to_numpy(np.int64), nb.to_numpy(np.int64)
-        least = np.minimum(_points(pa), _points(pb)).sum(axis=1, dtype=np.int64)
+        least = np.fromiter(map(_overlap, pa, pb), np.int64, len(pa))
         return pd.Series(_reach(x, x, y, y, least, t))
     at = lambda end: vertices.select(F.col("v").alias(end), F.col("n").alias(f"n{end}"), F.col("point").alias(f"p{end}"))
     size = (100 * F.least("na", "nb") >= t * F.greatest("na", "nb"))
@@ -211,27 +246,53 @@ def _bounded(vertices: DataFrame, pairs: DataFrame, t: int) -> DataFrame:
     return stored(joined.filter(may("na", "pa", "nb", "pb")).select("a", "b"), "op10-pairs")
 
 
-def _tree_pairs(rows: pd.DataFrame, t: int) -> Iterator[pd.DataFrame]:
+def _forest(sizes: np.ndarray, blobs: list[bytes], places: np.ndarray) -> dict[int, tuple[RTree, np.ndarray]]:
+    """A tree per number of groups, with the places its points stand for."""
+    groups = np.array([_groups_of(int(n)) for n in sizes[places]])
+    forest = {}
+    for g in np.unique(groups).tolist():
+        own = places[groups == g]
+        forest[g] = (RTree(sizes[own], np.array([_counts(blobs[k]) for k in own])), own)
+    return forest
+
+
+def _forest_pairs(one: dict, two: dict, t: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs that may be similar. Similar sizes differ by less than a
+    factor of two, so a tree meets its own and the neighbouring numbers of
+    groups, folded to the smaller."""
+    for g, (tree, own) in one.items():
+        for h in (g // 2, g, 2 * g):
+            if h not in two or (one is two and h < g):
+                continue
+            other, theirs = two[h]
+            if h == g:
+                left, right = tree, tree if one is two else other
+            else:
+                left, right = (tree, other.folded(g)) if h > g else (tree.folded(h), other)
+            for i, j in left.pairs(right, t):
+                yield own[i], theirs[j]
+
+
+def _tree_pairs(rows: pd.DataFrame, t: int) -> pd.DataFrame:
     """Pairs across components among the rows of each (token, cell)."""
     rows = rows.sort_values(["token", "x", "y", "blk", "v"], kind="stable")
-    points, sizes = _points(rows["point"].tolist()), rows["n"].to_numpy(np.int64)
+    blobs, sizes = rows["point"].tolist(), rows["n"].to_numpy(np.int64)
     v, c, blk = (rows[k].to_numpy(np.int64) for k in ("v", "c", "blk"))
     cell = rows[["token", "x", "y"]].to_numpy(np.int64)
     new = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]).any(axis=1)]) if len(rows) else []
     found = set()
     for a, b in zip(new, [*new[1:], len(rows)]):
+        places = np.arange(a, b)
         if b - a < 2 or (c[a:b] == c[a]).all():
             continue
-        mid = a + int(np.searchsorted(blk[a:b], blk[b - 1]))
         if cell[a, 1] == cell[a, 2]:
-            tree = RTree(sizes[a:b], points[a:b])
-            hits = ((a + i, a + j) for i, j in tree.pairs(tree, t))
-        elif mid > a:
-            left, right = RTree(sizes[a:mid], points[a:mid]), RTree(sizes[mid:b], points[mid:b])
-            hits = ((a + i, mid + j) for i, j in left.pairs(right, t))
+            one = two = _forest(sizes, blobs, places)
         else:
-            continue
-        for i, j in hits:
+            first = blk[a:b] == blk[a]
+            if first.all():
+                continue
+            one, two = _forest(sizes, blobs, places[first]), _forest(sizes, blobs, places[~first])
+        for i, j in _forest_pairs(one, two, t):
             apart = c[i] != c[j]
             p, q = v[i[apart]], v[j[apart]]
             found.update(zip(np.minimum(p, q).tolist(), np.maximum(p, q).tolist()))
@@ -242,8 +303,12 @@ def _across(vertices: DataFrame, live: DataFrame, own: DataFrame, t: int) -> Dat
     """Pairs of vertices of different components that share a first shingle
     and whose points allow them to be similar, from R-trees."""
     placed = live.join(own, "v", "left").withColumn("c", F.coalesce("c", "v")).select("token", "v", "c")
-    mixed = placed.groupBy("token").agg(F.min("c").alias("one"), F.max("c").alias("two"), F.count(F.lit(1)).alias("m"))
-    mixed = mixed.filter("one <> two").select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    mixed = placed.groupBy("token").agg(
+        F.min("c").alias("one"), F.max("c").alias("two"), F.count(F.lit(1)).alias("m"), F.min("v").alias("low"),
+        F.max("v").alias("high"), F.sum(F.xxhash64("v").cast("decimal(38,0)")).alias("sign")).filter("one <> two")
+    # shingles with the same vertices ask the same question: one of them does
+    mixed = mixed.groupBy("m", "low", "high", "sign").agg(F.min("token").alias("token"))
+    mixed = mixed.select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
     rows = placed.join(mixed, "token").withColumn("blk", F.pmod(F.xxhash64("v"), F.col("blocks")))
     rows = rows.withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
         "token", "v", "c", "blk", F.least("blk", "o").alias("x"), F.greatest("blk", "o").alias("y"))
@@ -254,17 +319,40 @@ def _across(vertices: DataFrame, live: DataFrame, own: DataFrame, t: int) -> Dat
     return rows.groupBy("bucket").applyInPandas(lambda part: _tree_pairs(part, t), "a long, b long").distinct()
 
 
+def _shared(vertices: DataFrame) -> DataFrame:
+    """``token, v, first`` of the first shingles that two vertices or more
+    have; ``first`` is the smallest of them. All postings are counted once per
+    shingle; a bitmap of fixed size then keeps back most of those that stand
+    alone, so only the others are shuffled again."""
+    postings = vertices.select("v", F.explode("firsts").alias("token"))
+    shared = stored(postings.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("v").alias("first"))
+                    .filter("m > 1").select("token", "first"), "op10-shared")
+    place = f"(token & {(1 << BITMAP_BITS) - 1})"
+    words = shared.groupBy(F.expr(f"cast(shiftright({place}, 6) as int)").alias("w")).agg(
+        F.expr(f"bit_or(shiftleft(1L, cast({place} & 63 as int)))").alias("b")).toPandas()   # 2 ** 21 rows at most
+    bitmap = np.zeros(1 << BITMAP_BITS - 6, np.uint64)
+    bitmap[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64).view(np.uint64)
+    told = vertices.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf("array<long>")
+    def maybe(firsts: pd.Series) -> pd.Series:
+        bits, out = told.value, []
+        for f in firsts:
+            at = f.astype(np.int64).view(np.uint64) & np.uint64((1 << BITMAP_BITS) - 1)
+            out.append(f[(bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1])
+        return pd.Series(out)
+    left = vertices.select("v", F.explode(maybe("firsts")).alias("token"))
+    return stored(left.join(shared, "token"), "op10-live")
+
+
 def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                    similarity: int = SIMILARITY) -> DataFrame:
     """One row per row: ``doc_id, n_shingles, component_id``."""
     t = similarity
     docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_of(text_column).alias("text"))
     members = stored(_members(docs), "op10-members")
-    total = members.agg(F.sum(F.floor(F.col("n") * (100 - t) / 100) + 1)).first()[0] or 0
-    vertices = _vertices(docs, _heavy(docs, int(total), t), t)
-    postings = vertices.select("v", F.explode("firsts").alias("token"))
-    shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("v").alias("first")).filter("m > 1")
-    live = stored(postings.join(shared.select("token", "first"), "token"), "op10-live")
+    vertices = _vertices(docs, _heavy(docs, t), t)
+    live = _shared(vertices)
     stars = live.filter("v <> first").select(F.col("first").alias("a"), F.col("v").alias("b")).distinct()
     links = _verified(docs, vertices, _bounded(vertices, stars, t), t)
     own = stored(components(links), "op10-own")

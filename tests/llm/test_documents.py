@@ -362,11 +362,17 @@ def test_ngram_join_across_components_and_blocks(spark, monkeypatch):
 def test_tree_bound_loses_no_pair():
     import numpy as np
     rng = np.random.default_rng(5)
-    base = [rng.integers(0, 1 << 63, rng.integers(5, 80)).astype(np.uint64) for _ in range(40)]
+    base = [rng.integers(0, 1 << 63, rng.integers(5, 400)).astype(np.uint64) for _ in range(40)]
     sets = [np.unique(np.concatenate([b[:len(b) - rng.integers(0, 3)], rng.integers(0, 1 << 63, rng.integers(0, 3)).astype(np.uint64)]))
             for b in base for _ in range(4)]
-    tree = ngram_join.RTree(np.array([len(s) for s in sets]), ngram_join._points([ngram_join._point(s) for s in sets]))
-    found = {(min(i, j), max(i, j)) for a, b in tree.pairs(tree, 80) for i, j in zip(a.tolist(), b.tolist())}
+    blobs = [ngram_join._point(s) for s in sets]
+    forest = ngram_join._forest(np.array([len(s) for s in sets]), blobs, np.arange(len(sets)))
+    assert len(forest) > 1
+    found = {(min(i, j), max(i, j)) for a, b in ngram_join._forest_pairs(forest, forest, 80) for i, j in zip(a.tolist(), b.tolist())}
+    # two halves give what lies across
+    half = [ngram_join._forest(np.array([len(s) for s in sets]), blobs, np.arange(k, len(sets), 2)) for k in (0, 1)]
+    across = {(min(i, j), max(i, j)) for a, b in ngram_join._forest_pairs(*half, 80) for i, j in zip(a.tolist(), b.tolist())}
+    assert across == {(i, j) for i, j in found if (i + j) % 2}
     for i in range(len(sets)):
         for j in range(i):
             both = len(np.intersect1d(sets[i], sets[j]))
