@@ -53,7 +53,7 @@ def write_csv(df: DataFrame, path: str, files: int | None = None,
     rebalanced into files of about the advisory size (``rebalance=False``
     keeps the input's tasks, e.g. when reading an already sized table)."""
     if files:
-        out = df.coalesce(files)
+        out = df.repartition(files)    # only the export is dealt to so few tasks
     else:
         out = rebalanced(df) if rebalance else df
     out.write.mode("overwrite").option("header", True).csv(path)
