@@ -166,8 +166,8 @@ def _heavy(docs: DataFrame, t: int) -> np.ndarray:
         yield pd.DataFrame({"token": token[n >= TWICE].view(np.int64), "n": n[n >= TWICE]})
     counted = docs.select("text").mapInPandas(firsts, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     most = counted.filter(F.col("n") >= HEAVY).orderBy(F.desc("n"), "token").limit(MAX_HEAVY)
-    rows = most.select("token").toPandas()                 # at most MAX_HEAVY numbers
-    return np.sort(rows["token"].to_numpy(np.int64).view(np.uint64))
+    rows = most.select("token").toArrow()                  # at most MAX_HEAVY numbers
+    return np.sort(rows["token"].to_numpy().astype(np.int64).view(np.uint64))
 
 
 def _first(n: int, t: int) -> int:
@@ -327,19 +327,21 @@ def _shared(vertices: DataFrame) -> DataFrame:
     postings = vertices.select("v", F.explode("firsts").alias("token"))
     shared = stored(postings.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("v").alias("first"))
                     .filter("m > 1").select("token", "first"), "op10-shared")
-    place = f"(token & {(1 << BITMAP_BITS) - 1})"
-    words = shared.groupBy(F.expr(f"cast(shiftright({place}, 6) as int)").alias("w")).agg(
-        F.expr(f"bit_or(shiftleft(1L, cast({place} & 63 as int)))").alias("b")).toPandas()   # 2 ** 21 rows at most
-    bitmap = np.zeros(1 << BITMAP_BITS - 6, np.uint64)
-    bitmap[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64).view(np.uint64)
+    place = f"((token & {(1 << BITMAP_BITS) - 1}) + 1)"       # the functions count from 1
+    blocks = shared.groupBy(F.expr(f"bitmap_bucket_number({place})").alias("k")).agg(
+        F.expr(f"bitmap_construct_agg(bitmap_bit_position({place}))").alias("bits")).collect()
+    bitmap = np.zeros((1 << BITMAP_BITS - 15, 4096), np.uint8)   # at most as many rows of 4 KB
+    for r in blocks:
+        bitmap[r["k"] - 1] = np.frombuffer(r["bits"], np.uint8)
+    bitmap = bitmap.ravel()
     told = vertices.sparkSession.sparkContext.broadcast(bitmap)
 
     @F.pandas_udf("array<long>")
     def maybe(firsts: pd.Series) -> pd.Series:
         bits, out = told.value, []
         for f in firsts:
-            at = f.astype(np.int64).view(np.uint64) & np.uint64((1 << BITMAP_BITS) - 1)
-            out.append(f[(bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1])
+            at = f.astype(np.int64) & ((1 << BITMAP_BITS) - 1)
+            out.append(f[bits[at >> 3] >> (at & 7) & 1 == 1])
         return pd.Series(out)
     left = vertices.select("v", F.explode(maybe("firsts")).alias("token"))
     return stored(left.join(shared, "token"), "op10-live")
