@@ -35,11 +35,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Ship the package, set the session up: few rows per Arrow batch, so that
-    a batch of very long documents stays small."""
+    """Ship the package, set the session up: few rows and bytes per Arrow
+    batch, so that a batch of very long documents stays small."""
     configure(spark)
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
     return spark
 
 

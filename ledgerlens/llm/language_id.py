@@ -12,7 +12,8 @@ no prediction.
 Edge cases: a null text or one without letters is ``und`` with score 0; a null
 ``lang`` never trains; a null ``doc_id`` hashes as the empty string; without any
 training row every text is ``und`` with score 0; very long texts count whole;
-ties of scores go to the first language by code point.
+ties of scores go to the first language by code point. Of more than
+``MAX_LANGUAGES`` labels the most frequent are learned.
 """
 
 from __future__ import annotations

@@ -313,7 +313,7 @@ def _across(vertices: DataFrame, live: DataFrame, own: DataFrame, t: int) -> Dat
     rows = rows.withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
         "token", "v", "c", "blk", F.least("blk", "o").alias("x"), F.greatest("blk", "o").alias("y"))
     rows = stored(rows, "op10-rows")
-    buckets = max(1, -(-rows.count() // 20_000))
+    buckets = max(1, -(-rows.count() // 8_000))
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("token", "x", "y"), F.lit(buckets)))
     rows = rows.join(vertices.select("v", "n", "point"), "v")
     return rows.groupBy("bucket").applyInPandas(lambda part: _tree_pairs(part, t), "a long, b long").distinct()

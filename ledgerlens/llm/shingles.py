@@ -10,7 +10,7 @@ import numpy as np
 _BASE = 0x9E3779B97F4A7C15                      # odd: invertible modulo 2 ** 64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
-_BATCH_BYTES = 1_000_000
+_BATCH_BYTES = 400_000
 _SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 _BYTES = np.random.default_rng(20).integers(0, 1 << 64, 256, np.uint64, endpoint=False)
 
@@ -32,7 +32,7 @@ def _words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hash and start of every word: a polynomial over its bytes, taken as a
     difference of prefix sums."""
     raw = np.frombuffer(data, np.uint8)
-    size = 1 << max(20, int(len(raw) + 1).bit_length())
+    size = 1 << max(19, int(len(raw) + 1).bit_length())
     up, down = _powers(size)
     solid = ~_SPACE[raw]
     edge = np.diff(solid.astype(np.int8), prepend=0, append=0)
