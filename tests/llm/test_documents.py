@@ -77,6 +77,10 @@ def test_drop_copies_keeps_one_whole_row_each(docs):
     assert len(texts) == len(set(texts)) == len({normal(t) for _, t, *_ in fx.documents()})
 
 
+def test_exact_dedup_of_an_empty_table(empty):
+    assert exact_dedup.exact_dedup(empty).count() == 0 and exact_dedup.drop_copies(empty).count() == 0
+
+
 # ------------------------------------------------------------------ op2
 
 def test_fingerprints_of_edited_and_next_text(docs):
