@@ -117,6 +117,60 @@ def test_disguised_words_are_restored_and_scored(small):
     assert toxicity.SUSPECT.search(restorer.restore(clean)) is None or "stone river 42" in restorer.restore(clean)
 
 
+# every form of a disguise, for words of the training texts
+FORMS = {
+    "a sign at the end": ("worthle55", "worthless"), "signs at the end": ("worthle$$", "worthless"),
+    "a sign at the end of a sentence": ("worthle$$!", "worthless!"), "one sign at the end": ("idio7", "idiot"),
+    "one mark at the end": ("idio+", "idiot"), "one sign at the start": ("1diot", "idiot"), "a bar at the start": ("|diot", "idiot"),
+    "every letter doubled": ("iiddiioott", "idiot"), "doubled signs": ("mm00rr00nn", "moron"),
+    "spaced with signs": ("1 d 1 0 t", "idiot"), "spaced with a sign": ("m o r 0 n", "moron"),
+    "dotted with signs": ("i.d.1.o.t", "idiot"), "dashed with signs": ("m-0-r-0-n", "moron"),
+    "spaced, a sign near the end": ("w o r t h l e 5 s", "worthless"), "wide gaps": ("i  d  i  o  t", "idiot"),
+    "wider gaps with signs": ("m   0  r   0  n", "moron"), "spaced marks": ("i - d - i - o - t", "idiot"),
+}
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_every_form_of_a_disguise_is_read(small, form):
+    word, plain = FORMS[form]
+    assert toxicity.Restorer(_model(small)[0]).restore(word) == plain
+
+
+def test_planted_words_of_every_form_are_found_in_held_out_rows(spark, small):
+    """Whole texts that no training row holds: all three words disguised, as
+    plain words, and clean."""
+    import random
+    rng, rows = random.Random(16), []
+    for k, (word, plain) in enumerate(FORMS.values()):
+        clean = fx.words(rng, 40).split(" ")
+        hidden = {"idiot": "1 d 1 0 t", "moron": "m o r 0 n", "worthless": "worthle55"} | {plain.strip("!"): word}
+        for j, words in enumerate((hidden.values(), hidden, ())):
+            parts = clean.copy()
+            for at, x in zip((3, 14, 27), words):
+                parts[at] = x
+            rows.append((j * 1000 + k, " ".join(parts), None, None))
+    docs = fx.frame(spark, rows)
+    score = {r.doc_id: r.score for r in docs.select("doc_id", toxicity.scores(docs, _model(small)).alias("score")).collect()}
+    for k, form in enumerate(FORMS):
+        assert score[2000 + k] < 0.7 <= score[k], form
+        assert abs(score[k] - score[1000 + k]) < 0.05, form
+
+
+def test_common_text_is_left_alone(small):
+    restorer = toxicity.Restorer(_model(small)[0])
+    for text in ("stone river!", "under 42 - 17", "1 2 3 4 5", "stone, light.", "+1 (555) 010", "1.2.3.4", "seven-window"):
+        assert restorer.restore(text) == text
+
+
+_models: dict = {}
+
+
+def _model(small):
+    if "model" not in _models:
+        _models["model"] = toxicity.train_model(*small)
+    return _models["model"]
+
+
 def test_viterbi_takes_the_best_path(small):
     """Against trying every path of the lattice."""
     import itertools
