@@ -146,6 +146,6 @@ def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     maybe = probed.filter("_maybe").alias("m").join(
         keep.alias("k"), (F.col("m._h") == F.col("k._h")) & F.col("m._id").eqNullSafe(F.col("k._id"))
         & (F.col("m._n") == F.col("k._n"))).select(F.col("m._h").alias("_h"), "_doc")
-    # rows repeated whole: one of them
-    one = maybe.groupBy("_h").agg(F.min_by("_doc", F.col(f"_doc.`{text_column}`")).alias("_doc"))
+    # rows repeated whole: one of them (min_by gives null where all it orders by is null; a struct never is)
+    one = maybe.groupBy("_h").agg(F.min_by("_doc", F.struct(F.col(f"_doc.`{text_column}`"))).alias("_doc"))
     return straight.unionByName(one.select("_doc.*"))

@@ -77,6 +77,25 @@ def test_drop_copies_keeps_one_whole_row_each(docs):
     assert len(texts) == len(set(texts)) == len({normal(t) for _, t, *_ in fx.documents()})
 
 
+@pytest.mark.parametrize("rows", [
+    [(7, None, "en", "s0"), (8, "", "de", "s1"), (9, None, None, "s2"), (3, "stone", "en", "s0")],
+    [(8, None, "de", "s1"), (8, None, "de", "s1"), (None, None, "en", "s3")],
+    [(None, None, "en", "s0"), (None, "", "en", "s0")]])
+def test_drop_copies_keeps_the_row_of_null_and_empty_texts(spark, rows):
+    df = fx.frame(spark, rows)
+    want = sorted(str(r["doc_id"]) for r in rows_of(exact_dedup.exact_dedup(df)) if r["kept"])
+    kept = [tuple(r) for r in exact_dedup.drop_copies(df).collect()]
+    assert sorted(str(r[0]) for r in kept) == want
+    assert all(r in rows for r in kept)
+
+
+def test_drop_copies_keeps_a_lone_null_text_that_the_filter_takes_for_a_copy(spark, monkeypatch):
+    probe = exact_dedup._probe
+    monkeypatch.setattr(exact_dedup, "_probe", lambda *a: probe(*a).selectExpr("* except (_maybe)", "true as _maybe"))
+    df = fx.frame(spark, [(7, None, "en", "s0"), (3, "stone", "de", "s1")])
+    assert sorted(map(tuple, exact_dedup.drop_copies(df).collect())) == [(3, "stone", "de", "s1"), (7, None, "en", "s0")]
+
+
 def test_exact_dedup_of_an_empty_table(empty):
     assert exact_dedup.exact_dedup(empty).count() == 0 and exact_dedup.drop_copies(empty).count() == 0
 
