@@ -263,6 +263,22 @@ def test_pii_added_spans_and_scores(spark, empty):
     assert pii.pii(empty).count() == 0
 
 
+@pytest.mark.parametrize("text, iban", [
+    ("pay BE68 5390 0754 7034 BIC KREDBEBB", "BE68 5390 0754 7034"),
+    ("ES91 2100 0418 4502 0005 1332 2024", "ES91 2100 0418 4502 0005 1332"),
+    ("GB82WEST12345698765432 2024", "GB82WEST12345698765432"), ("NO93 8601 1117 947 USD", "NO93 8601 1117 947")])
+def test_pii_iban_before_a_word_or_number(spark, text, iban):
+    r = rows_of(pii.pii(spark.createDataFrame([(1, text)], "doc_id long, text string")))[0]
+    at = text.index(iban)
+    assert f"iban:{at}:{at + len(iban)}" in r["spans"].split(",")
+
+
+def test_pii_context_words_decide_an_added_span(spark):
+    texts = ["so DE89370400440532013000", "a sample DE89370400440532013000", "a sample iban DE89370400440532013000"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: "iban:" in r["spans"] for r in rows_of(pii.pii(df))} == {0: True, 1: False, 2: True}
+
+
 # ------------------------------------------------------------------ op6
 
 def test_language_id_on_held_out_rows(spark, empty):
