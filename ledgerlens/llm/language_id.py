@@ -12,8 +12,9 @@ no prediction.
 Edge cases: a null text or one without letters is ``und`` with score 0; a null
 ``lang`` never trains; a null ``doc_id`` hashes as the empty string; without any
 training row every text is ``und`` with score 0; very long texts count whole;
-ties of scores go to the first language by code point. Of more than
-``MAX_LANGUAGES`` labels the most frequent are learned.
+ties of scores go to the first language by code point. Every label with a
+training row is learned, however rare (the model has ``2 ** BITS`` weights a
+label).
 """
 
 from __future__ import annotations
@@ -26,13 +27,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import stored, text_of
 from .linear import Ftrl, letters, ngrams, softmax
 
 SIZES = (1, 2, 3)
 BITS = 15
 TRAIN_ROWS = 6_000
-MAX_LANGUAGES = 200
 EPOCHS = 2
 
 
@@ -69,13 +69,11 @@ def document_frequencies(train: DataFrame) -> DataFrame:
 
 def _sample(train: DataFrame, rows: int) -> DataFrame:
     """About ``rows`` rows, as many of each language, by a hash of the id."""
-    langs = train.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "_lang")
-    langs = langs.limit(MAX_LANGUAGES).collect()       # a row a language
-    if not langs:
-        return train.limit(0)
-    each = rows / len(langs)
-    share = F.create_map(*[F.lit(v) for r in langs for v in (r["_lang"], min(1.0, each / r["n"]))])
-    return train.filter(F.col("_u") < F.coalesce(F.try_element_at(share, F.col("_lang")), F.lit(0.0)))
+    langs = stored(train.groupBy("_lang").agg(F.count(F.lit(1)).alias("n"), F.min("_u").alias("_low")), "op6-langs")
+    each = rows / max(1, langs.count())
+    share = langs.select("_lang", F.least(F.lit(1.0), each / F.col("n")).alias("_share"), "_low")
+    # a row a language; the first by hash always stays
+    return train.join(F.broadcast(share), "_lang").filter("_u < _share OR _u = _low").drop("_share", "_low")
 
 
 def _fit(idf: np.ndarray, epochs: int):
@@ -86,6 +84,8 @@ def _fit(idf: np.ndarray, epochs: int):
         data = [(*_features(t, idf), code[v]) for t, v in zip(rows["_text"], rows["_lang"])]
         data = [d for d in data if len(d[0])]
         aside, own = data[::5], [d for i, d in enumerate(data) if i % 5] or data
+        learned = {y for *_, y in own}
+        own += [d for d in aside if d[2] not in learned]     # a language with too few rows to set one aside
         model = Ftrl(len(langs), 1 << BITS, alpha=1.0, l1=0.02, l2=0.01)
         for _ in range(epochs):
             for idx, x, y in own:

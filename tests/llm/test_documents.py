@@ -300,6 +300,17 @@ def test_language_id_edge_cases(docs, empty):
     assert {r["lang_pred"] for r in rows_of(language_id.language_id(unlabelled))} == {"und"}
 
 
+def test_language_id_learns_every_language(spark):
+    """More labels than training rows asked for; the rare ones have one row."""
+    rows = [(i, f"w{chr(0x4e00 + i)} stone", f"l{i:03d}", None) for i in range(300)]
+    rows += [(1000 + i, "river stone light", "l000", None) for i in range(200)]
+    prepare(spark)
+    model = language_id.train_model(fx.frame(spark, rows), train_rows=100, epochs=1)
+    want = {lang for i, _, lang, _ in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert set(model[0]) == want and len(want) > 200
+    assert all(model[1][:, k].any() for k in range(len(want)))
+
+
 # ------------------------------------------------------------------ op7
 
 @pytest.fixture(scope="module")
