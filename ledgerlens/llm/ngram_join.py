@@ -350,6 +350,8 @@ def _shared(vertices: DataFrame) -> DataFrame:
 def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                    similarity: int = SIMILARITY) -> DataFrame:
     """One row per row: ``doc_id, n_shingles, component_id``."""
+    if similarity < 50:        # trees meet only neighbouring numbers of groups
+        raise ValueError(f"similarity {similarity} is under 50: pairs of sets more than twice as large would be lost")
     t = similarity
     docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_of(text_column).alias("text"))
     members = stored(_members(docs), "op10-members")

@@ -431,6 +431,11 @@ def test_tree_bound_loses_no_pair():
     assert len(found) < len(sets) ** 2 / 8
 
 
+def test_a_similarity_that_would_lose_pairs_is_refused(empty):
+    with pytest.raises(ValueError, match="under 50"):
+        ngram_join.similar_groups(empty, similarity=49)
+
+
 def test_keep_one_of_each_group(docs, empty):
     kept = ngram_join.keep_one(fx.clashing(docs))
     assert kept.columns == fx.clashing(docs).columns
