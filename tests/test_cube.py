@@ -14,7 +14,7 @@ from ledgerlens.operators import report as R
 from ledgerlens.operators import rules as RU
 from ledgerlens.plans import registry
 
-from conftest import SF001
+from tables import SF001
 
 
 def rows(df):

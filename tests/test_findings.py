@@ -3,7 +3,7 @@
 import pytest
 from dataclasses import replace
 
-from conftest import SF001
+from tables import SF001
 
 from ledgerlens.config import DEFAULT_SETTINGS, Thresholds, remove_scratch, scratch_dir, scratch_path
 from ledgerlens.operators import quality as V

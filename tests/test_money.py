@@ -41,7 +41,7 @@ def test_rates(spark, part, whole, rate):
 
 
 def test_cube_and_analyses_agree_on_extreme_amounts(spark):
-    from conftest import SF001
+    from tables import SF001
 
     from ledgerlens.plans.registry import processed
     df = processed(spark, SF001).withColumn("amount", F.when(
@@ -64,7 +64,7 @@ ORDERS = {
 
 @pytest.mark.parametrize("name", sorted(ORDERS))
 def test_order_of_the_rows(spark, name):
-    from conftest import SF001
+    from tables import SF001
 
     from ledgerlens.plans.registry import queries
     rows = queries()[name](spark, SF001).collect()

@@ -1,7 +1,7 @@
 """Every registered query against its DuckDB oracle (sf0.001)."""
 
 
-from conftest import SF001
+from tables import SF001
 from oracle_compare import compare
 
 

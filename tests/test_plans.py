@@ -14,7 +14,7 @@ from ledgerlens.operators import features as T
 from ledgerlens.sources import files as IO
 from ledgerlens.sources.testdata import transactions
 
-from conftest import SF001
+from tables import SF001
 
 
 def scans(p):

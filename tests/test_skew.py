@@ -7,7 +7,7 @@ from ledgerlens.config import SkewConfig
 from ledgerlens.operators import features as T
 from ledgerlens.sources.testdata import dirty_transactions, transactions
 
-from conftest import SF001
+from tables import SF001
 
 
 def plain_velocity(df):

@@ -7,7 +7,7 @@ from ledgerlens.operators import rules as RU
 from ledgerlens.plans import registry
 from ledgerlens.streaming.alerts import read_stream, run_to_parquet, stream_alerts
 
-from conftest import SF001
+from tables import SF001
 
 
 def test_stream_matches_batch(spark):

@@ -12,7 +12,7 @@ from ledgerlens.plans import registry
 from ledgerlens.plans.workflow import STAGES, run_all
 from ledgerlens.sources import files as IO
 
-from conftest import SF001
+from tables import SF001
 
 
 def test_run_all_stages_ok(spark):
