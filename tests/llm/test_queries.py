@@ -1,6 +1,7 @@
 """The registered queries: columns, SQL oracles, the pipeline."""
 
 import os
+import shutil
 import subprocess
 import sys
 
@@ -77,9 +78,16 @@ def test_run_gives_the_last_stage(spark):
 
 
 def test_entry_imports_without_the_subpackage(tmp_path):
-    """A copy without the llm folders and the pipeline still has the others."""
+    """A copy of the working tree without both llm folders and the pipeline
+    still imports and has the other queries; a broken import raises."""
     copy = tmp_path / "copy"
-    subprocess.run(["git", "clone", "-q", ROOT, str(copy)], check=True)
-    code = ("import sys; sys.modules['ledgerlens.llm'] = None; import __spark_entry__ as e; "
-            "assert len(e.queries()) > 60 and not any(k.startswith('op') for k in e.queries())")
-    subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, env={**os.environ, "PYTHONPATH": str(copy)})
+    shutil.copytree(ROOT, copy, ignore=lambda d, names: [
+        n for n in names if n in (".git", "__pycache__", "llm", "corpus_pipeline.py", ".pytest_cache", ".hypothesis")])
+    env = {**os.environ, "PYTHONPATH": str(copy)}
+    code = "import __spark_entry__ as e; assert len(e.queries()) > 60 and not any(k.startswith('op') for k in e.queries())"
+    subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, env=env)
+    broken = copy / "ledgerlens" / "llm"
+    broken.mkdir()
+    (broken / "__init__.py").touch()
+    (broken / "registry.py").write_text("import no_such_module\n")
+    assert subprocess.run([sys.executable, "-c", code], cwd=copy, env=env, capture_output=True).returncode != 0
