@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    byte_bpe, exact_dedup, fingerprints, language_id, ngram_join, pii, preferences, source_mixing, sql, token_counts, toxicity)
+    byte_bpe, exact_dedup, fill_in_middle, fingerprints, language_id, ngram_join, pii, preferences, source_mixing, sql,
+    token_counts, toxicity)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +62,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -68,7 +73,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = (op1_exact_dedup, op2_fingerprints, op3_mixing, op4_token_counts, op5_pii, op6_language_id,
-           op7_byte_bpe, op8_preferences, op9_toxicity, op10_ngram_join, pipeline)
+           op7_byte_bpe, op8_preferences, op9_toxicity, op10_ngram_join,
+           op13_fill_in_middle, pipeline)
 
 
 def queries() -> dict[str, Query]:
