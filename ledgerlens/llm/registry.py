@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     byte_bpe, exact_dedup, fill_in_middle, fingerprints, language_id, ngram_join, piece_tokens, pii, preferences, source_mixing,
-    sql, token_counts, toxicity)
+    sql, token_counts, toxicity, whitening)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,10 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_tokens.digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.digests(table(spark, sf_dir, "documents"))
 
@@ -79,7 +83,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = (op1_exact_dedup, op2_fingerprints, op3_mixing, op4_token_counts, op5_pii, op6_language_id,
            op7_byte_bpe, op8_preferences, op9_toxicity, op10_ngram_join,
-           op11_sentencepiece, op13_fill_in_middle, pipeline)
+           op11_sentencepiece, op12_whitening, op13_fill_in_middle, pipeline)
 
 
 def queries() -> dict[str, Query]:
