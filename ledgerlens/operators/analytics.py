@@ -46,56 +46,70 @@ def _declined() -> F.Column:
     return X.count_if(F.col("status") == L.STATUS_DECLINED)
 
 
-def with_unique_customers(df: DataFrame, keys: list[str], aggs: dict[str, Column],
-                          order: list[str]) -> DataFrame:
-    """``groupBy(keys).agg(aggs)`` with ``unique_customers`` (distinct
-    non-NULL customers per group), columns in ``order``.
-
-    A distinct count inside the same aggregation makes Spark group by
-    (keys, customer) first and carry every other partial buffer through that
-    shuffle, once per customer and group. Here the measures are one
-    aggregate (a partial per task) and the distinct customers a key-only
-    aggregate; the two one-row-per-group results are combined by a union and
-    a group-by, which also keeps a NULL group and gives one row for an empty
-    global aggregate.
+# Ids of one bitmap: eight 64-bit words
+BITMAP_WORDS = 8
+ID_SHIFT = 9
+
+
+def _bitmap_words() -> list[Column]:
+    """The exact bitmap of the customers in a group of ids that agree above
+    their lowest nine bits: one ``bit_or`` a word, a fixed-width buffer, so the
+    aggregate stays a hash aggregate (``bitmap_construct_agg`` keeps its buffer
+    as binary, which makes Spark sort every row of every task)."""
+    slot = F.shiftright("customer_id", 6).bitwiseAND(F.lit(BITMAP_WORDS - 1))
+    bit = F.expr("shiftleft(1L, cast(customer_id & 63 as int))")
+    return [F.bit_or(F.when(slot == k, bit)).alias(f"_w{k}") for k in range(BITMAP_WORDS)]
+
+
+# how partial measures of the same name are put together; all others are summed
+MERGES = {"amount_min": F.min, "amount_max": F.max, "ts_min": F.min, "ts_max": F.max}
+
+
+def merged(name: str) -> Column:
+    return MERGES.get(name, F.sum)(name).alias(name)
+
+
+def with_unique_customers(df: DataFrame, keys: list[str], measures: list[Column]) -> DataFrame:
+    """``measures`` (aliased, mergeable by ``MERGES``) per ``keys``, and
+    ``unique_customers`` (distinct non-NULL customers), from one scan.
+
+    Customers are collected as exact bitmaps: the first aggregate is by
+    (keys, id without its lowest nine bits) and holds 512 customers a row as
+    bits, the second adds the measures and counts the bits. Where ids are
+    numbers from a sequence, a row of the shuffle stands for up to 512
+    customers and the reducers hold no list of them; where ids are spread
+    thinly over 64 bits, a row holds one, as in a distinct of (keys, customer)
+    but wider. Combined in every task, so a hot group or customer does not
+    reach one task whole; an empty table gives one row without keys.
     """
-    main = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
-    pairs = df.select(*keys, "customer_id").distinct()
-    uniq = pairs.groupBy(*keys).agg(F.count("customer_id").alias("unique_customers"))
-    types = {f.name: f.dataType for f in main.schema.fields}
-    both = main.withColumn("unique_customers", F.lit(None).cast("long")).unionByName(
-        uniq.select(*keys, *[F.lit(None).cast(types[n]).alias(n) for n in aggs],
-                    "unique_customers"))
-    out = both.groupBy(*keys).agg(*[F.max(n).alias(n) for n in aggs],
-                                  F.max("unique_customers").alias("unique_customers"))
-    return out.select(*order)
+    names = [f.name for f in df.groupBy().agg(*measures).schema.fields]
+    block = F.shiftright(F.col("customer_id"), ID_SHIFT).alias("_block")
+    blocks = df.groupBy(*keys, block).agg(*measures, *_bitmap_words())
+    customers = reduce(lambda x, y: x + y, [F.coalesce(F.bit_count(f"_w{k}"), F.lit(0)) for k in range(BITMAP_WORDS)])
+    out = blocks.groupBy(*keys).agg(
+        *[merged(n) for n in names], F.coalesce(F.sum(customers), F.lit(0)).cast("bigint").alias("unique_customers"))
+    return out
 
 
 def summary_stats(df: DataFrame) -> DataFrame:
     """A1: one row of overall figures."""
-    return with_unique_customers(df, [], {
-        "total_transactions": _n(),
-        "total_amount": X.money_total("amount"),
-        "avg_amount": X.money_avg("amount"),
-        "min_amount": X.round2(F.min("amount")),
-        "max_amount": X.round2(F.max("amount")),
-        "approved": _approved(),
-        "declined": _declined(),
-        "approval_rate": X.pct(_approved(), _n()),
-    }, ["total_transactions", "unique_customers", "total_amount", "avg_amount",
-        "min_amount", "max_amount", "approved", "declined", "approval_rate"])
+    own = with_unique_customers(df, [], _measures(
+        "n", "amount_sum", "amount_rest", "amount_n", "amount_min", "amount_max", "approved", "declined"))
+    return own.select(
+        _count("n").alias("total_transactions"), "unique_customers",
+        _total().alias("total_amount"), _avg().alias("avg_amount"),
+        X.round2(F.col("amount_min")).alias("min_amount"), X.round2(F.col("amount_max")).alias("max_amount"),
+        _count("approved").alias("approved"), _count("declined").alias("declined"),
+        _rate("approved").alias("approval_rate"))
 
 
 def by_country(df: DataFrame) -> DataFrame:
     """A2: per country, largest total first."""
-    return with_unique_customers(df, ["country"], {
-        "total_transactions": _n(),
-        "total_amount": X.money_total("amount"),
-        "avg_amount": X.money_avg("amount"),
-        "approval_rate": X.pct(_approved(), _n()),
-    }, ["country", "total_transactions", "total_amount", "avg_amount", "unique_customers",
-        "approval_rate"]).orderBy(F.col("total_amount").desc_nulls_last(),
-                                  F.col("country").asc_nulls_last())
+    own = with_unique_customers(df, ["country"], _measures("n", "amount_sum", "amount_rest", "amount_n", "approved"))
+    return own.select(
+        "country", F.col("n").alias("total_transactions"), _total().alias("total_amount"),
+        _avg().alias("avg_amount"), "unique_customers", _rate("approved").alias("approval_rate"),
+    ).orderBy(F.col("total_amount").desc_nulls_last(), F.col("country").asc_nulls_last())
 
 
 def _simple_group(df: DataFrame, key: str) -> DataFrame:
@@ -113,11 +127,12 @@ def by_currency(df: DataFrame) -> DataFrame:
 
 
 def _with_share(g: DataFrame) -> DataFrame:
-    """Share of all rows: a window over the already aggregated rows (one per
-    category), so the table is scanned once instead of again for a scalar
-    subquery."""
-    total = F.sum("total_transactions").over(Window.partitionBy())
-    return g.withColumn("percentage", X.pct(F.col("total_transactions"), total)).orderBy(
+    """Share of all rows. The total is a scalar subquery over the same
+    aggregate: no task holds all categories, however many there are. The
+    subquery reads the amounts as well, since only then is its plan below the
+    total the one of ``g`` and the exchange reused: one scan."""
+    whole = g.agg(F.struct(F.sum("total_transactions").alias("n"), F.max("total_amount"), F.max("avg_amount")))
+    return g.withColumn("percentage", X.pct(F.col("total_transactions"), whole.scalar()["n"])).orderBy(
         F.col("total_transactions").desc(), F.col("category").asc_nulls_last())
 
 
@@ -156,15 +171,24 @@ def _top_customers(per_customer: DataFrame, n: int) -> DataFrame:
 def top_customers(df: DataFrame, n: int = 20) -> DataFrame:
     """Top-n customers by rounded spend (ties: customer id).
 
-    Two hash-aggregation levels: sums per (customer, account type), then per
-    customer with the largest account type. A string maximum over the raw
-    rows would make Spark sort every row of every task (sort aggregate);
-    here only the per-(customer, type) rows meet the string comparison.
+    The customer aggregate has fixed-width buffers only (a string maximum in
+    it would make Spark sort every row of every task); the ``n`` rows that
+    remain are broadcast to look their largest account type up. One customer
+    shuffle, whatever the number of account types.
     """
-    pairs = df.groupBy("customer_id", "account_type").agg(*_profile_sums())
-    per_customer = pairs.groupBy("customer_id").agg(
-        *[F.sum(c).alias(c) for c in PROFILE_MEASURES], F.max("account_type").alias("account_type"))
-    return _top_customers(per_customer, n)
+    sums = df.groupBy("customer_id").agg(*_measures("n", "amount_sum", "amount_rest", "amount_n", "declined"))
+    order = [F.col("total_spent").desc_nulls_last(), F.col("customer_id").asc_nulls_last()]
+    top = sums.select(
+        F.col("customer_id").alias("_c"), F.col("n").alias("total_transactions"), _total().alias("total_spent"),
+        _avg().alias("avg_transaction"), F.col("declined").alias("declined_count"),
+    ).orderBy(F.col("total_spent").desc_nulls_last(), F.col("_c").asc_nulls_last()).limit(n)
+    rows = df.select("customer_id", "account_type").join(
+        F.broadcast(top), F.col("customer_id").eqNullSafe(F.col("_c")))     # n rows are broadcast
+    keys = ["customer_id", "total_transactions", "total_spent", "avg_transaction", "declined_count"]
+    types = rows.groupBy(*keys, "account_type").agg(F.lit(1))
+    return types.groupBy(*keys).agg(F.max("account_type").alias("account_type")).select(
+        "customer_id", "total_transactions", "total_spent", "avg_transaction", "account_type", "declined_count",
+    ).orderBy(*order).limit(n)
 
 
 def fraud_rate_by_hour(df: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
@@ -189,12 +213,10 @@ def _weekend_label(g: DataFrame) -> DataFrame:
 
 def weekend_vs_weekday(df: DataFrame) -> DataFrame:
     """Weekend against weekday."""
-    return _weekend_label(with_unique_customers(df, ["is_weekend"], {
-        "total_transactions": _n(),
-        "total_amount": X.money_total("amount"),
-        "avg_amount": X.money_avg("amount"),
-    }, ["is_weekend", "total_transactions", "total_amount", "avg_amount",
-        "unique_customers"]))
+    own = with_unique_customers(df, ["is_weekend"], _measures("n", "amount_sum", "amount_rest", "amount_n"))
+    return _weekend_label(own.select(
+        "is_weekend", F.col("n").alias("total_transactions"), _total().alias("total_amount"),
+        _avg().alias("avg_amount"), "unique_customers"))
 
 
 def by_channel(df: DataFrame) -> DataFrame:
@@ -266,17 +288,6 @@ MEASURES = ("n", "amount_sum", "amount_rest", "amount_n", "amount_min", "amount_
 SUM_TYPE = "decimal(38,10)"
 
 
-def _profile_sums() -> list[Column]:
-    amount = F.col("amount")
-    return [
-        _n().alias("n"),
-        F.sum(X.exact_part(amount)).cast(SUM_TYPE).alias("amount_sum"),
-        F.sum(X.rest_part(amount)).alias("amount_rest"),
-        F.count(amount).alias("amount_n"),
-        _declined().alias("declined"),
-    ]
-
-
 def _table_measures(t: Thresholds) -> list[Column]:
     status, amount = F.col("status"), F.col("amount")
     return [
@@ -297,6 +308,16 @@ def _table_measures(t: Thresholds) -> list[Column]:
     ]
 
 
+def _measures(*names: str, t: Thresholds = Thresholds()) -> list[Column]:
+    """Measures of the table by name."""
+    own = dict(zip(MEASURES, _table_measures(t)))
+    return [own[n] for n in names]
+
+
+def _profile_sums() -> list[Column]:
+    return _measures(*PROFILE_MEASURES)
+
+
 def customer_profile(df: DataFrame) -> DataFrame:
     """Per (customer, country, weekend, account type): rows, exact amount
     sum, non-NULL amounts and declined rows. Every customer-level result is
@@ -380,6 +401,11 @@ def _avg() -> Column:
     return X.round2(X.joined(F.col("amount_sum"), F.col("amount_rest")) / F.col("amount_n").cast("double"))
 
 
+def _count(c: str) -> Column:
+    """A count that is 0, not NULL, for an empty table."""
+    return F.coalesce(F.col(c), F.lit(0)).alias(c)
+
+
 def _rate(c: str) -> Column:
     return X.pct(F.col(c), F.col("n"))
 

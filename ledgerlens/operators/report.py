@@ -1,7 +1,7 @@
 """Summary and report operators.
 
-The executive summary is one aggregation over the scored table plus a
-key-only distinct-customer count (or is read off the analysis cube); the
+The executive summary is one scan of the scored table, distinct customers as
+exact bitmaps (or is read off the analysis cube); the
 Markdown report is a DataFrame of lines ``(section_no, section, line_no,
 line)`` and the plain-text report one of ``(line_no, line)``, both built from
 the small aggregated results with Spark's own formatting functions and
@@ -13,10 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import Thresholds
+from ..config import Thresholds, scratch_path
 from ..functions import exprs as X
 from ..functions import labels as L
-from .analytics import with_unique_customers
+from .analytics import _measures, with_unique_customers
 
 # Report headings, labels and JSON keys (display text).
 TITLE = "# REPORTE DE ANÁLISIS BANCARIO"
@@ -97,43 +97,17 @@ STAGE_LABELS = (
 
 
 def executive_summary(scored: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
-    """Every headline figure in one pass over the rows plus a key-only
-    distinct-customer aggregate (the reference ran nine jobs).
-    ``total_alerts`` counts rows flagged by the rules."""
-    n = F.count(F.lit(1))
-    status = F.col("status")
-    alerts = X.count_if(F.col("is_fraud_detected"))
-    approved = X.count_if(status == L.STATUS_APPROVED)
-    return with_unique_customers(scored, [], {
-        "total_transactions": n,
-        "total_amount": X.money_total("amount"),
-        "avg_amount": X.money_avg("amount"),
-        "approved": approved,
-        "declined": X.count_if(status == L.STATUS_DECLINED),
-        "fraud": X.count_if(status == L.STATUS_FRAUD),
-        "pending": X.count_if(status == L.STATUS_PENDING),
-        "approval_rate": X.pct(approved, n),
-        "total_alerts": alerts,
-        "detection_rate": X.pct(alerts, n),
-        "period_start": F.date_format(F.min("timestamp_dt"), "yyyy-MM-dd"),
-        "period_end": F.date_format(F.max("timestamp_dt"), "yyyy-MM-dd"),
-    }, ["total_transactions", "unique_customers", "total_amount", "avg_amount", "approved",
-        "declined", "fraud", "pending", "approval_rate", "total_alerts", "detection_rate",
-        "period_start", "period_end"])
+    """Every headline figure, distinct customers included, in one scan
+    (the reference ran nine jobs). ``total_alerts`` counts rows flagged by the
+    rules."""
+    own = with_unique_customers(scored, [], _measures(
+        "n", "amount_sum", "amount_rest", "amount_n", "approved", "declined", "fraud", "pending", "alerts", "ts_min", "ts_max", t=t))
+    return _summary(own.withColumns({c: F.coalesce(c, F.lit(0)) for c in (
+        "n", "approved", "declined", "fraud", "pending", "alerts")}))
 
 
-def executive_summary_from_cube(cube: DataFrame) -> DataFrame:
-    """R1 read off the analysis cube (its ``all`` and ``customer`` sets)
-    instead of another scan of the table; equal to ``executive_summary``."""
-    rows = cube.filter(F.col("grouping_set").isin("all", "customer"))
-    one = lambda m: F.max(F.when(F.col("grouping_set") == "all", F.col(m)))
-    counts = ("n", "approved", "declined", "fraud", "pending", "alerts")
-    wide = rows.agg(
-        *[F.coalesce(one(m), F.lit(0)).alias(m) for m in counts],
-        *[one(m).alias(m) for m in ("amount_sum", "amount_rest", "amount_n", "ts_min", "ts_max")],
-        X.count_if((F.col("grouping_set") == "customer") & F.col("customer_id").isNotNull())
-        .alias("unique_customers"),
-    )
+def _summary(wide: DataFrame) -> DataFrame:
+    """The summary's columns from the measures of the whole table."""
     amount = X.joined(F.col("amount_sum"), F.col("amount_rest"))
     return wide.select(
         F.col("n").alias("total_transactions"),
@@ -149,6 +123,21 @@ def executive_summary_from_cube(cube: DataFrame) -> DataFrame:
     )
 
 
+def executive_summary_from_cube(cube: DataFrame) -> DataFrame:
+    """R1 read off the analysis cube (its ``all`` and ``customer`` sets)
+    instead of another scan of the table; equal to ``executive_summary``."""
+    rows = cube.filter(F.col("grouping_set").isin("all", "customer"))
+    one = lambda m: F.max(F.when(F.col("grouping_set") == "all", F.col(m)))
+    counts = ("n", "approved", "declined", "fraud", "pending", "alerts")
+    wide = rows.agg(
+        *[F.coalesce(one(m), F.lit(0)).alias(m) for m in counts],
+        *[one(m).alias(m) for m in ("amount_sum", "amount_rest", "amount_n", "ts_min", "ts_max")],
+        X.count_if((F.col("grouping_set") == "customer") & F.col("customer_id").isNotNull())
+        .alias("unique_customers"),
+    )
+    return _summary(wide)
+
+
 _STATUS_COLS = {L.STATUS_APPROVED: "approved", L.STATUS_DECLINED: "declined",
                 L.STATUS_FRAUD: "fraud", L.STATUS_PENDING: "pending"}
 
@@ -202,21 +191,37 @@ def _cents(c: str | Column) -> Column:
     return F.format_string("%.2f", X.col(c))
 
 
-def _table(section: int, header: tuple[str, str], rows: DataFrame,
-           order: list[Column], line: Column, spark) -> DataFrame:
-    """Table header and one line per row of a small result.
+def numbered(rows: DataFrame, order: list[Column], name: str = "numbered") -> DataFrame:
+    """``rows`` with ``row_no`` (from 1) in ``order``, without a task that
+    holds all of them: the rows are sorted by range partitions and written,
+    and a row's number is its place in its file plus the rows of the files
+    before it. Only one row per file is added up in one task."""
+    path = scratch_path(rows.sparkSession, name)
+    rows.orderBy(*order).write.parquet(path)
+    back = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    placed = back.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    files = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = files.select(F.col("_file").alias("_of"), F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    # one row a file
+    return placed.join(F.broadcast(offsets), F.col("_file") == F.col("_of")).select(
+        *[F.col(f"`{c}`") for c in rows.columns], (F.col("_before") + F.col("_place") + 1).alias("row_no"))
 
-    The row number is a window over the already-aggregated rows (one per
-    country / category / slot), not over the transactions.
-    """
+
+def _table(section: int, header: tuple[str, str], rows: DataFrame,
+           order: list[Column], line: Column, spark, bounded: bool = True) -> DataFrame:
+    """Table header and one line per row of a result. ``bounded``: its rows
+    are a top-k or a fixed list, so one window may number them."""
     head = spark.createDataFrame(
         [(section, SECTIONS[section - 1], i, s) for i, s in enumerate(header, start=1)],
         "section_no int, section string, line_no int, line string")
+    if bounded:
+        rows = rows.withColumn("row_no", F.row_number().over(Window.orderBy(*order)))
+    else:
+        rows = numbered(rows, order)
     body = rows.select(
         F.lit(section).alias("section_no"), F.lit(SECTIONS[section - 1]).alias("section"),
-        (F.row_number().over(Window.orderBy(*order)) + 2).cast("int").alias("line_no"),
-        line.alias("line"),
-    )
+        (F.col("row_no") + 2).cast("int").alias("line_no"), line.alias("line"))
     return head.unionByName(body)
 
 
@@ -274,7 +279,8 @@ def report_lines(summary: DataFrame, by_country: DataFrame | None = None,
         out = out.unionByName(_table(
             5, T_CATEGORY, report_category(by_category),
             [F.col("total_transactions").desc(), F.col("category")],
-            _cells(F.col("category"), _int("total_transactions"), money("total_amount"), rate("percentage")), spark))
+            _cells(F.col("category"), _int("total_transactions"), money("total_amount"), rate("percentage")), spark,
+            bounded=False))
     if by_time_slot is not None:
         out = out.unionByName(_table(
             6, T_TIME, report_time(by_time_slot),
@@ -348,10 +354,10 @@ def summary_json(summary: DataFrame, generated_at: Column | None = None) -> Data
 
 
 def write_report(lines: DataFrame, path: str) -> None:
-    """The report as one text file. The line count is bounded by the
-    report layout (a few dozen lines), so one task writes it."""
-    (lines.orderBy("section_no", "line_no").select("line").coalesce(1)
-     .write.mode("overwrite").text(path))
+    """The report as text, sorted by range partitions: a few dozen lines
+    come out as one file, a table of very many categories as several in
+    order."""
+    lines.orderBy("section_no", "line_no").select("line").write.mode("overwrite").text(path)
 
 
 def write_summary_json(summary: DataFrame, path: str, generated_at: Column | None = None) -> None:

@@ -82,29 +82,48 @@ def test_cube_plan_two_scans_hash_aggregates(processed):
     assert len(re.findall(r"^Arguments: hashpartitioning", p, re.M)) == 3
 
 
-def test_top_customers_first_level_is_hash(processed):
+def test_top_customers_shuffles_customers_once_by_hash(processed):
+    """Fixed-width buffers per customer, one exchange by customer; strings are
+    looked up for the rows of the top-k alone, which are broadcast."""
     p = plan(A.top_customers(processed))
-    tree = p.split("\n\n")[0].splitlines()[1:]
-    ops = [line.strip(" +-:").split(" (")[0].strip() for line in tree]
-    # bottom-up: scan, project, hash partial and final aggregate by
-    # (customer, type) around the exchange; the string maximum (a sort
-    # aggregate) meets only the aggregated per-(customer, type) rows
-    assert ops[-5:] == ["HashAggregate", "Exchange", "HashAggregate", "Project", "Scan parquet"]
-    assert re.search(r"\(3\) HashAggregate\n.*\nKeys \[2\]: \[customer_id#\d+L, account_type", p)
+    blocks = re.findall(r"\(\d+\) Exchange\nInput \[(\d+)\]: \[(.*)\]\nArguments: hashpartitioning\((.*?), \d+\)", p)
+    alone = [keys for _, _, keys in blocks if re.fullmatch(r"customer_id#\d+L", keys)]
+    assert len(alone) == 1, blocks
+    first = p.split("\n\n")[1:]
+    scans = [b for b in first if "ReadSchema" in b]
+    assert len(scans) == 2 and any("struct<customer_id:bigint,account_type:string>" in b for b in scans)
+    assert "TakeOrderedAndProject" in p and "BroadcastHashJoin" in p
+
+
+def test_top_customers_of_hot_tied_and_null_customers(spark):
+    """A third of the rows on one customer, ties of the spend, NULL customers,
+    types and amounts, the largest type found outside the first rows."""
+    data = ([(1, "B", 1.0)] * 500 + [(1, "Z", 0.0)] + [(c, t, 10.0) for c in range(2, 40) for t in ("A", None)]
+            + [(None, "Q", 7.5)] * 3 + [(77, None, None), (78, None, 500.0)])
+    df = spark.createDataFrame(data, "customer_id long, account_type string, amount double").withColumns(
+        {"status": F.lit("DECLINED"), "risk_score": F.lit(1), "timestamp_dt": F.lit(None).cast("timestamp"),
+         "is_suspicious_night": F.lit(False), "is_suspicious_velocity": F.lit(False)})
+    got = [tuple(r) for r in A.top_customers(df, 5).collect()]
+    assert got == [(1, 501, 500.0, round(500 / 501, 2), "Z", 501), (78, 1, 500.0, 500.0, None, 1),
+                   (None, 3, 22.5, 7.5, "Q", 3), (2, 2, 20.0, 10.0, "A", 2), (3, 2, 20.0, 10.0, "A", 2)]
+    assert A.top_customers(df.limit(0), 5).collect() == []
 
 
 def test_unique_customers_equal_count_distinct(spark):
-    """The key-only distinct aggregate equals countDistinct, NULL groups and
-    NULL customers included, grouped and global, also on an empty input."""
-    data = [("ES", 1, 10.0), ("ES", 1, 5.0), ("ES", None, 1.0), (None, 2, 2.0),
-            (None, None, 3.0), ("FR", 3, None), ("DE", None, 4.0)]
-    df = spark.createDataFrame(data, "country string, customer_id long, amount double")
-    aggs = {"n": F.count(F.lit(1)), "total": F.sum("amount")}
+    """The bitmaps count like countDistinct: NULL groups and customers,
+    neighbouring, far apart, negative and extreme ids, grouped and global, also
+    on an empty input."""
+    ids = [*range(0, 1030), 511, 512, 513, -1, -64, -512, -513, 2 ** 63 - 1, -2 ** 63, 2 ** 40 + 5, None, None]
+    data = [(["ES", "FR", None][i % 3], c, float(i % 7)) for i, c in enumerate(ids * 2)]
+    df = spark.createDataFrame(data, "country string, customer_id long, amount double").repartition(5)
+    measures = [F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total"), F.min("amount").alias("amount_min")]
     for frame in (df, df.limit(0)):
         for keys in (["country"], []):
-            got = A.with_unique_customers(frame, keys, aggs,
-                                          keys + ["n", "total", "unique_customers"])
+            got = A.with_unique_customers(frame, keys, measures)
             want = frame.groupBy(*keys).agg(
-                F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total"),
+                F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total"), F.min("amount").alias("amount_min"),
                 F.countDistinct("customer_id").alias("unique_customers"))
-            assert rows(got) == rows(want), (keys, frame.count())
+            if frame.count():
+                assert rows(got) == rows(want), keys
+            else:
+                assert [r.unique_customers for r in got.collect()] == [0] * (not keys)

@@ -130,25 +130,47 @@ def test_dedup_is_partial_aggregate_not_window(tables):
 
 
 def test_category_share_scans_once(tables):
+    """The total is a subquery over the reused exchange of the categories:
+    no window, and the table is read once."""
     _, processed = tables
-    p = plan(A.by_category(processed))
-    assert scans(p) == 1
+    df = A.by_category(processed)
+    df.collect()
+    p = plan(df, "simple").split("== Initial Plan ==")[0]
+    assert "Window" not in p and "ReusedExchange" in plan(df, "simple")
 
 
-def test_summary_shuffles_only_customer_keys(spark, tables):
-    """The figures are one partial aggregate per task; the distinct
-    customers shuffle the customer key alone (no partial buffers per
-    customer)."""
+def test_distinct_customers_in_one_scan_by_hash(spark, tables):
+    """Measures and distinct customers from one scan, hash
+    aggregates only, and no exchange that holds a row per customer."""
     from ledgerlens.operators import report as R
     from ledgerlens.operators import rules as RU
     _, processed = tables
     for df in (R.executive_summary(RU.detect_fraud_patterns(processed)),
-               A.summary_stats(processed), A.by_country(processed)):
+               A.summary_stats(processed), A.by_country(processed), A.weekend_vs_weekday(processed)):
         p = plan(df)
-        assert scans(p) == 2
-        blocks = re.findall(r"\(\d+\) Exchange\nInput \[(\d+)\]: \[(.*)\]\nArguments: (\w+)", p)
-        keyed = [cols for n, cols, kind in blocks if "customer_id" in cols]
-        assert keyed and all(len(c.split(", ")) <= 2 for c in keyed), keyed
+        assert scans(p) == 1
+        assert "SortAggregate" not in p and "ObjectHashAggregate" not in p
+        blocks = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", p)
+        assert len([b for b in blocks if "bit_or" in b]) == 1 and not any("customer_id" in b for b in blocks), blocks
+
+
+def test_a_million_dirty_categories_stay_apart(spark):
+    """Shares, row numbers and the report of very many categories: no
+    exchange brings them into one task."""
+    from ledgerlens.operators import report as R
+    n = 1_000_000
+    t = spark.range(n, numPartitions=8).select("id")
+    t = t.unionByName(t.where("id in (7, 55555, 999999)")).select(
+        F.concat(F.lit("cat"), F.col("id")).alias("category"), (F.col("id") % 100).cast("double").alias("amount"))
+    g = A.by_category(t)
+    lines = R.numbered(R.report_category(g), [F.col("total_transactions").desc(), F.col("category")])
+    for p in (plan(g), plan(lines)):
+        for block in re.findall(r"\(\d+\) Exchange\n(.*)\nArguments: SinglePartition", p):
+            assert "category" not in block
+    got = lines.agg(F.count(F.lit(1)), F.min("row_no"), F.max("row_no"), F.countDistinct("row_no")).first()
+    assert tuple(got) == (n, 1, n, n)
+    first = {r.row_no: r.category for r in lines.where("row_no <= 6 or row_no = 1000000").collect()}
+    assert first == {1: "cat55555", 2: "cat7", 3: "cat999999", 4: "cat0", 5: "cat1", 6: "cat10", n: "cat999998"}
 
 
 def test_partitioned_write_rebalances_by_day(spark, tables):
