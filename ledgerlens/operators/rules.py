@@ -106,11 +106,54 @@ def fraud_rule_hits(scored: DataFrame) -> DataFrame:
 
 def fraud_top_risk(scored: DataFrame, n: int = 10) -> DataFrame:
     """top-n alerts by risk score (ties: amount desc, then id)."""
+    return top_risk(fraud_alerts(scored), n)
+
+
+def top_risk(alerts: DataFrame, n: int = 10) -> DataFrame:
+    """F13 over the alerts themselves, such as the written ones."""
     return (
-        fraud_alerts(scored)
+        alerts
         .select("transaction_id", "customer_id", "amount", "country", "timestamp",
                 "status", "alert_priority", "risk_score")
         .orderBy(F.col("risk_score").desc(), F.col("amount").desc_nulls_last(),
                  "transaction_id")
         .limit(n)
     )
+
+
+# ------------------------------------------------ all summaries from the alerts
+
+# grouping sets over the alerts: by priority, by country, all
+SUMMARY_SETS = {"priority": ("alert_priority",), "country": ("country",), "all": ()}
+
+
+def alert_cube(alerts: DataFrame) -> DataFrame:
+    """F9-F12 as one ``GROUPING SETS`` aggregate over the alerts alone:
+    ``grouping_set, alert_priority, country, n`` and the hits of every rule. A
+    rule that fires makes an alert, so the hits among the alerts are those of
+    the whole table."""
+    dims = ["alert_priority", "country"]
+    cube = alerts.groupingSets([list(d) for d in SUMMARY_SETS.values()], *dims).agg(
+        F.grouping_id().alias("_gid"), F.count(F.lit(1)).alias("n"),
+        *[X.count_if(F.col(c)).alias(c) for c in RULE_COLUMNS])
+    # bit of a dimension (from the left) is 1 where the set leaves it out
+    name = F.when(F.col("_gid") == 1, "priority").when(F.col("_gid") == 2, "country").otherwise("all")
+    return cube.select(name.alias("grouping_set"), *dims, "n", *RULE_COLUMNS)
+
+
+def summaries_from_cube(cube: DataFrame, total: int, n: int = 5) -> dict[str, DataFrame]:
+    """F9-F12 read off the alert cube; ``total``: rows of the whole table
+    (also right without any alert, when the cube has no row)."""
+    of = lambda name: cube.filter(F.col("grouping_set") == name)
+    whole = of("all").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", *RULE_COLUMNS)])
+    rows = F.lit(total).cast("bigint")
+    return {
+        "fraud_totals": whole.select(
+            rows.alias("total_transactions"), F.col("n").alias("fraud_detected"),
+            F.coalesce(X.pct(F.col("n"), rows), F.lit(0.0)).alias("detection_rate")),
+        "fraud_by_priority": of("priority").select("alert_priority", F.col("n").alias("count")).orderBy(
+            F.col("count").desc(), "alert_priority"),
+        "fraud_by_country": of("country").select("country", F.col("n").alias("count")).orderBy(
+            F.col("count").desc(), F.col("country").asc_nulls_last()).limit(n),
+        "fraud_rule_hits": whole.select(*RULE_COLUMNS).unpivot([], RULE_COLUMNS, "rule", "hits"),
+    }

@@ -374,6 +374,13 @@ WHERE is_fraud_detected GROUP BY country ORDER BY "count" DESC, country LIMIT 5"
         f"SELECT '{r}' AS rule, {count_if(r)} AS hits FROM scored"
         for r in ("fraud_rule_status", "fraud_rule_high_declined", "fraud_rule_night",
                   "fraud_rule_velocity")),
+    "fraud_cube_summaries": "SELECT 'fraud_totals' AS summary, 'total_transactions' AS item, COUNT(*) AS rows FROM scored"
+        " UNION ALL SELECT 'fraud_totals', 'fraud_detected', COUNT(*) FROM scored WHERE is_fraud_detected"
+        " UNION ALL SELECT 'fraud_by_priority', alert_priority, COUNT(*) FROM scored WHERE is_fraud_detected GROUP BY alert_priority"
+        " UNION ALL SELECT * FROM (SELECT 'fraud_by_country', country, COUNT(*) AS k FROM scored WHERE is_fraud_detected"
+        " GROUP BY country ORDER BY k DESC, country LIMIT 5)" + "".join(
+            f" UNION ALL SELECT 'fraud_rule_hits', '{r}', {count_if(r)} FROM scored"
+            for r in ("fraud_rule_status", "fraud_rule_high_declined", "fraud_rule_night", "fraud_rule_velocity")),
     "fraud_top_risk": """SELECT transaction_id, customer_id, amount, country, "timestamp",
   status, alert_priority, risk_score FROM scored WHERE is_fraud_detected
 ORDER BY risk_score DESC, amount DESC NULLS LAST, transaction_id LIMIT 10""",

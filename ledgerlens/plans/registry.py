@@ -28,6 +28,7 @@ from ..sources import catalog as K
 from ..sources import files as IO
 from ..sources.testdata import dirty_transactions, testdata_domains, transactions
 from . import oracle as O
+from . import sql_analyses as Q
 from .workflow import run_all
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,6 +124,18 @@ for _name, _fn in A.ANALYSES.items():
     QUERIES[_name] = _on(processed if needs_score else timed, _fn)
     ORACLE[_name] = O.over_enriched(O.ANALYSES_SQL[_name])
 
+# the same by text over the registered view
+def _by_text(name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        Q.register(written_processed(spark, sf_dir), "transactions_view")
+        return Q.analysis(spark, name, "transactions_view")
+    return query
+
+
+for _name in A.ANALYSES:
+    QUERIES[f"sql_{_name}"] = _by_text(_name)
+    ORACLE[f"sql_{_name}"] = ORACLE[_name]
+
 # ------------------------------------------------------------ T1-T14
 QUERIES.update({
     "feat_temporal": lambda s, d: timed(s, d).select(
@@ -157,6 +170,25 @@ QUERIES.update({
     "fraud_rule_hits": _on(scored, RU.fraud_rule_hits),
     "fraud_top_risk": _on(scored, RU.fraud_top_risk),
 })
+
+
+def fraud_cube_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F9-F12 as the run makes them: alerts written once, their grouping sets
+    written, the results read off these; one row a figure."""
+    t = written_processed(spark, sf_dir)
+    alerts_path, cube_path = scratch_path(spark, "alerts"), scratch_path(spark, "alert-cube")
+    IO.write_parquet(RU.fraud_alerts(RU.detect_fraud_patterns(t, S.thresholds)), alerts_path, rebalance=True)
+    IO.write_parquet(RU.alert_cube(IO.read_parquet(spark, alerts_path)), cube_path)
+    own = RU.summaries_from_cube(IO.read_parquet(spark, cube_path), t.count())
+    totals = own["fraud_totals"].select(F.lit("fraud_totals").alias("summary"), F.explode(F.expr(
+        "map('total_transactions', total_transactions, 'fraud_detected', fraud_detected)")).alias("item", "rows"))
+    keyed = [own[name].select(F.lit(name).alias("summary"), F.col(key).alias("item"), F.col(rows).alias("rows"))
+             for name, key, rows in (("fraud_by_priority", "alert_priority", "count"),
+                                     ("fraud_by_country", "country", "count"), ("fraud_rule_hits", "rule", "hits"))]
+    return reduce(DataFrame.unionByName, [totals, *keyed])
+
+
+QUERIES["fraud_cube_summaries"] = fraud_cube_summaries
 for _name, _sql in O.RULES_SQL.items():
     ORACLE[_name] = O.over_scored(_sql)
 

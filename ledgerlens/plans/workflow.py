@@ -95,25 +95,28 @@ def transform(spark: SparkSession, base: str, s: Settings, res: RunResult) -> in
     n = _rows(IO.write_verified(T.enrich(validated, s), path, PARTITION_COLUMNS),
               res.values["validated_rows"])
     res.paths["processed"] = path
+    res.values["processed_rows"] = n
     return n
 
 
 def fraud(spark: SparkSession, base: str, s: Settings, res: RunResult) -> int:
+    """One scan of the processed table writes the alerts; all summaries are
+    read off the alerts (the total is the row count checked one stage before)."""
     processed = IO.read_parquet(spark, res.paths["processed"])
     scored = RU.detect_fraud_patterns(processed, s.thresholds)
     path = f"{base}/fraud_alerts.parquet"
     # a selective filter over every scan task: rebalanced into sized files
     n = _rows(IO.write_verified(RU.fraud_alerts(scored), path, rebalance=True))
-    summaries = {
-        "fraud_totals": RU.fraud_totals(scored), "fraud_by_priority": RU.fraud_by_priority(scored),
-        "fraud_by_country": RU.fraud_by_country(scored), "fraud_rule_hits": RU.fraud_rule_hits(scored),
-        "fraud_top_risk": RU.fraud_top_risk(scored),
-    }
+    # the summaries read the written alerts: one grouping-sets aggregate, one top-k
+    alerts = IO.read_parquet(spark, path)
+    cube_path = f"{base}/alert_cube"
+    IO.write_parquet(RU.alert_cube(alerts), cube_path)
+    summaries = RU.summaries_from_cube(IO.read_parquet(spark, cube_path), res.values["processed_rows"])
+    summaries["fraud_top_risk"] = RU.top_risk(alerts)
     IO.write_results_json(summaries, f"{base}/fraud_summary")
     res.paths["fraud_summary"] = f"{base}/fraud_summary"
     if n > 0:
         res.paths["alerts"] = path
-        alerts = IO.read_parquet(spark, path)
         # read back from the sized alert files: no second rebalance
         IO.write_alerts_csv(alerts, f"{base}/fraud_alerts.csv", s.csv_files, rebalance=False)
         res.paths["alerts_csv"] = f"{base}/fraud_alerts.csv"
