@@ -507,6 +507,18 @@ IO_SQL = {
     "io_partitioned_roundtrip": over_enriched(f"SELECT {cols(ENRICHED_NO_TS)} FROM enriched"),
     "io_partition_prune": over_enriched(
         "SELECT year, month, day, COUNT(*) AS n FROM enriched GROUP BY year, month, day"),
+    "io_publish_days": over_enriched(
+        f"SELECT {cols(ENRICHED_NO_TS)} FROM enriched WHERE day % 2 = 0 OR hour >= 6"),
+    "catalog_incremental": over_enriched(
+        """SELECT year, month, day, COUNT(*) AS n, MIN(transaction_id) AS first_id, MAX(transaction_id) AS last_id
+FROM enriched WHERE day % 2 = 0 OR hour >= 6 GROUP BY year, month, day"""),
+    "io_csv_quarantine": over_raw("""SELECT 'broken' AS kind, CAST(transaction_id AS VARCHAR) || ',cut' AS line, 1 AS n
+FROM raw WHERE transaction_id % 97 = 0
+UNION ALL SELECT 'broken', CAST(transaction_id AS VARCHAR) || ',7,a,b,1.0,c,d,e,2024-01-01 00:00:00,f,g,h,one,more', 1
+FROM raw WHERE transaction_id % 97 = 1
+UNION ALL SELECT 'broken', 'x' || CAST(transaction_id AS VARCHAR) || ',7,a,b,1.0,c,d,e,2024-01-01 00:00:00,f,g,h', 1
+FROM raw WHERE transaction_id % 97 = 2
+UNION ALL SELECT 'kept', NULL, COUNT(*) FROM raw WHERE transaction_id % 97 > 2"""),
     "io_alerts_csv": over_scored(ALERT_CSV_SQL),
     "io_write_verify": over_enriched(
         "SELECT COUNT(*) AS written_rows, COUNT(*) AS read_rows FROM enriched"),

@@ -26,6 +26,7 @@ from ..operators import rules as RU
 from ..schema import PARTITION_COLUMNS, PROCESSED_COLUMNS, RAW_SCHEMA
 from ..sources import catalog as K
 from ..sources import files as IO
+from ..sources import publish as P
 from ..sources.testdata import dirty_transactions, testdata_domains, transactions
 from . import oracle as O
 from . import sql_analyses as Q
@@ -235,6 +236,23 @@ def io_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return IO.read_csv(spark, path, RAW_SCHEMA)
 
 
+def io_csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All transactions as lines of text, some cut short, too long or with a
+    wrong field: every broken line, and how many lines were kept."""
+    path, t = scratch_path(spark, "broken-csv"), raw(spark, sf_dir)
+    number = F.col("transaction_id")
+    rest = ",".join(["7", "a", "b", "1.0", "c", "d", "e", "2024-01-01 00:00:00", "f", "g", "h"])
+    broken = (
+        F.when(number % 97 == 0, F.concat(number.cast("string"), F.lit(",cut")))
+        .when(number % 97 == 1, F.concat(number.cast("string"), F.lit(f",{rest},one,more")))
+        .when(number % 97 == 2, F.concat(F.lit("x"), number.cast("string"), F.lit(f",{rest}"))))
+    good = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in t.columns])
+    t.select(F.coalesce(broken, good).alias("value")).write.text(path)
+    rows, quarantine = IO.read_csv_split(spark, path, header=False)
+    return quarantine.select(F.lit("broken").alias("kind"), "line", F.lit(1).cast("bigint").alias("n")).unionByName(
+        rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit("kept").alias("kind"), F.lit(None).cast("string").alias("line"), "n"))
+
+
 def io_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "validated")
     IO.write_parquet(C.clean_data(raw(spark, sf_dir)), path)
@@ -254,6 +272,31 @@ def io_partition_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _published(spark: SparkSession, sf_dir: str) -> str:
+    """The processed table published without the night's rows, then the days
+    whose number is even published again in full."""
+    path, t = scratch_path(spark, "published"), written_processed(spark, sf_dir)
+    P.publish_days(t.where("hour >= 6"), path)
+    P.publish_days(t.where("day % 2 = 0"), path)
+    return path
+
+
+def io_publish_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What lies in the table after single days were published again."""
+    return IO.read_parquet(spark, _published(spark, sf_dir)).select(*NO_TS)
+
+
+def catalog_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table learns of its days in two steps, never by a repair."""
+    path, name = _published(spark, sf_dir), "transactions_by_day"
+    K.create_transactions_table(spark, path, name, recover=False)
+    days = [tuple(r) for r in IO.read_parquet(spark, path).select(*PARTITION_COLUMNS).distinct().collect()]
+    P.add_days(spark, name, days[::2])
+    P.add_days(spark, name, days)
+    return spark.table(name).groupBy(*PARTITION_COLUMNS).agg(
+        F.count(F.lit(1)).alias("n"), F.min("transaction_id").alias("first_id"), F.max("transaction_id").alias("last_id"))
+
+
 def io_alerts_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "alerts-csv")
     IO.write_alerts_csv(RU.fraud_alerts(written_scored(spark, sf_dir)), path, S.csv_files)
@@ -320,9 +363,12 @@ def catalog_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES.update({
     "io_csv_scan": io_csv_scan,
+    "io_csv_quarantine": io_csv_quarantine,
     "io_parquet_roundtrip": io_parquet_roundtrip,
     "io_partitioned_roundtrip": io_partitioned_roundtrip,
     "io_partition_prune": io_partition_prune,
+    "io_publish_days": io_publish_days,
+    "catalog_incremental": catalog_incremental,
     "io_alerts_csv": io_alerts_csv,
     "io_write_verify": io_write_verify,
     "io_json_roundtrip": io_json_roundtrip,

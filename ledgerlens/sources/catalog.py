@@ -58,14 +58,15 @@ def drop_own(spark: SparkSession, name: str) -> None:
 
 
 def create_transactions_table(spark: SparkSession, location: str,
-                              name: str = TRANSACTIONS_TABLE) -> str:
+                              name: str = TRANSACTIONS_TABLE, recover: bool = True) -> str:
     """S11 + S13: external partitioned table over written Parquet, then
-    partition recovery. Returns the DDL that was run. ``name`` may carry a
-    schema (``db.table``)."""
+    partition recovery (``recover=False``: ``publish.add_days`` names the days).
+    Returns the DDL that was run. ``name`` may carry a schema (``db.table``)."""
     ddl = transactions_ddl(location, name)
     drop_own(spark, name)
     spark.sql(ddl)
-    spark.sql(f"MSCK REPAIR TABLE {name}")
+    if recover:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
     return ddl
 
 

@@ -35,6 +35,28 @@ def read_csv(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA,
     return reader.schema(schema).csv(path)
 
 
+BROKEN = "_broken_line"
+
+
+def read_csv_split(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA,
+                   header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """S2 with a quarantine: ``(rows, broken)``. ``rows`` are the lines that
+    fit the schema; ``broken`` holds ``line`` and ``file`` of those that do not
+    (too few or too many fields, a field that is none of its type), which the
+    plain scan would fill with NULL. Every line but blank ones is in one of
+    them. Both are lazy scans of the files; columns are not pruned, as a line is
+    broken or not whatever columns are asked for."""
+    reader = spark.read.option("header", header).option("mode", "PERMISSIVE").option("columnPruning", False)
+    lines = reader.option("columnNameOfCorruptRecord", BROKEN).schema(
+        StructType(schema.fields + [StructField(BROKEN, StringType(), True)])).csv(path)
+    # always true; Spark refuses scans that read the broken line and no field
+    lines = lines.where(F.concat_ws("", F.lit("x"), F.col(schema.fields[0].name).cast("string")) != "")
+    rows = lines.where(F.col(BROKEN).isNull()).drop(BROKEN)
+    broken = lines.where(F.col(BROKEN).isNotNull()).select(
+        F.col(BROKEN).alias("line"), F.col("_metadata.file_path").alias("file"))
+    return rows, broken
+
+
 def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
     """Output partitions of about the advisory size, clustered by ``columns``.
 
