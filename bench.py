@@ -108,7 +108,7 @@ def main() -> None:
     rows: dict[str, int] = {}
 
     sc.setJobGroup("cold", "six-stage run, first in the session")
-    res = run_all(spark, registry.raw(spark, sf_dir))
+    res = run_all(spark, registry.raw(spark, sf_dir), keep=True)
     for stage, status, n, secs in res.metrics:
         times[f"stage_{stage}"] = secs
         rows[f"stage_{stage}"] = n if n is not None else -1

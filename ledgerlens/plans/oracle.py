@@ -393,6 +393,7 @@ ORDER BY risk_score DESC, amount DESC NULLS LAST, transaction_id LIMIT 10""",
 }
 
 FEATURE_SQL = {
+    "enriched_by_days": f"SELECT {cols(c for c in PROCESSED_COLUMNS if c != 'timestamp_dt')} FROM enriched",
     "feat_temporal": """SELECT transaction_id, year, month, day, hour, day_of_week,
   CAST(epoch(timestamp_dt) AS BIGINT) AS epoch_seconds FROM enriched""",
     "feat_time_slot": "SELECT transaction_id, hour, time_slot FROM enriched",

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_SETTINGS, configure, scratch_path
 from ..operators import analytics as A
+from ..operators import carry as D
 from ..operators import clean as C
 from ..operators import features as T
 from ..operators import quality as V
@@ -155,6 +156,23 @@ QUERIES.update({
     "feat_risk_score": _count_by(processed, "risk_score"),
     "enriched_transactions": lambda s, d: processed(s, d).drop("timestamp_dt"),
 })
+
+
+def enriched_by_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enrichment in three steps, the carry written in between: as if the
+    thirds of a month came in one after another."""
+    t, carry, parts = raw(spark, sf_dir), D.no_carry(spark), []
+    day = F.dayofmonth(F.to_timestamp("timestamp"))
+    for low, high in ((1, 10), (11, 20), (21, 31)):
+        new, late = D.split_late(t.where(day.between(low, high)), carry, S)
+        parts.append(D.enrich_day(new, carry, S))
+        path = scratch_path(spark, "carry")
+        IO.write_parquet(D.next_carry(carry, T.extract_temporal_features(new)), path)
+        carry = IO.read_parquet(spark, path)
+    return D.with_counts(reduce(DataFrame.unionByName, parts), carry).drop("timestamp_dt")
+
+
+QUERIES["enriched_by_days"] = enriched_by_days
 for _name, _sql in O.FEATURE_SQL.items():
     ORACLE[_name] = O.over_enriched(_sql)
 

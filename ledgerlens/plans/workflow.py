@@ -4,7 +4,9 @@ ingest + validate -> enrich -> rules -> tables -> analyses -> reports.
 Each stage ends in a write to the shared scratch folder and the next stage
 reads that table back: the written table cuts lineage, so a lost executor
 recomputes at most one stage, and every later scan is a pruned Parquet read.
-Stops at the first failing stage; returns per-stage metrics.
+Stops at the first failing stage; returns per-stage metrics. A run in the
+folder of an earlier one goes on where that one stopped (``plans.manifest``),
+and tables that no later stage reads are removed when the run has succeeded.
 """
 
 from __future__ import annotations
@@ -25,9 +27,13 @@ from ..operators import rules as RU
 from ..schema import PARTITION_COLUMNS, RAW_SCHEMA
 from ..sources import catalog as K
 from ..sources import files as IO
+from . import manifest as M
 
 STAGES = ("ingest", "transform", "fraud", "tables", "analyses", "reports")
 
+# Tables that only later stages read; they go when the run has succeeded.
+INTERMEDIATE = ("validated", "alert_cube", "analysis_cube")
+
 # Local property naming the stage that submitted a job.
 STAGE_PROPERTY = "ledgerlens.stage"
 
@@ -56,8 +62,10 @@ def _rows(verify: DataFrame, expected: int | None = None) -> int:
     return got["read_rows"]
 
 
-def ingest(spark: SparkSession, raw: DataFrame, base: str, s: Settings, res: RunResult) -> int:
-    """Validate, then clean and write.
+def ingest(spark: SparkSession, raw: DataFrame, base: str, s: Settings, res: RunResult,
+           broken: DataFrame | None = None) -> int:
+    """Validate, then clean and write. ``broken`` lines (``read_csv_split``)
+    are written to a table of their own and counted in the report.
 
     The checks are one aggregation over the raw rows (partial per task, no
     extra shuffle volume); the number of distinct keys is observed in the
@@ -76,6 +84,10 @@ def ingest(spark: SparkSession, raw: DataFrame, base: str, s: Settings, res: Run
     missing = [f.name for f in RAW_SCHEMA.fields if f.name not in raw.columns]
     # one row per column and check: bounded by the schema, not the data
     res.values["validation"] = V.report_rows(metrics, missing)
+    if broken is not None:
+        lost = _rows(IO.write_verified(broken, f"{base}/quarantine", rebalance=True))
+        res.values["validation"].append(("broken_lines", "*", lost))
+        res.paths["quarantine"] = f"{base}/quarantine"
     res.values["validated_rows"] = n
     res.paths["validated"] = path
     found = {
@@ -110,6 +122,7 @@ def fraud(spark: SparkSession, base: str, s: Settings, res: RunResult) -> int:
     # the summaries read the written alerts: one grouping-sets aggregate, one top-k
     alerts = IO.read_parquet(spark, path)
     cube_path = f"{base}/alert_cube"
+    res.paths["alert_cube"] = cube_path
     IO.write_parquet(RU.alert_cube(alerts), cube_path)
     summaries = RU.summaries_from_cube(IO.read_parquet(spark, cube_path), res.values["processed_rows"])
     summaries["fraud_top_risk"] = RU.top_risk(alerts)
@@ -191,31 +204,64 @@ def _summary_from_json(flat: DataFrame) -> DataFrame:
     )
 
 
+def _taken_over(spark: SparkSession, base: str, state: str, res: RunResult) -> list[str]:
+    """The first stages that an earlier run in this folder has finished on
+    the same input; their paths and values are put into ``res``."""
+    taken, gone = [], tuple(INTERMEDIATE)
+    if M.finished(spark, base, STAGES[-1], state, gone) is None:
+        gone = ()                # a run that has not ended needs its intermediate tables
+    for name in STAGES:
+        entry = M.finished(spark, base, name, state, gone)
+        if entry is None:
+            break
+        taken.append(name)
+        res.metrics.append((name, "ok", entry["rows"], 0.0))
+        res.paths.update(entry["paths"])
+        res.values.update(entry["values"])
+    if "validation" in res.values:
+        res.values["validation"] = [tuple(r) for r in res.values["validation"]]
+    return taken
+
+
 def run_all(spark: SparkSession, raw: DataFrame, settings: Settings = DEFAULT_SETTINGS,
-            base: str | None = None) -> RunResult:
+            base: str | None = None, broken: DataFrame | None = None, keep: bool = False) -> RunResult:
     """Run the six stages over ``raw`` (raw schema). Writes below ``base``
-    (default: a fresh folder under ``spark.checkpoint.dir``)."""
+    (default: a fresh folder under ``spark.checkpoint.dir``).
+
+    In a folder that holds an earlier run over the same input and settings the
+    finished stages are taken over (``values["taken_over"]``). ``keep`` leaves
+    the intermediate tables, which else are removed after the last stage.
+    """
     configure(spark)
-    base = base or scratch_path(spark, "run")
+    base = (base or scratch_path(spark, "run")).rstrip("/")
     res = RunResult()
+    state = M.input_state(raw, settings)
+    taken = _taken_over(spark, base, state, res)
+    res.values["taken_over"] = taken
+    M.forget(spark, base, [name for name in STAGES if name not in taken])
     steps = {
-        "ingest": lambda: ingest(spark, raw, base, settings, res),
+        "ingest": lambda: ingest(spark, raw, base, settings, res, broken),
         "transform": lambda: transform(spark, base, settings, res),
         "fraud": lambda: fraud(spark, base, settings, res),
         "tables": lambda: tables(spark, base, settings, res),
         "analyses": lambda: analyses(spark, base, settings, res),
         "reports": lambda: reports(spark, base, settings, res),
     }
+    if "tables" in taken and taken[-1] != STAGES[-1]:
+        steps["tables"]()       # the catalog of another session does not know them
     sc = spark.sparkContext
     outer = sc.getLocalProperty(STAGE_PROPERTY)
     try:
-        for name in STAGES:
+        for name in STAGES[len(taken):]:
             # jobs of this stage carry its name (event log, listeners); the
             # caller's job group and description are left as they are
             sc.setLocalProperty(STAGE_PROPERTY, name)
             t0 = time.time()
             try:
                 rows = steps[name]()
+                M.finish(spark, base, name, {
+                    "state": state, "rows": int(rows), "paths": res.paths,
+                    "values": {k: v for k, v in res.values.items() if k != "taken_over"}})
             except Exception as e:  # noqa: BLE001 - a failed stage ends the run
                 res.metrics.append((name, "failed", None, round(time.time() - t0, 3)))
                 res.values["error"] = f"{name}: {type(e).__name__}: {e}"
@@ -223,4 +269,8 @@ def run_all(spark: SparkSession, raw: DataFrame, settings: Settings = DEFAULT_SE
             res.metrics.append((name, "ok", int(rows), round(time.time() - t0, 3)))
     finally:
         sc.setLocalProperty(STAGE_PROPERTY, outer)
+    if res.ok() and not keep:
+        for name in INTERMEDIATE:
+            if name in res.paths:
+                M.delete(spark, res.paths.pop(name), base)
     return res

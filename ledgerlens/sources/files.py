@@ -44,16 +44,18 @@ def read_csv_split(spark: SparkSession, path: str, schema: StructType = RAW_SCHE
     fit the schema; ``broken`` holds ``line`` and ``file`` of those that do not
     (too few or too many fields, a field that is none of its type), which the
     plain scan would fill with NULL. Every line but blank ones is in one of
-    them. Both are lazy scans of the files; columns are not pruned, as a line is
+    them. Both are lazy scans of the files that parse every column, so a line is
     broken or not whatever columns are asked for."""
-    reader = spark.read.option("header", header).option("mode", "PERMISSIVE").option("columnPruning", False)
+    reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
     lines = reader.option("columnNameOfCorruptRecord", BROKEN).schema(
         StructType(schema.fields + [StructField(BROKEN, StringType(), True)])).csv(path)
-    # always true; Spark refuses scans that read the broken line and no field
-    lines = lines.where(F.concat_ws("", F.lit("x"), F.col(schema.fields[0].name).cast("string")) != "")
-    rows = lines.where(F.col(BROKEN).isNull()).drop(BROKEN)
-    broken = lines.where(F.col(BROKEN).isNotNull()).select(
-        F.col(BROKEN).alias("line"), F.col("_metadata.file_path").alias("file"))
+    # always true, and reads every field: the scan finds broken only what it parses
+    whole = F.concat_ws("", F.lit("x"), *[F.col(f.name).cast("string") for f in schema.fields])
+    lines = lines.where(whole != "")
+    # no filter that the scan would take over: it decides before the line is known to be broken
+    fits = F.coalesce(F.col(BROKEN), F.lit("")) == ""
+    rows = lines.where(fits).drop(BROKEN)
+    broken = lines.where(~fits).select(F.col(BROKEN).alias("line"), F.col("_metadata.file_path").alias("file"))
     return rows, broken
 
 
