@@ -17,10 +17,13 @@ together by itself.
 2. Per shared shingle the first vertex is paired with the others; box bound
    (one box per point), exact check, components.
 3. Only shingles whose vertices still lie in different components are looked at
-   again: their points are packed into R-trees, pairs across components that
-   survive the bound are verified and merge components. Pairs inside a
-   component need no check, and shingles that the same vertices share ask once.
-   Very large groups are cut into blocks, and every
+   again: their points are packed into R-trees, which tell the vertices that
+   have a partner in another component, first by coarse points, then by finer
+   ones. For what is left the exact sets lie together by shingle; the pairs that
+   the trees leave over are checked exactly and a union-find joins their
+   components, so a group gives fewer links than it has vertices, however many
+   of its pairs are similar. Pairs inside a component need no check, and shingles that the same
+   vertices share ask once. Very large groups are cut into blocks, and every
    pair of blocks is a tree of its own, so no pair is left out.
 
 The result is exact up to collisions of 64-bit shingle hashes.
@@ -40,7 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored, text_of
@@ -54,6 +57,10 @@ HEAVY, TWICE = 32, 2             # documents from which a shingle goes last in t
 MAX_HEAVY = 1_000_000            # so many go last at most (8 MB)
 BITMAP_BITS = 27                 # bitmap of shared shingles: 16 MB at any size
 BLOCK = 4096                     # points in a tree; larger groups are cut into blocks
+BUCKET_ROWS = 8_000              # points a task holds, about
+FINE = 8                         # groups per hash of the finer points, at least
+PAIR_WORDS = 1 << 20             # words of pairs compared at once (8 MB a side)
+BUCKET_HASHES = 8_000_000        # hashes of exact sets a task holds at most, about (64 MB)
 MAX_BROADCAST_KEYS = 300_000
 
 
@@ -87,6 +94,57 @@ def _overlap(a: bytes, b: bytes) -> int:
     return int(np.minimum(_counts(a, groups), _counts(b, groups)).sum())
 
 
+def _bits(hashes: np.ndarray) -> bytes:
+    """The finer point of a set: which of about ten groups per hash it has,
+    one bit each, a power of two of them (64 at least)."""
+    places = 1 << max(6, (FINE * len(hashes) - 1).bit_length())
+    bits = np.zeros(places, bool)
+    bits[(hashes & np.uint64(places - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+class FinePoints:
+    """The finer points of some sets. Two sets share at most the groups both
+    have, and what either has twice in a group: the smaller such surplus."""
+
+    def __init__(self, sizes: np.ndarray, blobs: list[bytes]):
+        self.sizes = sizes
+        self.words = [np.frombuffer(b, np.uint64) for b in blobs]
+        self.length = np.array([len(w) for w in self.words], np.int64)
+        self.row = np.zeros(len(blobs), np.int64)
+        self.table, self.surplus = {}, {}
+        for n in np.unique(self.length).tolist():
+            own = np.flatnonzero(self.length == n)
+            self.row[own] = np.arange(len(own))
+            self.table[n] = np.stack([self.words[k] for k in own])
+            self.surplus[n] = sizes[own] - np.bitwise_count(self.table[n]).sum(axis=1, dtype=np.int64)
+
+    def _folded(self, k: int, n: int) -> np.ndarray:
+        w = self.words[k]
+        while len(w) > n:
+            w = w[:len(w) // 2] | w[len(w) // 2:]
+        return w
+
+    def overlap(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """The most that the sets at these places can share, pair by pair."""
+        out = np.zeros(len(i), np.int64)
+        one, two = self.length[i], self.length[j]
+        for n in np.unique(one[one == two]).tolist():
+            at = np.flatnonzero((one == n) & (two == n))
+            step = max(1, PAIR_WORDS // n)
+            for a in range(0, len(at), step):
+                part = at[a:a + step]
+                x, y = self.row[i[part]], self.row[j[part]]
+                both = np.bitwise_count(self.table[n][x] & self.table[n][y]).sum(axis=1, dtype=np.int64)
+                out[part] = both + np.minimum(self.surplus[n][x], self.surplus[n][y])
+        for k in np.flatnonzero(one != two).tolist():
+            n = int(min(one[k], two[k]))
+            x, y = self._folded(i[k], n), self._folded(j[k], n)
+            spare = min(self.sizes[i[k]] - int(np.bitwise_count(x).sum()), self.sizes[j[k]] - int(np.bitwise_count(y).sum()))
+            out[k] = int(np.bitwise_count(x & y).sum()) + spare
+        return out
+
+
 def _reach(low_a, high_a, low_b, high_b, overlap, t: int):
     """Whether sets with sizes in these ranges and at most this overlap may be
     similar."""
@@ -194,12 +252,15 @@ def _vertices(docs: DataFrame, heavy: np.ndarray, t: int) -> DataFrame:
     return stored(one.withColumn("v", F.monotonically_increasing_id()), "op10-vertices")
 
 
-def _exact_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
+def _exact_sets(docs: DataFrame, needed: DataFrame, fine: bool = False) -> DataFrame:
     """``v, hashes`` of the needed vertices ``(key, rep, v)``, from the texts
-    of the documents that stand for them."""
-    @F.pandas_udf("key binary, hashes binary")
+    of the documents that stand for them; if ``fine``, also ``n, point, bits``."""
+    more = ("n", "point", "bits") if fine else ()
+
+    @F.pandas_udf("key binary, hashes binary, n long, point binary, bits binary")
     def keyed(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([(_key(h), h.tobytes()) for h in shingle_sets(list(texts), WIDTH)], columns=["key", "hashes"])
+        return pd.DataFrame([(_key(h), h.tobytes(), *((len(h), _point(h), _bits(h)) if fine else (0, None, None)))
+                             for h in shingle_sets(list(texts), WIDTH)], columns=["key", "hashes", "n", "point", "bits"])
     needed = stored(needed, "op10-needed")
     small = needed.count() <= MAX_BROADCAST_KEYS           # 32 bytes each
     if small:      # texts of other documents are not hashed again
@@ -208,11 +269,19 @@ def _exact_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
     sets = docs.select("doc_id", keyed("text").alias("s")).select("doc_id", "s.*").alias("d").join(
         (F.broadcast(needed) if small else needed).alias("w"),
         (F.col("d.key") == F.col("w.key")) & F.col("d.doc_id").eqNullSafe(F.col("w.rep")))
-    return stored(sets.select("v", "hashes"), "op10-sets")
+    return stored(sets.select("v", "hashes", *more), "op10-sets")
 
 
 # ------------------------------------------------------------------ pairs
 
+def _similar(p: np.ndarray, q: np.ndarray, t: int) -> bool:
+    """The exact check of two sorted sets."""
+    at = np.searchsorted(q, p)
+    at[at == len(q)] = 0
+    both = int((q[at] == p).sum())
+    return 100 * both >= t * (len(p) + len(q) - both)
+
+
 def _verified(docs: DataFrame, vertices: DataFrame, pairs: DataFrame, t: int) -> DataFrame:
     """The pairs ``(a, b)`` that are similar."""
     ends = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).distinct()
@@ -220,12 +289,8 @@ def _verified(docs: DataFrame, vertices: DataFrame, pairs: DataFrame, t: int) ->
 
     @F.pandas_udf("boolean")
     def similar(x: pd.Series, y: pd.Series) -> pd.Series:
-        out = []
-        for p, q in zip(x, y):
-            p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            out.append(100 * both >= t * (len(p) + len(q) - both))
-        return pd.Series(out, dtype=bool)
+        return pd.Series([_similar(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), t) for p, q in zip(x, y)],
+                         dtype=bool)
     one = pairs.join(sets.select(F.col("v").alias("a"), F.col("hashes").alias("x")), "a")
     two = one.join(sets.select(F.col("v").alias("b"), F.col("hashes").alias("y")), "b")
     return stored(two.filter(similar("x", "y")).select("a", "b").distinct(), "op10-links")
@@ -273,50 +338,133 @@ def _forest_pairs(one: dict, two: dict, t: int) -> Iterator[tuple[np.ndarray, np
                 yield own[i], theirs[j]
 
 
-def _tree_pairs(rows: pd.DataFrame, t: int) -> pd.DataFrame:
-    """Pairs across components among the rows of each (token, cell)."""
+def _cells(rows: pd.DataFrame) -> tuple[pd.DataFrame, Iterator[tuple[np.ndarray, np.ndarray]]]:
+    """The rows in order, and per (token, cell) the places of one side and of
+    the other (the same array where a block meets itself)."""
     rows = rows.sort_values(["token", "x", "y", "blk", "v"], kind="stable")
-    blobs, sizes = rows["point"].tolist(), rows["n"].to_numpy(np.int64)
-    v, c, blk = (rows[k].to_numpy(np.int64) for k in ("v", "c", "blk"))
+    c, blk = rows["c"].to_numpy(np.int64), rows["blk"].to_numpy(np.int64)
     cell = rows[["token", "x", "y"]].to_numpy(np.int64)
     new = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]).any(axis=1)]) if len(rows) else []
-    found = set()
-    for a, b in zip(new, [*new[1:], len(rows)]):
-        places = np.arange(a, b)
-        if b - a < 2 or (c[a:b] == c[a]).all():
-            continue
-        if cell[a, 1] == cell[a, 2]:
-            one = two = _forest(sizes, blobs, places)
-        else:
-            first = blk[a:b] == blk[a]
-            if first.all():
-                continue
-            one, two = _forest(sizes, blobs, places[first]), _forest(sizes, blobs, places[~first])
-        for i, j in _forest_pairs(one, two, t):
-            apart = c[i] != c[j]
-            p, q = v[i[apart]], v[j[apart]]
-            found.update(zip(np.minimum(p, q).tolist(), np.maximum(p, q).tolist()))
-    return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
-
 
-def _across(vertices: DataFrame, live: DataFrame, own: DataFrame, t: int) -> DataFrame:
-    """Pairs of vertices of different components that share a first shingle
-    and whose points allow them to be similar, from R-trees."""
+    def sides() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for a, b in zip(new, [*new[1:], len(rows)]):
+            places = np.arange(a, b)
+            if b - a < 2 or (c[a:b] == c[a]).all():
+                continue
+            first = blk[a:b] == blk[a]
+            if cell[a, 1] == cell[a, 2]:
+                yield places, places
+            elif not first.all():
+                yield places[first], places[~first]
+    return rows, sides()
+
+
+def _candidates(sizes: np.ndarray, blobs: list[bytes], one: np.ndarray, two: np.ndarray,
+                t: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs between both sides that the trees leave over."""
+    left = _forest(sizes, blobs, one)
+    yield from _forest_pairs(left, left if one is two else _forest(sizes, blobs, two), t)
+
+
+def _met(rows: pd.DataFrame, t: int) -> pd.DataFrame:
+    """The rows that have a partner of another component in their (token,
+    cell) as far as points tell, and the finer ones (``bits``) where they are
+    given: never more rows than were given."""
+    rows, sides = _cells(rows)
+    blobs, sizes, c = rows["point"].tolist(), rows["n"].to_numpy(np.int64), rows["c"].to_numpy(np.int64)
+    fine = FinePoints(sizes, rows["bits"].tolist()) if "bits" in rows and len(rows) else None
+    met = np.zeros(len(rows), bool)
+    for one, two in sides:
+        for i, j in _candidates(sizes, blobs, one, two, t):
+            open_ = (c[i] != c[j]) & ~(met[i] & met[j])
+            i, j = i[open_], j[open_]
+            if fine is not None and len(i):
+                ok = _reach(sizes[i], sizes[i], sizes[j], sizes[j], fine.overlap(i, j), t)
+                i, j = i[ok], j[ok]
+            met[i] = met[j] = True
+    return rows.loc[met, ["token", "low", "x", "y", "blk", "v", "c", "n"]]
+
+
+def _tied(rows: pd.DataFrame, t: int) -> pd.DataFrame:
+    """Links between the rows of each (token, cell), from trees over their
+    points and the exact check. Components that a link has joined are one from
+    then on, for every cell of the bucket, so a bucket of ``m`` components
+    gives ``m - 1`` links at most."""
+    rows, sides = _cells(rows)
+    sets = [np.frombuffer(h, np.uint64) for h in rows["hashes"]]
+    v, c = rows["v"].tolist(), rows["c"].tolist()
+    blobs, sizes = [_point(h) for h in sets], rows["n"].to_numpy(np.int64)
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = x = parent.get(up, up)
+        return x
+
+    links = []
+    for one, two in sides:
+        for places_i, places_j in _candidates(sizes, blobs, one, two, t):
+            for i, j in zip(places_i.tolist(), places_j.tolist()):
+                x, y = root(c[i]), root(c[j])
+                if x != y and _similar(sets[i], sets[j], t):
+                    parent[max(x, y)] = min(x, y)
+                    links.append((min(v[i], v[j]), max(v[i], v[j])))
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+
+def _across(docs: DataFrame, vertices: DataFrame, live: DataFrame, own: DataFrame, t: int) -> DataFrame:
+    """Links ``(a, b)`` between vertices of different components that share a
+    first shingle, enough of them to join all components that links join.
+    R-trees over the points say which vertices have a partner at all, then the
+    trees and finer points of these; only for what is left the exact sets lie
+    together, and the trees, the exact check and a union-find make links. No
+    step gives more rows than it gets."""
     placed = live.join(own, "v", "left").withColumn("c", F.coalesce("c", "v")).select("token", "v", "c")
     mixed = placed.groupBy("token").agg(
         F.min("c").alias("one"), F.max("c").alias("two"), F.count(F.lit(1)).alias("m"), F.min("v").alias("low"),
         F.max("v").alias("high"), F.sum(F.xxhash64("v").cast("decimal(38,0)")).alias("sign")).filter("one <> two")
     # shingles with the same vertices ask the same question: one of them does
     mixed = mixed.groupBy("m", "low", "high", "sign").agg(F.min("token").alias("token"))
-    mixed = mixed.select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    mixed = mixed.select("token", "low", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
     rows = placed.join(mixed, "token").withColumn("blk", F.pmod(F.xxhash64("v"), F.col("blocks")))
     rows = rows.withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
-        "token", "v", "c", "blk", F.least("blk", "o").alias("x"), F.greatest("blk", "o").alias("y"))
+        "token", "low", "v", "c", "blk", F.least("blk", "o").alias("x"), F.greatest("blk", "o").alias("y"))
     rows = stored(rows, "op10-rows")
-    buckets = max(1, -(-rows.count() // 8_000))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("token", "x", "y"), F.lit(buckets)))
-    rows = rows.join(vertices.select("v", "n", "point"), "v")
-    return rows.groupBy("bucket").applyInPandas(lambda part: _tree_pairs(part, t), "a long, b long").distinct()
+    buckets = max(1, -(-rows.count() // BUCKET_ROWS))
+    first = rows.withColumn("bucket", F.pmod(_cell(), F.lit(buckets))).join(vertices.select("v", "n", "point"), "v")
+    first = stored(first.groupBy("bucket").applyInPandas(lambda one: _met(one, t), _MET), "op10-met")
+    needed = vertices.select("key", "rep", "v").join(first.select("v").distinct(), "v").select("key", "rep", "v")
+    sets = _exact_sets(docs, needed, fine=True)
+    second = stored(_beside(first.drop("n"), F.lit(1), BUCKET_ROWS, sets.select("v", "n", "point", "bits"),
+                            lambda one, own: _met(one.merge(own, on="v"), t), _MET), "op10-finer")
+    found = _beside(second, F.col("n"), BUCKET_HASHES, sets.select("v", "hashes"),
+                    lambda one, own: _tied(one.merge(own, on="v"), t), "a long, b long")
+    return stored(found.distinct(), "op10-across")
+
+
+def _cell() -> Column:
+    return F.xxhash64("token", "x", "y")
+
+
+_MET = "token long, low long, x int, y int, blk int, v long, c long, n long"
+
+
+def _beside(rows: DataFrame, weight: Column, most: int, payload: DataFrame, work, schema: str) -> DataFrame:
+    """``work(rows, their payloads)`` per bucket of whole (token, cell)s. The
+    shingles of one group of copies have the same documents and mostly the same
+    first one (``low``), so they go to one bucket, and a payload is sent once
+    per bucket and vertex, not once per row. A first document with more than
+    ``most`` of weight is cut into several buckets by cell."""
+    loads = rows.groupBy("low").agg(F.sum(weight).alias("w"))
+    total = loads.agg(F.coalesce(F.sum("w"), F.lit(0))).first()[0]
+    parts = loads.select(F.col("low").alias("_low"), F.ceil(F.col("w") / most).alias("_parts"))
+    placed = rows.join(parts, F.col("low") == F.col("_low")).withColumn("bucket", F.pmod(
+        F.xxhash64("low", F.pmod(_cell(), F.col("_parts"))), F.lit(max(1, -(-total // most))))).drop("_low", "_parts")
+    # columns of their own, as both sides come from the same rows
+    own = placed.select(F.col("bucket").alias("_to"), F.col("v").alias("_v")).distinct()
+    own = own.join(payload.withColumnRenamed("v", "_v"), "_v")
+    return placed.groupBy("bucket").cogroup(own.groupBy("_to")).applyInPandas(
+        lambda one, two: work(one, two.drop(columns="_to").rename(columns={"_v": "v"})), schema)
 
 
 def _shared(vertices: DataFrame) -> DataFrame:
@@ -360,8 +508,7 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     stars = live.filter("v <> first").select(F.col("first").alias("a"), F.col("v").alias("b")).distinct()
     links = _verified(docs, vertices, _bounded(vertices, stars, t), t)
     own = stored(components(links), "op10-own")
-    more = _verified(docs, vertices, stored(_across(vertices, live.select("token", "v"), own, t), "op10-across"), t)
-    links = links.union(more)
+    links = links.union(_across(docs, vertices, live.select("token", "v"), own, t))
     final = stored(components(links), "op10-final")
     named = vertices.select("v", "key", "rep").join(final, "v", "left").withColumn("c", F.coalesce("c", "v"))
     smallest = named.groupBy("c").agg(F.min("rep").alias("component"))

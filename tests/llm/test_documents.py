@@ -7,6 +7,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import fixtures as fx
+import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 
@@ -442,3 +444,36 @@ def test_keep_one_of_each_group(docs, empty):
     leads = {i for i, _, c in jaccard_groups(fx.documents()) if i == c}
     assert {str(r["doc_id"]) for r in rows_of(kept)} == leads
     assert ngram_join.similar_groups(empty).count() == 0 and ngram_join.keep_one(empty).count() == 0
+
+
+def test_finer_points_never_miss_an_overlap():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 2 ** 64, n, np.uint64)) for n in (1, 5, 7, 8, 9, 60, 64, 65, 300, 1000, 1100)]
+    sets += [np.unique(np.concatenate([s[:len(s) * 9 // 10], rng.integers(0, 2 ** 64, 1 + len(s) // 8, np.uint64)])) for s in sets]
+    sizes = np.array([len(s) for s in sets])
+    fine = ngram_join.FinePoints(sizes, [ngram_join._bits(s) for s in sets])
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    both = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)])
+    bound = fine.overlap(i, j)
+    assert (bound >= both).all() and (bound <= np.minimum(sizes[i], sizes[j])).all()
+    assert (bound[i == j] == sizes).all()
+    assert all(ngram_join._similar(sets[a], sets[b], t) == (100 * n >= t * (len(sets[a]) + len(sets[b]) - n))
+               for a, b, n in zip(i, j, both) for t in (50, 80, 100))
+
+
+def test_a_group_of_copies_gives_fewer_links_than_members():
+    """A hundred near copies under three shingles, all alike: a row each at
+    most comes through, and a spanning tree of links over all cells."""
+    rng = np.random.default_rng(6)
+    base = np.unique(rng.integers(0, 2 ** 64, 200, np.uint64))
+    sets = [np.unique(np.concatenate([base[5:], rng.integers(0, 2 ** 64, 5, np.uint64)])) for _ in range(100)]
+    rows = pd.DataFrame([(token, 0, 0, 0, 0, v, v, len(s), ngram_join._point(s), ngram_join._bits(s), s.tobytes())
+                         for token in (1, 2, 3) for v, s in enumerate(sets)],
+                        columns=["token", "low", "x", "y", "blk", "v", "c", "n", "point", "bits", "hashes"])
+    met = ngram_join._met(rows, 80)
+    assert len(met) == len(rows)
+    links = ngram_join._tied(rows, 80)
+    assert len(links) == 99 and set(links["a"]) | set(links["b"]) == set(range(100))
+    far = rows[(rows["v"] < 2) | (rows["token"] == 9)].assign(c=4)
+    assert not len(ngram_join._met(far, 80)) and not len(ngram_join._tied(far, 80))
+
