@@ -39,6 +39,7 @@ read. A pair of documents counts as linked when
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -520,13 +521,20 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
              similarity: int = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its group, with all
-    their columns. Rows without an id and those of an id that leads its group
-    with any of its texts stay."""
-    groups = stored(similar_groups(docs, id_column, text_column, similarity), "op10-groups")
-    verdict = groups.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.max((F.col("component_id") == F.col("doc_id")).cast("int")).alias("leads"))
-    gone = stored(verdict.filter("leads = 0").select(F.col("doc_id").alias("_gone")), "op10-gone")
+    """One row of each group with all its columns: the one with the smallest
+    id (null last), and of rows that share it the first written. Decided row by
+    row, so near copies among rows without an id, or under one id, go as well;
+    rows without words stay."""
+    row = f"_row_{uuid.uuid4().hex[:8]}"
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "op10-docs")      # fixes the row numbers
+    groups = stored(similar_groups(rows, row, text_column, similarity).select(
+        F.col("doc_id").alias(row), F.col("component_id").alias("c")), "op10-groups")
+    # rows that are linked with an earlier one, and the first rows of their groups
+    later = groups.filter(F.col(row) != F.col("c"))
+    members = later.union(later.select(F.col("c").alias(row), "c").distinct())
+    named = members.join(rows.select(row, F.col(f"`{id_column}`").cast("long").alias("id")), row)
+    best = named.groupBy("c").agg(F.min(F.struct(F.col("id").isNull(), "id", row)).alias("b"))
+    gone = stored(named.join(best, "c").filter(F.col(row) != F.col(f"b.{row}")).select(row), "op10-gone")
     small = gone.count() <= MAX_BROADCAST_KEYS             # 8 bytes each
-    return docs.join(F.broadcast(gone) if small else gone,
-                     docs[id_column].cast("long") == F.col("_gone"), "left_anti")
+    return rows.join(F.broadcast(gone) if small else gone, row, "left_anti").select(
+        *[F.col(f"`{c}`") for c in docs.columns])

@@ -477,3 +477,21 @@ def test_a_group_of_copies_gives_fewer_links_than_members():
     far = rows[(rows["v"] < 2) | (rows["token"] == 9)].assign(c=4)
     assert not len(ngram_join._met(far, 80)) and not len(ngram_join._tied(far, 80))
 
+
+def test_keep_one_decides_row_by_row(spark):
+    """Near copies without an id, under one id, as repeated rows and with
+    clashing columns: one of each group stays, all that stand alone stay."""
+    prepare(spark)
+    rng = random.Random(8)
+    one, two, alone = (fx.words(rng, 80) for _ in range(3))
+    rows = [(None, one, "en", "a"), (None, one, "en", "a"), (None, fx.near_copy(rng, one, 1), "en", "b"),
+            (7, two, "en", "a"), (7, fx.near_copy(rng, two, 1), "en", "b"), (7, two, "en", "a"),
+            (9, one + " x", "en", "c"), (7, alone, "en", "d"), (None, None, "en", "e"), (None, "", "de", "f"), (3, None, None, "g")]
+    kept = ngram_join.keep_one(fx.clashing(fx.frame(spark, rows)))
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.source) for r in kept.collect())
+    stay = [(3, "g"), (7, "d"), (9, "c"), (None, "e"), (None, "f")]
+    assert [x for x in got if x[2] in "cdefg"] == sorted((i is None, i or 0, s) for i, s in stay)
+    rest = [x for x in got if x[2] in "ab"]
+    assert len(rest) == 1 and rest[0][1] == 7
+    assert kept.columns == fx.clashing(fx.frame(spark, rows)).columns
+    assert ngram_join.keep_one(fx.frame(spark, [])).count() == 0
