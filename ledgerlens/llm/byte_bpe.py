@@ -26,7 +26,6 @@ import hashlib
 import heapq
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -34,9 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_of
+from .common import held, text_of
 
-CACHE_ENTRIES = 400_000       # distinct merged pieces a worker keeps
+CACHE_BYTES = 80 << 20        # of merged pieces a worker keeps, keys and values
+CACHED_PIECE = 256            # bytes; longer pieces are merged each time
+ENTRY_BYTES = 180             # of an entry besides its bytes
 BATCH_CHARS = 500_000         # code points scanned at once (a longer text alone)
 BLOCK = 64
 LONG_PIECE = 96               # bytes from which pairs are merged with a heap
@@ -162,11 +163,16 @@ class Codec(dict):
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.vocabulary = {i: piece for piece, i in self.ranks.items()}
         self.scanner = Scanner()
+        self.size = 0
 
     def __missing__(self, piece: bytes) -> bytes:
-        if len(self) > CACHE_ENTRIES:
-            self.clear()
-        ids = self[piece] = np.array(self.merge(piece), "<u4").tobytes()
+        ids = np.array(self.merge(piece), "<u4").tobytes()
+        if len(piece) <= CACHED_PIECE:
+            self.size += ENTRY_BYTES + len(piece) + len(ids)
+            if self.size > CACHE_BYTES:
+                self.clear()
+                self.size = 0
+            self[piece] = ids
         return ids
 
     def merge(self, piece: bytes) -> list[int]:
@@ -251,9 +257,8 @@ class Codec(dict):
         return b"".join(map(self.vocabulary.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
 def codec(rank_file: str) -> Codec:
-    return Codec(rank_file)
+    return held(("byte_bpe", rank_file), lambda: Codec(rank_file))
 
 
 DIGEST = "n_tokens long, ids_sha256 string, decoded_sha256 string"

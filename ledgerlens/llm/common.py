@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
+import time
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,6 +60,34 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_held: dict = {}              # key -> [object, time of its last use], of this process
+IDLE = 5.0                    # seconds without use after which another operator's tables may go
+
+
+def held(key: object, make: Callable):
+    """An object of a worker process that its tasks share, made once."""
+    entry = _held.get(key)
+    if entry is None:
+        release()
+        entry = _held[key] = [make(), 0.0]
+    entry[1] = time.monotonic()
+    return entry[0]
+
+
+def release(idle: float = IDLE) -> None:
+    """Let go of what the stages before have left in this process, and give
+    the memory back: workers live longer than a stage."""
+    old = [k for k, (_, used) in _held.items() if time.monotonic() - used > idle]
+    for k in old:
+        del _held[k]
+    if old:
+        gc.collect()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):       # another C library
+            pass
+
+
 def text_of(column: str = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -7,6 +7,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from .common import release
+
 _BASE = 0x9E3779B97F4A7C15                      # odd: invertible modulo 2 ** 64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -46,6 +48,7 @@ def shingle_sets(texts: list[str], width: int = 5) -> Iterator[np.ndarray]:
     """Per text the sorted distinct hashes of its ``width``-word shingles (the
     whole sequence when it has fewer words; empty without words). A-Z are
     lower-cased, words are runs of ``[^\\x20\\x09-\\x0D]``."""
+    release()
     group, size = [], 0
     for text in [*texts, None]:
         data = None if text is None else text.encode("utf-8", "surrogatepass").lower()
