@@ -18,6 +18,8 @@ COLUMNS = {
     "op5_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans", "op6_language_id": "doc_id held_out lang_pred score",
     "op7_byte_bpe": "doc_id n_tokens ids_sha256 decoded_sha256", "op9_toxicity": "doc_id held_out score predicted",
     "op10_ngram_join": "doc_id n_shingles component_id",
+    "op11_sentencepiece": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op13_fill_in_middle": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
 }
 
 
@@ -34,6 +36,13 @@ def test_contract_columns_and_one_row_a_document(spark, name):
     assert df.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
 
 
+def test_whitening_has_a_row_a_vector_and_component(spark):
+    from __spark_entry__ import queries
+    df = queries()["op12_whitening"](spark, SF)
+    assert df.columns == "vec_id component n deviation whitened explained identity_error".split()
+    assert df.count() == 16 * spark.read.parquet(f"{SF}/embeddings.parquet").count()
+
+
 def test_pipeline_stage_by_stage(spark):
     import corpus_pipeline
     import public_tokenizers
