@@ -114,8 +114,10 @@ SIZING_DEFAULTS = {
     # coalesce to the advisory partition size instead of keeping many tiny ones
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     # post-shuffle partitions (and so rebalanced output files, which come out
-    # two to four times smaller than their shuffle bytes) of a useful size
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # two to four times smaller than their shuffle bytes). A window or a sort
+    # holds its partition's rows unpacked, about 15 times the compressed shuffle
+    # bytes of the full rows, so this bounds the memory of a task.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 

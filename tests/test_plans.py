@@ -272,3 +272,23 @@ def test_skew_tables_are_broadcast_by_hint(spark, tables):
     edge_join = next(line for line in joins if "_ec#" in line)
     tie_join = next(line for line in joins if "_tc#" in line)
     assert "BroadcastHashJoin" in edge_join and "BroadcastHashJoin" in tie_join
+
+
+def test_a_windows_partitions_stay_small(spark):
+    """The default partition size bounds the rows that one task of a window
+    holds, however many there are."""
+    from pyspark.sql import Window
+
+    from ledgerlens.config import SIZING_DEFAULTS
+    size, width = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions"
+    old = {k: spark.conf.get(k) for k in (size, width)}
+    try:
+        spark.conf.set(size, SIZING_DEFAULTS[size])
+        spark.conf.set(width, "64")
+        wide = spark.range(2_000_000).select((F.col("id") % 5003).alias("k"), "id", F.sha2(F.col("id").cast("string"), 256).alias("x"))
+        before = wide.withColumn("before", F.lag("x").over(Window.partitionBy("k").orderBy("id")))
+        rows = before.groupBy(F.spark_partition_id().alias("task")).agg(F.count("before").alias("n")).agg(F.max("n"))
+        assert rows.first()[0] <= 500_000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
