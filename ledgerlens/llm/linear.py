@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import unicodedata
 from functools import lru_cache
 
@@ -25,20 +26,21 @@ def letters(text: str) -> np.ndarray:
 
 def ngrams(cps: np.ndarray, sizes: tuple[int, ...], bits: int) -> np.ndarray:
     """Hashes of the n-grams of a padded text whose later places are letters
-    (a space may lead, so a word's beginning tells)."""
+    (a space may lead, so a word's beginning tells); sizes ascend."""
     cps = np.concatenate([[np.uint64(32)], cps, [np.uint64(32)]])
     solid = cps != 32
     found = []
+    # each size goes on from the sums of the one before
+    total, ok, k = np.zeros(len(cps), np.uint64), np.ones(len(cps), bool), 0
     for n in sizes:
         m = len(cps) - n + 1
         if m <= 0:
-            continue
-        h, ok = np.full(m, n, np.uint64) * _MIX, np.ones(m, bool)
-        for k in range(n):
-            h += cps[k:k + m] * _MULTIPLIERS[k]
-            if k or n == 1:
-                ok &= solid[k:k + m]
-        h = h[ok]
+            break
+        while k < n:
+            total = total[:len(cps) - k] + cps[k:] * _MULTIPLIERS[k]
+            ok = ok[:len(cps) - k] & solid[k:] if k else ok
+            k += 1
+        h = total[ok & solid[:m] if n == 1 else ok] + np.array([n], np.uint64) * _MIX
         h ^= h >> np.uint64(31)
         h *= _MIX
         found.append((h >> np.uint64(64 - bits)).astype(np.int64))
@@ -70,6 +72,32 @@ class Ftrl:
         self.n[idx] = new
 
 
+class BinaryFtrl:
+    """``Ftrl`` of two classes over sets of places (every input 1): the columns
+    of the classes mirror each other, so that of class 1 stands for both."""
+
+    def __init__(self, size: int, alpha=0.3, beta=1.0, l1=0.5, l2=0.1):
+        self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
+        self.z = np.zeros(size)
+        self.root = np.zeros(size)           # of the summed squares of gradients
+
+    def _weights(self, z: np.ndarray, root: np.ndarray) -> np.ndarray:
+        return (np.clip(z, -self.l1, self.l1) - z) / ((self.beta + root) / self.alpha + self.l2)
+
+    def weights(self) -> np.ndarray:
+        """Of class 1 against class 0."""
+        return 2 * self._weights(self.z, self.root)
+
+    def update(self, idx: np.ndarray, label: int, weight: float = 1.0) -> None:
+        z, root = self.z[idx], self.root[idx]
+        w = self._weights(z, root)
+        pull = min(700.0, max(-700.0, 2 * float(w.sum())))
+        g = (1 / (1 + math.exp(-pull)) - label) * weight
+        new = np.sqrt(root * root + g * g)
+        self.z[idx] = z + g - (new - root) / self.alpha * w
+        self.root[idx] = new
+
+
 def softmax(scores: np.ndarray) -> np.ndarray:
     e = np.exp(scores - scores.max(axis=-1, keepdims=True))
     return e / e.sum(axis=-1, keepdims=True)

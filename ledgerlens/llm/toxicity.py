@@ -10,24 +10,33 @@ is found by Viterbi; the restored text is then scored by a sparse logistic
 regression on the presence of hashed character n-grams (trained by
 follow-the-regularised-leader with an elastic net).
 
-Labels are learned only from rows whose ``crc32`` of the id modulo 3 is not 1.
-The language model and the classifier are fitted on a bounded sample of them
-(``TRAIN_PER_CLASS`` documents a class, chosen by a hash of the id, whole
-texts). Every row is scored whole in one pass without a shuffle; labels,
-language, source and id are inputs of no score.
+Labels are learned only from rows whose ``crc32`` of the id modulo 3 is not 1,
+and from all of them. The trigrams of the language model are counted over every
+one. The classifier is the mean of as many as the rows need, each fitted by a
+task of its own on a shard of bounded size: the rows of the larger class are
+dealt by a hash, about ``TRAIN_PER_CLASS`` a shard; those of the smaller one go
+to as many shards as give each that number too, or all there are. So each row
+trains, the classes meet in every shard, and all shards together hold at most
+about twice the rows. Every row is scored whole in one pass without a shuffle;
+labels, language, source and id are inputs of no score.
 
 Edge cases: a null text counts as empty and scores what the intercept says; a
 row of ``labels`` without a document, with a null label or a null id is
 ignored, one repeated counts once if it agrees and not at all if it does not;
+documents with one id and one text train as often as they occur, beyond
+``REPEATS`` by heavier steps;
 without both classes in the training rows every score is 0; other columns are
-not touched.
+not touched. The language model has an entry for each different trigram of
+letters.
 """
 
 from __future__ import annotations
 
+import hashlib
 import pickle
 import re
 from collections import Counter
+from collections.abc import Iterator
 from itertools import groupby
 from operator import eq
 
@@ -36,13 +45,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import held, stored, text_of
 from .language_id import crc
-from .linear import Ftrl, letters, ngrams
+from .linear import BinaryFtrl, letters, ngrams
 
 SIZES = (3, 4, 5)
 BITS = 18
-TRAIN_PER_CLASS = 2_000
+TRAIN_PER_CLASS = 2_000       # rows of a class in one shard
+SHARD_CHARS = 50_000_000      # at about which longer texts make more shards
+REPEATS = 50                  # steps of an epoch for one text of one id
 EPOCHS = 8
 L1 = 15.0                     # heavy: signs that few documents carry must stand out to stay
 THRESHOLD = 0.7
@@ -59,6 +70,7 @@ SUSPECT = re.compile(rf"{_SIGNED}|({_LETTER})\1")
 # without these only its runs of letters are read, so that "pull-off" stays two words
 _WHOLE = re.compile(rf"{_SIGNED}|({_LETTER})\1\1")
 _RUN = re.compile(rf"{_LETTER}+")
+_WORD = re.compile(rf"{_LETTER}{{2,}}")
 # '*' is a mark here; the lattice still reads it as a sign
 _ITEM = rf"(?:{_LETTER}|[{_SIGNS.replace(re.escape('*'), '')}])"
 SPACED = re.compile(rf"(?<!\S){_ITEM}(?:[{re.escape(_MARKS)}]++{_ITEM}){{3,}}(?![^\s.,;:!?])")
@@ -71,18 +83,24 @@ _PUNCTUATED, _NOT_PUNCTUATED, _NUMBERED = (float(np.log(p)) for p in (0.9, 0.1,
 _ONE_OF_TWO, _LONG_RUN = float(np.log(0.05)), float(np.log(0.5))
 
 
+def trigrams(words: Counter) -> Counter:
+    """Of counted words; ``^`` starts a word and ``$`` ends it."""
+    three: Counter = Counter()
+    for word, n in words.items():
+        s = f"^^{word}$"
+        for i in range(len(s) - 2):
+            three[s[i:i + 3]] += n
+    return three
+
+
 class Language:
-    """Character trigrams of words with back-off; ``^`` starts a word and
-    ``$`` ends it."""
-
-    def __init__(self, words: Counter):
-        self.three, self.two, self.one = Counter(), Counter(), Counter()
-        for word, n in words.items():
-            s = f"^^{word}$"
-            for a, b, c in zip(s, s[1:], s[2:]):
-                self.three[a + b + c] += n
-                self.two[b + c] += n
-                self.one[c] += n
+    """Character trigrams of words with back-off."""
+
+    def __init__(self, three: Counter):
+        self.three, self.two, self.one = three, Counter(), Counter()
+        for k, n in three.items():
+            self.two[k[1:]] += n
+            self.one[k[2]] += n
         self.two_of, self.one_of = Counter(), Counter()
         for k, n in self.three.items():
             self.two_of[k[:2]] += n
@@ -268,75 +286,152 @@ class Restorer(dict):
 
 
 def _places(text: str) -> np.ndarray:
-    return np.unique(ngrams(letters(text), SIZES, BITS))
+    return np.unique(ngrams(letters(text), SIZES, BITS)).astype(np.int32)
+
+
+SLOTS = 1 << 26               # of the filter before the join; its table has at most a 64th as many rows
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, id_column="doc_id", text_column="text",
+                  label_column="toxic") -> DataFrame:
+    """``_id, _label, _text, _n`` (how often) of every document that a label
+    trains. The labels grow with the input, so they are not broadcast; a filter
+    of bounded size keeps most texts without one out of the join's shuffle."""
+    label, slot = F.col(label_column).cast("int"), F.pmod(F.xxhash64("_id"), F.lit(SLOTS))
+    mine = F.col(id_column).isNotNull() & (crc(F.col(id_column)) % 3 != 1)
+    own = labels.filter(mine & label.isin(0, 1)).groupBy(F.col(id_column).cast("long").alias("_id")).agg(
+        F.min(label).alias("_label"), F.max(label).alias("_most")).filter("_label = _most").drop("_most")
+    slots = own.withColumn("_slot", slot).groupBy(F.expr("_slot div 64").alias("_word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(_slot % 64 as int)))").alias("_bits"))
+    maybe = docs.filter(mine).select(F.col(id_column).cast("long").alias("_id"), text_of(text_column).alias("_text"))
+    maybe = maybe.withColumn("_slot", slot).withColumn("_word", F.expr("_slot div 64")).join(
+        F.broadcast(slots), "_word").filter("bit_get(_bits, cast(_slot % 64 as int)) = 1")
+    return maybe.select("_id", "_text").join(own, "_id").groupBy("_id", "_label", "_text").agg(
+        F.count(F.lit(1)).alias("_n"))
+
+
+ROWS, CHARS = "rows ", "chars"       # keys beside the trigrams, longer than these
+
+
+def counts(rows: DataFrame) -> dict[str, int]:
+    """The trigrams of every training row; under ``ROWS`` and the label the rows
+    of a class, under ``CHARS`` and the label their characters."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words, total = Counter(), Counter()
+        for batch in batches:
+            for text, label, n in zip(batch["_text"], batch["_label"], batch["_n"]):
+                found = _WORD.findall(text.lower())
+                words.update(found if n == 1 else {w: m * n for w, m in Counter(found).items()})
+                total[f"{ROWS}{label}"] += 1
+                total[f"{CHARS}{label}"] += len(text)
+            if len(words) > CACHE_ENTRIES:
+                total.update(trigrams(words))
+                words.clear()
+            if len(total) > CACHE_ENTRIES:
+                yield pd.DataFrame(total.items(), columns=["key", "n"])
+                total.clear()
+        total.update(trigrams(words))
+        yield pd.DataFrame(total.items(), columns=["key", "n"])
+    summed = rows.mapInPandas(count, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return {r["key"]: r["n"] for r in summed.collect()}      # one row a trigram
+
+
+def deal(rows: DataFrame, n: dict[str, int], per_class: int = TRAIN_PER_CLASS, read=None) -> tuple[DataFrame, int]:
+    """``_shard, _mix, _id, _label, _text, _n``, each training row in one shard
+    or more, and the number of shards. ``read`` makes the texts of the shards."""
+    of = {label: n[f"{ROWS}{label}"] for label in (0, 1)}
+    chars = max(n[f"{CHARS}{label}"] for label in (0, 1))
+    shards = max(1, round(max(of.values()) / per_class), -(-chars // SHARD_CHARS))
+    # of the smaller class, what all shards want of it and have, shared out
+    share = {label: min(shards, max(1, round(min(m, max(of.values()) / shards) * shards / m))) for label, m in of.items()}
+    once = rows.withColumn("_mix", F.xxhash64(F.col("_id").cast("string"))).withColumn(
+        "_deal", F.xxhash64("_id", "_text")).withColumn("_text", F.col("_text") if read is None else read)
+    copies = F.sequence(F.lit(0), F.when(F.col("_label") == 1, share[1] - 1).otherwise(share[0] - 1))
+    dealt = once.withColumn("_copy", F.explode(copies)).withColumn("_shard", F.pmod(F.col("_deal") + F.col("_copy"), F.lit(shards)))
+    return dealt.drop("_copy", "_deal"), shards
+
+
+def _restored(shared):
+    """``_text`` as the classifier reads it."""
+    @F.pandas_udf("string")
+    def restore(texts: pd.Series) -> pd.Series:
+        key, blob = shared.value
+        restorer = held(("toxicity language", key), lambda: Restorer(pickle.loads(blob)))
+        return texts.map(restorer.restore)
+    return restore("_text")
 
 
 def _fit(epochs: int):
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["_mix", "_label"], kind="stable")
-        if rows["_label"].nunique() < 2:
-            return pd.DataFrame({"model": pd.Series([], dtype=object)})
-        words: Counter = Counter()
-        for text in rows["_text"]:
-            words.update(w for w in re.findall(rf"{_LETTER}+", text.lower()) if len(w) > 1)
-        language = Language(words)
-        restorer = Restorer(language)
-        data = [(_places(restorer.restore(t)), y) for t, y in zip(rows["_text"], rows["_label"])]
-        model = Ftrl(2, (1 << BITS) + 1, alpha=0.3, l1=L1, l2=0.1)
-        bias = np.array([1 << BITS])
+        rows = rows.sort_values(["_mix", "_text"], kind="stable")
+        bias = np.array([1 << BITS], np.int32)
+        data = [(np.concatenate([_places(t), bias]), y, n)
+                for t, y, n in zip(rows["_text"], rows["_label"], rows["_n"])]
+        model = BinaryFtrl((1 << BITS) + 1, alpha=0.3, l1=L1, l2=0.1)
         for _ in range(epochs):
-            for idx, y in data:
-                idx = np.concatenate([idx, bias])
-                model.update(idx, np.ones(len(idx)), y)
+            for idx, y, n in data:
+                for _ in range(min(n, REPEATS)):
+                    model.update(idx, y, max(1.0, n / REPEATS))
         w = model.weights()
-        w = (w[:, 1] - w[:, 0]).astype(np.float32)
-        blob = pickle.dumps((language, np.flatnonzero(w[:-1]), w[:-1][w[:-1] != 0], float(w[-1])))
-        return pd.DataFrame({"model": [blob]})
+        places = np.flatnonzero(w)
+        return pd.DataFrame({"place": places, "weight": w[places]})
     return fit
 
 
+FIXED = 1 << 32               # weights are summed as whole numbers of this part, in any order alike
+
+
 def train_model(docs: DataFrame, labels: DataFrame, id_column="doc_id", text_column="text", label_column="toxic",
                 per_class: int = TRAIN_PER_CLASS, epochs: int = EPOCHS):
     """``(language, places, weights, intercept)``; None without both classes."""
-    label = F.col(label_column).cast("int")
-    own = labels.filter(F.col(id_column).isNotNull() & label.isin(0, 1) & (crc(F.col(id_column)) % 3 != 1)).groupBy(
-        F.col(id_column).cast("long").alias("_id")).agg(F.min(label).alias("_label"), F.max(label).alias("_most"))
-    own = own.filter("_label = _most").drop("_most").withColumn("_mix", F.xxhash64(F.col("_id").cast("string")))
-    own = own.withColumn("_u", F.shiftrightunsigned("_mix", 11) / F.lit(float(1 << 53)))
-    n = {r["_label"]: r["n"] for r in own.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(n) < 2:
+    # joined once, read twice
+    rows = stored(training_rows(docs, labels, id_column, text_column, label_column), "op9-training")
+    n = counts(rows)
+    if not n.get(f"{ROWS}0") or not n.get(f"{ROWS}1"):
         return None
-    share = F.when(F.col("_label") == 1, min(1.0, per_class / n[1])).otherwise(min(1.0, per_class / n[0]))
-    chosen = own.filter(F.col("_u") < share).drop("_u")     # about 2 * per_class rows
-    sample = docs.select(F.col(id_column).cast("long").alias("_id"), text_of(text_column).alias("_text")).join(
-        F.broadcast(chosen), "_id").drop("_id")
-    fitted = sample.groupBy(F.lit(0).alias("one")).applyInPandas(_fit(epochs), "model binary").first()
-    return None if fitted is None else pickle.loads(bytes(fitted["model"]))
+    language = Language(Counter({k: m for k, m in n.items() if len(k) == 3}))
+    blob = pickle.dumps(language)
+    shared = docs.sparkSession.sparkContext.broadcast((hashlib.sha256(blob).hexdigest(), blob))   # a trigram an entry
+    dealt, shards = deal(rows, n, per_class, _restored(shared))
+    # a number of partitions of its own, as small shards would be put into one task
+    fitted = dealt.repartition(2 * shards, "_shard").groupBy("_shard").applyInPandas(
+        _fit(epochs), "place int, weight double")
+    summed = fitted.groupBy("place").agg(F.sum((F.col("weight") * FIXED).cast("long")).alias("w"))
+    found = {r["place"]: r["w"] / FIXED / shards for r in summed.collect()}      # at most 2 ** BITS + 1
+    bias = found.pop(1 << BITS, 0.0)
+    places = np.array(sorted(found), np.int64)
+    return language, places, np.array([found[p] for p in places.tolist()], np.float32), bias
+
+
+class Scorer:
+    """A model as the workers use it."""
+
+    def __init__(self, language: Language, places: np.ndarray, weights: np.ndarray, bias: float):
+        self.restorer, self.bias = Restorer(language), bias
+        self.weights = np.zeros(1 << BITS, np.float32)
+        self.weights[places] = weights
+
+    def scores(self, texts: pd.Series) -> np.ndarray:
+        w, out = self.weights, []
+        for text in texts:
+            h = ngrams(letters(self.restorer.restore(text)), SIZES, BITS)
+            told = h[w[h] != 0]
+            out.append(self.bias + float(w[np.unique(told)].sum()))
+        return 1 / (1 + np.exp(-np.clip(out, -40, 40)))
 
 
 def scores(docs: DataFrame, model, text_column="text"):
     """A column: the score of each text."""
-    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))   # bounded by the sample
-    held: dict = {}
+    blob = pickle.dumps(model)
+    key = ("toxicity", hashlib.sha256(blob).hexdigest())
+    shared = docs.sparkSession.sparkContext.broadcast(blob)   # a trigram or a place an entry
+    nothing = model is None
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        if "w" not in held:
-            found = pickle.loads(shared.value)
-            held["w"] = None
-            if found is not None:
-                language, places, weights, bias = found
-                w = np.zeros(1 << BITS, np.float32)
-                w[places] = weights
-                held.update(w=w, bias=bias, restorer=Restorer(language))
-        if held["w"] is None:
+        if nothing:
             return pd.Series(np.zeros(len(texts)))
-        w, out = held["w"], []
-        for text in texts:
-            h = ngrams(letters(held["restorer"].restore(text)), SIZES, BITS)
-            told = h[w[h] != 0]
-            out.append(held["bias"] + float(w[np.unique(told)].sum()))
-        return pd.Series(1 / (1 + np.exp(-np.clip(out, -40, 40))))
+        return pd.Series(held(key, lambda: Scorer(*pickle.loads(shared.value))).scores(texts))
     return score(text_of(text_column))
 
 

@@ -209,3 +209,50 @@ def test_toxicity_edge_cases(spark, small):
 def test_ngrams_never_cross_words():
     assert set(ngrams(letters("ab cd"), (2,), 18)) == set(ngrams(letters("cd, ab!"), (2,), 18))
     assert len(ngrams(letters("12 !?"), (1, 2, 3), 18)) == 0
+
+
+def test_every_training_row_is_counted_and_dealt(spark, small):
+    """More rows than a shard takes: none is left out of the language model or
+    of the classifier; a row given twice weighs twice."""
+    from collections import Counter
+    docs, labels = small
+    twice = docs.unionByName(docs.filter("doc_id = 4"))
+    rows = toxicity.training_rows(twice, labels)
+    mine = {r.doc_id for r in labels.collect() if r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1}
+    texts = {r.doc_id: r.text for r in docs.collect() if r.doc_id in mine}
+    held_back = {5} if 5 not in texts else set()
+    assert {r._id for r in rows.collect()} == set(texts) - held_back
+    words = Counter()
+    for i in [*texts, *([4] if 4 in texts else [])]:
+        words.update(w for w in toxicity._RUN.findall(texts[i].lower()) if len(w) > 1)
+    language = toxicity.train_model(twice, labels, per_class=20)[0]
+    assert language.three == toxicity.trigrams(words)
+    n = toxicity.counts(rows)
+    dealt, shards = toxicity.deal(rows, n, 20)
+    got = dealt.collect()
+    assert shards > 3 and {r._id for r in got} == set(texts)
+    assert {r._n for r in got if r._id == 4} <= {2} and {r._n for r in got if r._id != 4} == {1}
+    clean = [r for r in got if r._label == 0]
+    assert len(clean) == len({r._id for r in clean})
+    for k in range(shards):
+        assert {r._label for r in got if r._shard == k} == {0, 1}
+        assert sum(r._shard == k for r in got) <= 120
+
+
+def test_the_mean_of_many_shards_finds_what_one_finds(spark, small):
+    docs, labels = small
+    held = toxicity.toxicity(docs, labels, per_class=100).filter("held_out").collect()
+    assert sum(r.predicted != (r.doc_id % 4 == 0) for r in held) <= 0.05 * len(held)
+
+
+def test_two_mirrored_columns_are_one():
+    import numpy as np
+    from ledgerlens.llm.linear import BinaryFtrl, Ftrl
+    rng = np.random.default_rng(3)
+    both, one = Ftrl(2, 50, l1=0.4), BinaryFtrl(50, l1=0.4)
+    for _ in range(300):
+        idx, y = np.unique(rng.integers(0, 50, 8)), int(rng.integers(0, 2))
+        both.update(idx, np.ones(len(idx)), y)
+        one.update(idx, y)
+    w = both.weights()
+    assert np.allclose(w[:, 1] - w[:, 0], one.weights(), atol=1e-9)
