@@ -69,6 +69,7 @@ def held(key: object, make: Callable):
     entry = _held.get(key)
     if entry is None:
         release()
+        _trim()               # also what stages that hold nothing here have left
         entry = _held[key] = [make(), 0.0]
     entry[1] = time.monotonic()
     return entry[0]
@@ -81,11 +82,15 @@ def release(idle: float = IDLE) -> None:
     for k in old:
         del _held[k]
     if old:
-        gc.collect()
-        try:
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
-        except (OSError, AttributeError):       # another C library
-            pass
+        _trim()
+
+
+def _trim() -> None:
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):       # another C library
+        pass
 
 
 def text_of(column: str = "text") -> Column:
