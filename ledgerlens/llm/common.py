@@ -10,6 +10,7 @@ import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,6 +88,7 @@ def release(idle: float = IDLE) -> None:
 
 def _trim() -> None:
     gc.collect()
+    pa.default_memory_pool().release_unused()     # batches that Arrow keeps room for
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):       # another C library

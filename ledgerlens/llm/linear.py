@@ -82,19 +82,24 @@ class BinaryFtrl:
         self.root = np.zeros(size)           # of the summed squares of gradients
 
     def _weights(self, z: np.ndarray, root: np.ndarray) -> np.ndarray:
-        return (np.clip(z, -self.l1, self.l1) - z) / ((self.beta + root) / self.alpha + self.l2)
+        return (np.minimum(np.maximum(z, -self.l1), self.l1) - z) / ((self.beta + root) / self.alpha + self.l2)
 
     def weights(self) -> np.ndarray:
         """Of class 1 against class 0."""
         return 2 * self._weights(self.z, self.root)
 
     def update(self, idx: np.ndarray, label: int, weight: float = 1.0) -> None:
-        z, root = self.z[idx], self.root[idx]
+        idx = idx.astype(np.intp, copy=False)         # once, not at every look
+        z, root = self.z.take(idx), self.root.take(idx)
         w = self._weights(z, root)
         pull = min(700.0, max(-700.0, 2 * float(w.sum())))
         g = (1 / (1 + math.exp(-pull)) - label) * weight
-        new = np.sqrt(root * root + g * g)
-        self.z[idx] = z + g - (new - root) / self.alpha * w
+        new = root * root
+        new += g * g
+        np.sqrt(new, out=new)
+        z += g
+        z -= (new - root) / self.alpha * w
+        self.z[idx] = z
         self.root[idx] = new
 
 

@@ -37,6 +37,7 @@ import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import groupby
 from operator import eq
 
@@ -58,6 +59,7 @@ EPOCHS = 8
 L1 = 15.0                     # heavy: signs that few documents carry must stand out to stay
 THRESHOLD = 0.7
 CACHE_ENTRIES = 100_000
+COUNTED_CHARS = 500_000       # whose trigrams are sorted at once, about
 
 # fixed values: the letters that a sign may stand for
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -81,6 +83,13 @@ _PUNCTUATION = frozenset("!*|+")
 _SAME, _SIGN, _KEPT_SIGN, _DROPPED = (float(np.log(p)) for p in (0.95, 0.5, 1e-4, 0.5))
 _PUNCTUATED, _NOT_PUNCTUATED, _NUMBERED = (float(np.log(p)) for p in (0.9, 0.1, 1e-4))
 _ONE_OF_TWO, _LONG_RUN = float(np.log(0.05)), float(np.log(0.5))
+_REPEATED = re.compile(r"(.)\1+", re.S)
+
+
+@lru_cache(maxsize=1024)
+def _same(n: int) -> float:
+    """Log odds of ``n`` letters that stand for themselves, added one by one."""
+    return sum([_SAME] * n)
 
 
 def trigrams(words: Counter) -> Counter:
@@ -125,22 +134,53 @@ class Language:
         return float(np.log(p))
 
 
+_LETTERS, _SIGN_KIND, _BLANK, _MARK = 1, 2, 4, 8
+
+
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """Per code point which of these it is, as the expressions above see it."""
+    every = "".join(map(chr, range(0x110000)))
+    kinds = np.zeros(len(every), np.uint8)
+    for kind, found in ((_LETTERS, rf"{_LETTER}+"), (_SIGN_KIND, rf"[{_SIGNS}]+"), (_MARK, rf"[{re.escape(_MARKS)}]+")):
+        for m in re.finditer(found, every):
+            kinds[m.start():m.end()] |= kind
+    kinds[[c for c, x in enumerate(every) if x.isspace()]] |= _BLANK
+    return kinds
+
+
+def _kinds_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    cps = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    return cps, _kinds()[cps]
+
+
+def _may_be_spaced(kinds: np.ndarray) -> bool:
+    """Whether ``SPACED`` may be found: four characters in a row with marks
+    between them."""
+    gap = np.diff(np.flatnonzero(kinds < _MARK)) > 1
+    return bool((gap[2:] & gap[1:-1] & gap[:-2]).any())
+
+
+def _suspects(cps: np.ndarray, kinds: np.ndarray) -> list[int]:
+    """Which words of a text, counted from 0, hold a match of ``SUSPECT``."""
+    own = kinds & (_LETTERS | _SIGN_KIND)
+    at = np.flatnonzero(((own[1:] | own[:-1]) == _LETTERS | _SIGN_KIND) | ((cps[1:] == cps[:-1]) & (own[1:] == _LETTERS)))
+    if not len(at):
+        return []
+    solid = kinds & _BLANK == 0
+    words = np.searchsorted(np.flatnonzero(solid[1:] & ~solid[:-1]) + 1, at, "right") - (not solid[0])
+    return words[np.flatnonzero(np.diff(words, prepend=-1))].tolist()
+
+
 class Restorer(dict):
     """Word -> its best reading, cached; words that do not look disguised are
-    their own. Readings have a cache of their own, as they cost the most."""
+    their own."""
 
     def __init__(self, language: Language):
         self.language = language
-        self.read: dict = {}
 
     def __missing__(self, word: str) -> str:
-        found = self.read.get(word)
-        if found is None:
-            found = self._read(word) if self._suspect(word) else word
-            if found is not word:
-                if len(self.read) > CACHE_ENTRIES:
-                    self.read.clear()
-                self.read[word] = found
+        found = self._read(word) if self._suspect(word) else word
         if len(self) > CACHE_ENTRIES:
             self.clear()
         self[word] = found
@@ -152,6 +192,8 @@ class Restorer(dict):
         return any(map(eq, word, word[1:])) if word.isalpha() else SUSPECT.search(word) is not None
 
     def _read(self, word: str) -> str:
+        if word.isalpha():
+            return self.viterbi(word)
         if _WHOLE.search(word):
             return self.reading(word)
         return _RUN.sub(lambda m: self.viterbi(m.group()) if self._suspect(m.group()) else m.group(), word)
@@ -199,8 +241,12 @@ class Restorer(dict):
         return after
 
     def _end(self, best: dict) -> tuple[float, tuple]:
-        log = self.language.log
-        return max(((best[k][0] + log(*k, "$"), k, best[k][1]) for k in best), key=lambda x: x[:2])[::2]
+        log, most, state, text = self.language.log, None, None, None
+        for k, (s, path) in best.items():
+            s += log(*k, "$")
+            if most is None or s > most or s == most and k > state:
+                most, state, text = s, k, path
+        return most, text
 
     @staticmethod
     def _text(path) -> str:
@@ -212,10 +258,48 @@ class Restorer(dict):
 
     def viterbi(self, word: str) -> str:
         """The best path through the whole lattice."""
-        best = {("^", "^"): (0.0, None)}
+        return self._text(self._end(self._through(word, {("^", "^"): (0.0, None)}))[1])
+
+    def _through(self, word: str, best: dict) -> dict:
+        """States after the whole lattice of a word."""
+        if len(best) == 1 and word.isalpha():
+            return self._through_letters(word, *best.items())
         for options in self.lattice(word):
             best = self._step(best, options)
-        return self._text(self._end(best)[1])
+        return best
+
+    def _through_letters(self, word: str, start: tuple) -> dict:
+        """The same for letters alone, without the lattice: a run has two
+        readings, and all states meet again at the next letter but its own."""
+        if self._doubled(word):
+            word = word[::2]
+        log, known = self.language.log, self.language.held.get
+        ((a, last), (score, path)), at = start, 0
+        states = [(score, a, "")]                    # score, last character but one, text
+
+        def best(out: str, channel: float) -> tuple:
+            most = None
+            for s, x, text in states:
+                s, y = s + channel, last
+                for c in out:
+                    odds = known(x + y + c)
+                    s += log(x, y, c) if odds is None else odds
+                    x, y = y, c
+                if most is None or s > most[0]:
+                    most = s, x, text + out
+            return most
+
+        for m in _REPEATED.finditer(word):
+            first, end = m.span()
+            if at < first:
+                states, last = [best(word[at:first], _same(first - at))], word[first - 1]
+            c = word[first]
+            states = ([best(c + c, _SAME), best(c, _ONE_OF_TWO)] if end - first == 2
+                      else [best(c, _LONG_RUN), best(c + c, _LONG_RUN)])
+            last, at = c, end
+        if at < len(word):
+            states, last = [best(word[at:], _same(len(word) - at))], word[-1]
+        return {(x, last): (s, (path, text)) for s, x, text in states}
 
     def reading(self, token: str) -> str:
         """The best path, where outer signs may be read or be punctuation or a
@@ -238,8 +322,7 @@ class Restorer(dict):
                 best["^", "^"] = fresh
             if i < len(head):
                 best = self._step(best, self._outer(c))
-        for options in self.lattice(body):
-            best = self._step(best, options)
+        best = self._through(body, best)
         # the tail: reading may end before any of its signs
         ends = []
         plain = self._plains(tail)
@@ -256,11 +339,12 @@ class Restorer(dict):
         """Every character twice: the doubling is the disguise."""
         return len(word) > 5 and len(word) % 2 == 0 and word[::2] == word[1::2]
 
-    @classmethod
-    def _outer(cls, sign: str) -> list[tuple[str, float]]:
+    @staticmethod
+    @lru_cache(maxsize=1024)
+    def _outer(sign: str) -> list[tuple[str, float]]:
         """The place of a sign at an end of a word that is read."""
         odds = _NOT_PUNCTUATED if sign in _PUNCTUATION else 0.0
-        return [(out, channel + odds) for out, channel in cls.lattice(sign)[0]]
+        return [(out, channel + odds) for out, channel in Restorer.lattice(sign)[0]]
 
     @staticmethod
     def _plain(signs: str) -> float:
@@ -282,11 +366,21 @@ class Restorer(dict):
 
     def restore(self, text: str) -> str:
         """Lower case, words divided by single spaces."""
-        return " ".join(map(self.__getitem__, SPACED.sub(self._spaced, text.lower()).split()))
+        text = text.lower()
+        cps, kinds = _kinds_of(text)
+        if _may_be_spaced(kinds):
+            text = SPACED.sub(self._spaced, text)
+            cps, kinds = _kinds_of(text)
+        words = text.split()
+        for i in _suspects(cps, kinds):
+            words[i] = self[words[i]]
+        return " ".join(words)
 
 
 def _places(text: str) -> np.ndarray:
-    return np.unique(ngrams(letters(text), SIZES, BITS)).astype(np.int32)
+    there = np.zeros(1 << BITS, bool)
+    there[ngrams(letters(text), SIZES, BITS)] = True
+    return np.flatnonzero(there).astype(np.int32)
 
 
 SLOTS = 1 << 26               # of the filter before the join; its table has at most a 64th as many rows
@@ -313,25 +407,57 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_column="doc_id", text_c
 ROWS, CHARS = "rows ", "chars"       # keys beside the trigrams, longer than these
 
 
+def _packed_trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``trigrams`` of all ``_WORD`` of the texts: each once, as one number of
+    three code points, and how often it is there."""
+    cps, kinds = _kinds_of("\n".join(texts).lower())
+    edge = np.diff((kinds & _LETTERS).astype(np.int8), prepend=0, append=0)
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    starts, size = starts[ends - starts > 1], (ends - starts)[ends - starts > 1]
+    # every word with two places before it and one after it
+    cuts = np.cumsum(size + 3) - size - 3
+    at = np.arange(int((size + 3).sum())) + np.repeat(starts - cuts - 2, size + 3)
+    row = cps[np.clip(at, 0, max(0, len(cps) - 1))].astype(np.uint64)
+    row[cuts], row[cuts + 1], row[cuts + size + 2] = ord("^"), ord("^"), ord("$")
+    found = (row[:-2] << np.uint64(42)) | (row[1:-1] << np.uint64(21)) | row[2:]
+    inside = np.ones(len(row), bool)
+    inside[cuts + size + 1] = inside[cuts + size + 2] = False
+    return np.unique(found[inside[:-2]], return_counts=True)
+
+
+def _cuts(texts: pd.Series) -> np.ndarray:
+    """Places that cut texts into parts of about ``COUNTED_CHARS``."""
+    return np.flatnonzero(np.diff(texts.str.len().cumsum().to_numpy() // COUNTED_CHARS)) + 1
+
+
+def _unpacked(trigram: int) -> str:
+    return chr(trigram >> 42) + chr(trigram >> 21 & 0x1FFFFF) + chr(trigram & 0x1FFFFF)
+
+
 def counts(rows: DataFrame) -> dict[str, int]:
     """The trigrams of every training row; under ``ROWS`` and the label the rows
     of a class, under ``CHARS`` and the label their characters."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, total = Counter(), Counter()
+        three, total = Counter(), Counter()
+
+        def told() -> pd.DataFrame:
+            total.update({_unpacked(k): n for k, n in three.items()})
+            out = pd.DataFrame(total.items(), columns=["key", "n"])
+            three.clear()
+            total.clear()
+            return out
         for batch in batches:
-            for text, label, n in zip(batch["_text"], batch["_label"], batch["_n"]):
-                found = _WORD.findall(text.lower())
-                words.update(found if n == 1 else {w: m * n for w, m in Counter(found).items()})
-                total[f"{ROWS}{label}"] += 1
-                total[f"{CHARS}{label}"] += len(text)
-            if len(words) > CACHE_ENTRIES:
-                total.update(trigrams(words))
-                words.clear()
-            if len(total) > CACHE_ENTRIES:
-                yield pd.DataFrame(total.items(), columns=["key", "n"])
-                total.clear()
-        total.update(trigrams(words))
-        yield pd.DataFrame(total.items(), columns=["key", "n"])
+            for n, same in batch.groupby("_n"):
+                for texts in np.split(same["_text"].to_numpy(object), _cuts(same["_text"])):
+                    found, times = _packed_trigrams(texts.tolist())
+                    for k, m in zip(found.tolist(), (times * n).tolist()):
+                        three[k] += m
+            for label, own in batch.groupby("_label"):
+                total[f"{ROWS}{label}"] += len(own)
+                total[f"{CHARS}{label}"] += int(own["_text"].str.len().sum())
+            if len(three) > CACHE_ENTRIES:
+                yield told()
+        yield told()
     summed = rows.mapInPandas(count, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
     return {r["key"]: r["n"] for r in summed.collect()}      # one row a trigram
 

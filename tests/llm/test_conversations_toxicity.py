@@ -1,9 +1,10 @@
 """Preference formatting and toxicity."""
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import fixtures as fx
+import pandas as pd
 import pytest
 
 from ledgerlens.llm import preferences, toxicity
@@ -256,3 +257,42 @@ def test_two_mirrored_columns_are_one():
         one.update(idx, y)
     w = both.weights()
     assert np.allclose(w[:, 1] - w[:, 0], one.weights(), atol=1e-9)
+
+
+def test_only_words_that_look_disguised_are_looked_at():
+    """Of a text without such a word, none; of others, each word that holds a
+    match of ``SUSPECT``, wherever white space and marks lie."""
+    import random
+    restorer = toxicity.Restorer(toxicity.Language(toxicity.trigrams(Counter({"stone": 3, "river": 2}))))
+    text = " ".join(f"stone{c} river" for c in "abcdfghijk")
+    assert restorer.restore(text) == text and not restorer
+    rng = random.Random(3)
+    for _ in range(3000):
+        text = "".join(rng.choices("aabcé²ΣI 01$*!.-_\t\n ", k=rng.randint(0, 30))).lower()
+        cps, kinds = toxicity._kinds_of(text)
+        want = [i for i, word in enumerate(text.split()) if restorer._suspect(word)]
+        assert toxicity._suspects(cps, kinds) == want, text
+        assert toxicity._may_be_spaced(kinds) or toxicity.SPACED.search(text) is None, text
+
+
+def test_letters_alone_are_read_as_through_their_lattice():
+    import random
+    rng = random.Random(4)
+    language = toxicity.Language(toxicity.trigrams(Counter(
+        "".join(rng.choices("abcd", k=rng.randint(2, 6))) for _ in range(200))))
+    restorer = toxicity.Restorer(language)
+    for _ in range(3000):
+        word = "".join(rng.choice("abcd") * rng.choice((1, 1, 1, 2, 2, 3, 4)) for _ in range(rng.randint(1, 6)))
+        best = {("^", "^"): (0.0, None)}
+        for options in restorer.lattice(word):
+            best = restorer._step(best, options)
+        assert restorer.viterbi(word) == restorer._text(restorer._end(best)[1]), word
+
+
+def test_packed_trigrams_are_those_of_the_words():
+    for texts in ([], [""], ["a"], ["a b", "ab"], ["Stone x river", "ñandú😀ab²c", "stone\nriver ab1cd"]):
+        words = Counter(w for t in texts for w in toxicity._WORD.findall(t.lower()))
+        found, n = toxicity._packed_trigrams(texts)
+        assert dict(zip(map(toxicity._unpacked, found.tolist()), n.tolist())) == toxicity.trigrams(words)
+    cuts = toxicity._cuts(pd.Series(["x" * 300_000] * 5))
+    assert cuts.tolist() == [1, 3, 4]
