@@ -248,7 +248,9 @@ def _vertices(docs: DataFrame, heavy: np.ndarray, t: int) -> DataFrame:
                 firsts = np.concatenate([h[~late][:k], h[late][:k]])
             rows.append((_key(h), len(h), firsts[:k].view(np.int64), _point(h)))
         return pd.DataFrame(rows, columns=["key", "n", "firsts", "point"])
-    sets = docs.select("doc_id", described("text").alias("s")).select("doc_id", "s.*").filter("n > 0")
+    # so named, or the filter on its result would go below it with a second hashing of every text
+    once = described.asNondeterministic()
+    sets = docs.select("doc_id", once("text").alias("s")).select("doc_id", "s.*").filter("n > 0")
     one = sets.groupBy("key").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "firsts", "point")])
     return stored(one.withColumn("v", F.monotonically_increasing_id()), "op10-vertices")
 
@@ -262,12 +264,13 @@ def _exact_sets(docs: DataFrame, needed: DataFrame, fine: bool = False) -> DataF
     def keyed(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([(_key(h), h.tobytes(), *((len(h), _point(h), _bits(h)) if fine else (0, None, None)))
                              for h in shingle_sets(list(texts), WIDTH)], columns=["key", "hashes", "n", "point", "bits"])
+    once = keyed.asNondeterministic()                      # as in _vertices: the join's null check stays above
     needed = stored(needed, "op10-needed")
     small = needed.count() <= MAX_BROADCAST_KEYS           # 32 bytes each
     if small:      # texts of other documents are not hashed again
         docs = docs.join(F.broadcast(needed.select(F.col("rep").alias("_rep")).distinct()),
                          F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi")
-    sets = docs.select("doc_id", keyed("text").alias("s")).select("doc_id", "s.*").alias("d").join(
+    sets = docs.select("doc_id", once("text").alias("s")).select("doc_id", "s.*").alias("d").join(
         (F.broadcast(needed) if small else needed).alias("w"),
         (F.col("d.key") == F.col("w.key")) & F.col("d.doc_id").eqNullSafe(F.col("w.rep")))
     return stored(sets.select("v", "hashes", *more), "op10-sets")

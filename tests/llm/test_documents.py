@@ -495,3 +495,19 @@ def test_keep_one_decides_row_by_row(spark):
     assert len(rest) == 1 and rest[0][1] == 7
     assert kept.columns == fx.clashing(fx.frame(spark, rows)).columns
     assert ngram_join.keep_one(fx.frame(spark, [])).count() == 0
+
+
+def test_near_copies_hash_each_text_once_a_pass(spark, monkeypatch):
+    """No plan of the join runs its Python step twice over the same texts."""
+    runs = {}
+
+    def counted(df, name, stored=ngram_join.stored):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        runs[name] = max(runs.get(name, 0), plan.count("ArrowEvalPython"))
+        return stored(df, name)
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    words = [f"w{k}" for k in range(60)]
+    texts = [" ".join(words), " ".join([*words, "more"]), " ".join(words[::-1]), "", None]
+    rows = ngram_join.similar_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4}
+    assert runs["op10-vertices"] == runs["op10-sets"] == runs["op10-members"] == 1
