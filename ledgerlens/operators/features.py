@@ -164,6 +164,9 @@ def add_velocity_features(df: DataFrame, t: Thresholds = Thresholds(),
     """
     ts = F.col("timestamp_dt")
     rows, edges = _window_slices(df, skew)
+    # dealt by every key of the window: rows that a join left clustered by
+    # customer alone would stay there, all slices of a hot customer in one task
+    rows = rows.repartition("customer_id", "_slice", "_tie")
     w = Window.partitionBy("customer_id", "_slice", "_tie").orderBy(
         ts.asc_nulls_first(), F.col("transaction_id").asc_nulls_first())
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

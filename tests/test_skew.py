@@ -138,3 +138,30 @@ def test_nine_tenths_in_one_hour_over_ten_years(spark):
     assert same(split_velocity(df, 200), plain_velocity(df))
     sizes = partition_sizes(df, 200)
     assert sum(sizes) == len(rows) and max(sizes) <= 400 and len(sizes) >= 20
+
+
+def test_slices_of_a_joined_hot_customer_lie_in_several_tasks(spark):
+    """Rows that come clustered by customer from a sort-merge join are dealt
+    again by slice: no task of the window holds all rows of the hot customer."""
+    rows = 4_000
+    i = F.col("id")
+    events = spark.range(rows).select(
+        i.alias("transaction_id"), F.when(i % 4 < 3, 7).otherwise(i).alias("user"),
+        F.timestamp_seconds(1_704_067_200 + i * 60).alias("timestamp_dt"))
+    customers = spark.range(rows).select(i.alias("customer_id"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = events.join(customers, F.col("user") == F.col("customer_id")).drop("user")
+        out = T.add_velocity_features(df, skew=SkewConfig(rows_per_split=250))
+        tasks = out.filter("customer_id = 7").groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert sum(t["count"] for t in tasks) == out.filter("customer_id = 7").count() >= rows * 3 // 4
+        assert max(t["count"] for t in tasks) <= rows * 3 // 8, tasks
+        assert same(out.select("transaction_id", "minutes_since_last_transaction", "customer_transaction_count"),
+                    plain_velocity(df))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
