@@ -40,11 +40,15 @@ def ngrams(cps: np.ndarray, sizes: tuple[int, ...], bits: int) -> np.ndarray:
             total = total[:len(cps) - k] + cps[k:] * _MULTIPLIERS[k]
             ok = ok[:len(cps) - k] & solid[k:] if k else ok
             k += 1
-        h = total[ok & solid[:m] if n == 1 else ok] + np.array([n], np.uint64) * _MIX
-        h ^= h >> np.uint64(31)
-        h *= _MIX
-        found.append((h >> np.uint64(64 - bits)).astype(np.int64))
-    return np.concatenate(found) if found else np.zeros(0, np.int64)
+        found.append(total[ok & solid[:m] if n == 1 else ok] + np.array([n], np.uint64) * _MIX)
+    if not found:
+        return np.zeros(0, np.int64)
+    # mixed in one go, whatever their sizes
+    h = np.concatenate(found)
+    h ^= h >> np.uint64(31)
+    h *= _MIX
+    h >>= np.uint64(64 - bits)
+    return h.view(np.int64)
 
 
 class Ftrl:

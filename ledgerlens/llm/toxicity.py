@@ -59,6 +59,8 @@ EPOCHS = 8
 L1 = 15.0                     # heavy: signs that few documents carry must stand out to stay
 THRESHOLD = 0.7
 CACHE_ENTRIES = 100_000
+CLOSE = 1e-9                  # scores nearer than this are compared as whole words, not by their ends
+TAIL = 8                      # signs at the end of a word whose reading is cached, at most
 COUNTED_CHARS = 500_000       # whose trigrams are sorted at once, about
 
 # fixed values: the letters that a sign may stand for
@@ -178,9 +180,12 @@ class Restorer(dict):
 
     def __init__(self, language: Language):
         self.language = language
+        self.runs: dict[str, str | None] = {}       # of _run
+        self.tails: dict[str, str | None] = {}      # of _tail
+        self.close: bool | None = None              # whether scores were too near to tell; None: not watched
 
     def __missing__(self, word: str) -> str:
-        found = self._read(word) if self._suspect(word) else word
+        found = self._read(word)
         if len(self) > CACHE_ENTRIES:
             self.clear()
         self[word] = found
@@ -196,7 +201,11 @@ class Restorer(dict):
             return self.viterbi(word)
         if _WHOLE.search(word):
             return self.reading(word)
-        return _RUN.sub(lambda m: self.viterbi(m.group()) if self._suspect(m.group()) else m.group(), word)
+        return _RUN.sub(self._read_run, word)
+
+    def _read_run(self, m: re.Match) -> str:
+        run = m.group()
+        return self.viterbi(run) if run.isalpha() or self._suspect(run) else run
 
     @staticmethod
     def lattice(word: str) -> list[list[tuple[str, float]]]:
@@ -236,7 +245,12 @@ class Restorer(dict):
                     s += log(x, y, c) if odds is None else odds
                     x, y = y, c
                 held = after.get((x, y))
-                if held is None or s > held[0]:
+                if held is None:
+                    after[x, y] = (s, (path, out))
+                    continue
+                if self.close is False and abs(s - held[0]) < CLOSE and self._text((path, out)) != self._text(held[1]):
+                    self.close = True
+                if s > held[0]:
                     after[x, y] = (s, (path, out))
         return after
 
@@ -244,6 +258,8 @@ class Restorer(dict):
         log, most, state, text = self.language.log, None, None, None
         for k, (s, path) in best.items():
             s += log(*k, "$")
+            if self.close is False and most is not None and abs(s - most) < CLOSE:
+                self.close = True
             if most is None or s > most or s == most and k > state:
                 most, state, text = s, k, path
         return most, text
@@ -258,8 +274,73 @@ class Restorer(dict):
 
     def viterbi(self, word: str) -> str:
         """The best path through the whole lattice."""
+        if word.isalpha():
+            found = self._read_letters(word[::2] if self._doubled(word) else word, "$")
+            if found is not None:
+                return found
         return self._text(self._end(self._through(word, {("^", "^"): (0.0, None)}))[1])
 
+    def _read_letters(self, word: str, following: str) -> str | None:
+        """The best reading of letters that another character or the end
+        (``$``) follows. A run has two readings whose paths differ in the run's
+        own trigrams and that of the next letter alone, so each is chosen by
+        its neighbours; None where a choice is too close to call so."""
+        s, at, out = f"^{word}{following}", 1, []
+        for m in _REPEATED.finditer(s, 1, len(word) + 1):
+            first, end = m.span()
+            key = s[first - 1:end + 1] if end - first < 4 else s[first - 1:first + 3] + s[end]
+            try:
+                found = self.runs[key]
+            except KeyError:
+                found = self._run(key)
+            if found is None:
+                return None
+            out += s[at:first], found
+            at = end
+        return "".join(out) + s[at:-1]
+
+    def _run(self, key: str) -> str | None:
+        """The reading of a run between two characters; cached."""
+        a, c, b, log = key[0], key[1], key[-1], self.language.log
+        two, one = (_SAME, _ONE_OF_TWO) if len(key) == 4 else (_LONG_RUN, _LONG_RUN)
+        more = two + log(a, c, c) + log(c, c, b) - one - log(a, c, b)
+        if len(self.runs) > CACHE_ENTRIES:
+            self.runs.clear()
+        found = self.runs[key] = None if abs(more) < CLOSE else c + c if more > 0 else c
+        return found
+
+    def _tail(self, before: str, run: str, tail: str) -> str | None:
+        """The reading of the last run of letters, after ``before``, and of the
+        signs behind it; cached. None where a choice is too close to call."""
+        key = before + run[:3] + tail
+        if key in self.tails:
+            return self.tails[key]
+        c, log = run[0], self.language.log
+        if len(run) == 1:
+            best = {(before, c): (0.0, (None, c))}
+        else:
+            two, one = (_SAME, _ONE_OF_TWO) if len(run) == 2 else (_LONG_RUN, _LONG_RUN)
+            best = {(c, c): (two + log(before, c, c), (None, c + c)), (before, c): (one, (None, c))}
+        self.close = False
+        found = self._ending(tail, best)
+        if self.close:
+            found = None
+        self.close = None
+        if len(self.tails) > CACHE_ENTRIES:
+            self.tails.clear()
+        self.tails[key] = found
+        return found
+
+    def _read_tailed(self, body: str, tail: str) -> str | None:
+        """The best reading of letters with signs behind them; None where the
+        whole lattice has to tell."""
+        if self._doubled(body):
+            body = body[::2]
+        rest = body.rstrip(body[-1])
+        start = self._read_letters(rest, body[-1])
+        end = self._tail(rest[-1:] or "^", body[len(rest):], tail)
+        return None if start is None or end is None else start + end
+
     def _through(self, word: str, best: dict) -> dict:
         """States after the whole lattice of a word."""
         if len(best) == 1 and word.isalpha():
@@ -314,6 +395,10 @@ class Restorer(dict):
         head, body, tail = _ENDS.fullmatch(word).groups()
         if self._doubled(word):
             return token[:first] + self.viterbi(word) + token[last + 1:]
+        if not head and len(tail) <= TAIL and body.isalpha():
+            found = self._read_tailed(body, tail)
+            if found is not None:
+                return token[:first] + found + token[last + 1:]
         # the head: reading may begin after any of its signs
         best: dict = {}
         for i, c in enumerate(head + body[0]):
@@ -322,8 +407,11 @@ class Restorer(dict):
                 best["^", "^"] = fresh
             if i < len(head):
                 best = self._step(best, self._outer(c))
-        best = self._through(body, best)
-        # the tail: reading may end before any of its signs
+        return token[:first] + self._ending(tail, self._through(body, best)) + token[last + 1:]
+
+    def _ending(self, tail: str, best: dict) -> str:
+        """The best path on through the tail: reading may end before any of its
+        signs."""
         ends = []
         plain = self._plains(tail)
         for i in range(len(tail) + 1):
@@ -331,8 +419,10 @@ class Restorer(dict):
             ends.append((score + plain[i], -i, path))
             if i < len(tail):
                 best = self._step(best, self._outer(tail[i]))
-        _, i, path = max(ends, key=lambda x: x[:2])
-        return token[:first] + self._text(path) + tail[-i:] + token[last + 1:]
+        most, i, path = max(ends, key=lambda x: x[:2])
+        if self.close is False:
+            self.close = sum(most - s < CLOSE for s, _, _ in ends) > 1
+        return self._text(path) + tail[-i:]
 
     @staticmethod
     def _doubled(word: str) -> bool:
@@ -378,9 +468,15 @@ class Restorer(dict):
 
 
 def _places(text: str) -> np.ndarray:
-    there = np.zeros(1 << BITS, bool)
-    there[ngrams(letters(text), SIZES, BITS)] = True
-    return np.flatnonzero(there).astype(np.int32)
+    """The n-grams of a text, each once, ascending."""
+    found = ngrams(letters(text), SIZES, BITS)
+    if len(found) >> BITS - 2:
+        there = np.zeros(1 << BITS, bool)
+        there[found] = True
+        return np.flatnonzero(there).astype(np.int32)
+    found = found.astype(np.int32)
+    found.sort()
+    return found[np.diff(found, prepend=-1) > 0]
 
 
 SLOTS = 1 << 26               # of the filter before the join; its table has at most a 64th as many rows
@@ -493,12 +589,22 @@ def _fit(epochs: int):
         bias = np.array([1 << BITS], np.int32)
         data = [(np.concatenate([_places(t), bias]), y, n)
                 for t, y, n in zip(rows["_text"], rows["_label"], rows["_n"])]
-        model = BinaryFtrl((1 << BITS) + 1, alpha=0.3, l1=L1, l2=0.1)
+        # the places of this shard side by side, frequent ones first, where they stay in the processor's cache
+        times = np.zeros((1 << BITS) + 1, np.int64)
+        for idx, _, _ in data:
+            times[idx] += 1
+        used = np.argsort(-times, kind="stable")[:np.count_nonzero(times)]
+        at = np.zeros(len(times), np.int32)
+        at[used] = np.arange(len(used))
+        for idx, _, _ in data:
+            idx[:] = at[idx]
+        model = BinaryFtrl(len(used), alpha=0.3, l1=L1, l2=0.1)
         for _ in range(epochs):
             for idx, y, n in data:
                 for _ in range(min(n, REPEATS)):
                     model.update(idx, y, max(1.0, n / REPEATS))
-        w = model.weights()
+        w = np.zeros(len(times))
+        w[used] = model.weights()
         places = np.flatnonzero(w)
         return pd.DataFrame({"place": places, "weight": w[places]})
     return fit

@@ -296,3 +296,70 @@ def test_packed_trigrams_are_those_of_the_words():
         assert dict(zip(map(toxicity._unpacked, found.tolist()), n.tolist())) == toxicity.trigrams(words)
     cuts = toxicity._cuts(pd.Series(["x" * 300_000] * 5))
     assert cuts.tolist() == [1, 3, 4]
+
+
+def test_words_never_seen_are_read_by_the_neighbours_of_their_runs():
+    """Runs of letters and signs at a word's end are chosen once for all words
+    that hold them between the same neighbours, as the whole lattice would."""
+    import random
+
+    language = toxicity.Language(toxicity.trigrams(Counter(
+        {"letter": 9, "better": 4, "pal": 5, "apple": 3, "see": 6, "tell": 2, "least": 4, "passes": 3, "bets": 2})))
+    restorer = toxicity.Restorer(language)
+    draw = random.Random(5)
+    words = []
+    for _ in range(3_000):
+        word = "".join(draw.choice("aeplst") * draw.choice((1, 1, 1, 2, 2, 3, 4)) for _ in range(draw.randint(2, 9)))
+        words.append(word + draw.choice(("", "", ",", "$$$", "!", "!!", "1", "***")))
+
+    def plain(word):
+        """Through every place of the lattice, in whole words of letters."""
+        return restorer._text(restorer._end(_all_places(restorer, word))[1])
+    assert [restorer[w] for w in words if w.isalpha()] == [plain(w) for w in words if w.isalpha()]
+    tailed = toxicity.Restorer(language)
+    tailed._read_tailed = lambda body, tail: None                 # the whole lattice
+    assert [restorer[w] for w in words] == [tailed[w] for w in words]
+
+    class Counting(dict):
+        looks = 0
+
+        def get(self, *key):
+            Counting.looks += 1
+            return super().get(*key)
+    language.held = Counting()
+    fresh, half = toxicity.Restorer(language), len(words) // 2
+    for word in words[:half]:
+        fresh[word]
+    first, Counting.looks = Counting.looks, 0
+    fresh.clear()
+    for word in words[half:]:
+        fresh[word]
+    assert first and Counting.looks < 8 * half, (first, Counting.looks)
+
+
+def _all_places(restorer, word):
+    best = {("^", "^"): (0.0, None)}
+    for options in restorer.lattice(word):
+        best = restorer._step(best, options)
+    return best
+
+
+def test_a_shard_uses_no_more_places_than_it_holds(monkeypatch):
+    """The model of a shard has a slot for each of its own n-grams alone, and
+    the weights come back under their places."""
+    sizes = []
+
+    class Sized(toxicity.BinaryFtrl):
+        def __init__(self, size, **options):
+            sizes.append(size)
+            super().__init__(size, **options)
+    monkeypatch.setattr(toxicity, "BinaryFtrl", Sized)
+    texts = [f"good river {i}" if i % 2 else f"bad stone {i}" for i in range(200)]
+    found = toxicity._fit(2)(pd.DataFrame(
+        {"_mix": range(200), "_text": texts, "_label": [1 - i % 2 for i in range(200)], "_n": 1}))
+    own = set(toxicity._places(" ".join(texts)).tolist())
+    assert sizes and sizes[0] <= len(own) + 1
+    weights = dict(zip(found["place"], found["weight"]))
+    assert weights and set(weights) <= own | {1 << toxicity.BITS}
+    bad, good = (sum(weights.get(p, 0.0) for p in toxicity._places(t).tolist()) for t in ("bad stone", "good river"))
+    assert bad > 0 > good
